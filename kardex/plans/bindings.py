@@ -19,6 +19,8 @@ Spark SQL and DuckDB (CASE, %, ||, CAST AS STRING, chr, lower, upper).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -94,6 +96,89 @@ BINDINGS: dict[str, tuple[str, list[str]]] = {
 }
 
 
+_K = "o_orderkey"
+
+
+def _blank_every(expr: str, k: str, p: int, r: int = 0, blank: str = "''") -> str:
+    return f"(CASE WHEN {k} % {p} = {r} THEN {blank} ELSE {expr} END)"
+
+
+def _ymd(ts: str) -> str:
+    # Portable 'Y-M-D' text without zero padding (valid for strptime).
+    return (f"CAST(year({ts}) AS STRING) || '-' || CAST(month({ts}) AS STRING) || '-' || "
+            f"CAST(day({ts}) AS STRING)")
+
+
+# Inventory records as seen by the validation layouts (analog and digital
+# carriers share the table; digital_record tells them apart).
+BINDINGS["layout_records"] = ("orders", [
+    "o_orderkey AS inventory_id",
+    _blank_every("'M' || CAST(o_orderkey AS STRING)", _K, 53) + " AS inventory_no",
+    "'user' || CAST(o_orderkey % 9 AS STRING) AS user_last_modified",
+    "CAST(CAST(o_orderdate AS DATE) AS STRING) AS date_modified",
+    "(CASE WHEN o_orderkey % 3 = 0 THEN '1' ELSE '0' END) AS digital_record",
+    "(CASE o_orderkey % 8 WHEN 0 THEN 'TELEVISION SERIES' WHEN 1 THEN 'television series ' "
+    "WHEN 2 THEN '' WHEN 3 THEN 'SHORT' WHEN 4 THEN 'FEATURE FILM' WHEN 5 THEN NULL "
+    "WHEN 6 THEN 'NEWSREEL' ELSE 'DOCUMENTARY' END) AS production_type",
+    _blank_every("'English'", _K, 11, 0, "'  '") + " AS \"Language\"",
+    _blank_every("'D' || CAST(o_custkey % 100 AS STRING)", _K, 13, 0, "NULL") + " AS donor_code",
+    _blank_every("'Gift'", _K, 17, 1) + " AS \"Acquisition type\"",
+    "o_orderstatus AS type",
+    _blank_every("'1 reel'", _K, 19, 2) + " AS \"item holdings\"",
+    _blank_every("'2 files'", _K, 23, 3) + " AS item_unit_holdings",
+    _blank_every("'Title ' || CAST(o_custkey AS STRING)", _K, 29, 4) + " AS title",
+    _blank_every("CAST(CAST(o_orderdate AS DATE) AS STRING)", _K, 31, 5) + " AS date_received",
+    _blank_every("'Director ' || CAST(o_custkey % 50 AS STRING)", _K, 37, 6) + " AS director",
+    "(CASE o_orderkey % 10 WHEN 0 THEN 'N/A' WHEN 1 THEN 'unknown' WHEN 2 THEN '' "
+    "ELSE CAST(year(o_orderdate) AS STRING) END) AS release_broadcast_year",
+    _blank_every("'16mm'", _K, 41, 7) + " AS format_type",
+    "(CASE o_orderkey % 6 WHEN 0 THEN 'Temporary' WHEN 1 THEN 'PERMANENT' WHEN 2 THEN '' "
+    "ELSE 'temporary' END) AS retention_status",
+    _blank_every("'Video'", _K, 43, 8) + " AS asset_type",
+    _blank_every("CAST(o_orderkey % 20 AS STRING)", _K, 4, 0) + " AS \"episode no.\"",
+    _blank_every("'Episode ' || CAST(o_custkey AS STRING)", _K, 5, 0) + " AS episode_title",
+    _blank_every(_ymd("o_orderdate"), _K, 7, 0) + " AS record_date",
+    _blank_every(_ymd("o_orderdate"), _K, 4, 1) + " AS retention_start_date",
+    _blank_every(_ymd("o_orderdate"), _K, 5, 1, "NULL") + " AS retention_end_date",
+    "(CASE o_orderkey % 5 WHEN 0 THEN 'Preservation (Full)' WHEN 1 THEN 'ACCESS (CORE)' "
+    "WHEN 2 THEN 'Access' ELSE '' END) AS object_purpose",
+    _blank_every("'Stereo'", _K, 3, 2) + " AS \"sound_format(1)\"",
+])
+
+_L = "l_partkey"
+# Child rows (items of a digital carrier) keyed by their parent record.
+BINDINGS["carrier_items"] = ("lineitem", [
+    "l_orderkey AS parent_id",
+    "CAST(l_linenumber AS STRING) AS \"recordId\"",
+    _blank_every("CAST(l_linenumber AS STRING)", "l_linenumber", 5) + " AS \"Item_unit_number\"",
+    _blank_every("CAST(CAST(l_quantity AS BIGINT) AS STRING) || ' GB'", _L, 17, 0, "NULL")
+    + " AS file_size_display",
+    "(CASE l_partkey % 6 WHEN 0 THEN '' WHEN 1 THEN " + _ymd("l_shipdate") + " || '-1' "
+    "WHEN 2 THEN CAST(year(l_shipdate) AS STRING) || '-13-01' WHEN 3 THEN '0000-01-01' "
+    "ELSE " + _ymd("l_shipdate") + " END) AS \"Creation_date\"",
+    _blank_every("l_returnflag", _L, 19, 2) + " AS audio_class",
+    _blank_every("'/media/' || CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) || '.mov'",
+                 _L, 23, 3, "'   '") + " AS file_path",
+])
+
+# Storage-format records and their carrier rows.
+BINDINGS["storage_records"] = ("part", [
+    "p_partkey AS storage_id",
+    "p_partkey AS \"Inventory_id_fk\"",
+    "'M' || CAST(p_partkey AS STRING) AS \"Inventory_no_fk\"",
+    "'user' || CAST(p_size % 5 AS STRING) AS \"ModifiedBy\"",
+    "'2024-01-' || CAST(1 + p_size % 28 AS STRING) AS \"ModificationTimestamp\"",
+    _blank_every("p_brand", "p_partkey", 7, 0) + " AS \"Barcode\"",
+    _blank_every("p_type", "p_partkey", 9, 1, "NULL") + " AS \"Location\"",
+])
+
+BINDINGS["storage_items"] = ("lineitem", [
+    "l_partkey AS storage_id",
+    _blank_every("'/store/' || CAST(l_orderkey AS STRING)", "l_orderkey", 11, 0) + " AS file_path",
+    "(CASE WHEN l_suppkey % 13 = 0 THEN 0 ELSE CAST(l_quantity AS BIGINT) END) AS file_size",
+])
+
+
 def binding_sql(name: str) -> str:
     """SELECT statement of a binding (usable as a CTE body in DuckDB)."""
     table, exprs = BINDINGS[name]
@@ -112,4 +197,6 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Derive a binding from the test tables (column pruning reaches the scan)."""
     table, exprs = BINDINGS[name]
+    # Spark SQL quotes identifiers with backticks, DuckDB with double quotes.
+    exprs = [re.sub(r'AS "([^"]+)"$', r"AS `\1`", e) for e in exprs]
     return read_table(spark, sf_dir, table).selectExpr(*exprs)
