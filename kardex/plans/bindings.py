@@ -200,3 +200,91 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Spark SQL quotes identifiers with backticks, DuckDB with double quotes.
     exprs = [re.sub(r'AS "([^"]+)"$', r"AS `\1`", e) for e in exprs]
     return read_table(spark, sf_dir, table).selectExpr(*exprs)
+
+
+# ---------------------------------------------------------------------------
+# Dirty text derived from clean values (standardisation inputs)
+# ---------------------------------------------------------------------------
+
+_Y = "CAST(year(o_orderdate) AS STRING)"
+_M = "CAST(month(o_orderdate) AS STRING)"
+_D = "CAST(day(o_orderdate) AS STRING)"
+_NEXT2 = "lpad(CAST((year(o_orderdate) + 1) % 100 AS STRING), 2, '0')"
+
+
+def month_name(m: str) -> str:
+    names = ["January", "February", "March", "April", "May", "June", "July", "August",
+             "September", "October", "November", "December"]
+    return "(CASE " + " ".join(f"WHEN {m} = {i + 1} THEN '{n}'" for i, n in enumerate(names)) + " END)"
+
+
+_MN = month_name("month(o_orderdate)")
+
+BINDINGS["dated_records"] = ("orders", [
+    "o_orderkey AS inventory_id",
+    "o_orderdate AS clean_date",
+    "(CASE o_orderkey % 10 "
+    f"WHEN 0 THEN 'ca. ' || {_Y} "
+    f"WHEN 1 THEN '[' || {_Y} || ']' "
+    f"WHEN 2 THEN {_M} || '/' || {_D} || '/' || {_Y} "
+    f"WHEN 3 THEN 'c ' || {_Y} "
+    f"WHEN 4 THEN {_Y} || '-' || {_NEXT2} "
+    f"WHEN 5 THEN {_MN} || ' ' || {_Y} "
+    f"WHEN 6 THEN {_MN} || ' ' || {_D} || ', ' || {_Y} "
+    f"WHEN 7 THEN substr({_Y}, 1, 3) || '0s' "
+    "WHEN 8 THEN 'UNKNOWN' "
+    f"ELSE {_Y} || ' ; ' || CAST(year(o_orderdate) + 1 AS STRING) END) AS record_date",
+    "(CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'n/a' "
+    f"WHEN 2 THEN {_Y} ELSE '[' || {_Y} || ']' END) AS release_broadcast_year",
+])
+
+BINDINGS["typed_parts"] = ("part", [
+    "p_partkey AS part_id",
+    "p_type AS clean_type",
+    "(CASE p_partkey % 6 WHEN 0 THEN lower(p_type) "
+    "WHEN 1 THEN p_type || ' ' || lower(p_type) "
+    "WHEN 2 THEN 'SF ' || chr(13) || p_type "
+    "WHEN 3 THEN 'B&W' || chr(13) || p_type || ' & SHORT' "
+    "WHEN 4 THEN 'Newsreel' || chr(13) || p_type "
+    "ELSE p_type || ';Made for TV Movies' END) AS production_type",
+])
+
+_LANGS = ["French", "German", "English", "Spanish", "Italian", "Russian", "Japanese", "Portuguese"]
+
+
+def language_name(i: str) -> str:
+    return "(CASE " + " ".join(f"WHEN {i} = {k} THEN '{n}'" for k, n in enumerate(_LANGS)) + " END)"
+
+
+_L1 = language_name("c_nationkey % 8")
+_L2 = language_name("(c_nationkey + 1) % 8")
+
+BINDINGS["language_records"] = ("customer", [
+    "c_custkey AS customer_id",
+    f"{_L1} AS clean_language",
+    f"{_L2} AS clean_language2",
+    "(CASE c_custkey % 5 "
+    f"WHEN 0 THEN lower({_L1}) "
+    f"WHEN 1 THEN upper({_L1}) || ' / ' || {_L2} "
+    f"WHEN 2 THEN substr({_L1}, 1, 2) || substr({_L1}, 4) "
+    f"WHEN 3 THEN {_L1} || ' Intertitles' "
+    "ELSE '?' END) AS \"Language\"",
+])
+
+
+def _cap(w: str) -> str:
+    return f"(upper(substr({w}, 1, 1)) || substr({w}, 2))"
+
+
+_W1 = "split_part(p_name, ' ', 1)"
+_W2 = "split_part(p_name, ' ', 2)"
+
+BINDINGS["director_parts"] = ("part", [
+    "p_partkey AS part_id",
+    "p_name AS clean_name",
+    "(CASE p_partkey % 6 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name "
+    f"WHEN 2 THEN 'Someone (as ' || {_cap(_W1)} || ' ' || {_cap(_W2)} || ')' "
+    f"WHEN 3 THEN {_cap(_W1)} || ' ' || {_cap(_W2)} || ' aka Other' "
+    f"WHEN 4 THEN {_cap(_W1)} || ' & ' || {_cap(_W2)} "
+    "ELSE 'NULL' END) AS director",
+])
