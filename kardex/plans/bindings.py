@@ -288,3 +288,58 @@ BINDINGS["director_parts"] = ("part", [
     f"WHEN 4 THEN {_cap(_W1)} || ' & ' || {_cap(_W2)} "
     "ELSE 'NULL' END) AS director",
 ])
+
+
+# ---------------------------------------------------------------------------
+# Paths, assets, items (file and asset operators)
+# ---------------------------------------------------------------------------
+
+_PK = "(o_orderkey + 10)"
+
+BINDINGS["legacy_paths"] = ("orders", [
+    "o_orderkey AS row_index",
+    f"(CASE o_orderkey % 6 "
+    f"WHEN 0 THEN {_prefix(_PK)} || CAST({_PK} AS STRING) || '_Title_Reel' "
+    f"WHEN 1 THEN {_prefix(_PK)} || CAST({_PK} AS STRING) || 'T_KTLA' "
+    f"WHEN 2 THEN 'Show_T' || CAST({_PK} AS STRING) || '_Part' "
+    f"WHEN 3 THEN {_prefix(_PK)} || CAST({_PK} AS STRING) || 'M_XFF' || CAST({_PK} + 1 AS STRING) || 'M_Final' "
+    f"WHEN 4 THEN 'Max_From_DVD_H264' "
+    f"ELSE 'AAC442' || chr(92) || 'Title_T01ASYNC_M' || CAST({_PK} AS STRING) END) AS legacy_path",
+])
+
+_EXT = "(CASE page_id % 5 WHEN 0 THEN '.mov' WHEN 1 THEN '.MP4' WHEN 2 THEN '.json' ELSE '' END)"
+BINDINGS["file_lists"] = ("pages", [
+    "page_id",
+    "(CASE WHEN page_id % 7 = 6 THEN ' vol4/.hidden ' "
+    "ELSE 'vol' || CAST(page_id % 3 AS STRING) || '/sub/f' || CAST(page_id % 97 AS STRING) || "
+    f"{_EXT} END) AS path",
+])
+
+BINDINGS["asset_files"] = ("documents", [
+    "'doc-' || CAST(doc_id AS STRING) AS uuid",
+    "(CASE WHEN doc_id % 6 = 0 THEN '' ELSE 'f' || CAST(doc_id % 89 AS STRING) || "
+    "(CASE WHEN doc_id % 2 = 0 THEN '.mov' ELSE '.MP4' END) END) AS file_name",
+])
+
+BINDINGS["batch_assets"] = ("lineitem", [
+    "'a' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS uuid",
+    "(CASE WHEN l_linenumber = 1 THEN 'asset' ELSE 'track' END) AS record_type",
+    "(CASE WHEN l_linenumber % 4 = 3 THEN 'M' || CAST(l_orderkey + 1 AS STRING) "
+    "ELSE 'M' || CAST(l_orderkey AS STRING) END) || '|X' || CAST(l_partkey AS STRING) AS inventory_numbers_text",
+    "(CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber % 3 = 2 THEN '' "
+    "ELSE 'a' || CAST((CASE WHEN l_linenumber % 5 = 4 THEN l_orderkey + 100000000 ELSE l_orderkey END) AS STRING)"
+    " || '-1' END) AS match_asset",
+    "l_orderkey * 10 + l_linenumber AS row_ordinal",
+])
+
+BINDINGS["media_items"] = ("lineitem", [
+    "'it-' || CAST(l_orderkey AS STRING) || '-' || "
+    "CAST((CASE WHEN l_linenumber = 7 THEN 6 ELSE l_linenumber END) AS STRING) AS item_uuid",
+    "(CASE WHEN l_linenumber = 5 THEN l_orderkey + 100000000 ELSE l_orderkey END) AS inventory_id_fk",
+])
+
+BINDINGS["media_batch"] = ("events", [
+    "'it-' || CAST(event_id AS STRING) || '-' || CAST(1 + event_id % 7 AS STRING) AS uuid",
+    "(CASE WHEN event_id % 4 = 0 THEN '  ' "
+    "ELSE ' it-' || CAST(event_id + 1 AS STRING) || '-1 ' END) AS match_asset_uuid",
+])
