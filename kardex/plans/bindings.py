@@ -343,3 +343,58 @@ BINDINGS["media_batch"] = ("events", [
     "(CASE WHEN event_id % 4 = 0 THEN '  ' "
     "ELSE ' it-' || CAST(event_id + 1 AS STRING) || '-1 ' END) AS match_asset_uuid",
 ])
+
+
+# ---------------------------------------------------------------------------
+# Bibliographic records (flat; assembled into MARC structs by plans.marc_fixture)
+# ---------------------------------------------------------------------------
+
+def _capw(w: str) -> str:
+    return f"(upper(substr({w}, 1, 1)) || substr({w}, 2))"
+
+
+_PW1, _PW2 = "split_part(p_name, ' ', 1)", "split_part(p_name, ' ', 2)"
+_PNAME = f"({_capw(_PW1)} || ' ' || {_capw(_PW2)})"
+_LANG3 = ("(CASE p_size % 6 WHEN 0 THEN 'eng' WHEN 1 THEN 'fra' WHEN 2 THEN '   ' "
+          "WHEN 3 THEN 'xxx' WHEN 4 THEN 'ger' ELSE 'jap' END)")
+
+BINDINGS["bib_flat"] = ("part", [
+    "CAST(p_partkey AS STRING) AS bib_id",
+    "(CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '850101s' || CAST(p_size AS STRING) "
+    "WHEN 2 THEN rpad('', 40, ' ') "
+    f"ELSE rpad('850101s1995', 35, ' ') || {_LANG3} || ' d' END) AS f008",
+    "(CASE p_partkey % 5 WHEN 0 THEN '0' WHEN 1 THEN '4' WHEN 2 THEN '2' WHEN 3 THEN ' ' ELSE '3' END) AS ind2",
+    "(CASE p_partkey % 4 WHEN 0 THEN 'The ' || p_name || ' /' WHEN 1 THEN 'A ' || p_name || ' :' "
+    "WHEN 2 THEN p_name || '.' ELSE 'An ' || p_name END) AS a245",
+    "(CASE WHEN p_partkey % 3 = 0 THEN p_brand || ' ;' END) AS b245",
+    "(CASE WHEN p_partkey % 11 = 0 THEN 'Part ' || CAST(p_size AS STRING) END) AS n245",
+    "(CASE WHEN p_partkey % 13 = 0 THEN 'Episode ' || CAST(p_size AS STRING) END) AS p245",
+    f"(CASE p_partkey % 6 WHEN 0 THEN 'directed by ' || {_PNAME} "
+    f"WHEN 1 THEN 'a film by ' || {_PNAME} || '; produced by Studio' "
+    f"WHEN 2 THEN 'technical director ' || {_PNAME} WHEN 3 THEN NULL "
+    f"WHEN 4 THEN 'directed by ' || {_capw(_PW1)} || ' and ' || {_capw(_PW2)} "
+    f"ELSE 'producer ' || {_PNAME} END) AS c245",
+    f"(CASE p_partkey % 6 WHEN 4 THEN {_capw(_PW1)} WHEN 3 THEN NULL ELSE {_PNAME} END) AS person1",
+    f"(CASE WHEN p_partkey % 6 = 4 THEN {_capw(_PW2)} END) AS person2",
+    "(CASE WHEN p_partkey % 8 = 0 THEN '1995' WHEN p_partkey % 8 = 1 THEN ' ' END) AS c260",
+    "(CASE WHEN p_partkey % 9 = 0 THEN '[199-]' END) AS c264",
+    "(CASE WHEN p_partkey % 10 = 0 THEN '2nd ed.' END) AS a250",
+    "(CASE WHEN p_partkey % 12 = 0 THEN 'Contents' END) AS a505",
+    "(CASE WHEN p_partkey % 5 = 1 THEN 'Alt ' || p_name END) AS a246",
+    "(CASE p_partkey % 9 WHEN 0 THEN 'Feature films.' WHEN 1 THEN 'Shorts' WHEN 2 THEN 'Newsreels' "
+    "WHEN 3 THEN 'Cartoons.' WHEN 4 THEN 'Student films and video' WHEN 5 THEN 'Anthologies' "
+    "WHEN 6 THEN 'Documentaries and factual films and video' END) AS form1",
+    "(CASE WHEN p_partkey % 9 = 4 AND p_size % 2 = 0 THEN 'local' END) AS form1_source",
+    "(CASE WHEN p_partkey % 9 = 5 THEN 'Short films' "
+    "WHEN p_partkey % 9 = 0 AND p_size % 3 = 0 THEN 'Animated films' END) AS form2",
+    "(CASE WHEN p_partkey % 4 = 2 THEN 'eng' || 'fre' END) AS a041",
+    "(CASE WHEN p_partkey % 7 = 3 THEN 'Series ' || p_brand END) AS a490",
+    "p_partkey AS row_ordinal",
+])
+
+BINDINGS["language_codes"] = ("nation", [
+    "(CASE n_nationkey % 6 WHEN 0 THEN 'eng' WHEN 1 THEN 'fra' WHEN 2 THEN 'ger' WHEN 3 THEN 'spa' "
+    "WHEN 4 THEN 'ita' ELSE 'rus' END) AS code",
+    "'Language of ' || n_name AS name",
+    "n_nationkey AS row_ordinal",
+])

@@ -1 +1,299 @@
-"""Registered queries (filled in as operators land)."""
+"""Bibliographic reports: data-quality checks (H26-H33), features and
+criteria (P13, H34-H36, H45, H46, A5), monographs (H37-H42, G4, P11), output
+documents (P12), code table (S9, J12) and annotations (H43, A9)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kardex.functions import marc as MC
+from kardex.functions.text import title_score
+from kardex.operators import matching as M
+from kardex.operators.keys import keep_last
+from kardex.operators.lookups import attach_bib, valid_code_check
+from kardex.plans.bindings import cte, load
+from kardex.plans.catalog import register
+from kardex.plans.marc_fixture import to_marc
+
+
+def _bibs(spark, sf_dir):
+    return to_marc(load(spark, sf_dir, "bib_flat"))
+
+
+def _codes(spark, sf_dir):
+    # Later duplicate code wins.
+    return keep_last(load(spark, sf_dir, "language_codes"), "code", "row_ordinal")
+
+
+def _checks(bibs, codes):
+    b = valid_code_check(bibs.withColumn("lang_code", MC.language_code()), "lang_code", codes)
+    t = MC.bib_title()
+    return b.select("bib_id", MC.no_008().alias("no_008"),
+                    MC.invalid_language(F.col("code_valid")).alias("invalid_language"),
+                    MC.no_26x_date().alias("no_26x_date"), MC.lacks_attribution().alias("lacks_attribution"),
+                    t["title"].alias("alma_title"),
+                    F.when(t["check_ind2"], "Yes").otherwise("").alias("check_245_indicator_2"))
+
+
+_TRIM = "regexp_replace(trim({x}), '[\\s.,:;/=]+$', '')"
+_A = _TRIM.format(x="a245")
+_ART = f"(CASE WHEN lower({_A}) LIKE 'a %' THEN 2 WHEN lower({_A}) LIKE 'an %' THEN 3 WHEN lower({_A}) LIKE 'the %' THEN 4 ELSE 0 END)"
+_NFC = "coalesce(TRY_CAST(ind2 AS INTEGER), 0)"
+
+
+def _mv(off: str) -> str:
+    return f"(trim(substr({_A}, {off} + 1)) || ', ' || trim(substr({_A}, 1, {off})))"
+
+
+BIB_TITLE_SQL = f"""concat_ws('. ',
+    nullif(CASE WHEN {_ART} > 0 AND {_NFC} <> 0 THEN CASE WHEN length({_A}) > {_NFC} THEN {_mv(_ART)} ELSE {_A} END
+                WHEN {_ART} > 0 THEN {_mv(_ART)}
+                WHEN {_NFC} <> 0 THEN {_mv(_NFC)}
+                ELSE {_A} END, ''),
+    nullif({_TRIM.format(x='b245')}, ''), nullif({_TRIM.format(x='n245')}, ''), nullif({_TRIM.format(x='p245')}, ''))"""
+BIB_FLAG_SQL = f"""(CASE WHEN {_ART} > 0 AND {_NFC} <> 0 THEN length({_A}) > {_NFC} AND {_NFC} <> {_ART}
+      WHEN {_ART} > 0 THEN true ELSE false END)"""
+_CODE = "substr(f008, 36, 3)"
+CHECKS_COLS_SQL = f"""
+  CASE WHEN f008 IS NULL THEN 'Yes' ELSE '' END AS no_008,
+  CASE WHEN f008 IS NULL THEN '' WHEN length(f008) < 38 THEN CASE WHEN trim(f008) = '' THEN 'BLANK' ELSE 'TOO SHORT' END
+       WHEN {_CODE} = '   ' THEN 'BLANK'
+       WHEN {_CODE} NOT IN (SELECT code FROM language_codes) THEN {_CODE} ELSE '' END AS invalid_language,
+  CASE WHEN trim(coalesce(c260, '')) <> '' OR trim(coalesce(c264, '')) <> '' THEN '' ELSE 'Yes' END AS no_26x_date,
+  CASE WHEN c245 IS NULL THEN 'Yes'
+       WHEN lower(c245) LIKE '%directed by%' OR lower(c245) LIKE '%director%' OR lower(c245) LIKE '%a film by%'
+         OR lower(c245) LIKE '%supervised by%' THEN '' ELSE 'Yes' END AS lacks_attribution,
+  {BIB_TITLE_SQL} AS alma_title,
+  CASE WHEN {BIB_FLAG_SQL} THEN 'Yes' ELSE '' END AS check_245_indicator_2"""
+
+BIB_CHECKS_SQL = cte("bib_flat", "language_codes") + f"SELECT bib_id, {CHECKS_COLS_SQL} FROM bib_flat"
+
+
+@register("bib_checks", BIB_CHECKS_SQL)
+def bib_checks(spark, sf_dir):
+    return _checks(_bibs(spark, sf_dir), _codes(spark, sf_dir))
+
+
+# --------------------------------------------------------------- H33
+_TRIM_D = "trim({x}, ' ' || chr(160) || chr(9) || chr(10) || chr(13))"
+_PREFIX_OR = " OR ".join(f"v LIKE '{p}%'" for p in M.VARIANT_PREFIXES)
+MATCH_PROBLEMS_SQL = cte("holdings", "inventory", "digital", "bib_flat", "language_codes") + f"""
+, d0 AS (SELECT pk, inventory_number, {_TRIM_D.format(x='inventory_number')} AS k, row_ordinal FROM digital)
+, d AS (SELECT k, arg_min(inventory_number, row_ordinal) AS raw_number FROM d0 WHERE k <> '' GROUP BY k)
+, hv AS (SELECT {_TRIM_D.format(x='call_number')} AS v, holding_id FROM holdings)
+, hidx AS (SELECT v AS key, holding_id FROM hv WHERE v <> ''
+           UNION ALL SELECT v || s.suf, holding_id FROM hv CROSS JOIN (VALUES (' M'), (' R'), (' T')) AS s(suf)
+           WHERE v <> '' AND ({_PREFIX_OR}))
+, h1 AS (SELECT key, min(holding_id) AS holding_id FROM hidx GROUP BY key HAVING count(*) = 1)
+, iv AS (SELECT {_TRIM_D.format(x='inventory_no')} AS key, inventory_id FROM inventory)
+, i1 AS (SELECT key, min(inventory_id) AS inventory_id FROM iv WHERE key <> '' GROUP BY key HAVING count(*) = 1)
+, m AS (SELECT d.raw_number, h1.holding_id, i1.inventory_id FROM d JOIN h1 ON h1.key = d.k JOIN i1 ON i1.key = d.k)
+, chk AS (SELECT bib_id, {CHECKS_COLS_SQL} FROM bib_flat)
+, j AS (SELECT m.*, inv.title, chk.* FROM m JOIN holdings h ON h.holding_id = m.holding_id
+        JOIN inventory inv ON inv.inventory_id = m.inventory_id LEFT JOIN chk ON chk.bib_id = h.mms_id)
+SELECT coalesce(bib_id, '') AS alma_bib_id, CAST(inventory_id AS VARCHAR) AS filemaker_record_id,
+  raw_number AS digital_inventory_number, coalesce(no_008, '') AS no_008,
+  coalesce(invalid_language, '') AS invalid_language, coalesce(no_26x_date, '') AS no_26x_date,
+  coalesce(lacks_attribution, '') AS lacks_attribution,
+  CASE WHEN coalesce(alma_title, '') = '' OR coalesce(title, '') = '' THEN 0.0
+       ELSE 1.0 - levenshtein(alma_title, title) / greatest(length(alma_title), length(title)) END AS title_match_score,
+  coalesce(alma_title, '') AS alma_title, coalesce(title, '') AS filemaker_title,
+  coalesce(check_245_indicator_2, '') AS check_245_indicator_2
+FROM j
+"""
+
+
+@register("match_problems", MATCH_PROBLEMS_SQL)
+def match_problems(spark, sf_dir):
+    h = load(spark, sf_dir, "holdings")
+    d = load(spark, sf_dir, "digital")
+    i = load(spark, sf_dir, "inventory")
+    m = M.unique_variant_match(d, i, h).select(F.col("inventory_number").alias("raw_number"), "holding_id",
+                                              "inventory_id")
+    chk = _checks(_bibs(spark, sf_dir), _codes(spark, sf_dir))
+    j = (m.join(h.select("holding_id", "mms_id"), "holding_id")
+          .join(i.select("inventory_id", "title"), "inventory_id")
+          .join(chk, F.col("mms_id") == chk["bib_id"], "left"))
+    e = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return j.select(e("bib_id").alias("alma_bib_id"), F.col("inventory_id").cast("string").alias("filemaker_record_id"),
+                    F.col("raw_number").alias("digital_inventory_number"), e("no_008").alias("no_008"),
+                    e("invalid_language").alias("invalid_language"), e("no_26x_date").alias("no_26x_date"),
+                    e("lacks_attribution").alias("lacks_attribution"),
+                    title_score(F.col("alma_title"), F.col("title")).alias("title_match_score"),
+                    e("alma_title").alias("alma_title"), e("title").alias("filemaker_title"),
+                    e("check_245_indicator_2").alias("check_245_indicator_2"))
+
+
+# --------------------------------------------------------------- P13 / H34 / A5
+_DIR_N = ("(CASE WHEN c245 IS NULL THEN 0 WHEN (c245 LIKE '%directed%' OR c245 LIKE '%director%' "
+          "OR c245 LIKE '%a film by%') AND NOT (c245 LIKE '%technical director%') "
+          "THEN (CASE WHEN person1 IS NOT NULL THEN 1 ELSE 0 END) + (CASE WHEN person2 IS NOT NULL THEN 1 ELSE 0 END) "
+          "ELSE 0 END)")
+_LANGX = "(CASE WHEN f008 IS NULL THEN '###' ELSE substr(f008, 36, 3) END)"
+_FLAGS = [
+    ("6.1", f"c = 1 AND a AND NOT pp AND NOT ed AND lang = 'eng'"),
+    ("6.2", f"c = 1 AND a AND (ed OR lang <> 'eng')"),
+    ("6.3", f"c = 1 AND ((a AND pp) OR (a AND n))"),
+    ("6.4", f"c > 1 AND a AND NOT ed AND lang = 'eng'"),
+    ("6.5", f"c > 1 AND a AND (ed OR lang <> 'eng')"),
+    ("6.6", f"c > 1 AND ((a AND pp) OR (a AND n))"),
+    ("6.7", "c = 0"),
+    ("6.8", "p > 0"),
+]
+_FIRST = "CASE " + " ".join(f"WHEN {cond} THEN '{name}'" for name, cond in _FLAGS) + " ELSE '6.9' END"
+_ALL = ("coalesce(nullif(concat_ws(', ', " + ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in _FLAGS)
+        + "), ''), '6.9')")
+FEATURES_SQL = cte("bib_flat") + f"""
+, f AS (SELECT bib_id, {_LANGX} AS lang, {_DIR_N} AS c, 0 AS p, a245 IS NOT NULL AS a, p245 IS NOT NULL AS pp,
+               n245 IS NOT NULL AS n, a250 IS NOT NULL AS ed, person1, person2, c245 FROM bib_flat)
+SELECT bib_id, lang AS language, {_FIRST} AS criterion, {_ALL} AS all_criteria,
+  CASE WHEN c = 0 THEN '' WHEN person2 IS NULL THEN person1
+       ELSE array_to_string(list_sort([person1, person2]), '; ') END AS directors_245c,
+  '' AS directors_245p
+FROM f
+"""
+
+
+def _features(spark, sf_dir):
+    b = _bibs(spark, sf_dir)
+    return b.select("*", F.struct(*MC.bib_features("mentions")).alias("features"))
+
+
+@register("bib_features", FEATURES_SQL)
+def bib_features(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    return f.select(F.col("features.bib_id").alias("bib_id"), F.col("features.language").alias("language"),
+                    MC.first_criterion("features").alias("criterion"),
+                    F.array_join(MC.all_criteria("features"), ", ").alias("all_criteria"),
+                    F.array_join(F.col("features.directors.f245c"), "; ").alias("directors_245c"),
+                    F.array_join(F.col("features.directors.f245p"), "; ").alias("directors_245p"))
+
+
+COMBOS_SQL = f"""
+WITH x AS ({FEATURES_SQL})
+SELECT all_criteria, count(*) AS records FROM x GROUP BY all_criteria
+"""
+
+
+@register("criteria_combinations", COMBOS_SQL)
+def criteria_combinations(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    return (f.select(F.array_join(MC.all_criteria("features"), ", ").alias("all_criteria"))
+             .groupBy("all_criteria").agg(F.count(F.lit(1)).alias("records")).orderBy("all_criteria"))
+
+
+@register("mams_documents")
+def mams_documents(spark, sf_dir):
+    """P12 + P9: one JSON document per bib, empty members dropped."""
+    f = _features(spark, sf_dir)
+    return f.select("bib_id", F.to_json(MC.mams_projection("features")).alias("document"))
+
+
+# --------------------------------------------------------------- H37-H42
+_MONO_TYPES = list(MC.MONOGRAPH_TYPES.items())
+_TYPE_LIST = "[" + ", ".join(f"'{k}'" for k, _ in _MONO_TYPES) + "]"
+_TYPE_MAP = "CASE t " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _MONO_TYPES) + " END"
+_FORM_MAP = "CASE f " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in MC.FORM_NAMES.items()) + " ELSE f END"
+_MONO_FORMS = ", ".join(f"'{x}'" for x in MC.MONOGRAPH_FORMS)
+_NONMONO_FORMS = ", ".join(f"'{x}'" for x in MC.NON_MONOGRAPH_FORMS)
+_NONMONO_TYPES = " OR ".join(f"contains(lower(coalesce(production_type, '')), '{x}')" for x in MC.NON_MONOGRAPH_TYPES)
+
+
+def _bib_form(col: str, src: str | None) -> str:
+    bare = f"regexp_replace({col}, '\\.+$', '')"
+    if src:
+        ok = f"CASE WHEN {src} = 'local' THEN {bare} IN ('Student films and video') ELSE {bare} IN ({_MONO_FORMS}) END"
+    else:
+        ok = f"{bare} IN ({_MONO_FORMS})"
+    return f"CASE WHEN {col} IS NOT NULL AND ({ok}) THEN {bare} END"
+
+
+MONOGRAPH_SQL = cte("holdings", "inventory", "bib_flat") + f"""
+, inv AS (SELECT inventory_no, arg_max(production_type, row_ordinal) AS production_type FROM inventory GROUP BY 1)
+, j AS (SELECT h.mms_id, inv.production_type, b.* FROM holdings h JOIN inv ON h.call_number = inv.inventory_no
+        JOIN bib_flat b ON b.bib_id = h.mms_id)
+, c AS (SELECT mms_id, production_type,
+          CASE WHEN coalesce(production_type, '') <> '' THEN NOT ({_NONMONO_TYPES})
+               ELSE NOT (p245 IS NOT NULL OR n245 IS NOT NULL OR a250 IS NOT NULL OR a505 IS NOT NULL
+                         OR coalesce(form1 IN ({_NONMONO_FORMS}), false) OR coalesce(form2 IN ({_NONMONO_FORMS}), false)
+                         OR coalesce(form1 = 'Anthologies' AND form2 = 'Short films', false)) END AS mono,
+          list_transform(list_filter({_TYPE_LIST}, lambda t: contains(lower(coalesce(production_type, '')), lower(t))),
+                         lambda t: {_TYPE_MAP}) AS fm,
+          list_transform(list_filter([{_bib_form('form1', 'form1_source')}, {_bib_form('form2', None)}],
+                                     lambda f: f IS NOT NULL), lambda f: {_FORM_MAP}) AS alma
+        FROM j)
+, r AS (SELECT mms_id,
+          list_sort(list_distinct(list_filter(alma, lambda x: list_contains(fm, x)))) AS common,
+          list_sort(list_distinct(list_filter(alma, lambda x: NOT list_contains(fm, x)))) AS ua,
+          list_sort(list_distinct(list_filter(fm, lambda x: NOT list_contains(alma, x)))) AS uf
+        FROM c WHERE mono)
+SELECT mms_id, array_to_string(common, '|') AS common, array_to_string(ua, '|') AS unique_alma,
+       array_to_string(uf, '|') AS unique_fm
+FROM r WHERE len(ua) > 0 OR len(uf) > 0
+"""
+
+
+@register("monograph_report", MONOGRAPH_SQL)
+def monograph_report(spark, sf_dir):
+    h = load(spark, sf_dir, "holdings").select("mms_id", "call_number")
+    i = load(spark, sf_dir, "inventory").select("inventory_no", "production_type", "row_ordinal")
+    matched = M.match_by_call_number(h, i)
+    withbib = attach_bib(matched.drop("row_ordinal"), _bibs(spark, sf_dir).drop("mentions", "row_ordinal"),
+                         "mms_id").filter(~F.col("bib_missing"))
+    mono = withbib.filter(MC.is_monograph(F.col("production_type")))
+    cmp = MC.compare_forms(MC.bib_forms(), MC.inventory_forms(F.col("production_type")))
+    out = mono.select("mms_id", cmp.alias("c"))
+    out = out.filter((F.size("c.unique_alma") > 0) | (F.size("c.unique_fm") > 0))  # P11
+    return out.select("mms_id", F.array_join("c.common", "|").alias("common"),
+                      F.array_join("c.unique_alma", "|").alias("unique_alma"),
+                      F.array_join("c.unique_fm", "|").alias("unique_fm"))
+
+
+# --------------------------------------------------------------- S9 / H43 / A9
+CODES_SQL = cte("language_codes") + """
+SELECT code, arg_max(name, row_ordinal) AS name FROM language_codes GROUP BY code
+"""
+
+
+@register("language_code_table", CODES_SQL)
+def language_code_table(spark, sf_dir):
+    return _codes(spark, sf_dir).select("code", "name").orderBy("code")
+
+
+SPANS_SQL = cte("bib_flat") + """
+SELECT bib_id, person1 AS name, strpos(c245, person1) - 1 AS start, strpos(c245, person1) - 1 + length(person1) AS "end"
+FROM bib_flat WHERE person1 IS NOT NULL
+UNION ALL
+SELECT bib_id, person2, strpos(c245, person2) - 1, strpos(c245, person2) - 1 + length(person2)
+FROM bib_flat WHERE person2 IS NOT NULL
+"""
+
+
+@register("name_spans", SPANS_SQL)
+def name_spans(spark, sf_dir):
+    b = _bibs(spark, sf_dir)
+    text = F.get(MC.subfields("245", "c"), 0)
+    names = MC.person_names(F.col("mentions"))
+    spans = MC.span_annotations(text, names)
+    return (b.select("bib_id", F.arrays_zip(names.alias("name"), spans.alias("span")).alias("z"))
+             .select("bib_id", F.explode("z").alias("z"))
+             .select("bib_id", F.col("z.name").alias("name"), F.col("z.span.start").alias("start"),
+                     F.col("z.span.end").alias("end")))
+
+
+TOTALS_SQL = cte("bib_flat") + """
+SELECT count(c245) AS texts,
+       count(*) FILTER (WHERE person1 IS NOT NULL) + count(*) FILTER (WHERE person2 IS NOT NULL) AS names,
+       count(*) AS other_entities
+FROM bib_flat
+"""
+
+
+@register("entity_totals", TOTALS_SQL)
+def entity_totals(spark, sf_dir):
+    """Texts with a 245$c, PERSON mentions and other mentions."""
+    b = _bibs(spark, sf_dir)
+    m = F.col("mentions")
+    return b.agg(F.count(F.get(MC.subfields("245", "c"), 0)).alias("texts"),
+                 F.sum(F.size(F.filter(m, lambda x: x["label"] == "PERSON"))).cast("long").alias("names"),
+                 F.sum(F.size(F.filter(m, lambda x: x["label"] != "PERSON"))).cast("long").alias("other_entities"))
