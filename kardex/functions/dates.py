@@ -34,8 +34,10 @@ _MONTH_ALT = "|".join(sorted(MONTHS, key=len, reverse=True))
 
 
 def _map_terms(c: Column, terms: dict) -> Column:
+    # ``map[key]`` is null for a missing key (no exception path, unlike
+    # ``try_element_at`` under ANSI mode).
     m = F.create_map(*[x for k, v in terms.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(F.try_element_at(m, c), c)
+    return F.coalesce(m[c], c)
 
 
 def map_date_terms(c: Column) -> Column:
@@ -49,7 +51,14 @@ def remove_brackets(c: Column) -> Column:
 
 
 def copyright_circa(c: Column) -> Column:
-    """Decades, copyright and circa forms, in the reference order."""
+    """Decades, copyright and circa forms, in the reference order.
+
+    Every pattern needs a letter or an apostrophe, so plain digit strings skip
+    the regex chain."""
+    return F.when(c.rlike("[A-Za-z'’‘]"), _copyright_circa(c)).otherwise(c)
+
+
+def _copyright_circa(c: Column) -> Column:
     v = F.translate(c, "’‘", "''")
     v = F.regexp_replace(v, r"(?i)([0-9]{3})0['’]s\??", "$1-?")
     v = F.regexp_replace(v, r"(?i)^(?:circa|ca\.?|c\.? )\s*(?=[0-9]{3}-\?)", "")
@@ -62,8 +71,9 @@ def copyright_circa(c: Column) -> Column:
 
 
 def partial_years(c: Column) -> Column:
-    """Whole-value partial year forms."""
-    return (F.when(c.rlike(r"^[0-9]{2}$"), F.concat(c, F.lit("--?")))
+    """Whole-value partial year forms (at most 5 characters)."""
+    return (F.when(F.length(c) > 5, c)
+             .when(c.rlike(r"^[0-9]{2}$"), F.concat(c, F.lit("--?")))
              .when(c.rlike(r"^[0-9]{2}-$"), F.concat(F.substring(c, 1, 2), F.lit("--")))
              .when(c.rlike(r"^[0-9]{3}$"), F.concat(c, F.lit("-?")))
              .when(c.rlike(r"^[0-9]{3}0s$"), F.concat(F.substring(c, 1, 3), F.lit("-")))
@@ -72,7 +82,11 @@ def partial_years(c: Column) -> Column:
 
 
 def placeholders(c: Column) -> Column:
-    """H19d: ``u``/``x`` digit placeholders."""
+    """H19d: ``u``/``x`` digit placeholders (only values containing one)."""
+    return F.when(c.rlike("[UuXx]"), _placeholders(c)).otherwise(c)
+
+
+def _placeholders(c: Column) -> Column:
     v = F.regexp_replace(c, r"([0-9]{2})[UuXx]{2}-[UuXx]{4}", "$1--?")
     v = F.regexp_replace(v, r"([0-9]{2})[UuXx]{2}-([0-9]{4})", "$1--?-$2")
     v = F.regexp_replace(v, r"([0-9]{2})[UuXx]{2}", "$1--?")
@@ -83,7 +97,12 @@ def placeholders(c: Column) -> Column:
 
 
 def date_ranges(c: Column) -> Column:
-    """H19e: bracketed and short ranges to full years (months 01-12 left alone)."""
+    """H19e: bracketed and short ranges to full years (months 01-12 left
+    alone); only values with a hyphen can change."""
+    return F.when(c.contains("-"), _date_ranges(c)).otherwise(strip(c))
+
+
+def _date_ranges(c: Column) -> Column:
     v = F.regexp_replace(c, r"\[(([0-9]{2})[0-9]{2})-([0-9]{2})\]", "$1-$2$3")
     v = F.regexp_replace(v, r"([0-9]{4})\s*-\s*([0-9]{4})", "$1-$2")
     v = F.regexp_replace(v, r"([0-9]{4})-([0-9]{3})0s\b", "$1-$20")
@@ -101,61 +120,73 @@ def _iso(y: Column, m: Column, d: Column | None = None) -> Column:
 
 
 def _int(c: Column) -> Column:
-    return F.try_cast(c, "int") if hasattr(F, "try_cast") else c.try_cast("int")
+    # Regex groups here are digits or empty; a guarded cast never throws
+    # (``try_cast`` pays for an exception on every empty value).
+    return F.when(c != "", c.cast("int"))
 
 
 def iso_date(c: Column, as_of_year: int) -> Column:
     """Fixed-format dates to ISO; anything else is returned unchanged.
 
     ``as_of_year`` decides two-digit years (> as_of_year % 100 -> 19YY).
+    The branch order follows the rule list; each regex branch sits behind a
+    cheap necessary condition (a separator, a leading letter) and the
+    value branches are chained with ``coalesce`` so no value is computed
+    twice.
     """
     s = strip(F.coalesce(c, F.lit("")))
     cutoff = as_of_year % 100
+    seps = F.length(s) - F.length(F.translate(s, "/-", ""))
+    has_sep = seps > 0
+    alpha_start = F.substring(s, 1, 1).rlike("[A-Za-z]")
+
     full_date = r"\b[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{4}\b"
-    multi = (s.rlike(r"[,\r\n]")) & (F.size(F.regexp_extract_all(s, F.lit(full_date), 0)) > 1)
+    multi = (s.contains(",") | s.contains("\r") | s.contains("\n")) & (seps >= 4) & \
+        (F.size(F.regexp_extract_all(s, F.lit(full_date), 0)) > 1)
     comps = F.size(F.filter(F.split(s, "[/-]"), lambda x: x.rlike(r"^[0-9]+$")))
 
     two = r"\b([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{2})\b"
     tm, td, ty = (_int(F.regexp_extract(s, two, i)) for i in (1, 2, 3))
-    two_hit = s.rlike(two)
+    two_hit = (seps >= 2) & s.rlike(two)
     two_val = F.when(ty > cutoff,
                      F.when((td == 0) & tm.between(1, 12), _iso(ty + 1900, tm))
                       .otherwise(_iso(ty + 1900, tm, td)))
 
     day_range = (rf"(?i)^(?:{_MONTH_ALT})\b\s+[0-9]{{1,2}}\s*(?:[-–]|&|\band\b)\s*"
                  r"[0-9]{1,2}(?:\s*,\s*[0-9]{4})?$")
-    month_start = rf"(?i)^(?:{_MONTH_ALT})\b"
     mdy = rf"(?i)^({_MONTH_ALT})\.?\s+([0-9]{{1,2}})(?:st|nd|rd|th)?,?\s+([0-9]{{4}})$"
     my = rf"(?i)^({_MONTH_ALT})\.?,?\s+([0-9]{{4}})$"
     mmap = F.create_map(*[x for k, v in MONTHS.items() for x in (F.lit(k), F.lit(v))])
-    mdy_val = _iso(_int(F.regexp_extract(s, mdy, 3)),
-                   F.try_element_at(mmap, F.lower(F.regexp_extract(s, mdy, 1))),
-                   _int(F.regexp_extract(s, mdy, 2)))
-    my_val = _iso(_int(F.regexp_extract(s, my, 2)),
-                  F.try_element_at(mmap, F.lower(F.regexp_extract(s, my, 1))))
-    month_val = F.when(s.rlike(mdy), mdy_val).when(s.rlike(my), my_val)
+    mdy_val = F.when(s.rlike(mdy), _iso(_int(F.regexp_extract(s, mdy, 3)),
+                                        mmap[F.lower(F.regexp_extract(s, mdy, 1))],
+                                        _int(F.regexp_extract(s, mdy, 2))))
+    my_val = F.when(s.rlike(my), _iso(_int(F.regexp_extract(s, my, 2)),
+                                      mmap[F.lower(F.regexp_extract(s, my, 1))]))
+    month_val = F.when(alpha_start, F.coalesce(mdy_val, my_val))
 
     full = r"\b([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})\b"
     fm, fd, fy = (_int(F.regexp_extract(s, full, i)) for i in (1, 2, 3))
     whole_full = s.rlike(r"^[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{4}$")
-    full_val = (F.when((fd == 0) & fm.between(1, 12), _iso(fy, fm))
-                 .when(whole_full, F.coalesce(_iso(fy, fm, fd), _iso(fy, fd, fm))))
+    full_val = F.when((seps >= 2) & s.rlike(full),
+                      F.when((fd == 0) & fm.between(1, 12), _iso(fy, fm))
+                       .when(whole_full, F.coalesce(_iso(fy, fm, fd), _iso(fy, fd, fm))))
 
     my_num = r"\b([0-9]{1,2})[/-]([0-9]{4})\b"
     nm, ny = (_int(F.regexp_extract(s, my_num, i)) for i in (1, 2))
-    my_num_val = F.when(s.rlike(my_num) & nm.between(1, 12), _iso(ny, nm))
+    my_num_val = F.when(has_sep & s.rlike(my_num) & nm.between(1, 12), _iso(ny, nm))
 
-    return (F.when(multi, s)
+    # Forms that every branch below returns unchanged.
+    final = (r"^(?:[0-9]{4}\??|[0-9]{3}-\??|[cC][0-9]{4}\??|[0-9]{4}-[0-9]{4}|"
+             r"[0-9]{4}-[0-9]{2}(?:-[0-9]{2})?|Unknown|N/A)$")
+    return (F.when(s.rlike(final), s)
+             .when(multi, s)
              .when(~s.rlike("[0-9]"), s)
              .when(s.rlike(r"(?i)^c[0-9]{4}\??$"), s)
              .when(s.rlike(r"^[0-9]{4}-[0-9]{2}(-[0-9]{2})?$|^[0-9]{4}-[0-9]{4}$"), s)
-             .when(comps >= 4, s)
+             .when((seps >= 3) & (comps >= 4), s)
              .when(two_hit, F.coalesce(two_val, s))
-             .when(s.rlike(day_range), s)
-             .when(s.rlike(month_start) & month_val.isNotNull(), month_val)
-             .when(s.rlike(full) & full_val.isNotNull(), full_val)
-             .when(my_num_val.isNotNull(), my_num_val)
-             .otherwise(s))
+             .when(alpha_start & s.rlike(day_range), s)
+             .otherwise(F.coalesce(month_val, full_val, my_num_val, s)))
 
 
 def date_steps(as_of_year: int):

@@ -143,7 +143,8 @@ def bib_title(rec: str | None = None) -> Column:
     low = F.lower(a)
     art_len = (F.when(low.startswith("a "), 2).when(low.startswith("an "), 3)
                 .when(low.startswith("the "), 4).otherwise(0))
-    nfc = F.coalesce(f245["_ind2"].try_cast("int"), F.lit(0))
+    ind2 = f245["_ind2"]
+    nfc = F.coalesce(F.when(ind2.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(ind2).cast("int")), F.lit(0))
     has_art = art_len > 0
 
     def move(off):
@@ -298,7 +299,7 @@ FORM_NAMES = {
 
 def _map(c: Column, mapping: dict) -> Column:
     m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(F.try_element_at(m, c), c)
+    return F.coalesce(m[c], c)
 
 
 def non_monograph_type(c: Column) -> Column:

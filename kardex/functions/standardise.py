@@ -81,7 +81,7 @@ def map_terms(c: Column, terms: dict, upper_key: bool = False) -> Column:
     present = {k: v for k, v in terms.items() if v is not None}
     drop = [k for k, v in terms.items() if v is None]
     m = F.create_map(*[x for k, v in present.items() for x in (F.lit(k), F.lit(v))])
-    mapped = F.coalesce(F.try_element_at(m, key), c)
+    mapped = F.coalesce(m[key], c)
     if drop:
         return F.when(key.isin(*drop), F.lit(None).cast("string")).otherwise(mapped)
     return mapped

@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 from kardex.functions._util import as_col
 
-# Unicode-aware leading/trailing whitespace.
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Python's whitespace set (``str.isspace``), generated from its rule.
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 NBSP = "\u00a0"
 
 
 def strip(c) -> Column:
-    """H1: Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(as_col(c), _EDGE_WS, "")
+    """H1: Python ``str.strip()``: remove leading/trailing Unicode whitespace
+    (``btrim`` with the whitespace set: no regex)."""
+    return F.btrim(as_col(c), F.lit(PY_WHITESPACE))
 
 
 def strip_chars(c, chars: str) -> Column:
