@@ -110,14 +110,19 @@ def ids_by_key(df: DataFrame, key, ident, name: str = "key") -> DataFrame:
     return df.select(as_col(key).alias(name), as_col(ident).cast("string").alias("id"))
 
 
-def render_id_list(long: DataFrame, key: str = "key", sep: str = ", ") -> DataFrame:
-    """Report rendering of A4: ``key -> "id1, id2, ..."`` sorted by id.
-
-    Only for presentation of bounded groups (the per-key id lists of a match
-    report); the long form stays the record of truth.
+def render_id_list(long: DataFrame, key: str = "key", sep: str = ", ", max_inline: int = 1000) -> DataFrame:
+    """Report rendering of A4: ``key -> "id1, id2, ..."`` sorted by id, plus
+    ``n`` (the id count).
+
+    Keys are counted first (partial aggregation); only keys with at most
+    ``max_inline`` ids are joined into text.  A larger group gets ``ids``
+    null and its ids stay in the long table (the exact record), so no task
+    collects an unbounded list.
     """
-    return long.groupBy(key).agg(
-        F.array_join(F.array_sort(F.collect_list("id")), sep).alias("ids"))
+    counts = long.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    small = long.join(counts.filter(F.col("n") <= max_inline).select(key), key, "left_semi")
+    text = small.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("id")), sep).alias("ids"))
+    return counts.join(text, key, "left")
 
 
 def _key_for_grouping(c: Column) -> Column:

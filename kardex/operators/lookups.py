@@ -52,8 +52,13 @@ def first_suffix_match(keys: DataFrame, index: DataFrame, key: str = "key",
     """
     cands = keys.select(F.col(key).alias("__key"),
                         F.posexplode(F.array(*[F.concat(F.col(key), F.lit(s)) for s in suffixes])).alias("__prio", "__cand"))
-    idx = index.select(F.col(index_key).alias("__cand"), F.col(index_id).alias("__id"), *(
-        [c for c in index.columns if c not in (index_key, index_id)]))
+    if accept is None:
+        # Only the lowest id per call key can win: reduce the index first
+        # (partial aggregation), so a hot call key meets one row, not all.
+        idx = index.groupBy(F.col(index_key).alias("__cand")).agg(F.min(F.col(index_id)).alias("__id"))
+    else:
+        idx = index.select(F.col(index_key).alias("__cand"), F.col(index_id).alias("__id"), *(
+            [c for c in index.columns if c not in (index_key, index_id)]))
     hits = cands.join(idx, "__cand")
     if accept is not None:
         hits = hits.filter(accept)
@@ -190,16 +195,24 @@ def match_resources(rows: DataFrame, resources: DataFrame, *, row_id="inventory_
 
 
 def nest_matches(long: DataFrame, row_cols, resource_cols, ordinal: str = "row_ordinal",
-                 name: str = "GoogleData") -> DataFrame:
+                 name: str = "GoogleData", max_items: int = 1000) -> tuple[DataFrame, DataFrame]:
     """J8 (nested document form): one row per inventory row with the list of
     its resources, for writing one document per row (K6).
 
-    The list is the resources sharing one inventory number - the document
-    itself; use ``match_resources`` (long form) for bulk processing.
+    Groups are counted first (partial aggregation); only rows with at most
+    ``max_items`` resources are nested.  Larger groups are returned whole in
+    long form as the second DataFrame (nothing is dropped), so no task ever
+    collects an unbounded list.
     """
+    keys = [F.col(c) for c in row_cols]
+    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    tagged = long.join(sizes, list(row_cols))
+    small = tagged.filter(F.col("__n") <= max_items).drop("__n")
+    overflow = tagged.filter(F.col("__n") > max_items).drop("__n")
     item = F.struct(F.col(ordinal).alias("__o"), *[F.col(c) for c in resource_cols])
-    g = long.groupBy(*[F.col(c) for c in row_cols]).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    return g.withColumn(name, F.transform("__items", lambda x: x.dropFields("__o"))).drop("__items")
+    g = small.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__items"))
+    nested = g.withColumn(name, F.transform("__items", lambda x: x.dropFields("__o"))).drop("__items")
+    return nested, overflow
 
 
 # ---------------------------------------------------------------------------

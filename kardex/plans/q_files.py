@@ -218,3 +218,30 @@ def resource_matches(spark, sf_dir):
     res = load(spark, sf_dir, "digital").select(F.col("inventory_number").alias("Inventory_no"), "pk", "file_name")
     return LK.match_resources(rows, res).select("inventory_id", "inventory_no", "pk", "file_name",
                                                 "resource_inventory_id")
+
+
+# ----------------------------------------------------------------- J8 nested (K6 input)
+NESTED_SQL = cte("inventory", "digital") + """
+SELECT i.inventory_id, i.inventory_no, count(*) AS resources,
+       string_agg(CAST(d.pk AS VARCHAR), '|' ORDER BY d.row_ordinal) AS resource_pks
+FROM inventory i JOIN digital d ON d.inventory_number = i.inventory_no
+WHERE coalesce(trim(CAST(i.inventory_id AS VARCHAR)), '') <> '' AND coalesce(trim(i.inventory_no), '') <> ''
+GROUP BY i.inventory_id, i.inventory_no
+"""
+
+
+@register("nested_resources", NESTED_SQL)
+def nested_resources(spark, sf_dir):
+    rows = load(spark, sf_dir, "inventory").select("inventory_id", "inventory_no")
+    res = load(spark, sf_dir, "digital").select(F.col("inventory_number").alias("Inventory_no"), "pk",
+                                                 "file_name", "row_ordinal")
+    long = LK.match_resources(rows, res)
+    nested, overflow = LK.nest_matches(long, ["inventory_id", "inventory_no"], ["pk", "file_name"])
+    # Groups above the nesting bound stay in long form (``overflow``); the
+    # report lists their size and leaves the id text to the long table.
+    over = overflow.groupBy("inventory_id", "inventory_no").agg(
+        F.count(F.lit(1)).alias("resources"), F.lit(None).cast("string").alias("resource_pks"))
+    small = nested.select("inventory_id", "inventory_no", F.size("GoogleData").cast("long").alias("resources"),
+                          F.array_join(F.transform("GoogleData", lambda x: x["pk"].cast("string")), "|")
+                          .alias("resource_pks"))
+    return small.unionByName(over)

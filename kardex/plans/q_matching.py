@@ -303,3 +303,17 @@ FUNNEL_SQL = cte("holdings", "inventory", "digital") + "\n UNION ALL ".join([
 def match_funnel(spark, sf_dir):
     h, d, i = _sources(spark, sf_dir)
     return M.match_funnel(h, d, i)
+
+
+# ------------------------------------------------------------------ A4 rendering
+ID_LISTS_SQL = cte("holdings") + f"""
+SELECT {_HKEY} AS key, count(*) AS n, string_agg(holding_id, ', ' ORDER BY holding_id) AS ids
+FROM holdings GROUP BY 1
+"""
+
+
+@register("holdings_id_lists", ID_LISTS_SQL)
+def holdings_id_lists(spark, sf_dir):
+    from kardex.functions.text import holdings_key
+    h = load(spark, sf_dir, "holdings")
+    return K.render_id_list(K.ids_by_key(h, holdings_key("call_number"), "holding_id"))
