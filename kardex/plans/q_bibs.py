@@ -182,7 +182,29 @@ def criteria_combinations(spark, sf_dir):
              .groupBy("all_criteria").agg(F.count(F.lit(1)).alias("records")).orderBy("all_criteria"))
 
 
-@register("mams_documents")
+def _jarr(*vals: str) -> str:
+    return "'[' || " + " || ',' || ".join(f"'\"' || {v} || '\"'" for v in vals) + " || ']'"
+
+
+MAMS_SQL = cte("bib_flat") + f"""
+, x AS (SELECT *, {_LANGX} AS lang, {_DIR_N} AS c FROM bib_flat)
+SELECT bib_id, '{{' || '"alma_bib_id":"' || bib_id || '"'
+  || ',"title":' || {_jarr('a245')}
+  || coalesce(',"alternative_titles":' || {_jarr('a246')}, '')
+  || coalesce(',"episode_titles":' || {_jarr('p245')}, '')
+  || ',"series_title":' || {_jarr('a245')}
+  || coalesce(',"subseries_titles":' || {_jarr("a490 || ' ' || a490")}, '')
+  || coalesce(',"episode_numbers_245":' || {_jarr('n245')}, '')
+  || CASE WHEN lang <> '' THEN ',"language":"' || lang || '"' ELSE '' END
+  || coalesce(',"language_other":' || {_jarr('a041')}, '')
+  || CASE WHEN c = 0 THEN '' WHEN person2 IS NULL THEN ',"directors":' || {_jarr('person1')}
+          ELSE ',"directors":' || {_jarr('least(person1, person2)', 'greatest(person1, person2)')} END
+  || '}}' AS document
+FROM x
+"""
+
+
+@register("mams_documents", MAMS_SQL)
 def mams_documents(spark, sf_dir):
     """P12 + P9: one JSON document per bib, empty members dropped."""
     f = _features(spark, sf_dir)
