@@ -120,6 +120,11 @@ def assemble_new_media(batch: DataFrame, items: DataFrame, inventory: DataFrame,
     return out
 
 
+def batch_records(digital: DataFrame, batch: str, col: str = "batch_number") -> DataFrame:
+    """P10: digital records of one batch number (paging is an API concern)."""
+    return digital.filter(F.col(col) == F.lit(batch))
+
+
 def assemble_sources(digital: DataFrame, inventory: DataFrame, bib_index: DataFrame | None = None,
                      *, digital_key="inventory_number", inv_key="inv_key",
                      inv_ordinal="row_ordinal") -> tuple[DataFrame, DataFrame]:

@@ -51,3 +51,20 @@ def to_marc(flat: DataFrame) -> DataFrame:
     ), lambda x: x.isNotNull())
     return flat.select("bib_id", "row_ordinal", F.lit("00000cgm a2200000 a 4500").alias("leader"),
                        cf.alias("controlfield"), df_arr.alias("datafield"), mentions.alias("mentions"))
+
+
+def holdings_records(holdings: DataFrame) -> DataFrame:
+    """MARC holdings records (852 $b/$h) built from the holdings binding:
+    every 11th has no record, every 7th no 852, every 5th an 852 without $h."""
+    k = F.col("row_ordinal")
+    f852 = F.struct(F.lit("852").alias("_tag"), F.lit("0").alias("_ind1"), F.lit(" ").alias("_ind2"),
+                    F.filter(F.array(F.struct(F.lit("b").alias("_code"), F.lit("ftva").alias("_VALUE")),
+                                     F.when(k % 5 != 0, F.struct(F.lit("h").alias("_code"),
+                                                                 F.col("call_number").alias("_VALUE")))),
+                             lambda x: x.isNotNull()).alias("subfield"))
+    other = F.struct(F.lit("866").alias("_tag"), F.lit(" ").alias("_ind1"), F.lit(" ").alias("_ind2"),
+                     F.array(F.struct(F.lit("a").alias("_code"), F.lit("1 reel").alias("_VALUE"))).alias("subfield"))
+    fields = F.when(k % 7 == 0, F.array(other)).otherwise(F.array(other, f852))
+    rec = F.when(k % 11 != 0, F.struct(F.array().cast("array<struct<_tag:string,_VALUE:string>>").alias("controlfield"),
+                                       fields.alias("datafield")))
+    return holdings.select("holding_id", rec.alias("record"))

@@ -245,3 +245,28 @@ def nested_resources(spark, sf_dir):
                           F.array_join(F.transform("GoogleData", lambda x: x["pk"].cast("string")), "|")
                           .alias("resource_pks"))
     return small.unionByName(over)
+
+
+# ----------------------------------------------------------------- H6
+CALLNO_CHANGES_SQL = cte("holdings") + """
+, h AS (SELECT holding_id, call_number, row_ordinal,
+               CASE WHEN length(call_number) >= 2 AND substr(call_number, length(call_number) - 1, 1) = ' '
+                     AND right(call_number, 1) IN ('T', 'M', 'R') AND strpos(call_number, '-') = 0
+                     AND strpos(lower(call_number), 'and') = 0
+                    THEN left(call_number, length(call_number) - 2) || right(call_number, 1)
+                    ELSE call_number END AS compact
+        FROM holdings)
+SELECT holding_id,
+  CASE WHEN row_ordinal % 11 = 0 OR row_ordinal % 7 = 0 OR row_ordinal % 5 = 0 THEN NULL ELSE call_number END AS old_value,
+  CASE WHEN row_ordinal % 11 = 0 OR row_ordinal % 7 = 0 OR row_ordinal % 5 = 0 THEN NULL ELSE compact END AS new_value,
+  CASE WHEN row_ordinal % 11 = 0 THEN 'no record' WHEN row_ordinal % 7 = 0 THEN 'no 852'
+       WHEN row_ordinal % 5 = 0 THEN 'no $h' WHEN compact = call_number THEN 'unchanged' ELSE 'change' END AS status
+FROM h
+"""
+
+
+@register("call_number_changes", CALLNO_CHANGES_SQL)
+def call_number_changes(spark, sf_dir):
+    from kardex.operators.changes import call_number_changes as plan
+    from kardex.plans.marc_fixture import holdings_records
+    return plan(holdings_records(load(spark, sf_dir, "holdings")))

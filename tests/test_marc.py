@@ -131,3 +131,24 @@ def test_monograph_rules(spark):
     cmp = spark.range(1).select(MC.compare_forms(F.array(F.lit("b"), F.lit("a")),
                                                  F.array(F.lit("a"), F.lit("c"))).alias("c")).first().c
     assert (cmp.common, cmp.unique_alma, cmp.unique_fm) == (["a"], ["b"], ["c"])
+
+
+def test_pick_fields_and_replace_subfield(spark):
+    from kardex.operators.changes import call_number_changes, compact_call_number, marc_replace_subfield
+    r = rec(control={"001": "1", "005": "x", "008": "y"},
+            fields=[("245", "0", [("a", "T")]), ("500", " ", [("a", "note")]), ("655", " ", [("a", "Shorts")])])
+    df = _df(spark, [r])
+    picked = df.select(MC.pick_fields(["001", "008", "245", "246", "260", "655"]).alias("p")).first().p
+    assert [c._tag for c in picked.controlfield] == ["001", "008"]
+    assert [f._tag for f in picked.datafield] == ["245", "655"]
+    f852 = F.struct(F.lit("852").alias("_tag"), F.lit("0").alias("_ind1"), F.lit(" ").alias("_ind2"),
+                    F.array(*[F.struct(F.lit(c).alias("_code"), F.lit(v).alias("_VALUE"))
+                              for c, v in [("b", "x"), ("h", "FE1605 T"), ("h", "second")]]).alias("subfield"))
+    out = spark.range(1).select(marc_replace_subfield(f852, "h", compact_call_number(F.lit("FE1605 T"))).alias("f")).first().f
+    assert [(s._code, s._VALUE) for s in out.subfield] == [("b", "x"), ("h", "FE1605T"), ("h", "second")]
+    hold = spark.range(1).select(F.lit("h1").alias("holding_id"),
+                                 F.struct(F.array().cast("array<struct<_tag:string,_VALUE:string>>").alias("controlfield"),
+                                          F.array(f852).alias("datafield")).alias("record"))
+    plan = call_number_changes(hold, spark.createDataFrame([("h1",), ("h2",)], "holding_id string")).collect()
+    assert sorted((p.holding_id, p.old_value, p.new_value, p.status) for p in plan) == [
+        ("h1", "FE1605 T", "FE1605T", "change"), ("h2", None, None, "no record")]

@@ -165,3 +165,10 @@ def test_key_and_compound_summary(spark):
     sheet = spark.createDataFrame([("M1",), ("M1",), ("M1|M2",), (None,)], "v string")
     c = K.compound_summary(sheet, "v").first()
     assert (c.total, c.distinct_values, c.single_values, c.multiple_values, c.empty) == (4, 2, 1, 1, 1)
+
+
+def test_drop_missing_key_preview_and_batch(spark):
+    df = spark.createDataFrame([("M1", "1"), (" ", "1"), (None, "2"), ("M2", "2")], "k string, batch_number string")
+    assert [r.k for r in K.drop_missing_key(df, "k").collect()] == ["M1", "M2"]
+    assert K.preview_fields(df, ["batch_number", "missing", "k"]).columns == ["batch_number", "k"]
+    assert LK.batch_records(df, "2").count() == 2
