@@ -14,3 +14,13 @@ def lit_array(values) -> Column:
     if not values:
         return F.array().cast("array<string>")
     return F.array(*[F.lit(v) for v in values])
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Spark does not de-duplicate sub-expressions that contain higher-order
+    functions (or anything inside a lambda), so an expensive value used
+    several times is bound through a one-element ``transform`` instead.
+    """
+    return F.transform(F.array(value), lambda x: body(x))[0]

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kardex.functions._util import let
 from kardex.functions.text import strip, strip_brackets
 
 # Controlled date terms (case-sensitive keys).
@@ -134,7 +135,10 @@ def iso_date(c: Column, as_of_year: int) -> Column:
     value branches are chained with ``coalesce`` so no value is computed
     twice.
     """
-    s = strip(F.coalesce(c, F.lit("")))
+    return let(strip(F.coalesce(c, F.lit(""))), lambda s: _iso_date(s, as_of_year))
+
+
+def _iso_date(s: Column, as_of_year: int) -> Column:
     cutoff = as_of_year % 100
     seps = F.length(s) - F.length(F.translate(s, "/-", ""))
     has_sep = seps > 0

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kardex.functions._util import lit_array
+from kardex.functions._util import let, lit_array
 from kardex.functions.text import strip
 
 CF, DF = "controlfield", "datafield"
@@ -91,13 +91,14 @@ def invalid_language(valid: Column, rec: str | None = None) -> Column:
 
     ``valid`` is a boolean Column telling whether ``language_code`` (the
     008/35-37 text) is in the code table (J12 join)."""
-    data = F.coalesce(control("008", rec), F.lit(""))
-    code = F.substring(data, 36, 3)
-    return (F.when(~has_control("008", rec), F.lit(""))
-             .when(F.length(data) < 38, F.when(strip(data) == "", F.lit("BLANK")).otherwise(F.lit("TOO SHORT")))
-             .when(code == "   ", F.lit("BLANK"))
-             .when(~F.coalesce(valid, F.lit(False)), code)
-             .otherwise(F.lit("")))
+    def check(data):
+        code = F.substring(data, 36, 3)
+        return (F.when(data.isNull(), F.lit(""))
+                 .when(F.length(data) < 38, F.when(strip(data) == "", F.lit("BLANK")).otherwise(F.lit("TOO SHORT")))
+                 .when(code == "   ", F.lit("BLANK"))
+                 .when(~F.coalesce(valid, F.lit(False)), code)
+                 .otherwise(F.lit("")))
+    return let(F.when(has_control("008", rec), F.coalesce(control("008", rec), F.lit(""))), check)
 
 
 def language_code(rec: str | None = None) -> Column:
@@ -119,8 +120,11 @@ def lacks_attribution(rec: str | None = None) -> Column:
     """H29: "Yes" unless the first 245$c contains an attribution phrase."""
     f245 = F.get(fields("245", rec), 0)
     c = F.lower(F.get(subfield_values(f245, "c"), 0))
-    hit = F.exists(lit_array(ATTRIBUTION_PHRASES), lambda p: F.coalesce(F.contains(c, p), F.lit(False)))
-    return F.when(f245.isNull() | c.isNull(), F.lit("Yes")).when(hit, F.lit("")).otherwise(F.lit("Yes"))
+
+    def check(c):
+        hit = F.exists(lit_array(ATTRIBUTION_PHRASES), lambda p: F.coalesce(F.contains(c, p), F.lit(False)))
+        return F.when(c.isNull(), F.lit("Yes")).when(hit, F.lit("")).otherwise(F.lit("Yes"))
+    return let(c, check)
 
 
 # Trailing punctuation trimmed from title parts (our definition).
@@ -139,12 +143,18 @@ def bib_title(rec: str | None = None) -> Column:
     characters); ``check_ind2`` when article and indicator disagree."""
     f245 = F.get(fields("245", rec), 0)
     part = lambda code: F.coalesce(_trim_title(F.get(subfield_values(f245, code), 0)), F.lit(""))
-    a = part("a")
+    ind2 = f245["_ind2"]
+    nfc = F.coalesce(F.when(ind2.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(ind2).cast("int")), F.lit(0))
+    parts = F.struct(f245.isNull().alias("none"), part("a").alias("a"), part("b").alias("b"),
+                     part("n").alias("n"), part("p").alias("p"), nfc.alias("nfc"))
+    return let(parts, _title_from_parts)
+
+
+def _title_from_parts(r: Column) -> Column:
+    a, nfc = r["a"], r["nfc"]
     low = F.lower(a)
     art_len = (F.when(low.startswith("a "), 2).when(low.startswith("an "), 3)
                 .when(low.startswith("the "), 4).otherwise(0))
-    ind2 = f245["_ind2"]
-    nfc = F.coalesce(F.when(ind2.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(ind2).cast("int")), F.lit(0))
     has_art = art_len > 0
 
     def move(off):
@@ -157,8 +167,8 @@ def bib_title(rec: str | None = None) -> Column:
     flag = (F.when(has_art & (nfc != 0), (F.length(a) > nfc) & (nfc != art_len))
              .when(has_art, F.lit(True))
              .otherwise(F.lit(False)))
-    title = F.concat_ws(". ", *[F.nullif(x, F.lit("")) for x in (main, part("b"), part("n"), part("p"))])
-    return F.when(f245.isNull(), F.struct(F.lit("").alias("title"), F.lit(False).alias("check_ind2"))) \
+    title = F.concat_ws(". ", *[F.nullif(x, F.lit("")) for x in (main, r["b"], r["n"], r["p"])])
+    return F.when(r["none"], F.struct(F.lit("").alias("title"), F.lit(False).alias("check_ind2"))) \
         .otherwise(F.struct(title.alias("title"), flag.alias("check_ind2")))
 
 

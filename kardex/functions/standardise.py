@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kardex.functions import dates as D
-from kardex.functions._util import as_col
+from kardex.functions._util import as_col, let
 from kardex.functions.text import (capwords, dedupe_phrase, nearest_term, replace_ampersand,
                                    strip, strip_chars, upper_except)
 
@@ -90,11 +90,12 @@ def map_terms(c: Column, terms: dict, upper_key: bool = False) -> Column:
 def standard_language(c: Column) -> Column:
     """Drop "Intertitles", then snap to the nearest controlled name when
     the normalised Levenshtein distance is below 0.2; blank -> ``""``."""
-    v = strip(F.replace(c, F.lit("Intertitles"), F.lit("")))
-    best = nearest_term(v, LANGUAGES)
-    return (F.when(v == "", F.lit(""))
-             .when(best["dist"] < SPELLING_THRESHOLD, best["term"])
-             .otherwise(v))
+    def snap(v):
+        best = nearest_term(v, LANGUAGES)
+        return (F.when(v == "", F.lit(""))
+                 .when(best["dist"] < SPELLING_THRESHOLD, best["term"])
+                 .otherwise(v))
+    return let(strip(F.replace(c, F.lit("Intertitles"), F.lit(""))), snap)
 
 
 def credited_name(c: Column) -> Column:
@@ -102,7 +103,7 @@ def credited_name(c: Column) -> Column:
     text before "i.e."/"aka"; else the value."""
     after_as = strip(F.regexp_extract(c, r"(?iUd)(?:\(|\[)?\bas\b\s*([^)\]]+)(?:\)|\])?", 1))
     before = strip(F.regexp_extract(c, r"(?iUd)(.*?)\s+(?:\(|\[)?(?:i\.e\.|aka)", 1))
-    return F.when(after_as != "", after_as).when(before != "", before).otherwise(c)
+    return F.coalesce(F.nullif(after_as, F.lit("")), F.nullif(before, F.lit("")), c)
 
 
 _ROMAN = r"\b(?=[XVI])(IX|IV|V?I{0,3})$"

@@ -190,8 +190,17 @@ def cte(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({binding_sql(n)})" for n in names) + "\n"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    """Lazy scan of one test table; the relation (schema, file listing) is
+    resolved once per session and path."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
