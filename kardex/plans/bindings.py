@@ -190,14 +190,18 @@ def cte(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({binding_sql(n)})" for n in names) + "\n"
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Lazy scan of one test table; the relation (schema, file listing) is
     resolved once per session and path."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    key = (id(spark), path)
+    try:
+        owner = spark.sparkContext.applicationId  # a new context never reuses a stale scan
+    except Exception:  # noqa: BLE001 (sessions without a local context)
+        owner = id(spark)
+    key = (owner, path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
