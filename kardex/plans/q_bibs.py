@@ -299,8 +299,8 @@ def name_spans(spark, sf_dir):
     spans = MC.span_annotations(text, names)
     return (b.select("bib_id", F.arrays_zip(names.alias("name"), spans.alias("span")).alias("z"))
              .select("bib_id", F.explode("z").alias("z"))
-             .select("bib_id", F.col("z.name").alias("name"), F.col("z.span.start").alias("start"),
-                     F.col("z.span.end").alias("end")))
+             .select("bib_id", F.col("z.name").alias("name"), F.col("z.span.start").cast("long").alias("start"),
+                     F.col("z.span.end").cast("long").alias("end")))
 
 
 TOTALS_SQL = cte("bib_flat") + """
