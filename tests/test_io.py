@@ -151,3 +151,28 @@ def test_write_if_valid(spark, tmp_path):
     assert not os.path.exists(str(tmp_path / "a"))
     assert W.write_if_valid(assets, problems.limit(0), str(tmp_path / "b")) is None
     assert spark.read.json(str(tmp_path / "b")).count() == 1
+
+
+def test_tsv_single_document_and_nested_xml(spark, tmp_path):
+    df = spark.createDataFrame([("1", ["a", "b"], {"x": 1})], "id string, names array<string>, m map<string,int>")
+    W.write_tsv(df, str(tmp_path / "tsv"))
+    back = spark.read.option("header", True).option("sep", "\t").csv(str(tmp_path / "tsv")).first()
+    assert (back.id, back.names, back.m) == ("1", "a, b", '{"x":1}')
+    assets = spark.createDataFrame([("u1", "asset"), ("u2", "track")], "uuid string, record_type string")
+    W.write_asset_docs(assets, str(tmp_path / "doc"), single_document=True)
+    doc = spark.read.json(str(tmp_path / "doc")).first()
+    assert sorted(a.uuid for a in doc.media.assets) == ["u1", "u2"]
+    from kardex.operators.lookups import match_resources, nest_matches
+    rows = spark.createDataFrame([(1, "M1"), (2, "M2"), (3, "")], "inventory_id int, inventory_no string")
+    res = spark.createDataFrame([("M1", "r1", 2), ("M1", "r2", 1), ("M2", "r3", 3)],
+                                "Inventory_no string, title string, row_ordinal int")
+    long = match_resources(rows, res)
+    nested, overflow = nest_matches(long, ["inventory_id", "inventory_no"], ["title"], max_items=1)
+    assert overflow.count() == 2  # M1 has two resources > max_items: kept whole in long form
+    nested_all, none = nest_matches(long, ["inventory_id", "inventory_no"], ["title"])
+    assert none.count() == 0
+    got = {r.inventory_id: [g.title for g in r.GoogleData] for r in nested_all.collect()}
+    assert got == {1: ["r2", "r1"], 2: ["r3"]}
+    W.write_nested_xml(nested_all, str(tmp_path / "nx"))
+    back = R.read_xml_rows(spark, str(tmp_path / "nx"), "ROW")
+    assert back.count() == 2
