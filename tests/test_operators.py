@@ -172,3 +172,22 @@ def test_drop_missing_key_preview_and_batch(spark):
     assert [r.k for r in K.drop_missing_key(df, "k").collect()] == ["M1", "M2"]
     assert K.preview_fields(df, ["batch_number", "missing", "k"]).columns == ["batch_number", "k"]
     assert LK.batch_records(df, "2").count() == 2
+
+
+def test_match_classes_reference_cases(spark):
+    holdings = {"INV_NO_01": ["A1"], "INV_NO_02": ["A2", "A3"], "INV_NO_05": ["A4"], "INV_NO_06": ["A5", "A6"],
+                "INV_NO_07": ["A7", "A8"], "INV_NO_11": ["A11"], "INV_NO_13": ["A12", "A13"]}
+    inventory = {"INV_NO_03": ["F1", "F2"], "INV_NO_04": ["F3"], "INV_NO_05": ["F4", "F5"], "INV_NO_06": ["F6"],
+                 "INV_NO_07": ["F7", "F8"], "INV_NO_12": ["F12"]}
+    ids = spark.createDataFrame([(k, "holdings", i) for k, v in holdings.items() for i in v]
+                                + [(k, "inventory", i) for k, v in inventory.items() for i in v],
+                                "key string, source string, id string")
+    counts = M.source_counts(ids)
+    singles = spark.createDataFrame([(v,) for v in ["INV_NO_03", "INV_NO_02", "INV_NO_05", "INV_NO_06",
+                                                    "INV_NO_07", "INV_NO_99"]], "value string")
+    got = {r.inventory_number: r.section for r in M.classify_single_values(singles, counts).collect()}
+    assert got == {"INV_NO_03": "S1", "INV_NO_02": "S2", "INV_NO_05": "S3", "INV_NO_06": "S4",
+                   "INV_NO_07": "S5", "INV_NO_99": "S6"}
+    compounds = spark.createDataFrame([("INV_NO_11|INV_NO_12",), ("INV_NO_13|INV_NO_14",)], "value string")
+    got = sorted((r.section, r.inventory_number) for r in M.classify_compound_values(compounds, counts).collect())
+    assert got == [("M1", "INV_NO_11"), ("M1", "INV_NO_12"), ("M2", "INV_NO_13")]
