@@ -319,3 +319,34 @@ def entity_totals(spark, sf_dir):
     return b.agg(F.count(F.get(MC.subfields("245", "c"), 0)).alias("texts"),
                  F.sum(F.size(F.filter(m, lambda x: x["label"] == "PERSON"))).cast("long").alias("names"),
                  F.sum(F.size(F.filter(m, lambda x: x["label"] != "PERSON"))).cast("long").alias("other_entities"))
+
+
+# --------------------------------------------------------------- A11 (monograph job stages)
+_MONO_FUNNEL_TAIL = """
+SELECT 'holdings_read' AS stage, (SELECT count(*) FROM holdings) AS rows
+UNION ALL SELECT 'matched', (SELECT count(*) FROM holdings h JOIN inv ON h.call_number = inv.inventory_no)
+UNION ALL SELECT 'with_bib', (SELECT count(*) FROM j)
+UNION ALL SELECT 'monographs', (SELECT count(*) FROM c WHERE mono)
+UNION ALL SELECT 'form_mismatches', (SELECT count(*) FROM r WHERE len(ua) > 0 OR len(uf) > 0)
+"""
+MONO_FUNNEL_SQL = MONOGRAPH_SQL[:MONOGRAPH_SQL.rindex("SELECT mms_id, array_to_string")] + _MONO_FUNNEL_TAIL
+
+
+@register("monograph_funnel", MONO_FUNNEL_SQL)
+def monograph_funnel(spark, sf_dir):
+    """A11 for the monograph job: rows kept at each stage (one pass per stage
+    over already-planned DataFrames; each count is a distributed aggregate)."""
+    h = load(spark, sf_dir, "holdings").select("mms_id", "call_number")
+    i = load(spark, sf_dir, "inventory").select("inventory_no", "production_type", "row_ordinal")
+    matched = M.match_by_call_number(h, i).drop("row_ordinal")
+    withbib = attach_bib(matched, _bibs(spark, sf_dir).drop("mentions", "row_ordinal"), "mms_id") \
+        .filter(~F.col("bib_missing"))
+    mono = withbib.filter(MC.is_monograph(F.col("production_type")))
+    cmp = MC.compare_forms(MC.bib_forms(), MC.inventory_forms(F.col("production_type")))
+    mism = mono.select(cmp.alias("c")).filter((F.size("c.unique_alma") > 0) | (F.size("c.unique_fm") > 0))
+
+    def stage(name, df):
+        return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
+    return (stage("holdings_read", h).unionByName(stage("matched", matched))
+            .unionByName(stage("with_bib", withbib)).unionByName(stage("monographs", mono))
+            .unionByName(stage("form_mismatches", mism)))
