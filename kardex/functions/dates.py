@@ -175,6 +175,13 @@ def _iso_date(s: Column, as_of_year: int) -> Column:
                       F.when((fd == 0) & fm.between(1, 12), _iso(fy, fm))
                        .when(whole_full, F.coalesce(_iso(fy, fm, fd), _iso(fy, fd, fm))))
 
+    # Day-first month-name dates ("5 September 1999"), which the reference's
+    # natural-language fallback also turns into ISO dates.
+    dmy = rf"(?i)^([0-9]{{1,2}})(?:st|nd|rd|th)?\s+({_MONTH_ALT})\.?,?\s+([0-9]{{4}})$"
+    dmy_val = F.when(s.rlike(dmy), _iso(_int(F.regexp_extract(s, dmy, 3)),
+                                        mmap[F.lower(F.regexp_extract(s, dmy, 2))],
+                                        _int(F.regexp_extract(s, dmy, 1))))
+
     my_num = r"\b([0-9]{1,2})[/-]([0-9]{4})\b"
     nm, ny = (_int(F.regexp_extract(s, my_num, i)) for i in (1, 2))
     my_num_val = F.when(has_sep & s.rlike(my_num) & nm.between(1, 12), _iso(ny, nm))
@@ -190,7 +197,7 @@ def _iso_date(s: Column, as_of_year: int) -> Column:
              .when((seps >= 3) & (comps >= 4), s)
              .when(two_hit, F.coalesce(two_val, s))
              .when(alpha_start & s.rlike(day_range), s)
-             .otherwise(F.coalesce(month_val, full_val, my_num_val, s)))
+             .otherwise(F.coalesce(month_val, full_val, my_num_val, dmy_val, s)))
 
 
 def date_steps(as_of_year: int):

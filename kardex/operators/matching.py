@@ -154,7 +154,6 @@ def classify_compound_values(values: DataFrame, counts: DataFrame, dedupe: bool
     h = F.coalesce(F.col("holdings_count"), F.lit(0))
     f = F.coalesce(F.col("inventory_count"), F.lit(0))
     w = Window.partitionBy("original_value")
-    multi = (h > 1) | (f > 1)
     j = (j.withColumn("__h", h).withColumn("__f", f)
           .withColumn("__all_one", F.bool_and((F.col("__h") + F.col("__f")) == 1).over(w))
           .withColumn("__any_multi", F.bool_or((F.col("__h") > 1) | (F.col("__f") > 1)).over(w)))
@@ -162,7 +161,6 @@ def classify_compound_values(values: DataFrame, counts: DataFrame, dedupe: bool
                 .when(F.col("__any_multi"), "M2")
                 .otherwise("leftover"))
     keep = F.col("__all_one") | ~F.col("__any_multi") | (F.col("__h") > 1) | (F.col("__f") > 1)
-    del multi
     out = (j.filter(keep)
             .select(section.alias("section"), F.col("key").alias("inventory_number"), "original_value",
                     F.col("__h").alias("holdings_count"), F.col("__f").alias("inventory_count")))

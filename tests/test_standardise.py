@@ -141,3 +141,11 @@ def test_dates(spark):
 
 def test_release_year_same_rules(spark):
     _run(spark, "release_broadcast_year", DATES[:20])
+
+
+def test_more_fixed_date_forms(spark):
+    _run(spark, "record_date", [
+        ("5 September 1999", "1999-09-05"), ("21st Feb. 1960", "1960-02-21"), ("Sept. 1999", "1999-09"),
+        ("September 5th, 1999", "1999-09-05"), ("31 February 1999", "31 February 1999"),
+        ("13/25/1999", "13/25/1999"), ("25/12/1999", "1999-12-25"), ("1999; 2000", "1999; 2000"),
+    ])
