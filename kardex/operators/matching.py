@@ -195,9 +195,10 @@ VARIANT_SUFFIXES = [" M", " R", " T"]
 
 
 def variant_index(df: DataFrame, value, ident, suffixes=VARIANT_SUFFIXES,
-                  prefixes=VARIANT_PREFIXES) -> DataFrame:
+                  prefixes=VARIANT_PREFIXES, carry=()) -> DataFrame:
     """Index rows under their stripped value and, when the value starts with
-    a listed prefix, under value + each suffix.  Blank values are skipped."""
+    a listed prefix, under value + each suffix.  Blank values are skipped.
+    ``carry`` columns ride along with the id."""
     v = strip(F.coalesce(as_col(value), F.lit("")))
     starts = F.lit(False)
     for p in prefixes:
@@ -206,23 +207,31 @@ def variant_index(df: DataFrame, value, ident, suffixes=VARIANT_SUFFIXES,
     if suffixes:
         variants = F.when(starts, F.array(v, *[F.concat(v, F.lit(s)) for s in suffixes])).otherwise(F.array(v))
     return (df.filter(v != "")
-              .select(F.explode(variants).alias("key"), as_col(ident).alias("id")))
+              .select(F.explode(variants).alias("key"), as_col(ident).alias("id"), *[F.col(c) for c in carry]))
+
+
+def _exactly_one(idx: DataFrame, id_name: str, carry) -> DataFrame:
+    row = F.any_value(F.struct(F.col("id").alias(id_name), *[F.col(c) for c in carry])).alias("__r")
+    return (idx.groupBy("key").agg(F.count(F.lit(1)).alias("n"), row)
+               .filter("n = 1").select("key", "__r.*"))
 
 
 def unique_variant_match(digital: DataFrame, inventory: DataFrame, holdings: DataFrame, *,
                          digital_key="inventory_number", digital_ordinal="row_ordinal",
                          inventory_no="inventory_no", inventory_id="inventory_id",
-                         call_number="call_number", holding_id="holding_id") -> DataFrame:
+                         call_number="call_number", holding_id="holding_id",
+                         holdings_carry=(), inventory_carry=()) -> DataFrame:
     """First digital row per stripped key whose key has exactly one entry
-    in the holdings variant index and exactly one in the inventory index."""
+    in the holdings variant index and exactly one in the inventory index.
+
+    ``*_carry`` columns travel with the single matched entry through the
+    same aggregation, so reports need no join back to the sources."""
     d = digital.withColumn("__key", strip(F.coalesce(as_col(digital_key), F.lit(""))))
     d = keep_first(d.filter(F.col("__key") != ""), "__key", digital_ordinal)
-    hidx = variant_index(holdings, call_number, holding_id)
-    iidx = variant_index(inventory, inventory_no, inventory_id, suffixes=[])
-    h1 = (hidx.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.any_value("id").alias("holding_id"))
-              .filter("n = 1").drop("n"))
-    i1 = (iidx.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.any_value("id").alias("inventory_id"))
-              .filter("n = 1").drop("n"))
+    hidx = variant_index(holdings, call_number, holding_id, carry=holdings_carry)
+    iidx = variant_index(inventory, inventory_no, inventory_id, suffixes=[], carry=inventory_carry)
+    h1 = _exactly_one(hidx, "holding_id", holdings_carry)
+    i1 = _exactly_one(iidx, "inventory_id", inventory_carry)
     return (d.join(h1, d["__key"] == h1["key"]).drop("key")
              .join(i1, F.col("__key") == i1["key"]).drop("key")
              .withColumnRenamed("__key", "match_key"))

@@ -108,12 +108,10 @@ def match_problems(spark, sf_dir):
     h = load(spark, sf_dir, "holdings")
     d = load(spark, sf_dir, "digital")
     i = load(spark, sf_dir, "inventory")
-    m = M.unique_variant_match(d, i, h).select(F.col("inventory_number").alias("raw_number"), "holding_id",
-                                              "inventory_id")
+    m = M.unique_variant_match(d, i, h, holdings_carry=["mms_id"], inventory_carry=["title"]).select(
+        F.col("inventory_number").alias("raw_number"), "holding_id", "mms_id", "inventory_id", "title")
     chk = _checks(_bibs(spark, sf_dir), _codes(spark, sf_dir))
-    j = (m.join(h.select("holding_id", "mms_id"), "holding_id")
-          .join(i.select("inventory_id", "title"), "inventory_id")
-          .join(chk, F.col("mms_id") == chk["bib_id"], "left"))
+    j = m.join(chk, F.col("mms_id") == chk["bib_id"], "left")
     e = lambda c: F.coalesce(F.col(c), F.lit(""))
     return j.select(e("bib_id").alias("alma_bib_id"), F.col("inventory_id").cast("string").alias("filemaker_record_id"),
                     F.col("raw_number").alias("digital_inventory_number"), e("no_008").alias("no_008"),
