@@ -99,6 +99,8 @@ def value_is_blank(df: DataFrame, name: str) -> Column:
 def py_repr(c: Column) -> Column:
     """Python ``repr`` of a short string (quotes and backslashes)."""
     esc = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for ch, rep in (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        esc = F.replace(esc, F.lit(ch), F.lit(rep))
     dq = c.contains("'") & ~c.contains('"')
     return F.when(dq, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(
         F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'")))
