@@ -203,7 +203,8 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         owner = id(spark)
     key = (owner, path)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
+        from kardex.session import spread_small_scan
+        _TABLES[key] = spread_small_scan(spark.read.parquet(path))
     return _TABLES[key]
 
 

@@ -39,6 +39,11 @@ def get_session(master: str | None = None, app: str = "kardex",
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf.setdefault("spark.driver.memory", os.environ.get("KARDEX_DRIVER_MEMORY", "16g"))
+    event_dir = os.environ.get("KARDEX_EVENT_LOG_DIR")
+    if event_dir:
+        # Stage/task timings for profiling, read offline (no UI server).
+        conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.dir"] = event_dir
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -67,6 +72,32 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
     }
 
 
+def spread_small_scan(df: DataFrame, min_bytes: int = 1 << 20, enabled: bool | None = None) -> DataFrame:
+    """Round-robin an input that arrives in fewer partitions than the
+    cluster has cores (e.g. one unsplittable Parquet row group) so per-row
+    work before the first shuffle uses every core.
+
+    Decided from the plan's size estimate and partition count (no job).  A
+    large input spread over many files already has enough partitions and is
+    returned unchanged.  Column pruning and filters still pass below the
+    repartition.
+    """
+    spark = df.sparkSession
+    if enabled is None:
+        enabled = os.environ.get("KARDEX_SPREAD_SCANS", "1") != "0"
+    if not enabled:
+        return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 (sessions without these internals)
+        return df
+    if parts < cores and size >= min_bytes:
+        return df.repartition(cores)
+    return df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
