@@ -112,3 +112,25 @@ SELECT layout, field, violation, count(*) AS violations FROM v GROUP BY ALL
 @register("violation_totals", TOTALS_SQL)
 def violation_totals(spark, sf_dir):
     return V.violation_totals(_all_violations(spark, sf_dir))
+
+
+SUMMARY_SQL = cte("layout_records", "storage_records") + f"""
+, v AS (SELECT * FROM ({VALIDATION_SQL}))
+SELECT l.layout, l.records_checked, coalesce(c.violations, 0) AS violations FROM (
+    SELECT '{GE}' AS layout, count(*) FILTER (WHERE digital_record = '0') AS records_checked FROM layout_records
+    UNION ALL SELECT '{DC}', count(*) FILTER (WHERE digital_record = '1') FROM layout_records
+    UNION ALL SELECT '{DS}', count(*) FROM storage_records) l
+LEFT JOIN (SELECT layout, count(*) AS violations FROM v GROUP BY layout) c ON c.layout = l.layout
+"""
+
+
+@register("validation_summary", SUMMARY_SQL)
+def validation_summary(spark, sf_dir):
+    """A10: records checked and violations per layout."""
+    recs = load(spark, sf_dir, "layout_records")
+    srecs = load(spark, sf_dir, "storage_records")
+    checked = (V.records_checked(recs, GE).unionByName(V.records_checked(recs, DC))
+               .unionByName(V.records_checked(srecs, DS)))
+    counts = _all_violations(spark, sf_dir).groupBy("layout").agg(F.count(F.lit(1)).alias("violations"))
+    return (checked.join(counts, "layout", "left")
+                   .select("layout", "records_checked", F.coalesce("violations", F.lit(0)).alias("violations")))
