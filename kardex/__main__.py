@@ -70,11 +70,13 @@ def cmd_standardise(a, spark):
 
 
 def cmd_duplicates(a, spark):
-    from kardex.operators.keys import duplicate_rows
+    from kardex.operators.keys import duplicate_rows, with_row_index
     from kardex.sinks.writers import write_report_csv
-    df = _read_table(spark, a.sheet).withColumn("__ordinal", F.monotonically_increasing_id())
+    df = _read_table(spark, a.sheet)
     if a.ordinal_column:
         df = df.withColumn("__ordinal", F.col(f"`{a.ordinal_column}`").cast("long"))
+    else:
+        df = with_row_index(df, "__ordinal")
     out = duplicate_rows(df, F.col(f"`{a.key}`"), "__ordinal").withColumnRenamed(
         "original_row_number", "Original Row Number").drop("__ordinal")
     write_report_csv(out, a.out)

@@ -34,6 +34,18 @@ def preview_fields(df: DataFrame, names) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names if n in df.columns])
 
 
+def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Dense 0-based row index in input order (file order for a file source).
+
+    ``zipWithIndex`` counts each partition in one distributed job and then
+    numbers rows locally, so no row passes through a single task.
+    """
+    from pyspark.sql import types as T
+    schema = T.StructType(df.schema.fields + [T.StructField(name, T.LongType(), False)])
+    rdd = df.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],))
+    return df.sparkSession.createDataFrame(rdd, schema)
+
+
 def drop_missing_key(df: DataFrame, key) -> DataFrame:
     """Drop rows whose key is null or blank after strip."""
     k = as_col(key)

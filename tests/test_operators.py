@@ -191,3 +191,11 @@ def test_match_classes_reference_cases(spark):
     compounds = spark.createDataFrame([("INV_NO_11|INV_NO_12",), ("INV_NO_13|INV_NO_14",)], "value string")
     got = sorted((r.section, r.inventory_number) for r in M.classify_compound_values(compounds, counts).collect())
     assert got == [("M1", "INV_NO_11"), ("M1", "INV_NO_12"), ("M2", "INV_NO_13")]
+
+
+def test_with_row_index(spark):
+    df = spark.range(0, 1000, numPartitions=7).withColumn("v", F.col("id") * 2)
+    out = K.with_row_index(df)
+    rows = out.orderBy("row_index").collect()
+    assert [r.row_index for r in rows] == list(range(1000))
+    assert all(r.v == 2 * r.row_index for r in rows)
