@@ -37,13 +37,21 @@ def preview_fields(df: DataFrame, names) -> DataFrame:
 def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     """Dense 0-based row index in input order (file order for a file source).
 
-    ``zipWithIndex`` counts each partition in one distributed job and then
-    numbers rows locally, so no row passes through a single task.
+    ``monotonically_increasing_id`` is ``partition << 33 | position``; the rows
+    per partition are counted (one row per input partition, so the offsets
+    table is bounded by the task count and may be broadcast), turned into
+    running offsets, and added to each row's position.  All JVM-side.
     """
-    from pyspark.sql import types as T
-    schema = T.StructType(df.schema.fields + [T.StructField(name, T.LongType(), False)])
-    rdd = df.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    from pyspark.sql import Window
+    tagged = df.withColumn("__mid", F.monotonically_increasing_id())
+    pid = F.shiftright(F.col("__mid"), 33)
+    counts = tagged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = counts.select("__pid", (F.sum("__n").over(w) - F.col("__n")).alias("__off"))
+    pos = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (tagged.join(F.broadcast(offsets), pid == F.col("__pid"))
+                  .withColumn(name, F.col("__off") + pos)
+                  .drop("__mid", "__pid", "__off"))
 
 
 def drop_missing_key(df: DataFrame, key) -> DataFrame:
