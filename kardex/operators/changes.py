@@ -94,7 +94,7 @@ def call_number_changes(bibs: DataFrame, holdings_ids: DataFrame | None = None,
                        .when(old == new, "unchanged")
                        .otherwise("change").alias("status"))
     if holdings_ids is not None:
-        missing = (holdings_ids.select(id_col).join(bibs.select(id_col), id_col, "left_anti")
+        missing = (holdings_ids.select(id_col).join(bibs.select(id_col).distinct(), id_col, "left_anti")
                    .select(id_col, F.lit(None).cast("string").alias("old_value"),
                            F.lit(None).cast("string").alias("new_value"), F.lit("no record").alias("status")))
         out = out.unionByName(missing)

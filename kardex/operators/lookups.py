@@ -76,7 +76,12 @@ def attach_bib(df: DataFrame, bibs: DataFrame, key: str, bib_key: str = "bib_id"
                ordinal: str | None = None) -> DataFrame:
     """Left join by bib id; a duplicate bib id keeps the last one;
     ``bib_missing`` flags rows without a bib (reported, not an error)."""
-    b = keep_last(bibs, bib_key, ordinal) if ordinal else bibs
+    if ordinal:
+        b = keep_last(bibs, bib_key, ordinal)
+    else:
+        # No order given: still one bib per id, so the join never pairs rows.
+        cols = [F.col(f"`{c}`") for c in bibs.columns]
+        b = bibs.groupBy(F.col(bib_key).alias("__bk")).agg(F.any_value(F.struct(*cols)).alias("__b")).select("__b.*")
     b = b.withColumn("__has_bib", F.lit(True))
     out = df.join(b, F.col(key) == b[bib_key], "left")
     return out.withColumn("bib_missing", F.col("__has_bib").isNull()).drop("__has_bib")
@@ -185,39 +190,52 @@ def count_by_type(assets: DataFrame, record_type: str = "record_type") -> DataFr
 # Nested matches
 # ---------------------------------------------------------------------------
 
+def _matchable_rows(rows: DataFrame, row_id: str, row_no: str) -> DataFrame:
+    return rows.filter((F.coalesce(strip(F.col(row_id).cast("string")), F.lit("")) != "")
+                       & (F.coalesce(strip(F.col(row_no)), F.lit("")) != ""))
+
+
 def match_resources(rows: DataFrame, resources: DataFrame, *, row_id="inventory_id",
-                    row_no="inventory_no", res_no="Inventory_no") -> DataFrame:
-    """J8 (long form): inventory rows with a non-blank id and number joined
-    to every resource of equal number; each resource carries the row's
-    ``inventory_id``; rows without a resource are dropped (inner join)."""
-    r = rows.filter((F.coalesce(strip(F.col(row_id).cast("string")), F.lit("")) != "")
-                    & (F.coalesce(strip(F.col(row_no)), F.lit("")) != ""))
-    res = resources.withColumnRenamed(res_no, "__rno")
-    # The resource's number equals the row's; it is dropped (Spark resolves
-    # names case-insensitively, so ``Inventory_no`` would clash).
-    return (r.join(res, F.col(row_no) == F.col("__rno")).drop("__rno")
-             .withColumn("resource_inventory_id", F.col(row_id).cast("string")))
-
-
-def nest_matches(long: DataFrame, row_cols, resource_cols, ordinal: str = "row_ordinal",
-                 name: str = "GoogleData", max_items: int = 1000) -> tuple[DataFrame, DataFrame]:
-    """J8 (nested document form): one row per inventory row with the list of
-    its resources, for writing one document per row (K6).
-
-    Groups are counted first (partial aggregation); only rows with at most
-    ``max_items`` resources are nested.  Larger groups are returned whole in
-    long form as the second DataFrame (nothing is dropped), so no task ever
+                    row_no="inventory_no", res_no="Inventory_no") -> tuple[DataFrame, DataFrame]:
+    """J8 (long form, key level): ``(row_matches, key_resources)``.
+
+    ``row_matches``: inventory rows (non-blank id and number) that have at
+    least one resource of equal number (semi join).  ``key_resources``: every
+    resource whose number has at least one such row, with ``inventory_rows``
+    (how many rows share the number).  Together they describe every nested
+    document without materialising row x resource pairs: the row side is
+    reduced to one row per number (partial aggregation) before the join.
+    """
+    r = _matchable_rows(rows, row_id, row_no)
+    keys = r.groupBy(F.col(row_no).alias("__k")).agg(F.count(F.lit(1)).alias("inventory_rows"))
+    key_resources = (resources.join(keys, F.col(res_no) == F.col("__k")).drop("__k"))
+    res_keys = resources.select(F.col(res_no).alias("__k")).distinct()
+    row_matches = r.join(res_keys, F.col(row_no) == F.col("__k"), "left_semi")
+    return row_matches, key_resources
+
+
+def nest_matches(rows: DataFrame, resources: DataFrame, resource_cols, *, row_id="inventory_id",
+                 row_no="inventory_no", res_no="Inventory_no", ordinal: str = "row_ordinal",
+                 name: str = "GoogleData", max_items: int = 1000) -> DataFrame:
+    """J8 (nested document form): each matchable inventory row with the list
+    of resources of its number, ordered by ``ordinal`` (input to K6).
+
+    Resources are grouped per number first (count combines map-side); a list
+    is built only for numbers with at most ``max_items`` resources, and each
+    row then joins one aggregate row for its number.  Larger groups get a
+    null list and their ``resources`` count; their members stay available in
+    long form (``match_resources``), so nothing is dropped and no task
     collects an unbounded list.
     """
-    keys = [F.col(c) for c in row_cols]
-    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    tagged = long.join(sizes, list(row_cols))
-    small = tagged.filter(F.col("__n") <= max_items).drop("__n")
-    overflow = tagged.filter(F.col("__n") > max_items).drop("__n")
+    r = _matchable_rows(rows, row_id, row_no)
+    sizes = resources.groupBy(F.col(res_no).alias("__k")).agg(F.count(F.lit(1)).alias("resources"))
+    small = resources.join(sizes.filter(F.col("resources") <= max_items), F.col(res_no) == F.col("__k"),
+                           "left_semi")
     item = F.struct(F.col(ordinal).alias("__o"), *[F.col(c) for c in resource_cols])
-    g = small.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    nested = g.withColumn(name, F.transform("__items", lambda x: x.dropFields("__o"))).drop("__items")
-    return nested, overflow
+    lists = small.groupBy(F.col(res_no).alias("__k")).agg(F.array_sort(F.collect_list(item)).alias("__items"))
+    per_key = sizes.join(lists, "__k", "left").withColumn(
+        name, F.transform("__items", lambda x: x.dropFields("__o"))).drop("__items")
+    return r.join(per_key, F.col(row_no) == F.col("__k")).drop("__k")
 
 
 # ---------------------------------------------------------------------------

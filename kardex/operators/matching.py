@@ -174,9 +174,20 @@ def classify_compound_values(values: DataFrame, counts: DataFrame, dedupe: bool
 
 def attach_ids(classes: DataFrame, ids: DataFrame) -> DataFrame:
     """Long report: one row per matched id; keys without ids keep one row with
-    null ``source``/``record_id``."""
-    return (classes.join(ids.withColumnRenamed("key", "inventory_number"), "inventory_number", "left")
-                   .withColumnRenamed("id", "record_id"))
+    null ``source``/``record_id``.
+
+    Written as inner join + anti join rather than a left join: the id side
+    may hold a hot key (a third of all rows), and AQE can split a skewed
+    partition on either side of an inner join but not on the right side of a
+    left join.  The anti join only needs the distinct keys (partially
+    aggregated, so the hot key shrinks to one row per map task).
+    """
+    ids = ids.withColumnRenamed("key", "inventory_number").withColumnRenamed("id", "record_id")
+    hit = classes.join(ids, "inventory_number")
+    miss = (classes.join(ids.select("inventory_number").distinct(), "inventory_number", "left_anti")
+                   .withColumn("source", F.lit(None).cast("string"))
+                   .withColumn("record_id", F.lit(None).cast("string")))
+    return hit.unionByName(miss)
 
 
 def class_counts(classes: DataFrame) -> DataFrame:

@@ -206,9 +206,11 @@ def batch_errors(spark, sf_dir):
 
 # ----------------------------------------------------------------- J8
 RESOURCES_SQL = cte("inventory", "digital") + """
-SELECT i.inventory_id, i.inventory_no, d.pk, d.file_name, CAST(i.inventory_id AS VARCHAR) AS resource_inventory_id
-FROM inventory i JOIN digital d ON d.inventory_number = i.inventory_no
-WHERE coalesce(trim(CAST(i.inventory_id AS VARCHAR)), '') <> '' AND coalesce(trim(i.inventory_no), '') <> ''
+SELECT d.inventory_number AS inventory_no, d.pk, d.file_name, k.n AS inventory_rows
+FROM digital d JOIN (SELECT inventory_no, count(*) AS n FROM inventory
+                     WHERE coalesce(trim(CAST(inventory_id AS VARCHAR)), '') <> ''
+                       AND coalesce(trim(inventory_no), '') <> '' GROUP BY inventory_no) k
+  ON k.inventory_no = d.inventory_number
 """
 
 
@@ -216,8 +218,8 @@ WHERE coalesce(trim(CAST(i.inventory_id AS VARCHAR)), '') <> '' AND coalesce(tri
 def resource_matches(spark, sf_dir):
     rows = load(spark, sf_dir, "inventory").select("inventory_id", "inventory_no")
     res = load(spark, sf_dir, "digital").select(F.col("inventory_number").alias("Inventory_no"), "pk", "file_name")
-    return LK.match_resources(rows, res).select("inventory_id", "inventory_no", "pk", "file_name",
-                                                "resource_inventory_id")
+    _, key_resources = LK.match_resources(rows, res)
+    return key_resources.select(F.col("Inventory_no").alias("inventory_no"), "pk", "file_name", "inventory_rows")
 
 
 # ----------------------------------------------------------------- J8 nested (K6 input)
@@ -235,16 +237,12 @@ def nested_resources(spark, sf_dir):
     rows = load(spark, sf_dir, "inventory").select("inventory_id", "inventory_no")
     res = load(spark, sf_dir, "digital").select(F.col("inventory_number").alias("Inventory_no"), "pk",
                                                  "file_name", "row_ordinal")
-    long = LK.match_resources(rows, res)
-    nested, overflow = LK.nest_matches(long, ["inventory_id", "inventory_no"], ["pk", "file_name"])
-    # Groups above the nesting bound stay in long form (``overflow``); the
-    # report lists their size and leaves the id text to the long table.
-    over = overflow.groupBy("inventory_id", "inventory_no").agg(
-        F.count(F.lit(1)).alias("resources"), F.lit(None).cast("string").alias("resource_pks"))
-    small = nested.select("inventory_id", "inventory_no", F.size("GoogleData").cast("long").alias("resources"),
-                          F.array_join(F.transform("GoogleData", lambda x: x["pk"].cast("string")), "|")
-                          .alias("resource_pks"))
-    return small.unionByName(over)
+    nested = LK.nest_matches(rows, res, ["pk", "file_name"])
+    # Numbers above the nesting bound keep their count; their resource ids
+    # are in the long form (``resource_matches``).
+    return nested.select("inventory_id", "inventory_no", "resources",
+                         F.array_join(F.transform("GoogleData", lambda x: x["pk"].cast("string")), "|")
+                         .alias("resource_pks"))
 
 
 # ----------------------------------------------------------------- H6

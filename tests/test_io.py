@@ -163,16 +163,18 @@ def test_tsv_single_document_and_nested_xml(spark, tmp_path):
     doc = spark.read.json(str(tmp_path / "doc")).first()
     assert sorted(a.uuid for a in doc.media.assets) == ["u1", "u2"]
     from kardex.operators.lookups import match_resources, nest_matches
-    rows = spark.createDataFrame([(1, "M1"), (2, "M2"), (3, "")], "inventory_id int, inventory_no string")
-    res = spark.createDataFrame([("M1", "r1", 2), ("M1", "r2", 1), ("M2", "r3", 3)],
+    rows = spark.createDataFrame([(1, "M1"), (2, "M2"), (3, ""), (4, "M1")], "inventory_id int, inventory_no string")
+    res = spark.createDataFrame([("M1", "r1", 2), ("M1", "r2", 1), ("M2", "r3", 3), ("M9", "r4", 4)],
                                 "Inventory_no string, title string, row_ordinal int")
-    long = match_resources(rows, res)
-    nested, overflow = nest_matches(long, ["inventory_id", "inventory_no"], ["title"], max_items=1)
-    assert overflow.count() == 2  # M1 has two resources > max_items: kept whole in long form
-    nested_all, none = nest_matches(long, ["inventory_id", "inventory_no"], ["title"])
-    assert none.count() == 0
+    row_matches, key_res = match_resources(rows, res)
+    assert sorted(r.inventory_id for r in row_matches.collect()) == [1, 2, 4]
+    assert sorted((r.title, r.inventory_rows) for r in key_res.collect()) == [("r1", 2), ("r2", 2), ("r3", 1)]
+    capped = {r.inventory_id: (r.resources, r.GoogleData) for r in
+              nest_matches(rows, res, ["title"], max_items=1).collect()}
+    assert capped[1] == (2, None) and capped[2][0] == 1  # over the bound: count kept, list in long form
+    nested_all = nest_matches(rows, res, ["title"])
     got = {r.inventory_id: [g.title for g in r.GoogleData] for r in nested_all.collect()}
-    assert got == {1: ["r2", "r1"], 2: ["r3"]}
+    assert got == {1: ["r2", "r1"], 2: ["r3"], 4: ["r2", "r1"]}
     W.write_nested_xml(nested_all, str(tmp_path / "nx"))
     back = R.read_xml_rows(spark, str(tmp_path / "nx"), "ROW")
-    assert back.count() == 2
+    assert back.count() == 3
