@@ -363,8 +363,8 @@ def compare_forms(a: Column, b: Column) -> Column:
     """``(common, only_a, only_b)`` as sorted distinct arrays."""
     a, b = F.array_distinct(a), F.array_distinct(b)
     return F.struct(F.array_sort(F.array_intersect(a, b)).alias("common"),
-                    F.array_sort(F.array_except(a, b)).alias("unique_alma"),
-                    F.array_sort(F.array_except(b, a)).alias("unique_fm"))
+                    F.array_sort(F.array_except(a, b)).alias("unique_bib"),
+                    F.array_sort(F.array_except(b, a)).alias("unique_inventory"))
 
 
 # ---------------------------------------------------------------------------
@@ -386,7 +386,7 @@ def mams_projection(features: str = "features", rec: str | None = None) -> Colum
     ft = lambda n: F.col(f"{features}.{n}")
     directors = F.concat(ft("directors.f245c"), ft("directors.f245p"))
     return F.struct(
-        ft("bib_id").alias("alma_bib_id"),
+        ft("bib_id").alias("bib_id"),
         _nonempty(ft("f245a")).alias("title"),
         _nonempty(subfields("246", "a", rec)).alias("alternative_titles"),
         _nonempty(subfields("245", "p", rec)).alias("episode_titles"),

@@ -216,7 +216,7 @@ def match_resources(rows: DataFrame, resources: DataFrame, *, row_id="inventory_
 
 def nest_matches(rows: DataFrame, resources: DataFrame, resource_cols, *, row_id="inventory_id",
                  row_no="inventory_no", res_no="Inventory_no", ordinal: str = "row_ordinal",
-                 name: str = "GoogleData", max_items: int = 1000) -> DataFrame:
+                 name: str = "matched_resources", max_items: int = 1000) -> DataFrame:
     """J8 (nested document form): each matchable inventory row with the list
     of resources of its number, ordered by ``ordinal`` (input to K6).
 

@@ -19,10 +19,10 @@ from kardex.operators.keys import keep_first, unique_rows
 
 # Output columns of the perfect-match report, in order.
 PERFECT_MATCH_COLUMNS = [
-    "inventory_number", "alma_holdings_id", "fm_inventory_id", "dl_record_id",
-    "fm_title", "dl_carrier_a", "dl_carrier_a_loc", "dl_carrier_b",
-    "dl_carrier_b_loc", "dl_hard_drive_name", "dl_file_folder_name",
-    "dl_sub_folder_name", "dl_file_name",
+    "inventory_number", "holdings_id", "inventory_record_id", "digital_record_id",
+    "inventory_title", "carrier_a", "carrier_a_location", "carrier_b",
+    "carrier_b_location", "hard_drive_name", "file_folder_name",
+    "sub_folder_name", "file_name",
 ]
 
 
@@ -57,18 +57,18 @@ def perfect_matches(holdings: DataFrame, digital: DataFrame, inventory: DataFram
                .join(i.withColumnRenamed("row", "i"), "__k"))
     out = joined.select(
         F.col("__k").alias("inventory_number"),
-        _text(F.col("h.holding_id")).alias("alma_holdings_id"),
-        _text(F.col("i.inventory_id")).alias("fm_inventory_id"),
-        _text(F.col("d.pk")).alias("dl_record_id"),
-        _text(F.col("i.title")).alias("fm_title"),
-        _text(F.col("d.carrier_a")).alias("dl_carrier_a"),
-        _text(F.col("d.carrier_a_location")).alias("dl_carrier_a_loc"),
-        _text(F.col("d.carrier_b")).alias("dl_carrier_b"),
-        _text(F.col("d.carrier_b_location")).alias("dl_carrier_b_loc"),
-        _text(F.col("d.hard_drive_name")).alias("dl_hard_drive_name"),
-        _text(F.col("d.file_folder_name")).alias("dl_file_folder_name"),
-        _text(F.col("d.sub_folder_name")).alias("dl_sub_folder_name"),
-        _text(F.col("d.file_name")).alias("dl_file_name"),
+        _text(F.col("h.holding_id")).alias("holdings_id"),
+        _text(F.col("i.inventory_id")).alias("inventory_record_id"),
+        _text(F.col("d.pk")).alias("digital_record_id"),
+        _text(F.col("i.title")).alias("inventory_title"),
+        _text(F.col("d.carrier_a")).alias("carrier_a"),
+        _text(F.col("d.carrier_a_location")).alias("carrier_a_location"),
+        _text(F.col("d.carrier_b")).alias("carrier_b"),
+        _text(F.col("d.carrier_b_location")).alias("carrier_b_location"),
+        _text(F.col("d.hard_drive_name")).alias("hard_drive_name"),
+        _text(F.col("d.file_folder_name")).alias("file_folder_name"),
+        _text(F.col("d.sub_folder_name")).alias("sub_folder_name"),
+        _text(F.col("d.file_name")).alias("file_name"),
     )
     return out.orderBy("inventory_number") if sort else out
 
@@ -78,14 +78,14 @@ def perfect_matches(holdings: DataFrame, digital: DataFrame, inventory: DataFram
 # ---------------------------------------------------------------------------
 
 SINGLE_SECTIONS = {
-    "S1": "Single G Mult FM No Alma",
-    "S2": "Single G Mult Alma No FM",
-    "S3": "Single G Mult FM One Alma",
-    "S4": "Single G Mult Alma One FM",
-    "S5": "Single G Mult FM Mult Alma",
-    "S6": "Single G No FM No Alma",
+    "S1": "Single value: several inventory, no holdings",
+    "S2": "Single value: several holdings, no inventory",
+    "S3": "Single value: several inventory, one holding",
+    "S4": "Single value: several holdings, one inventory",
+    "S5": "Single value: several of both",
+    "S6": "Single value: no match",
 }
-COMPOUND_SECTIONS = {"M1": "Many to one", "M2": "Many to many"}
+COMPOUND_SECTIONS = {"M1": "Compound value: each part one record", "M2": "Compound value: a part with several records"}
 
 
 def source_ids(holdings: DataFrame, inventory: DataFrame, *, call_number="call_number",

@@ -58,7 +58,7 @@ def holdings_records(holdings: DataFrame) -> DataFrame:
     every 11th has no record, every 7th no 852, every 5th an 852 without $h."""
     k = F.col("row_ordinal")
     f852 = F.struct(F.lit("852").alias("_tag"), F.lit("0").alias("_ind1"), F.lit(" ").alias("_ind2"),
-                    F.filter(F.array(F.struct(F.lit("b").alias("_code"), F.lit("ftva").alias("_VALUE")),
+                    F.filter(F.array(F.struct(F.lit("b").alias("_code"), F.lit("lib").alias("_VALUE")),
                                      F.when(k % 5 != 0, F.struct(F.lit("h").alias("_code"),
                                                                  F.col("call_number").alias("_VALUE")))),
                              lambda x: x.isNotNull()).alias("subfield"))

@@ -31,7 +31,7 @@ def _checks(bibs, codes):
     return b.select("bib_id", MC.no_008().alias("no_008"),
                     MC.invalid_language(F.col("code_valid")).alias("invalid_language"),
                     MC.no_26x_date().alias("no_26x_date"), MC.lacks_attribution().alias("lacks_attribution"),
-                    t["title"].alias("alma_title"),
+                    t["title"].alias("bib_title"),
                     F.when(t["check_ind2"], "Yes").otherwise("").alias("check_245_indicator_2"))
 
 
@@ -63,7 +63,7 @@ CHECKS_COLS_SQL = f"""
   CASE WHEN c245 IS NULL THEN 'Yes'
        WHEN lower(c245) LIKE '%directed by%' OR lower(c245) LIKE '%director%' OR lower(c245) LIKE '%a film by%'
          OR lower(c245) LIKE '%supervised by%' THEN '' ELSE 'Yes' END AS lacks_attribution,
-  {BIB_TITLE_SQL} AS alma_title,
+  {BIB_TITLE_SQL} AS bib_title,
   CASE WHEN {BIB_FLAG_SQL} THEN 'Yes' ELSE '' END AS check_245_indicator_2"""
 
 BIB_CHECKS_SQL = cte("bib_flat", "language_codes") + f"SELECT bib_id, {CHECKS_COLS_SQL} FROM bib_flat"
@@ -91,13 +91,13 @@ MATCH_PROBLEMS_SQL = cte("holdings", "inventory", "digital", "bib_flat", "langua
 , chk AS (SELECT bib_id, {CHECKS_COLS_SQL} FROM bib_flat)
 , j AS (SELECT m.*, inv.title, chk.* FROM m JOIN holdings h ON h.holding_id = m.holding_id
         JOIN inventory inv ON inv.inventory_id = m.inventory_id LEFT JOIN chk ON chk.bib_id = h.mms_id)
-SELECT coalesce(bib_id, '') AS alma_bib_id, CAST(inventory_id AS VARCHAR) AS filemaker_record_id,
+SELECT coalesce(bib_id, '') AS bib_id, CAST(inventory_id AS VARCHAR) AS inventory_record_id,
   raw_number AS digital_inventory_number, coalesce(no_008, '') AS no_008,
   coalesce(invalid_language, '') AS invalid_language, coalesce(no_26x_date, '') AS no_26x_date,
   coalesce(lacks_attribution, '') AS lacks_attribution,
-  CASE WHEN coalesce(alma_title, '') = '' OR coalesce(title, '') = '' THEN 0.0
-       ELSE 1.0 - levenshtein(alma_title, title) / greatest(length(alma_title), length(title)) END AS title_match_score,
-  coalesce(alma_title, '') AS alma_title, coalesce(title, '') AS filemaker_title,
+  CASE WHEN coalesce(bib_title, '') = '' OR coalesce(title, '') = '' THEN 0.0
+       ELSE 1.0 - levenshtein(bib_title, title) / greatest(length(bib_title), length(title)) END AS title_match_score,
+  coalesce(bib_title, '') AS bib_title, coalesce(title, '') AS inventory_title,
   coalesce(check_245_indicator_2, '') AS check_245_indicator_2
 FROM j
 """
@@ -113,12 +113,12 @@ def match_problems(spark, sf_dir):
     chk = _checks(_bibs(spark, sf_dir), _codes(spark, sf_dir))
     j = m.join(chk, F.col("mms_id") == chk["bib_id"], "left")
     e = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return j.select(e("bib_id").alias("alma_bib_id"), F.col("inventory_id").cast("string").alias("filemaker_record_id"),
+    return j.select(e("bib_id").alias("bib_id"), F.col("inventory_id").cast("string").alias("inventory_record_id"),
                     F.col("raw_number").alias("digital_inventory_number"), e("no_008").alias("no_008"),
                     e("invalid_language").alias("invalid_language"), e("no_26x_date").alias("no_26x_date"),
                     e("lacks_attribution").alias("lacks_attribution"),
-                    title_score(F.col("alma_title"), F.col("title")).alias("title_match_score"),
-                    e("alma_title").alias("alma_title"), e("title").alias("filemaker_title"),
+                    title_score(F.col("bib_title"), F.col("title")).alias("title_match_score"),
+                    e("bib_title").alias("bib_title"), e("title").alias("inventory_title"),
                     e("check_245_indicator_2").alias("check_245_indicator_2"))
 
 
@@ -186,7 +186,7 @@ def _jarr(*vals: str) -> str:
 
 MAMS_SQL = cte("bib_flat") + f"""
 , x AS (SELECT *, {_LANGX} AS lang, {_DIR_N} AS c FROM bib_flat)
-SELECT bib_id, '{{' || '"alma_bib_id":"' || bib_id || '"'
+SELECT bib_id, '{{' || '"bib_id":"' || bib_id || '"'
   || ',"title":' || {_jarr('a245')}
   || coalesce(',"alternative_titles":' || {_jarr('a246')}, '')
   || coalesce(',"episode_titles":' || {_jarr('p245')}, '')
@@ -238,17 +238,17 @@ MONOGRAPH_SQL = cte("holdings", "inventory", "bib_flat") + f"""
                          OR coalesce(form1 IN ({_NONMONO_FORMS}), false) OR coalesce(form2 IN ({_NONMONO_FORMS}), false)
                          OR coalesce(form1 = 'Anthologies' AND form2 = 'Short films', false)) END AS mono,
           list_transform(list_filter({_TYPE_LIST}, lambda t: contains(lower(coalesce(production_type, '')), lower(t))),
-                         lambda t: {_TYPE_MAP}) AS fm,
+                         lambda t: {_TYPE_MAP}) AS inv_forms,
           list_transform(list_filter([{_bib_form('form1', 'form1_source')}, {_bib_form('form2', None)}],
-                                     lambda f: f IS NOT NULL), lambda f: {_FORM_MAP}) AS alma
+                                     lambda f: f IS NOT NULL), lambda f: {_FORM_MAP}) AS bib_forms
         FROM j)
 , r AS (SELECT mms_id,
-          list_sort(list_distinct(list_filter(alma, lambda x: list_contains(fm, x)))) AS common,
-          list_sort(list_distinct(list_filter(alma, lambda x: NOT list_contains(fm, x)))) AS ua,
-          list_sort(list_distinct(list_filter(fm, lambda x: NOT list_contains(alma, x)))) AS uf
+          list_sort(list_distinct(list_filter(bib_forms, lambda x: list_contains(inv_forms, x)))) AS common,
+          list_sort(list_distinct(list_filter(bib_forms, lambda x: NOT list_contains(inv_forms, x)))) AS ua,
+          list_sort(list_distinct(list_filter(inv_forms, lambda x: NOT list_contains(bib_forms, x)))) AS uf
         FROM c WHERE mono)
-SELECT mms_id, array_to_string(common, '|') AS common, array_to_string(ua, '|') AS unique_alma,
-       array_to_string(uf, '|') AS unique_fm
+SELECT mms_id, array_to_string(common, '|') AS common, array_to_string(ua, '|') AS unique_bib,
+       array_to_string(uf, '|') AS unique_inventory
 FROM r WHERE len(ua) > 0 OR len(uf) > 0
 """
 
@@ -263,10 +263,10 @@ def monograph_report(spark, sf_dir):
     mono = withbib.filter(MC.is_monograph(F.col("production_type")))
     cmp = MC.compare_forms(MC.bib_forms(), MC.inventory_forms(F.col("production_type")))
     out = mono.select("mms_id", cmp.alias("c"))
-    out = out.filter((F.size("c.unique_alma") > 0) | (F.size("c.unique_fm") > 0))  # P11
+    out = out.filter((F.size("c.unique_bib") > 0) | (F.size("c.unique_inventory") > 0))  # P11
     return out.select("mms_id", F.array_join("c.common", "|").alias("common"),
-                      F.array_join("c.unique_alma", "|").alias("unique_alma"),
-                      F.array_join("c.unique_fm", "|").alias("unique_fm"))
+                      F.array_join("c.unique_bib", "|").alias("unique_bib"),
+                      F.array_join("c.unique_inventory", "|").alias("unique_inventory"))
 
 
 # --------------------------------------------------------------- S9 / H43 / A9
@@ -341,7 +341,7 @@ def monograph_funnel(spark, sf_dir):
         .filter(~F.col("bib_missing"))
     mono = withbib.filter(MC.is_monograph(F.col("production_type")))
     cmp = MC.compare_forms(MC.bib_forms(), MC.inventory_forms(F.col("production_type")))
-    mism = mono.select(cmp.alias("c")).filter((F.size("c.unique_alma") > 0) | (F.size("c.unique_fm") > 0))
+    mism = mono.select(cmp.alias("c")).filter((F.size("c.unique_bib") > 0) | (F.size("c.unique_inventory") > 0))
 
     def stage(name, df):
         return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")

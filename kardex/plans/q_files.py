@@ -241,7 +241,7 @@ def nested_resources(spark, sf_dir):
     # Numbers above the nesting bound keep their count; their resource ids
     # are in the long form (``resource_matches``).
     return nested.select("inventory_id", "inventory_no", "resources",
-                         F.array_join(F.transform("GoogleData", lambda x: x["pk"].cast("string")), "|")
+                         F.array_join(F.transform("matched_resources", lambda x: x["pk"].cast("string")), "|")
                          .alias("resource_pks"))
 
 

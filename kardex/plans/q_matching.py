@@ -29,14 +29,14 @@ PERFECT_SQL = cte("holdings", "inventory", "digital") + f"""
                min(file_folder_name) AS ff, min(sub_folder_name) AS sf, min(file_name) AS fn
         FROM digital GROUP BY 1 HAVING count(*) = 1)
 SELECT d.k AS inventory_number,
-       coalesce(CAST(h.holding_id AS VARCHAR), '') AS alma_holdings_id,
-       coalesce(CAST(i.inventory_id AS VARCHAR), '') AS fm_inventory_id,
-       coalesce(CAST(d.pk AS VARCHAR), '') AS dl_record_id,
-       coalesce(i.title, '') AS fm_title,
-       coalesce(d.ca, '') AS dl_carrier_a, coalesce(d.cal, '') AS dl_carrier_a_loc,
-       coalesce(d.cb, '') AS dl_carrier_b, coalesce(d.cbl, '') AS dl_carrier_b_loc,
-       coalesce(d.hd, '') AS dl_hard_drive_name, coalesce(d.ff, '') AS dl_file_folder_name,
-       coalesce(d.sf, '') AS dl_sub_folder_name, coalesce(d.fn, '') AS dl_file_name
+       coalesce(CAST(h.holding_id AS VARCHAR), '') AS holdings_id,
+       coalesce(CAST(i.inventory_id AS VARCHAR), '') AS inventory_record_id,
+       coalesce(CAST(d.pk AS VARCHAR), '') AS digital_record_id,
+       coalesce(i.title, '') AS inventory_title,
+       coalesce(d.ca, '') AS carrier_a, coalesce(d.cal, '') AS carrier_a_location,
+       coalesce(d.cb, '') AS carrier_b, coalesce(d.cbl, '') AS carrier_b_location,
+       coalesce(d.hd, '') AS hard_drive_name, coalesce(d.ff, '') AS file_folder_name,
+       coalesce(d.sf, '') AS sub_folder_name, coalesce(d.fn, '') AS file_name
 FROM d JOIN h ON h.k = d.k JOIN i ON i.k = d.k
 ORDER BY inventory_number
 """

@@ -17,11 +17,11 @@ def test_cli_perfect_matches_and_codes(spark, tmp_path):
     _write(d + "/h.csv", "﻿MMS Id,Holding Id,Permanent Call Number\n1,h1,M 10\n2,h2,M11\n3,h3,M 11\n")
     _write(d + "/dl.json", json.dumps([{"model": "m", "pk": 5, "fields": {"inventory_number": "M10",
                                                                          "file_name": "a.mov"}}]))
-    _write(d + "/fm.json", json.dumps([{"inventory_id": 7, "inventory_no": "m10 ", "title": "T"}]))
+    _write(d + "/inventory.json", json.dumps([{"inventory_id": 7, "inventory_no": "m10 ", "title": "T"}]))
     assert main(["perfect-matches", "--holdings", d + "/h.csv", "--digital", d + "/dl.json",
-                 "--inventory", d + "/fm.json", "--out", d + "/pm"], spark) == 0
+                 "--inventory", d + "/inventory.json", "--out", d + "/pm"], spark) == 0
     rows = spark.read.option("header", True).csv(d + "/pm").collect()
-    assert [(r.inventory_number, r.alma_holdings_id, r.fm_inventory_id, r.dl_record_id) for r in rows] == [
+    assert [(r.inventory_number, r.holdings_id, r.inventory_record_id, r.digital_record_id) for r in rows] == [
         ("M10", "h1", "7", "5")]
     _write(d + "/tapes.csv", "Legacy Path,x\nHFA27M_Reel,1\nXFE4098M_XFF104M_Final,2\nnone,3\n")
     assert main(["extract-codes", "--sheet", d + "/tapes.csv", "--out", d + "/codes"], spark) == 0
@@ -33,11 +33,11 @@ def test_cli_perfect_matches_and_codes(spark, tmp_path):
 def test_cli_match_report_and_duplicates(spark, tmp_path):
     d = str(tmp_path)
     _write(d + "/h.csv", "MMS Id,Holding Id,Permanent Call Number\n1,h1,M 10\n2,h2,M10\n3,h3,M12\n")
-    _write(d + "/fm.json", json.dumps([{"inventory_id": 7, "inventory_no": "m10"},
+    _write(d + "/inventory.json", json.dumps([{"inventory_id": 7, "inventory_no": "m10"},
                                        {"inventory_id": 8, "inventory_no": "M13"},
                                        {"inventory_id": 9, "inventory_no": "M13"}]))
     _write(d + "/sheet.csv", "Legacy Path,Inventory Number [EXTRACTED]\n/a,M10\n/b,M13\n/a,M12|M13\n")
-    assert main(["match-report", "--holdings", d + "/h.csv", "--inventory", d + "/fm.json",
+    assert main(["match-report", "--holdings", d + "/h.csv", "--inventory", d + "/inventory.json",
                  "--sheet", d + "/sheet.csv", "--out", d + "/report"], spark) == 0
     rep = spark.read.option("header", True).csv(d + "/report")
     sections = {r.section.split(")")[0] for r in rep.select("section").distinct().collect()}

@@ -67,7 +67,7 @@ def test_path_lists_and_headerless(spark, tmp_path):
     _write(p, "  /a/b/c.mov \n/a/.hidden\n/x/y.json\n")
     paths = R.read_path_lists(spark, p)
     assert [r.path for r in paths.collect()] == ["/a/b/c.mov", "/a/.hidden", "/x/y.json"]
-    c = str(tmp_path / "fm.csv")
+    c = str(tmp_path / "inventory_types.csv")
     _write(c, "inventory_no,production_type\nM1,SHORT\n")
     df = R.read_headerless_csv(spark, c, ["inventory_no", "production_type"])
     assert df.count() == 2  # the header line is data, as in the reference
@@ -169,11 +169,11 @@ def test_tsv_single_document_and_nested_xml(spark, tmp_path):
     row_matches, key_res = match_resources(rows, res)
     assert sorted(r.inventory_id for r in row_matches.collect()) == [1, 2, 4]
     assert sorted((r.title, r.inventory_rows) for r in key_res.collect()) == [("r1", 2), ("r2", 2), ("r3", 1)]
-    capped = {r.inventory_id: (r.resources, r.GoogleData) for r in
+    capped = {r.inventory_id: (r.resources, r.matched_resources) for r in
               nest_matches(rows, res, ["title"], max_items=1).collect()}
     assert capped[1] == (2, None) and capped[2][0] == 1  # over the bound: count kept, list in long form
     nested_all = nest_matches(rows, res, ["title"])
-    got = {r.inventory_id: [g.title for g in r.GoogleData] for r in nested_all.collect()}
+    got = {r.inventory_id: [g.title for g in r.matched_resources] for r in nested_all.collect()}
     assert got == {1: ["r2", "r1"], 2: ["r3"], 4: ["r2", "r1"]}
     W.write_nested_xml(nested_all, str(tmp_path / "nx"))
     back = R.read_xml_rows(spark, str(tmp_path / "nx"), "ROW")

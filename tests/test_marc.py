@@ -130,7 +130,7 @@ def test_monograph_rules(spark):
     assert got == [(True, []), (False, ["Feature films", "Shorts"]), (False, [])]
     cmp = spark.range(1).select(MC.compare_forms(F.array(F.lit("b"), F.lit("a")),
                                                  F.array(F.lit("a"), F.lit("c"))).alias("c")).first().c
-    assert (cmp.common, cmp.unique_alma, cmp.unique_fm) == (["a"], ["b"], ["c"])
+    assert (cmp.common, cmp.unique_bib, cmp.unique_inventory) == (["a"], ["b"], ["c"])
 
 
 def test_pick_fields_and_replace_subfield(spark):

@@ -128,7 +128,7 @@ def test_perfect_matches(spark):
                               "inventory_id int, inventory_no string, title string")
     d = spark.createDataFrame([(100, "M1"), (101, "M2"), (102, "M2"), (103, "M3")], "pk int, inventory_number string")
     out = M.perfect_matches(h, d, i).collect()
-    assert [(r.inventory_number, r.alma_holdings_id, r.fm_inventory_id, r.dl_record_id, r.fm_title) for r in out] == [
+    assert [(r.inventory_number, r.holdings_id, r.inventory_record_id, r.digital_record_id, r.inventory_title) for r in out] == [
         ("M1", "h1", "10", "100", "T1")]
 
 
