@@ -116,8 +116,12 @@ def _iso(y: Column, m: Column, d: Column | None = None) -> Column:
     if d is None:
         ok = m.between(1, 12)
         return F.when(ok, F.format_string("%04d-%02d", y, m))
-    date = F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), "yyyy-MM-dd")
-    return F.date_format(date, "yyyy-MM-dd")
+    # Out-of-range parts never reach the parser (its failure path is costly);
+    # only days 29-31 need a calendar check.
+    ok = m.between(1, 12) & d.between(1, 31) & y.between(1, 9999)
+    text = F.format_string("%04d-%02d-%02d", y, m, d)
+    checked = F.date_format(F.try_to_date(text, "yyyy-MM-dd"), "yyyy-MM-dd")
+    return F.when(ok, F.when(d <= 28, text).otherwise(checked))
 
 
 def _int(c: Column) -> Column:
