@@ -29,7 +29,16 @@ def require_columns(df: DataFrame, names) -> DataFrame:
     return df
 
 
-def preview_fields(df: DataFrame, names) -> DataFrame:
+# Inventory fields shown in a record preview, in order.
+PREVIEW_FIELDS = [
+    "type", "inventory_no", "inventory_id", "format_type", "title", "aka", "director",
+    "episode_title", "production_type", "Acquisition type", "Alma", "availability",
+    "release_broadcast_year", "notes", "element_info", "spac", "episode no.", "film base",
+    "donor_code",
+]
+
+
+def preview_fields(df: DataFrame, names=PREVIEW_FIELDS) -> DataFrame:
     """Keep those of ``names`` that exist, in the given order."""
     return df.select(*[F.col(f"`{n}`") for n in names if n in df.columns])
 

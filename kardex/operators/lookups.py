@@ -92,14 +92,14 @@ def lookup_exactly_one(keys: DataFrame, table: DataFrame, key: str, table_key: s
     """Per key, status ``missing`` / ``ambiguous`` / ``ok`` and the
     matched row's ``cols`` (prefixed) when ok.  Status rows replace the
     reference's process exit."""
-    agg = table.groupBy(F.col(table_key).alias("__tk")).agg(
+    agg = table.groupBy(F.col(f"`{table_key}`").alias("__tk")).agg(
         F.count(F.lit(1)).alias("__n"),
-        F.any_value(F.struct(*[F.col(c) for c in cols])).alias("__row"))
-    j = keys.join(agg, F.col(key) == F.col("__tk"), "left")
+        F.any_value(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])).alias("__row"))
+    j = keys.join(agg, F.col(f"`{key}`") == F.col("__tk"), "left")
     status = (F.when(F.col("__n").isNull(), "missing")
                .when(F.col("__n") > 1, "ambiguous").otherwise("ok"))
-    sel = [F.when(F.col("__n") == 1, F.col(f"__row.{c}")).alias(f"{prefix}{c}") for c in cols]
-    return j.select(*[F.col(c) for c in keys.columns], status.alias(f"{prefix}status"), *sel)
+    sel = [F.when(F.col("__n") == 1, F.col("__row")[c]).alias(f"{prefix}{c}") for c in cols]
+    return j.select(*[F.col(f"`{c}`") for c in keys.columns], status.alias(f"{prefix}status"), *sel)
 
 
 def assemble_new_media(batch: DataFrame, items: DataFrame, inventory: DataFrame,

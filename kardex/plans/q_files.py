@@ -268,3 +268,36 @@ def call_number_changes(spark, sf_dir):
     from kardex.operators.changes import call_number_changes as plan
     from kardex.plans.marc_fixture import holdings_records
     return plan(holdings_records(load(spark, sf_dir, "holdings")))
+
+
+# ----------------------------------------------------------------- P4 + J10
+def _preview_cols(spark, sf_dir):
+    from kardex.operators.keys import preview_fields
+    return preview_fields(load(spark, sf_dir, "layout_records")).columns
+
+
+def _preview_sql() -> str:
+    from kardex.operators.keys import PREVIEW_FIELDS
+    from kardex.plans.bindings import BINDINGS
+    present = [e.rsplit(" AS ", 1)[1].strip('"') for e in BINDINGS["layout_records"][1]]
+    cols = [c for c in PREVIEW_FIELDS if c in present]
+    q = lambda c: '"' + c + '"'
+    sel = ", ".join(f"CASE WHEN n = 1 THEN r.{q(c)} END AS {q('inv_' + c)}" for c in cols)
+    return cte("layout_records", "sheet") + f"""
+, k AS (SELECT DISTINCT inventory_value AS key FROM sheet
+        WHERE inventory_value IS NOT NULL AND strpos(inventory_value, '|') = 0)
+, g AS (SELECT inventory_no, count(*) AS n, min(inventory_id) AS mid FROM layout_records GROUP BY inventory_no)
+SELECT k.key, CASE WHEN g.n IS NULL THEN 'missing' WHEN g.n > 1 THEN 'ambiguous' ELSE 'ok' END AS inv_status, {sel}
+FROM k LEFT JOIN g ON g.inventory_no = k.key
+LEFT JOIN layout_records r ON g.n = 1 AND r.inventory_id = g.mid
+"""
+
+
+@register("inventory_preview", _preview_sql())
+def inventory_preview(spark, sf_dir):
+    """J10 + P4: per single spreadsheet number, exactly-one inventory lookup
+    and the preview fields present in the inventory table."""
+    keys = (load(spark, sf_dir, "sheet").select(F.col("inventory_value").alias("key"))
+            .filter(F.col("key").isNotNull() & ~F.col("key").contains("|")).distinct())
+    recs = load(spark, sf_dir, "layout_records")
+    return LK.lookup_exactly_one(keys, recs, "key", "inventory_no", "inv_", _preview_cols(spark, sf_dir))
