@@ -43,12 +43,18 @@ def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_asset_docs(assets: DataFrame, path: str, single_document: bool = False,
-                     mode: str = "overwrite") -> None:
+                     mode: str = "overwrite", max_document_rows: int = 100_000) -> None:
     """K3: assets as JSON lines (distributed).  ``single_document`` writes one
-    ``{"media": {"assets": [...]}}`` file - only for one bounded batch."""
+    ``{"media": {"assets": [...]}}`` file, which is one batch in one task: the
+    rows are counted first and a batch above ``max_document_rows`` is refused
+    (write JSON lines instead) rather than funnelled through one task."""
     if not single_document:
         assets.write.mode(mode).json(path)
         return
+    n = assets.count()
+    if n > max_document_rows:
+        raise ValueError(f"{n} assets exceed the single-document bound ({max_document_rows}); "
+                         "write JSON lines (single_document=False) instead.")
     doc = assets.agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in assets.columns])).alias("assets")) \
         .select(F.struct("assets").alias("media"))
     doc.coalesce(1).write.mode(mode).json(path)
