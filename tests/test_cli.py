@@ -44,3 +44,33 @@ def test_cli_match_report_and_duplicates(spark, tmp_path):
     assert sections == {"S4", "S1", "M2"}
     assert main(["duplicates", "--sheet", d + "/sheet.csv", "--out", d + "/dups"], spark) == 0
     assert spark.read.option("header", True).csv(d + "/dups").count() == 2
+
+
+def test_cli_validate_standardise_files_xml(spark, tmp_path):
+    d = str(tmp_path)
+    recs = [{"inventory_id": 1, "inventory_no": "M1", "digital_record": "0", "production_type": "TELEVISION SERIES",
+             "Language": "", "record_date": "ca. 1950", "user_last_modified": "u", "date_modified": "2024-01-02"},
+            {"inventory_id": 2, "inventory_no": "M2", "digital_record": "0", "production_type": "SHORT",
+             "Language": "English", "record_date": "1999", "user_last_modified": "u", "date_modified": "2024-03-02"}]
+    _write(d + "/recs.json", json.dumps(recs))
+    assert main(["validate", "--records", d + "/recs.json", "--layout", "InventoryForLabeling_API",
+                 "--modified-column", "date_modified", "--start", "2024-01-01", "--end", "2024-01-31",
+                 "--out", d + "/v"], spark) == 0
+    v = spark.read.option("header", True).csv(d + "/v/InventoryForLabeling_API")
+    assert sorted(r.field for r in v.collect()) == ["Language", "episode no.", "episode_title"]
+    assert main(["standardise", "--records", d + "/recs.json", "--fields", "record_date,Language",
+                 "--as-of-year", "2026", "--out", d + "/c"], spark) == 0
+    c = spark.read.parquet(d + "/c")
+    assert sorted((r.inventory_id, r.field, r.new_value) for r in c.collect()) == [
+        (1, "Language", "Undetermined"), (1, "record_date", "1950?")]
+    _write(d + "/lists/a.txt", "/vol/x/a.mov\n/vol/x/meta.json\n/vol/y/b.MP4\n")
+    _write(d + "/meta/m.json", json.dumps({"media": {"assets": [{"uuid": "u1", "file_name": "a.mov"},
+                                                                {"uuid": "u2", "file_name": ""}]}}))
+    assert main(["filename-mismatches", "--file-lists", d + "/lists", "--metadata", d + "/meta",
+                 "--out", d + "/fn"], spark) == 0
+    fn = spark.read.option("header", True).csv(d + "/fn")
+    assert sorted((r.section, r.filename) for r in fn.collect()) == [
+        ("file_lists_not_metadata", "b.MP4"), ("metadata_not_file_lists", "NO FILE NAME (u2)")]
+    _write(d + "/xml/a.xml", "<doc><row><a>x</a></row><row><a>y</a></row></doc>")
+    assert main(["xml-to-json", "--input", d + "/xml", "--row-tag", "row", "--out", d + "/js"], spark) == 0
+    assert sorted(r.a for r in spark.read.json(d + "/js").collect()) == ["x", "y"]
