@@ -149,3 +149,13 @@ def test_more_fixed_date_forms(spark):
         ("September 5th, 1999", "1999-09-05"), ("31 February 1999", "31 February 1999"),
         ("13/25/1999", "13/25/1999"), ("25/12/1999", "1999-12-25"), ("1999; 2000", "1999; 2000"),
     ])
+
+
+def test_needs_review_flags_free_text(spark):
+    from kardex.functions.dates import needs_review
+    vals = [("1999", False), ("1999-06", False), ("1999-06-05", False), ("c1999", False), ("199-?", False),
+            ("1920 or 1930", False), ("1955/1956", False), ("Unknown", False), ("N/A", False),
+            ("FALL 1978", True), ("MAY 7,8 & 9", True), ("", False)]
+    df = spark.createDataFrame(vals, "v string, e boolean")
+    got = [(r.v, r.g) for r in df.select("v", needs_review(F.col("v")).alias("g")).collect()]
+    assert got == [(v, e) for v, e in vals]
