@@ -116,3 +116,16 @@ def write_if_valid(assets: DataFrame, problems: DataFrame, path: str, **kw) -> D
         return problems
     write_asset_docs(assets, path, **kw)
     return None
+
+
+def write_keyed_table(df: DataFrame, key: str, table: str, buckets: int, path: str | None = None,
+                      mode: str = "overwrite") -> None:
+    """Store a source keyed for repeated reconciliation runs: bucketed and
+    sorted by the normalised key, so later joins and aggregations on that key
+    read co-partitioned buckets and skip the shuffle.  Both sides of a join
+    need the same bucket count.  ``path`` places the table data in shared
+    storage."""
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)

@@ -1,0 +1,32 @@
+"""Keyed (bucketed) source tables: a join on the key needs no exchange."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from kardex.functions.text import holdings_key, inventory_key
+from kardex.plans.bindings import load
+from kardex.sinks.writers import write_keyed_table
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_bucketed_sources_join_without_shuffle(spark, tmp_path):
+    tag = uuid.uuid4().hex[:8]
+    h = load(spark, SF, "holdings").select(holdings_key("call_number").alias("key"), "holding_id")
+    i = load(spark, SF, "inventory").select(inventory_key("inventory_no").alias("key"), "inventory_id")
+    write_keyed_table(h, "key", f"holdings_{tag}", 8, str(tmp_path / "h"))
+    write_keyed_table(i, "key", f"inventory_{tag}", 8, str(tmp_path / "i"))
+    hb, ib = spark.table(f"holdings_{tag}"), spark.table(f"inventory_{tag}")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = hb.join(ib, "key")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        exp = h.join(i, "key").count()
+        assert joined.count() == exp
+        counts = hb.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        assert "Exchange hashpartitioning" not in counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
