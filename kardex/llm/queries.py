@@ -8,8 +8,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kardex.llm import simhash
-from kardex.llm.common import read
+from kardex.llm import crosspolytope, decontaminate, langid, mixing, ngram_lm, pii, simhash, substring, toxicity, warc
+from kardex.llm.common import crc_mod, read
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = warc.archive(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return warc.read_archives(spans, with_data=False).where("last").select(
+        F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+#: Key of the registered query; a real run passes its own secret.
+PII_KEY = "kardex-test-key"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read(spark, sf_dir, "documents", "doc_id", "text"), PII_KEY)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +53,57 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_lm.score(read(spark, sf_dir, "documents", "doc_id", "text"), crc_mod(F.col("id"), 7) != 2)
+    return found.select(F.col("id").alias("doc_id"), (crc_mod(F.col("id"), 7) == 2).alias("held_out"), "n_tokens",
+                        "n_known", "train_tokens", "base_score", "score")
+
+
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = crosspolytope.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+                        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, _ = mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents", "doc_id", "text"),
+                                        read(spark, sf_dir, "benchmark"))
+    return decontaminate.with_digest(found).select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return left.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"), (crc_mod(F.col("id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_langid": op2_langid,
+    "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
+    "op5_ngram_lm": op5_ngram_lm,
+    "op6_embeddings": op6_embeddings,
+    "op7_mixing": op7_mixing,
+    "op8_decontamination": op8_decontamination,
+    "op9_substring": op9_substring,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc": OP1_SQL,
+}
