@@ -10,6 +10,7 @@ There is no shuffle, and no document is cut.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -19,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.llm.common import SLICE_ROWS, field, texts
+from kardex.llm.common import SLICE_ROWS, field, texts, without
 from kardex.llm.fm_index import FMIndex
 
 #: Word bytes: lower-cased letters, digits and everything beyond ASCII.
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
                   for c in range(256))
 
+_WORD = re.compile(rb"[^ ]+")
+
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_TO_WORDS).split() if text else []
@@ -88,98 +91,136 @@ def _scan(phrases: Phrases, docs: list[bytes | None], sample: int):
     return counts, spans, found
 
 
-def _one_block(docs: DataFrame, items: list[tuple[str, bytes | None]], id_col: str, text_col: str,
-               window: int, shard_words: int, sample: int) -> DataFrame:
-    schema = T.StructType([
-        field(docs, id_col, "id"), T.StructField("h", T.LongType()), T.StructField("n_words", T.LongType()),
-        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
-                                                         T.StructField("end", T.LongType())]))),
-        T.StructField("items", T.ArrayType(T.StringType()))])
+def _with_block(docs: DataFrame, items: list[tuple[str, bytes | None]], text_col: str, keep_text: bool, window: int,
+                shard_words: int, sample: int) -> DataFrame:
+    """The columns of ``docs`` (``text_col`` only if kept) with ``n_words,
+    spans, items`` of this block, joined to those of earlier blocks."""
+    kept = [c for c in docs.columns if c not in _MARKS and (keep_text or c != text_col)]
+    earlier = "spans" in docs.columns
+    schema = T.StructType([*[field(docs, c) for c in kept], *_MARK_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         phrases, out = Phrases(items, window), to_arrow_schema(schema)
-        ids: list[pa.RecordBatch] = []
+        parts: list[pa.RecordBatch] = []
         shard: list[bytes | None] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
             counts, spans, found = _scan(phrases, shard, sample)
+            table = pa.Table.from_batches(parts)
+            if earlier:
+                spans = [_join(a, [(x["start"], x["end"]) for x in b])
+                         for a, b in zip(spans, table.column("spans").to_pylist())]
+                found = [a.union(b) for a, b in zip(found, table.column("items").to_pylist())]
             rows = [[{"start": s, "end": e} for s, e in doc] for doc in spans]
-            keys = [pa.concat_arrays([b.column(k) for b in ids]).cast(out.field(k).type) for k in (0, 1)]
+            columns = [table.column(i).combine_chunks().cast(out.field(i).type) for i in range(len(kept))]
             return pa.RecordBatch.from_arrays(
-                [*keys, pa.array(counts, pa.int64()), pa.array(rows, out.field(3).type),
-                 pa.array([sorted(f) for f in found], out.field(4).type)], schema=out)
+                [*columns, pa.array(counts, pa.int64()), pa.array(rows, out.field("spans").type),
+                 pa.array([sorted(f) for f in found], out.field("items").type)], schema=out)
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
-                ids.append(part.select([0, 1]))
-                values = texts(part.column(2))
+                values = texts(part.column(part.num_columns - 1))
+                parts.append(part.select(range(part.num_columns - 1)))
                 shard += values
                 size += sum(len(v) // 6 for v in values if v)
                 if size >= shard_words:
                     yield flush()
-                    ids, shard, size = [], [], 0
+                    parts, shard, size = [], [], 0
         if shard:
             yield flush()
 
-    return docs.select(id_col, F.xxhash64(text_col).alias("__h"), text_col).mapInArrow(run, schema)
+    marks = ["spans", "items"] if earlier else []
+    columns = [F.col(f"`{c}`") for c in [*kept, *marks]]
+    return docs.select(*columns, F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, schema)
 
 
-def _merged(found: DataFrame, blocks: int) -> DataFrame:
-    """One row per document again, from one row per document and block."""
-    schema = found.drop("h").schema
+_MARKS = ("n_words", "spans", "items")
+_MARK_FIELDS = [
+    T.StructField("n_words", T.LongType()),
+    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
+                                                     T.StructField("end", T.LongType())]))),
+    T.StructField("items", T.ArrayType(T.StringType()))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
 
-        out = to_arrow_schema(schema)
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                spans: list[dict] = []
-                for span in sorted(row["spans"], key=lambda s: s["start"]):
-                    if spans and span["start"] <= spans[-1]["end"]:
-                        spans[-1]["end"] = max(spans[-1]["end"], span["end"])
-                    else:
-                        spans.append(span)
-                rows += [{"id": row["id"], "n_words": row["n_words"], "spans": spans,
-                          "items": sorted(set(row["items"]))}] * (row["n"] // blocks)
-            yield pa.RecordBatch.from_pylist(rows, schema=out)
-
-    return found.groupBy("id", "h", "n_words").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"),
-        F.count("*").alias("n")).mapInArrow(run, schema)
+def _join(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Union of two lists of ranges."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted([*a, *b]):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], end)
+        else:
+            out.append((start, end))
+    return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", window: int = 13,
-                  shard_words: int = 1 << 20, sample: int = 32, block_bytes: int = 64 << 20) -> DataFrame:
-    """One row per document: ``id, n_words, spans, items``.
+def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+         item_text_col: str = "text", window: int = 13, shard_words: int = 1 << 20, sample: int = 32,
+         block_bytes: int = 64 << 20, keep_text: bool = True) -> DataFrame:
+    """The rows of ``docs`` with ``n_words, spans, items`` (columns of these
+    names are replaced).
 
     ``spans`` are the merged word ranges ``[start, end)`` inside occurrences of
     a ``window``-word phrase (an item with fewer words, but not none, is one
     phrase); ``items`` the ids, as sorted strings, of the items found.
 
     The test set goes to the tasks whole only up to ``block_bytes`` of text;
-    beyond, it is cut into blocks by id, searched one after the other, and the
-    spans are merged.  Defined cases: null and empty texts have no words and
-    match nothing; a null item id counts as the text ``null``; rows that repeat
-    stay; an empty table on either side gives no rows, or rows without spans.
+    beyond, it is cut into blocks by a hash of the id, searched one after the
+    other, and the spans are joined.  Defined cases: null and empty texts have
+    no words and match nothing; a null item id counts as the text ``null``;
+    rows that repeat stay; an empty table on either side gives no rows, or
+    rows without spans.
     """
     wanted = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
                               F.col(item_text_col).cast("string").alias("text")).where("text is not null")
     total = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    found = None
+    marked = without(docs, *_MARKS)
     for block in range(blocks):
-        some = wanted.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block) if blocks > 1 else wanted
+        some = wanted.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else wanted
         items = sorted((r["item"], r["text"].encode()) for r in some.toLocalIterator())
-        marked = _one_block(docs, items, id_col, text_col, window, shard_words, sample)
-        found = marked if found is None else found.unionAll(marked)
-    return found.drop("h") if blocks == 1 else _merged(found, blocks)
+        last = block == blocks - 1
+        marked = _with_block(marked, items, text_col, keep_text or not last, window, shard_words, sample)
+    return marked
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  **more) -> DataFrame:
+    """``mark`` with the id alone: ``id, n_words, spans, items``."""
+    return mark(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("__body")), benchmark, "__body",
+                keep_text=False, **more)
+
+
+def cut_spans(marked: DataFrame, text_col: str = "text") -> DataFrame:
+    """Removes the marked words from the text, and what lies between them."""
+    schema = T.StructType([f for f in marked.schema.fields if f.name not in _MARKS])
+    names = [f.name for f in schema.fields]
+    at_text = names.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out = to_arrow_schema(schema)
+        for batch in batches:
+            columns = [c.cast(f.type) for c, f in zip(batch.columns, out)]
+            new = [without_spans(t, s) if s else None if t is None else t.decode()
+                   for t, s in zip(texts(batch.column(at_text)), batch.column(len(names)).to_pylist())]
+            columns[at_text] = pa.array(new, out.field(at_text).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=out)
+
+    return marked.select(*[F.col(f"`{c}`") for c in names], "spans").mapInArrow(run, schema)
+
+
+def without_spans(text: bytes, spans: list[dict]) -> str:
+    words = [m.span() for m in _WORD.finditer(text.translate(_TO_WORDS))]
+    out, at = [], 0
+    for span in spans:
+        out.append(text[at:words[span["start"]][0]])
+        at = words[span["end"] - 1][1]
+    return b"".join([*out, text[at:]]).decode()
 
 
 def with_digest(found: DataFrame, share: int = 20) -> DataFrame:

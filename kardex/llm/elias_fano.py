@@ -128,17 +128,14 @@ def unpack(buffer) -> list[np.ndarray]:
 
 
 def quantise(logs: np.ndarray, bits: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Codes 1.. and the bins (bin 0 unused): equal-frequency bins of the
-    distinct values, each standing for its members' mean."""
-    values, index, times = np.unique(logs, return_inverse=True, return_counts=True)
-    most = (1 << bits) - 1
-    if len(values) <= most:
-        code = np.arange(len(values))
-    else:
-        code = np.minimum((np.cumsum(times) - times) * most // max(1, len(logs)), most - 1)
-        code = np.unique(code, return_inverse=True)[1]
-    bins = np.bincount(code, weights=values * times) / np.maximum(1, np.bincount(code, weights=times))
-    return (code[index] + 1).astype(np.uint8), np.concatenate([[0.0], bins])
+    """Codes 1.. and the bins (bin 0 unused): equally wide bins of the
+    logarithms, each standing for its members' mean."""
+    if not len(logs):
+        return np.zeros(0, np.uint8), np.zeros(1)
+    most, low, high = (1 << bits) - 1, logs.min(), logs.max()
+    code = np.minimum(((logs - low) * (most / max(high - low, 1e-12))).astype(np.int64), most - 1)
+    bins = np.bincount(code, weights=logs, minlength=most) / np.maximum(1, np.bincount(code, minlength=most))
+    return (code + 1).astype(np.uint8), np.concatenate([[0.0], bins])
 
 
 class Trie:

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,7 +115,8 @@ def links(distinct: DataFrame, max_bits: int = 2, segments: int = 7, crowd: int
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     max_bits: int = 2, segments: int = 7, crowd: int = 64) -> DataFrame:
-    """One row per document: ``id, fp, component`` (smallest id reachable).
+    """One row per document: ``id, fp, component, group``: the smallest id
+    reachable, and a fingerprint that names the group.
 
     Defined cases: null or empty text has fingerprint zero and links like any
     other; a null id never becomes a component unless all its ids are null;
@@ -126,10 +127,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut(marks.groupBy("fp").agg(F.min("id").alias("low")))
     nodes = connected_components(links(classes.select("fp"), max_bits, segments, crowd)).withColumnRenamed("node", "fp")
     named = classes.join(nodes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    lowest = named.groupBy("component").agg(F.min(F.struct("component", F.struct("low"))).alias("r"),
+    lowest = named.groupBy("component").agg(F.max(F.struct("component")).alias("r"),
                                             F.min("low").alias("low")).select("r.component", F.col("low").alias("least"))
-    answer = named.join(lowest, "component").select("fp", "least")
-    return marks.join(answer, "fp").select("id", "fp", F.col("least").alias("component"))
+    answer = named.join(lowest, "component").select("fp", "component", "least")
+    return marks.join(answer, "fp").select("id", "fp", F.col("least").alias("component"), F.col("component").alias("group"))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of each group; of rows equal
+    in the id one stays (null ids come last)."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.xxhash64(*columns)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("key"), row.alias("row"))
+    found = near_duplicates(docs.select(key.alias("id"), F.col(text_col).alias("text")), "id", "text", **more)
+    kept = found.where(F.col("id") == F.col("component")).select(F.col("id.row").alias("__row")).distinct()
+    marked = docs.withColumn("__row", row)
+    # Rows equal in all columns share their hash; one of them stays.
+    first = F.row_number().over(Window.partitionBy("__row").orderBy(F.lit(1)))
+    return marked.join(kept, "__row").withColumn("__first", first).where("__first = 1").select(*columns)
 
 
 def as_hex(column: Column) -> Column:

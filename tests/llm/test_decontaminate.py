@@ -65,6 +65,17 @@ def test_awkward_rows_and_blocks(spark):
     assert all(r[2] == 0 for r in run(spark, docs, []))
 
 
+def test_spans_are_cut_from_the_text(spark):
+    long = " ".join(f"w{i}" for i in range(13))
+    d = spark.createDataFrame([(1, f"Ä, {long.upper()}! end", "a"), (2, None, "b"), (3, "two-words é", "c")],
+                              "doc_id long, text string, spans string")
+    b = spark.createDataFrame([(1, long), (2, "words")], "item_id long, text string")
+    for size in (1 << 20, 3):
+        cut = decontaminate.cut_spans(decontaminate.mark(d, b, block_bytes=size))
+        assert cut.columns == ["doc_id", "text"]
+        assert sorted(map(tuple, cut.collect())) == [(1, "Ä, ! end"), (2, None), (3, "two- é")]
+
+
 def test_index_finds_all_places():
     rng = random.Random(2)
     for n_symbols in (2, 3, 9):
