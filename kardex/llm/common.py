@@ -6,6 +6,7 @@ Word rule of most contracts: ``[^\\x20\\x09-\\x0D]+`` on UTF-8 text, which is
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -25,15 +26,14 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of
-    the session.  Only where it is unset (tests) a local folder is made."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="kardex-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    """The folder that driver and executors share, as a URI: this run's part of
+    ``spark.checkpoint.dir``.  Only where that is unset (tests) a local folder
+    is made."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="kardex-llm-"))
+    return re.sub(r"^file:/+", "file:///", context.getCheckpointDir())
 
 
 def cut(df: DataFrame) -> DataFrame:
