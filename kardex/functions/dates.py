@@ -51,64 +51,76 @@ def remove_brackets(c: Column) -> Column:
     return strip_brackets(c)
 
 
-def copyright_circa(c: Column) -> Column:
-    """Decades, copyright and circa forms, in the reference order.
-
-    Every pattern needs a letter or an apostrophe, so plain digit strings skip
-    the regex chain."""
-    return F.when(c.rlike("[A-Za-z'’‘]"), _copyright_circa(c)).otherwise(c)
-
-
-def _copyright_circa(c: Column) -> Column:
-    v = F.translate(c, "’‘", "''")
-    v = F.regexp_replace(v, r"(?i)([0-9]{3})0['’]s\??", "$1-?")
-    v = F.regexp_replace(v, r"(?i)^(?:circa|ca\.?|c\.? )\s*(?=[0-9]{3}-\?)", "")
-    v = F.regexp_replace(v, r"(?i)c(?:opyright)?\.?\s*([0-9]{4})\b\.?", "c$1")
-    v = F.regexp_replace(v, r"(?i)circa\s+([0-9]{4})\s*[-–]\s*([0-9]{4})", "$1 or $2")
-    v = F.regexp_replace(v, r"(?i)(?:circa|ca\.?|c\.)\s*([0-9]{3})0s\b\??", "$1-?")
-    v = F.regexp_replace(v, r"(?i)\b(?:circa|ca\.?|c\.)\s*([0-9]{4})\b", "$1?")
-    v = F.regexp_replace(v, r"(?i)([0-9]{4})\s*(?:circa|ca\.?|c\.?)\b", "$1?")
-    return strip(v)
+# One year expression: a mark before it (1), the year, whose last digits may be
+# unknown (2), a decade ending (3), a dash (4) with what follows it (5), a mark
+# after it (6), a full stop (7).
+_YEAR = (r"(?i)(?<![a-z0-9])((?:circa|copyright|ca\.?|c\.?)\s*)?(\d{4}|\d{3}[ux]|\d{2}[ux]{2})(?![0-9])('?s\b\??)?"
+         r"(?:(\s*[-–]\s*)(\d{3}0s\b|\d{4}\b|[ux]+\b|\d{2}\b))?(\s*(?:circa|ca|c)\b)?(\.)?")
+
+# Endings of a partial year, by its known digits and what follows.
+PARTIAL_ENDINGS = {"2": "--?", "2-": "--", "2??": "--?", "3": "-?", "30s": "-"}
+
+
+def year_expressions(c: Column) -> Column:
+    """H19b, H19d, H19e: every year expression of a value is read into its
+    parts once and written in the controlled form; other text stays."""
+    def rewrite(v: Column) -> Column:
+        pieces = F.regexp_extract_all(v, F.lit(_YEAR), 0)
+        between = F.split(v, _YEAR, -1)
+        return F.array_join(F.zip_with(between, F.transform(pieces, _render_year), lambda t, y: F.concat(
+            t, F.coalesce(y, F.lit("")))), "")
+
+    plain = F.translate(c, "’‘", "''")
+    return strip(F.when(plain.rlike(_YEAR), let(plain, rewrite)).otherwise(plain))
+
+
+def _render_year(piece: Column) -> Column:
+    part = lambda i: F.regexp_extract(piece, _YEAR, i)
+    year, decade, dash, tail = part(2), part(3), part(4), F.lower(part(5))
+    mark = F.lower(strip(part(1)))
+    stem = F.regexp_replace(year, "[UuXx]+", "")
+    digits = F.length(stem)
+    about = mark.isin("circa", "ca", "ca.")
+    copyright_ = mark.isin("c", "c.", "copyright")
+    first = F.substring(stem, 1, 2)
+    hyphen, to_year = dash == "-", tail.rlike(r"^\d{4}$")
+    to_unknown, to_short = hyphen & tail.rlike("^[ux]+$"), hyphen & tail.rlike(r"^\d{2}$")
+
+    # A decade: "1920's", or "1920s" after a circa mark.
+    quoted = decade.startswith("'")
+    kept = F.when(about | mark.isin("c", "c."), F.lit("")).otherwise(part(1))
+    rest = F.concat(dash, part(5), part(6), part(7))
+    as_decade = F.when(quoted | about | (mark == "c."), F.concat(kept, F.substring(stem, 1, 3), F.lit("-?"), rest))
+    is_decade = (decade != "") & (digits == 4) & stem.endswith("0")
+
+    # Unknown digits; an unknown end of the range adds nothing.
+    two = F.concat(part(1), stem, F.when(to_year & hyphen, F.concat(F.lit("--?-"), tail)).when(
+        to_unknown, "--?").otherwise(F.concat(F.lit("--?"), dash, part(5))), part(6), part(7))
+    three = F.concat(part(1), stem, F.when(to_unknown, "-?").otherwise(F.concat(F.lit("-"), dash, part(5))), part(6), part(7))
+
+    # A whole year, with its mark, and the end of a range in full.
+    marked = (F.when(about, F.concat(stem, F.lit("?"))).when(copyright_, F.concat(F.lit("c"), stem))
+              .when(part(6) != "", F.concat(part(1), stem, F.lit("?"))).otherwise(F.concat(part(1), stem)))
+    end = (F.when(tail == "", "")
+           .when(to_year & dash.contains("-"), F.concat(F.lit("-"), tail))
+           .when(hyphen & tail.endswith("0s"), F.concat(F.lit("-"), F.substring(tail, 1, 4)))
+           .when(to_unknown, "")
+           .when(to_short & ~tail.between("01", "12"), F.concat(F.lit("-"), first, tail))
+           .otherwise(F.concat(dash, part(5))))
+    span = F.concat(stem, F.lit(" or "), tail)
+    stop = F.when(copyright_, F.lit("")).otherwise(part(7))
+    whole = F.when((mark == "circa") & to_year, F.concat(span, part(7))).otherwise(F.concat(marked, decade, end, stop))
+    return (F.when(is_decade, F.coalesce(as_decade, piece)).when(digits == 2, two).when(digits == 3, three)
+             .otherwise(whole))
 
 
 def partial_years(c: Column) -> Column:
-    """Whole-value partial year forms (at most 5 characters)."""
-    return (F.when(F.length(c) > 5, c)
-             .when(c.rlike(r"^[0-9]{2}$"), F.concat(c, F.lit("--?")))
-             .when(c.rlike(r"^[0-9]{2}-$"), F.concat(F.substring(c, 1, 2), F.lit("--")))
-             .when(c.rlike(r"^[0-9]{3}$"), F.concat(c, F.lit("-?")))
-             .when(c.rlike(r"^[0-9]{3}0s$"), F.concat(F.substring(c, 1, 3), F.lit("-")))
-             .when(c.rlike(r"^[0-9]{2}\?\?$"), F.concat(F.substring(c, 1, 2), F.lit("--?")))
-             .otherwise(c))
-
-
-def placeholders(c: Column) -> Column:
-    """H19d: ``u``/``x`` digit placeholders (only values containing one)."""
-    return F.when(c.rlike("[UuXx]"), _placeholders(c)).otherwise(c)
-
-
-def _placeholders(c: Column) -> Column:
-    v = F.regexp_replace(c, r"([0-9]{2})[UuXx]{2}-[UuXx]{4}", "$1--?")
-    v = F.regexp_replace(v, r"([0-9]{2})[UuXx]{2}-([0-9]{4})", "$1--?-$2")
-    v = F.regexp_replace(v, r"([0-9]{2})[UuXx]{2}", "$1--?")
-    v = F.regexp_replace(v, r"([0-9]{3})[UuXx]", "$1-")
-    return (F.when(v.rlike(r"^[0-9]{4}-[UuXx]+$"), F.substring(v, 1, 4))
-             .when(v.rlike(r"^[0-9]{3}-+[UuXx]+$"), F.concat(F.substring(v, 1, 3), F.lit("-?")))
-             .otherwise(F.regexp_replace(v, r"-+[UuXx]+", "-?")))
-
-
-def date_ranges(c: Column) -> Column:
-    """H19e: bracketed and short ranges to full years (months 01-12 left
-    alone); only values with a hyphen can change."""
-    return F.when(c.contains("-"), _date_ranges(c)).otherwise(strip(c))
-
-
-def _date_ranges(c: Column) -> Column:
-    v = F.regexp_replace(c, r"\[(([0-9]{2})[0-9]{2})-([0-9]{2})\]", "$1-$2$3")
-    v = F.regexp_replace(v, r"([0-9]{4})\s*-\s*([0-9]{4})", "$1-$2")
-    v = F.regexp_replace(v, r"([0-9]{4})-([0-9]{3})0s\b", "$1-$20")
-    v = F.regexp_replace(v, r"(([0-9]{2})[0-9]{2})-(?!(?:0[1-9]|1[0-2])\b)([0-9]{2})\b", "$1-$2$3")
-    return strip(v)
+    """A whole value of two or three known digits, or a decade."""
+    form = r"^(\d{2,3}?)(-|\?\?|0s)?$"
+    stem, rest = F.regexp_extract(c, form, 1), F.regexp_extract(c, form, 2)
+    ends = F.create_map(*[x for k, v in PARTIAL_ENDINGS.items() for x in (F.lit(k), F.lit(v))])
+    return F.when(c.rlike(form), F.coalesce(
+        F.concat(stem, ends[F.concat(F.length(stem).cast("string"), rest)]), c)).otherwise(c)
 
 
 def _iso(y: Column, m: Column, d: Column | None = None) -> Column:
@@ -206,8 +218,8 @@ def _iso_date(s: Column, as_of_year: int) -> Column:
 
 def date_steps(as_of_year: int):
     """Ordered per-value rules of the two date fields."""
-    return [strip, map_date_terms, remove_brackets, copyright_circa, partial_years,
-            placeholders, date_ranges, lambda c: iso_date(c, as_of_year)]
+    return [strip, map_date_terms, remove_brackets, partial_years, year_expressions,
+            lambda c: iso_date(c, as_of_year)]
 
 
 def needs_review(c: Column) -> Column:

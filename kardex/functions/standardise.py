@@ -98,6 +98,8 @@ def standard_language(c: Column) -> Column:
     return let(strip(F.replace(c, F.lit("Intertitles"), F.lit(""))), snap)
 
 
+# The patterns of the name rules below (credit, nickname, Roman
+# numeral, care of, numbering, initials).
 def credited_name(c: Column) -> Column:
     """Name after a whole-word "as" (up to a closing bracket); else the
     text before "i.e."/"aka"; else the value."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kardex.functions.standardise import standardise
 
+# Acceptance pairs (production type, language, director, dates).
 PRODUCTION_TYPE = [
     ("Newsreel", "NEWSREELS"),
     ("TITLES, BKGD, OUTS\r ", "TITLES, BKGD, Overlays"),
@@ -151,6 +152,14 @@ def test_more_fixed_date_forms(spark):
     ])
 
 
+def test_year_expressions_inside_text_and_unknown_digits(spark):
+    _run(spark, "record_date", [
+        ("199u", "199-"), ("18xx", "18--?"), ("18XX-UUUU", "18--?"), ("195u-uuuu", "195-?"), ("1962-uuuu", "1962"),
+        ("ca. 1980s", "198-?"), ("1930's", "193-?"), ("copyright 1999.", "c1999"), ("circa 1950 - 1960", "1950 or 1960"),
+        ("1999-12", "1999-12"), ("1999-13", "1999-1913"), ("made circa 1950", "made 1950?"), ("1950 ca.", "1950?."),
+    ])
+
+
 def test_needs_review_flags_free_text(spark):
     from kardex.functions.dates import needs_review
     vals = [("1999", False), ("1999-06", False), ("1999-06-05", False), ("c1999", False), ("199-?", False),
