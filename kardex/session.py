@@ -1,15 +1,15 @@
 """Session helpers.
 
-``get_session`` builds a local session for tests and the bench; on a cluster
-the caller passes its own session and these settings come from the cluster
-config.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session and
-only falls back to a scratch folder when the setting is unset (tests).
+``get_session`` builds a local session for tests and the bench.  Under
+``spark-submit`` it keeps what was submitted: master, memory, shuffle
+partitions and every other setting that is given there win over the defaults
+below.  Intermediate data goes to the folder that ``spark.checkpoint.dir``
+names and nowhere else.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,34 +25,60 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(master: str | None = None, app: str = "kardex",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
-    """Return (or create) a session with the library defaults applied."""
-    master = master or os.environ.get("KARDEX_MASTER", "local[*]")
-    builder = SparkSession.builder.master(master).appName(app)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf.setdefault("spark.driver.memory", os.environ.get("KARDEX_DRIVER_MEMORY", "16g"))
-    event_dir = os.environ.get("KARDEX_EVENT_LOG_DIR")
-    if event_dir:
-        # Stage/task timings for profiling, read offline (no UI server).
-        conf["spark.eventLog.enabled"] = "true"
-        conf["spark.eventLog.dir"] = event_dir
-    conf.update(extra or {})
-    for key, value in conf.items():
+    """Return (or create) a session with the library defaults applied.
+
+    ``master``, ``shuffle_partitions`` and ``extra`` are set as given.  All
+    else is set only where neither ``spark-submit`` nor the running session
+    has a value.
+    """
+    builder = SparkSession.builder.appName(app)
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ
+    if not submitted:
+        # Started as a plain Python program: a local session of its own.
+        builder = (builder.master(master or os.environ.get("KARDEX_MASTER", "local[*]"))
+                   .config("spark.driver.memory", os.environ.get("KARDEX_DRIVER_MEMORY", "16g"))
+                   .config("spark.ui.enabled", "false")
+                   .config("spark.ui.showConsoleProgress", "false"))
+        event_dir = os.environ.get("KARDEX_EVENT_LOG_DIR")
+        if event_dir:
+            # Stage/task timings for profiling, read offline (no UI server).
+            builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
+    elif master:
+        builder = builder.master(master)
+    for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    apply_defaults(spark, DEFAULT_CONF if submitted else {"spark.sql.shuffle.partitions": "8", **DEFAULT_CONF},
+                   keep=set(extra or {}))
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
 
 
+def apply_defaults(spark: SparkSession, conf: dict[str, str], keep: set[str] = frozenset()) -> None:
+    """Set the runtime settings that the application was not given."""
+    given = spark.sparkContext.getConf()
+    for key, value in conf.items():
+        if key not in keep and not given.contains(key):
+            spark.conf.set(key, value)
+
+
+def scale_session(spark: SparkSession, input_bytes: int) -> None:
+    """Size shuffles for an input: ``scale_conf`` with the executors and cores
+    of this application, where the application was not given other values."""
+    given = spark.sparkContext.getConf()
+    cores = int(given.get("spark.executor.cores", "1"))
+    slots = max(spark.sparkContext.defaultParallelism, cores)
+    apply_defaults(spark, scale_conf(input_bytes, -(-slots // cores), cores))
+
+
 def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
                target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Shuffle sizing for a cluster run: enough initial shuffle partitions
@@ -72,46 +98,16 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
     }
 
 
-def spread_small_scan(df: DataFrame, min_bytes: int = 1 << 20, enabled: bool | None = None) -> DataFrame:
-    """Round-robin an input that arrives in fewer partitions than the
-    cluster has cores (e.g. one unsplittable Parquet row group) so per-row
-    work before the first shuffle uses every core.
-
-    Decided from the plan's size estimate and partition count (no job).  A
-    large input spread over many files already has enough partitions and is
-    returned unchanged.  Column pruning and filters still pass below the
-    repartition.
-    """
-    spark = df.sparkSession
-    if enabled is None:
-        enabled = os.environ.get("KARDEX_SPREAD_SCANS", "1") != "0"
-    if not enabled:
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 (sessions without these internals)
-        return df
-    if parts < cores and size >= min_bytes:
-        return df.repartition(cores)
-    return df
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) do we create a scratch folder.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="kardex-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    """The folder named by ``spark.checkpoint.dir``, which driver and all
+    executors must share; unset it is an error, because no folder of one
+    machine can stand in for it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

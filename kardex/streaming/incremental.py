@@ -9,8 +9,6 @@ no state store.  Checkpoints go under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -31,7 +29,8 @@ def read_export_stream(spark: SparkSession, path: str, schema: T.StructType, fmt
 
 
 def _checkpoint(spark: SparkSession, name: str) -> str:
-    return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    # A restarted stream must find its progress again: same folder, same name.
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
 
 
 def stream_violations(records: DataFrame, layout: str, out_path: str, name: str = "violations",

@@ -9,8 +9,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from kardex.session import get_session
-    s = get_session("local[4]", shuffle_partitions=4)
+    folder = tmp_path_factory.mktemp("checkpoints")
+    s = get_session("local[4]", shuffle_partitions=4, extra={"spark.checkpoint.dir": f"file://{folder}"})
     yield s
     s.stop()

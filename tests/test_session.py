@@ -1,6 +1,15 @@
-"""Session helpers: cluster sizing, scan spreading, checkpoint folder."""
+"""Session helpers: cluster sizing, submitted settings, checkpoint folder."""
 
-from kardex.session import cut_lineage, ensure_checkpoint_dir, scale_conf, spread_small_scan
+import os
+import subprocess
+import sys
+from types import SimpleNamespace
+
+import pytest
+
+from kardex.session import cut_lineage, ensure_checkpoint_dir, scale_conf
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def test_scale_conf():
@@ -10,15 +19,21 @@ def test_scale_conf():
     assert int(small["spark.sql.shuffle.partitions"]) == 120  # at least three waves of tasks
 
 
-def test_spread_small_scan(spark):
-    big = spark.range(0, 500_000, numPartitions=1).selectExpr("id", "repeat('x', 40) AS pad")
-    spread = spread_small_scan(big, min_bytes=1)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread_small_scan(many, min_bytes=1) is many
-    tiny = spark.range(0, 10, numPartitions=1)
-    assert spread_small_scan(tiny) is tiny  # under the size floor
-    assert spread_small_scan(big, enabled=False) is big
+def test_submitted_settings_win(tmp_path):
+    job = tmp_path / "job.py"
+    job.write_text(
+        "from kardex.session import get_session, scale_session\n"
+        "s = get_session()\n"
+        "scale_session(s, 1 << 40)\n"
+        "c = s.sparkContext\n"
+        "print('GOT', c.master, s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.autoBroadcastJoinThreshold'),\n"
+        "      s.conf.get('spark.sql.adaptive.skewJoin.skewedPartitionFactor'))\n")
+    home = os.path.dirname(__import__("pyspark").__file__)
+    run = subprocess.run(
+        [f"{home}/bin/spark-submit", "--master", "local[3]", "--conf", "spark.sql.shuffle.partitions=77",
+         "--conf", "spark.sql.autoBroadcastJoinThreshold=1234", "--conf", "spark.ui.enabled=false", str(job)],
+        env=os.environ | {"PYTHONPATH": ROOT, "PYSPARK_PYTHON": sys.executable}, capture_output=True, text=True, timeout=120)
+    assert "GOT local[3] 77 1234 4" in run.stdout, run.stderr[-2000:]
 
 
 def test_checkpoint_dir_from_session(spark):
@@ -26,3 +41,9 @@ def test_checkpoint_dir_from_session(spark):
     assert d == spark.conf.get("spark.checkpoint.dir")
     df = cut_lineage(spark.range(5))
     assert df.count() == 5
+
+
+def test_unset_checkpoint_dir_is_an_error():
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(session)

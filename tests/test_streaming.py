@@ -25,3 +25,13 @@ def test_stream_violations_and_changes(spark, tmp_path):
     q2.awaitTermination(120)
     c = spark.read.parquet(str(tmp_path / "c"))
     assert sorted((r.inventory_id, r.new_value) for r in c.collect()) == [(1, "1950?"), (11, "1950?")]
+
+
+def test_restarted_stream_appends_nothing_twice(spark, tmp_path):
+    src, out, name = str(tmp_path / "in"), str(tmp_path / "c"), f"r-{uuid.uuid4().hex}"
+    df = spark.createDataFrame([(1, "ca. 1950")], "inventory_id int, record_date string")
+    df.write.parquet(src + "/batch1")
+    for _ in range(2):
+        S.stream_changes(S.read_export_stream(spark, src + "/*", df.schema), ["record_date"], out,
+                         name=name).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 1
