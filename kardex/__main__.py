@@ -20,23 +20,32 @@ def _session():
 
 
 def _read_table(spark, path: str):
-    """CSV (header), JSON (array or lines), or Parquet, by extension."""
+    """CSV (header), JSON array (.json, one task per file), JSON lines (.jsonl)
+    or Parquet, by extension."""
     from kardex.sources import readers as R
     low = path.lower().rstrip("/")
     if low.endswith(".csv"):
         return R.read_holdings(spark, path)
     if low.endswith(".json"):
+        return R.read_records_json(spark, path, multi_line=True)
+    if low.endswith(".jsonl"):
         return R.read_records_json(spark, path)
     return spark.read.parquet(path)
 
 
+def _write_summary(df, out: str) -> None:
+    """The summary of a run, whole, beside its report."""
+    from kardex.sinks.writers import write_report_csv
+    write_report_csv(df, out.rstrip("/") + "_summary")
+
+
 def cmd_perfect_matches(a, spark):
     from kardex.operators.matching import perfect_matches
     from kardex.sinks.writers import write_report_csv
     from kardex.sources import readers as R
     h = R.read_holdings(spark, a.holdings)
-    d = R.read_fixture_json(spark, a.digital)
-    i = R.read_records_json(spark, a.inventory)
+    d = R.read_fixture_json(spark, a.digital, multi_line=not a.digital.endswith(".jsonl"))
+    i = _read_table(spark, a.inventory)
     out = perfect_matches(h, d, i, call_number="`Permanent Call Number`", holding_id="`Holding Id`")
     write_report_csv(out, a.out)
 
@@ -45,11 +54,11 @@ def cmd_match_report(a, spark):
     from kardex.plans.jobs import run_match_report
     from kardex.sources import readers as R
     h = R.read_holdings(spark, a.holdings)
-    i = R.read_records_json(spark, a.inventory)
+    i = _read_table(spark, a.inventory)
     s = R.read_sheet(spark, a.sheet)
     counts = run_match_report(h, i, s, a.out, call_number="`Permanent Call Number`",
                               holding_id=f"`{a.holding_id_column}`", sheet_col=f"`{a.sheet_column}`")
-    counts.show(truncate=False)
+    _write_summary(counts, a.out)
 
 
 def cmd_validate(a, spark):
@@ -60,26 +69,40 @@ def cmd_validate(a, spark):
         children[a.layout] = (_read_table(spark, a.children), a.parent_key, a.child_key)
     elif a.portal:
         children[a.layout] = a.portal
-    run_validation(recs, [a.layout], a.out, children, a.modified_column, a.start, a.end).show(truncate=False)
+    _write_summary(run_validation(recs, [a.layout], a.out, children, a.modified_column, a.start, a.end), a.out)
 
 
 def cmd_standardise(a, spark):
     from kardex.plans.jobs import run_standardisation
     recs = _read_table(spark, a.records)
-    run_standardisation(recs, a.fields.split(","), a.out, a.id_column, a.as_of_year).show()
+    _write_summary(run_standardisation(recs, a.fields.split(","), a.out, a.id_column, a.as_of_year), a.out)
 
 
 def cmd_duplicates(a, spark):
-    from kardex.operators.keys import duplicate_rows, with_row_index
+    from kardex.operators.keys import duplicate_rows, with_file_order, without_duplicates
     from kardex.sinks.writers import write_report_csv
     df = _read_table(spark, a.sheet)
     if a.ordinal_column:
         df = df.withColumn("__ordinal", F.col(f"`{a.ordinal_column}`").cast("long"))
     else:
-        df = with_row_index(df, "__ordinal")
+        df = with_file_order(df, "__ordinal")
     out = duplicate_rows(df, F.col(f"`{a.key}`"), "__ordinal").withColumnRenamed(
         "original_row_number", "Original Row Number").drop("__ordinal")
     write_report_csv(out, a.out)
+    if a.deduplicated_out:
+        left = without_duplicates(df, F.col(f"`{a.key}`"), "__ordinal").orderBy("__ordinal").drop("__ordinal")
+        write_report_csv(left, a.deduplicated_out)
+
+
+def cmd_match_problems(a, spark):
+    from kardex.plans.jobs import run_match_problems
+    from kardex.sources import readers as R
+    if a.as_of and not R.export_is_recent(spark, [a.digital, a.inventory], a.as_of):
+        raise SystemExit(f"The exports are older than one day before {a.as_of}.")
+    run_match_problems(
+        R.read_holdings(spark, a.holdings), R.read_fixture_json(spark, a.digital, multi_line=not a.digital.endswith(".jsonl")),
+        _read_table(spark, a.inventory), R.read_marc(spark, a.bibs), R.read_language_codes(spark, a.language_codes), a.out,
+        call_number="`Permanent Call Number`", holding_id="`Holding Id`", bib=a.bib_column)
 
 
 def cmd_extract_codes(a, spark):
@@ -100,12 +123,12 @@ def cmd_filename_mismatches(a, spark):
 
 def cmd_xml_to_json(a, spark):
     from kardex.sinks.writers import xml_to_json
-    errors = xml_to_json(spark, a.input, a.out, a.row_tag)
-    errors.show(truncate=False)
+    xml_to_json(spark, a.input, a.out, a.row_tag)  # malformed rows stay below <out>/malformed=true
 
 
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="kardex")
+    p.add_argument("--input-gb", type=int, help="size of the inputs: sizes the shuffles where not submitted")
     sub = p.add_subparsers(dest="command", required=True)
 
     s = sub.add_parser("perfect-matches", help="keys unique in holdings, digital and inventory")
@@ -150,8 +173,20 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--key", default="Legacy Path")
     s.add_argument("--ordinal-column", help="0-based row index column (file order needs one)")
     s.add_argument("--out", required=True)
+    s.add_argument("--deduplicated-out", help="also write the sheet without the repeats, first rows kept")
     s.set_defaults(fn=cmd_duplicates)
 
+    s = sub.add_parser("match-problems", help="checks of uniquely matched bibs, with titles side by side")
+    s.add_argument("--holdings", required=True)
+    s.add_argument("--digital", required=True)
+    s.add_argument("--inventory", required=True)
+    s.add_argument("--bibs", required=True, help="MARCXML")
+    s.add_argument("--language-codes", required=True, help="code list XML")
+    s.add_argument("--bib-column", default="MMS Id")
+    s.add_argument("--as-of", help="refuse exports whose stamp is over a day before this time")
+    s.add_argument("--out", required=True)
+    s.set_defaults(fn=cmd_match_problems)
+
     s = sub.add_parser("extract-codes", help="inventory numbers found in a text column")
     s.add_argument("--sheet", required=True)
     s.add_argument("--column", default="Legacy Path")
@@ -175,7 +210,12 @@ def build_parser() -> argparse.ArgumentParser:
 
 def main(argv=None, spark=None) -> int:
     args = build_parser().parse_args(argv)
-    args.fn(args, spark or _session())
+    if spark is None:
+        spark = _session()
+        if args.input_gb:
+            from kardex.session import scale_session
+            scale_session(spark, args.input_gb << 30)
+    args.fn(args, spark)
     return 0
 
 

@@ -155,18 +155,14 @@ def _title_from_parts(r: Column) -> Column:
     low = F.lower(a)
     art_len = (F.when(low.startswith("a "), 2).when(low.startswith("an "), 3)
                 .when(low.startswith("the "), 4).otherwise(0))
-    has_art = art_len > 0
-
-    def move(off):
-        return F.concat(strip(F.substr(a, off + 1)), F.lit(", "), strip(F.substr(a, F.lit(1), off)))
-
-    main = (F.when(has_art & (nfc != 0), F.when(F.length(a) > nfc, move(art_len)).otherwise(a))
-             .when(has_art, move(art_len))
-             .when(nfc != 0, move(nfc))
-             .otherwise(a))
-    flag = (F.when(has_art & (nfc != 0), (F.length(a) > nfc) & (nfc != art_len))
-             .when(has_art, F.lit(True))
-             .otherwise(F.lit(False)))
+    # How many leading characters go to the end: the article's, else as many as
+    # the indicator says; none if the indicator covers the whole title.
+    offset = (F.when((art_len > 0) & (nfc != 0) & (F.length(a) <= nfc), 0)
+               .when(art_len > 0, art_len).otherwise(nfc))
+    moved = F.concat(strip(F.substr(a, offset + 1)), F.lit(", "), strip(F.substr(a, F.lit(1), offset)))
+    main = F.when(offset != 0, moved).otherwise(a)
+    # An article that the indicator does not count is worth a look.
+    flag = (art_len > 0) & (offset != 0) & (nfc != art_len)
     title = F.concat_ws(". ", *[F.nullif(x, F.lit("")) for x in (main, r["b"], r["n"], r["p"])])
     return F.when(r["none"], F.struct(F.lit("").alias("title"), F.lit(False).alias("check_ind2"))) \
         .otherwise(F.struct(title.alias("title"), flag.alias("check_ind2")))
@@ -232,6 +228,7 @@ def bib_features(mentions: str | None = None, rec: str | None = None) -> list[Co
     return cols
 
 
+# The decision list 6.1-6.8.
 def _criteria_flags(c: Column, p: Column, a: Column, pp: Column, n: Column, ed: Column, lang: Column):
     has = lambda x: F.size(x) > 0
     eng = lang == "eng"

@@ -1,7 +1,7 @@
 """File lists versus asset metadata (P7, G1, G2, H21, S4/S5 helpers).
 
-Set differences are ``subtract`` (EXCEPT DISTINCT): both sides shuffle on the
-file name once; no collect.
+Set differences are anti joins of the distinct names of both sides; no
+collect.
 """
 
 from __future__ import annotations
@@ -36,12 +36,13 @@ def metadata_file_names(assets: DataFrame, name: str = "file_name", uuid: str =
 
 def files_not_in_metadata(files: DataFrame, meta: DataFrame) -> DataFrame:
     """G1: distinct file-list names missing from the metadata."""
-    return files.select("filename").subtract(meta.select("filename"))
+    # Distinct first: it combines map-side, and the anti join sees names once.
+    return files.select("filename").distinct().join(meta.select("filename").distinct(), "filename", "left_anti")
 
 
 def metadata_not_in_files(files: DataFrame, meta: DataFrame) -> DataFrame:
     """Distinct metadata names missing from the file lists."""
-    return meta.select("filename").subtract(files.select("filename"))
+    return meta.select("filename").distinct().join(files.select("filename").distinct(), "filename", "left_anti")
 
 
 def filename_mismatches(files: DataFrame, meta: DataFrame) -> DataFrame:

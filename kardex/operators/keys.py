@@ -9,7 +9,7 @@ Windows partitioned by the key are avoided for that reason.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kardex.functions._util import as_col
@@ -43,24 +43,36 @@ def preview_fields(df: DataFrame, names=PREVIEW_FIELDS) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names if n in df.columns])
 
 
-def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
-    """Dense 0-based row index in input order (file order for a file source).
+def with_file_order(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Dense 0-based row index in file order (path, then place in the file) of
+    a DataFrame read from files.
 
-    ``monotonically_increasing_id`` is ``partition << 33 | position``; the rows
-    per partition are counted (one row per input partition, so the offsets
-    table is bounded by the task count and may be broadcast), turned into
-    running offsets, and added to each row's position.  All JVM-side.
+    A split of a file is read by one task, in order: rows are numbered inside
+    their split and shifted by the rows of the splits before it.  The table of
+    splits has one row per split of the input.
     """
-    from pyspark.sql import Window
-    tagged = df.withColumn("__mid", F.monotonically_increasing_id())
-    pid = F.shiftright(F.col("__mid"), 33)
-    counts = tagged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select("__pid", (F.sum("__n").over(w) - F.col("__n")).alias("__off"))
-    pos = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return (tagged.join(F.broadcast(offsets), pid == F.col("__pid"))
-                  .withColumn(name, F.col("__off") + pos)
-                  .drop("__mid", "__pid", "__off"))
+    split = [F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__start")]
+    tagged = df.select(*[F.col(f"`{c}`") for c in df.columns], *split,
+                       F.monotonically_increasing_id().alias("__mid"))
+    splits = tagged.groupBy("__path", "__start").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    before = Window.orderBy("__path", "__start").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = splits.withColumn("__shift", F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).drop("__n", "__first")
+    return (tagged.join(shifts, ["__path", "__start"])
+                  .withColumn(name, F.col("__mid") + F.col("__shift"))
+                  .select(*[F.col(f"`{c}`") for c in df.columns], name))
+
+
+def one_per_key(df: DataFrame, key, name: str, *aggregates: Column) -> DataFrame:
+    """``(name, aggregates...)``: one row per key, for the reduced side of a
+    join.
+
+    The key leaves the aggregate inside a struct.  The join then shuffles both
+    sides, and only so can AQE split the partition of a hot key on the other
+    side; an aggregate that feeds the join on its own key blocks the split.
+    """
+    reduced = df.groupBy(as_col(key).alias("__key")).agg(
+        F.max(F.struct(as_col(key).alias(name))).alias("__one"), *aggregates)
+    return reduced.select("__one.*", *[c for c in reduced.columns if c not in ("__key", "__one")])
 
 
 def drop_missing_key(df: DataFrame, key) -> DataFrame:
@@ -130,28 +142,16 @@ def unique_rows(df: DataFrame, key, name: str = "key") -> DataFrame:
 
 
 def ids_by_key(df: DataFrame, key, ident, name: str = "key") -> DataFrame:
-    """A4 (long form): one ``(key, id)`` row per source row.
+    """A4: one ``(key, n, id)`` row per source row; ``n`` is how many ids the
+    key has.
 
     The reference keeps ``key -> list of ids``; a list per key is an unbounded
-    group (the blank key can hold millions of ids), so the canonical form is
-    long and ``render_id_list`` builds the joined text for report output.
+    group (the blank key can hold millions of ids), so the table is long and
+    whole: no list is built for any key.
     """
-    return df.select(as_col(key).alias(name), as_col(ident).cast("string").alias("id"))
-
-
-def render_id_list(long: DataFrame, key: str = "key", sep: str = ", ", max_inline: int = 1000) -> DataFrame:
-    """Report rendering of A4: ``key -> "id1, id2, ..."`` sorted by id, plus
-    ``n`` (the id count).
-
-    Keys are counted first (partial aggregation); only keys with at most
-    ``max_inline`` ids are joined into text.  A larger group gets ``ids``
-    null and its ids stay in the long table (the exact record), so no task
-    collects an unbounded list.
-    """
-    counts = long.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    small = long.join(counts.filter(F.col("n") <= max_inline).select(key), key, "left_semi")
-    text = small.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("id")), sep).alias("ids"))
-    return counts.join(text, key, "left")
+    long = df.select(as_col(key).alias(name), as_col(ident).cast("string").alias("id"))
+    counts = one_per_key(long, name, "__k", F.count(F.lit(1)).alias("n"))
+    return long.join(counts, F.col(name).eqNullSafe(F.col("__k"))).select(name, "n", "id")
 
 
 def _key_for_grouping(c: Column) -> Column:
@@ -171,13 +171,18 @@ def duplicate_rows(df: DataFrame, key, ordinal, hashed: bool = True) -> DataFram
     k = as_col(key)
     gk = _key_for_grouping(k) if hashed else k
     tagged = df.withColumn("__gk", gk)
-    dup_keys = (tagged.groupBy("__gk").agg(F.count(F.lit(1)).alias("__n"))
-                .filter(F.col("__n") > 1).select("__gk"))
+    dup_keys = one_per_key(tagged, "__gk", "__gk", F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__gk")
     return (tagged.join(dup_keys, "__gk", "left_semi")
                   .withColumn("original_row_number", as_col(ordinal) + 2)
                   .drop("__gk"))
 
 
+def without_duplicates(df: DataFrame, key, ordinal) -> DataFrame:
+    """W1, removal half: the sheet without the repeats of a key.  The first
+    row of each key group stays; null keys form one group, as in W1."""
+    return keep_first(df, key, ordinal, hashed=True)
+
+
 def keep_first(df: DataFrame, key, ordinal, hashed: bool = False) -> DataFrame:
     """Keep the row with the lowest ordinal per key (nulls group together).
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kardex.functions._util import as_col, lit_array
 from kardex.functions.text import blank_to_null, inventory_key, strip
-from kardex.operators.keys import keep_last
+from kardex.operators.keys import keep_last, one_per_key
 
 
 # ---------------------------------------------------------------------------
@@ -21,7 +21,7 @@ from kardex.operators.keys import keep_last
 
 # Code pattern (prefixes, 2+ digits, optional one-letter suffix
 # not followed by a letter) and the known false positive.
-CODE_PATTERN = r"(?<![A-Z])(?:M|T|DVD|FE|HFA|VA|XFE|XFF|XVE)[0-9]{2,}(?:[A-Z](?![A-Za-z]))?"
+CODE_PATTERN = r"(?<![A-Z])(?:M|T|DVD|FE|HFA|VA|XFE|XFF|XVE)\d{2,}(?:[A-Z](?![A-Za-z]))?"
 FALSE_POSITIVES = ["T01"]
 
 
@@ -92,9 +92,8 @@ def lookup_exactly_one(keys: DataFrame, table: DataFrame, key: str, table_key: s
     """Per key, status ``missing`` / ``ambiguous`` / ``ok`` and the
     matched row's ``cols`` (prefixed) when ok.  Status rows replace the
     reference's process exit."""
-    agg = table.groupBy(F.col(f"`{table_key}`").alias("__tk")).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.any_value(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])).alias("__row"))
+    agg = one_per_key(table, F.col(f"`{table_key}`"), "__tk", F.count(F.lit(1)).alias("__n"),
+                      F.any_value(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])).alias("__row"))
     j = keys.join(agg, F.col(f"`{key}`") == F.col("__tk"), "left")
     status = (F.when(F.col("__n").isNull(), "missing")
                .when(F.col("__n") > 1, "ambiguous").otherwise("ok"))
@@ -137,8 +136,8 @@ def assemble_sources(digital: DataFrame, inventory: DataFrame, bib_index: DataFr
     optional bib by J5.  Returns ``(assembled, errors)``; digital rows
     without an inventory row go to ``errors`` (anti join)."""
     cols = [c for c in inventory.columns]
-    first_inv = (inventory.groupBy(F.col(inv_key).alias("__k"))
-                 .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(inv_ordinal)).alias("inv")))
+    first_inv = one_per_key(inventory, inv_key, "__k",
+                            F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(inv_ordinal)).alias("inv"))
     d = digital.withColumn("__k", F.col(digital_key))
     assembled = d.join(first_inv, "__k")
     errors = (d.join(first_inv.select("__k"), "__k", "left_anti")
@@ -200,42 +199,53 @@ def match_resources(rows: DataFrame, resources: DataFrame, *, row_id="inventory_
     """J8 (long form, key level): ``(row_matches, key_resources)``.
 
     ``row_matches``: inventory rows (non-blank id and number) that have at
-    least one resource of equal number (semi join).  ``key_resources``: every
+    least one resource of equal number, with ``resources`` (how many).
+    ``key_resources``: every
     resource whose number has at least one such row, with ``inventory_rows``
     (how many rows share the number).  Together they describe every nested
     document without materialising row x resource pairs: the row side is
     reduced to one row per number (partial aggregation) before the join.
     """
     r = _matchable_rows(rows, row_id, row_no)
-    keys = r.groupBy(F.col(row_no).alias("__k")).agg(F.count(F.lit(1)).alias("inventory_rows"))
+    keys = one_per_key(r, row_no, "__k", F.count(F.lit(1)).alias("inventory_rows"))
     key_resources = (resources.join(keys, F.col(res_no) == F.col("__k")).drop("__k"))
-    res_keys = resources.select(F.col(res_no).alias("__k")).distinct()
-    row_matches = r.join(res_keys, F.col(row_no) == F.col("__k"), "left_semi")
+    res_keys = one_per_key(resources, res_no, "__k", F.count(F.lit(1)).alias("resources"))
+    row_matches = r.join(res_keys, F.col(row_no) == F.col("__k")).drop("__k")
     return row_matches, key_resources
 
 
-def nest_matches(rows: DataFrame, resources: DataFrame, resource_cols, *, row_id="inventory_id",
-                 row_no="inventory_no", res_no="Inventory_no", ordinal: str = "row_ordinal",
-                 name: str = "matched_resources", max_items: int = 1000) -> DataFrame:
-    """J8 (nested document form): each matchable inventory row with the list
-    of resources of its number, ordered by ``ordinal`` (input to K6).
+def nested_parts(rows: DataFrame, resources: DataFrame, resource_cols, *, row_id="inventory_id",
+                 row_no="inventory_no", res_no="Inventory_no", part_size: int = 1000) -> DataFrame:
+    """J8 (document form, input to K6): the rows and the resources of each
+    matched number as one or more documents
+    ``inventory_no, part, rows array<id>, matched_resources array<struct>``.
 
-    Resources are grouped per number first (count combines map-side); a list
-    is built only for numbers with at most ``max_items`` resources, and each
-    row then joins one aggregate row for its number.  Larger groups get a
-    null list and their ``resources`` count; their members stay available in
-    long form (``match_resources``), so nothing is dropped and no task
-    collects an unbounded list.
+    A number with more than ``part_size`` rows or resources is spread over
+    several parts by a hash, so that no list grows with a hot number; every
+    row and resource is in exactly one part.  A resource carries the
+    ``inventory_id`` of its number's row where there is exactly one.
     """
-    r = _matchable_rows(rows, row_id, row_no)
-    sizes = resources.groupBy(F.col(res_no).alias("__k")).agg(F.count(F.lit(1)).alias("resources"))
-    small = resources.join(sizes.filter(F.col("resources") <= max_items), F.col(res_no) == F.col("__k"),
-                           "left_semi")
-    item = F.struct(F.col(ordinal).alias("__o"), *[F.col(c) for c in resource_cols])
-    lists = small.groupBy(F.col(res_no).alias("__k")).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    per_key = sizes.join(lists, "__k", "left").withColumn(
-        name, F.transform("__items", lambda x: x.dropFields("__o"))).drop("__items")
-    return r.join(per_key, F.col(row_no) == F.col("__k")).drop("__k")
+    row_matches, key_resources = match_resources(rows, resources, row_id=row_id, row_no=row_no, res_no=res_no)
+
+    def part(hashed: Column, n: str) -> Column:
+        return F.pmod(F.xxhash64(hashed), F.ceil(F.col(n) / F.lit(part_size)).cast("long"))
+
+    only = one_per_key(_matchable_rows(rows, row_id, row_no), row_no, "__k", F.count(F.lit(1)).alias("__n"),
+                       F.min(F.col(row_id)).alias("__id")).filter("__n = 1")
+    item = F.struct(F.col("__id").alias(row_id), *[F.col(c) for c in resource_cols])
+    held = (key_resources.join(only, F.col(res_no) == F.col("__k"), "left")
+            .select(F.col(res_no).alias("inventory_no"), item.alias("item")))
+    counts = one_per_key(held, "inventory_no", "__c", F.count(F.lit(1)).alias("__size"))
+    held = (held.join(counts, F.col("inventory_no") == F.col("__c"))
+            .select("inventory_no", part(F.col("item"), "__size").alias("part"), "item", F.lit(None).alias("id")))
+    sizes = one_per_key(row_matches, row_no, "__c", F.count(F.lit(1)).alias("__size"))
+    owners = (row_matches.join(sizes, F.col(row_no) == F.col("__c"))
+              .select(F.col(row_no).alias("inventory_no"), part(F.col(row_id), "__size").alias("part"),
+                      F.lit(None).cast(held.schema["item"].dataType).alias("item"), F.col(row_id).alias("id")))
+    return (held.withColumn("id", F.col("id").cast(owners.schema["id"].dataType)).unionByName(owners)
+            .groupBy("inventory_no", "part").agg(
+                F.array_sort(F.collect_list("id")).alias("rows"),
+                F.array_sort(F.collect_list("item")).alias("matched_resources")))
 
 
 # ---------------------------------------------------------------------------

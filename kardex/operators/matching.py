@@ -10,12 +10,12 @@ configured threshold, and splits skewed partitions otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kardex.functions._util import as_col
 from kardex.functions.text import holdings_key, inventory_key, strip
-from kardex.operators.keys import keep_first, unique_rows
+from kardex.operators.keys import keep_first, keep_last, one_per_key, unique_rows
 
 # Output columns of the perfect-match report, in order.
 PERFECT_MATCH_COLUMNS = [
@@ -145,7 +145,6 @@ def classify_compound_values(values: DataFrame, counts: DataFrame, dedupe: bool
     The group flags are a window over the compound value: values are
     distinct and a group is the parts of one cell, so it is bounded.
     """
-    from pyspark.sql import Window
 
     parts = (values.filter(F.col("value").contains("|"))
              .select(F.col("value").alias("original_value"),
@@ -179,12 +178,16 @@ def attach_ids(classes: DataFrame, ids: DataFrame) -> DataFrame:
     Written as inner join + anti join rather than a left join: the id side
     may hold a hot key (a third of all rows), and AQE can split a skewed
     partition on either side of an inner join but not on the right side of a
-    left join.  The anti join only needs the distinct keys (partially
-    aggregated, so the hot key shrinks to one row per map task).
+    left join.  The classes come out of joins on this key; passing them through
+    ``one_per_key`` gives the join an exchange on both sides, without which
+    AQE does not split.
     """
+    names = classes.columns
+    classes = one_per_key(classes, F.struct(*[F.col(c) for c in names]), "__c").select("__c.*")
     ids = ids.withColumnRenamed("key", "inventory_number").withColumnRenamed("id", "record_id")
     hit = classes.join(ids, "inventory_number")
-    miss = (classes.join(ids.select("inventory_number").distinct(), "inventory_number", "left_anti")
+    known = one_per_key(ids, "inventory_number", "inventory_number")
+    miss = (classes.join(known, "inventory_number", "left_anti")
                    .withColumn("source", F.lit(None).cast("string"))
                    .withColumn("record_id", F.lit(None).cast("string")))
     return hit.unionByName(miss)
@@ -256,7 +259,6 @@ def match_by_call_number(holdings: DataFrame, inventory: DataFrame, *, call_numb
                          inventory_no="inventory_no", inventory_ordinal="row_ordinal") -> DataFrame:
     """Raw call number = raw inventory number; duplicate inventory keys:
     the last row wins; holdings rows are not de-duplicated."""
-    from kardex.operators.keys import keep_last
     inv = keep_last(inventory, inventory_no, inventory_ordinal)
     return holdings.join(inv, as_col(call_number) == inv[inventory_no])
 
@@ -268,8 +270,7 @@ def distinct_ids(df: DataFrame, col) -> DataFrame:
 
 def unmatched(left: DataFrame, right: DataFrame, left_key, right_key, reason: str) -> DataFrame:
     """Rows of ``left`` with no match in ``right`` plus a reason column."""
-    return (left.join(right.select(as_col(right_key).alias("__rk")).distinct(),
-                      as_col(left_key) == F.col("__rk"), "left_anti")
+    return (left.join(one_per_key(right, right_key, "__rk"), as_col(left_key) == F.col("__rk"), "left_anti")
                 .withColumn("reason", F.lit(reason)))
 
 

@@ -14,6 +14,7 @@ cross-field rules an absent column reads as blank.
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from kardex.functions._util import as_col
 from kardex.functions.text import strip
+from kardex.operators.keys import require_columns
 
 NULL_MESSAGE = "Field is null or empty."
 REPORT_COLUMNS = ["inventory_id", "inventory_no", "field", "user_last_modified",
@@ -128,28 +130,57 @@ def date_message(c: Column) -> Column:
 # P1-P3 scope filters
 # --------------------------------------------------------------------------
 
+#: Forms in which dates are stored and passed, tried in this order.
+DATE_FORMS = ["yyyy-M-d", "M/d/yyyy", "M/d/yyyy H:m:s", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s"]
+
+
+def to_day(c: Column) -> Column:
+    """The date of a text in one of ``DATE_FORMS``; null if in none."""
+    return F.to_date(F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in DATE_FORMS]))
+
+
+def _bound(value) -> datetime.date:
+    text = str(value).strip()
+    for form in ("%Y-%m-%d", "%m/%d/%Y"):
+        try:
+            return datetime.datetime.strptime(text, form).date()
+        except ValueError:
+            continue
+    raise ValueError(f"{value!r} is not a date in YYYY-MM-DD or MM/DD/YYYY form.")
+
+
+def _days_between(df: DataFrame, col, first: datetime.date, last: datetime.date) -> DataFrame:
+    c = as_col(col)
+    kind = df.select(c.alias("c")).schema["c"].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        # The bare column against literals: the scan can skip by it.
+        return df.filter((c >= F.lit(first).cast(kind)) & (c < F.lit(last + datetime.timedelta(days=1)).cast(kind)))
+    return df.filter(to_day(c).between(F.lit(first), F.lit(last)))
+
+
 def modified_between(df: DataFrame, col, start=None, end=None) -> DataFrame:
-    """Inclusive date range on ``col``; both bounds or neither."""
+    """Inclusive date range on ``col``; both bounds or neither, as
+    YYYY-MM-DD or MM/DD/YYYY.  Text that is no date is outside any range."""
     if (start is None) != (end is None):
         raise ValueError("start and end must both be provided, or neither.")
     if start is None:
         return df
-    d = F.to_date(as_col(col))
-    return df.filter(d.between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    return _days_between(df, col, _bound(start), _bound(end))
 
 
 def rolling_window(df: DataFrame, col, as_of, days: int = 14) -> DataFrame:
     """The ``days`` days up to ``as_of`` (a parameter, never now())."""
-    d = F.to_date(as_col(col))
-    end = F.to_date(F.lit(str(as_of)))
-    return df.filter(d.between(F.date_sub(end, days), end))
+    end = _bound(as_of)
+    return _days_between(df, col, end - datetime.timedelta(days=days), end)
 
 
 def layout_scope(df: DataFrame, layout: Layout | str, col: str = "digital_record") -> DataFrame:
-    """Analog ("0") / digital carrier ("1") / storage (no filter)."""
+    """Analog ("0") / digital carrier ("1") / storage (no filter).  A
+    scoped layout needs the column (P5)."""
     layout = LAYOUTS[layout] if isinstance(layout, str) else layout
     if layout.digital_record is None:
         return df
+    require_columns(df, [col])
     return df.filter(F.col(col).cast("string") == layout.digital_record)
 
 
@@ -220,7 +251,7 @@ def violations(records: DataFrame, layout: Layout | str, children: DataFrame | s
     the in-scope parents on ``parent_key == child_key``.
     """
     layout = LAYOUTS[layout] if isinstance(layout, str) else layout
-    recs = layout_scope(records, layout) if scoped and "digital_record" in records.columns else records
+    recs = layout_scope(records, layout) if scoped else records
     meta = _meta(recs, layout)
     flat_rules = required_rules(recs, layout) + cross_rules(recs, layout)
     out = _project(recs, meta, flat_rules)
@@ -229,8 +260,12 @@ def violations(records: DataFrame, layout: Layout | str, children: DataFrame | s
             kids = recs.select(*meta, F.explode(F.col(f"`{children}`")).alias("__c")).select(
                 *[F.col(c) for c in layout.meta], "__c.*")
         else:
+            # The rules need the child row only: they run first, without a
+            # shuffle, and only violating rows meet their parents.
             parents = recs.select(F.col(f"`{parent_key}`").alias("__pk"), *meta)
-            kids = children.join(parents, F.col(f"`{child_key}`") == F.col("__pk")).drop("__pk")
+            broken = _project(children, [F.col(f"`{child_key}`").alias("__ck")], child_rules(children, layout))
+            found = broken.join(parents, F.col("__ck") == F.col("__pk"))
+            return out.select(*REPORT_COLUMNS).unionByName(found.select(*REPORT_COLUMNS))
         kid_meta = [F.col(c) for c in layout.meta]
         out = out.unionByName(_project(kids, kid_meta, child_rules(kids, layout)))
     return out.select(*REPORT_COLUMNS)
@@ -246,14 +281,22 @@ def _project(df: DataFrame, keep: list[Column], rules: list[Column]) -> DataFram
         *[c for c in df.select(*keep).columns], "__v.field", "__v.violation")
 
 
-def violation_totals(v: DataFrame, by=("layout", "field", "violation")) -> DataFrame:
-    """A10: violation counts per group."""
-    return v.groupBy(*by).agg(F.count(F.lit(1)).alias("violations"))
+def rule_name(violation: Column) -> Column:
+    """The rule behind a message: messages that quote the bad value share one."""
+    return (F.when(violation == NULL_MESSAGE, "required")
+            .when(violation.startswith("Field value "), "date")
+            .otherwise("cross field"))
+
+
+def violation_totals(v: DataFrame, by=("layout", "field")) -> DataFrame:
+    """A10: violation counts per group and rule (as many groups as rules, not
+    as bad values)."""
+    return v.groupBy(*by, rule_name(F.col("violation")).alias("rule")).agg(F.count(F.lit(1)).alias("violations"))
 
 
 def records_checked(records: DataFrame, layout: Layout | str) -> DataFrame:
     """A10: number of records in scope for a layout."""
     layout = LAYOUTS[layout] if isinstance(layout, str) else layout
-    recs = layout_scope(records, layout) if "digital_record" in records.columns else records
+    recs = layout_scope(records, layout)
     return recs.agg(F.count(F.lit(1)).alias("records_checked")).select(
         F.lit(layout.name).alias("layout"), "records_checked")

@@ -179,6 +179,42 @@ BINDINGS["storage_items"] = ("lineitem", [
 ])
 
 
+# Records with a modification date, stored as a date and as text; every 13th
+# text is no date.
+BINDINGS["modified_records"] = ("orders", [
+    "o_orderkey AS inventory_id", "CAST(o_orderdate AS DATE) AS modified_day",
+    "(CASE WHEN o_orderkey % 13 = 0 THEN 'unknown' WHEN o_orderkey % 2 = 0 THEN "
+    "lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '/' || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') || '/' || "
+    "CAST(year(o_orderdate) AS STRING) || ' 10:00:00' ELSE " + _ymd("o_orderdate") + " END) AS modified_text",
+])
+# Cells that tear a careless CSV: carriage returns, quotes, outer blanks,
+# backslashes, empty and null.
+BINDINGS["sheet_cells"] = ("part", [
+    "p_partkey AS part_id",
+    "p_type || chr(13) || p_brand AS production_type",
+    "'  ' || p_name || '  ' AS padded",
+    "'say \"' || p_name || '\", ok' AS quoted",
+    "(CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'a' || chr(92) || 'b' || chr(92) END) AS rest",
+])
+
+
+# One key, the blank one, holds a third of the rows.
+BINDINGS["hot_holdings"] = ("orders", [
+    "CAST(o_orderkey AS STRING) AS holding_id",
+    "(CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'M' || CAST(o_orderkey % 4999 AS STRING) END) AS call_number",
+    "o_orderkey AS row_ordinal",
+])
+BINDINGS["hot_inventory"] = ("orders", [
+    "o_orderkey AS inventory_id",
+    "(CASE WHEN o_orderkey % 3 = 1 THEN 'M0' ELSE 'M' || CAST(o_orderkey % 7001 AS STRING) END) AS inventory_no",
+])
+BINDINGS["hot_resources"] = ("lineitem", [
+    "l_orderkey AS pk",
+    "(CASE WHEN l_orderkey % 3 = 0 THEN 'M0' ELSE 'M' || CAST(l_partkey % 9001 AS STRING) END) AS inventory_number",
+    "l_linenumber AS line",
+])
+
+
 def binding_sql(name: str) -> str:
     """SELECT statement of a binding (usable as a CTE body in DuckDB)."""
     table, exprs = BINDINGS[name]
@@ -190,22 +226,9 @@ def cte(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({binding_sql(n)})" for n in names) + "\n"
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Lazy scan of one test table; the relation (schema, file listing) is
-    resolved once per session and path."""
-    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    try:
-        owner = spark.sparkContext.applicationId  # a new context never reuses a stale scan
-    except Exception:  # noqa: BLE001 (sessions without a local context)
-        owner = id(spark)
-    key = (owner, path)
-    if key not in _TABLES:
-        from kardex.session import spread_small_scan
-        _TABLES[key] = spread_small_scan(spark.read.parquet(path))
-    return _TABLES[key]
+    """Lazy scan of one test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,10 +25,10 @@ def _codes(spark, sf_dir):
     return keep_last(load(spark, sf_dir, "language_codes"), "code", "row_ordinal")
 
 
-def _checks(bibs, codes):
+def _checks(bibs, codes, keep=()):
     b = valid_code_check(bibs.withColumn("lang_code", MC.language_code()), "lang_code", codes)
     t = MC.bib_title()
-    return b.select("bib_id", MC.no_008().alias("no_008"),
+    return b.select(*keep, "bib_id", MC.no_008().alias("no_008"),
                     MC.invalid_language(F.col("code_valid")).alias("invalid_language"),
                     MC.no_26x_date().alias("no_26x_date"), MC.lacks_attribution().alias("lacks_attribution"),
                     t["title"].alias("bib_title"),
@@ -110,14 +110,16 @@ def match_problems(spark, sf_dir):
     i = load(spark, sf_dir, "inventory")
     m = M.unique_variant_match(d, i, h, holdings_carry=["mms_id"], inventory_carry=["title"]).select(
         F.col("inventory_number").alias("raw_number"), "holding_id", "mms_id", "inventory_id", "title")
-    chk = _checks(_bibs(spark, sf_dir), _codes(spark, sf_dir))
-    j = m.join(chk, F.col("mms_id") == chk["bib_id"], "left")
-    e = lambda c: F.coalesce(F.col(c), F.lit(""))
+    # The few matched bibs first, then the checks on them alone.
+    found = m.join(_bibs(spark, sf_dir), F.col("mms_id") == F.col("bib_id"), "left")
+    j = _checks(found, _codes(spark, sf_dir), keep=["raw_number", "inventory_id", "title"])
+    e = lambda c: F.when(F.col("bib_id").isNull() & F.lit(c not in ("title",)), F.lit("")).otherwise(
+        F.coalesce(F.col(c), F.lit("")))
     return j.select(e("bib_id").alias("bib_id"), F.col("inventory_id").cast("string").alias("inventory_record_id"),
                     F.col("raw_number").alias("digital_inventory_number"), e("no_008").alias("no_008"),
                     e("invalid_language").alias("invalid_language"), e("no_26x_date").alias("no_26x_date"),
                     e("lacks_attribution").alias("lacks_attribution"),
-                    title_score(F.col("bib_title"), F.col("title")).alias("title_match_score"),
+                    title_score(e("bib_title"), F.col("title")).alias("title_match_score"),
                     e("bib_title").alias("bib_title"), e("title").alias("inventory_title"),
                     e("check_245_indicator_2").alias("check_245_indicator_2"))
 
@@ -230,8 +232,9 @@ def _bib_form(col: str, src: str | None) -> str:
 
 MONOGRAPH_SQL = cte("holdings", "inventory", "bib_flat") + f"""
 , inv AS (SELECT inventory_no, arg_max(production_type, row_ordinal) AS production_type FROM inventory GROUP BY 1)
-, j AS (SELECT h.mms_id, inv.production_type, b.* FROM holdings h JOIN inv ON h.call_number = inv.inventory_no
-        JOIN bib_flat b ON b.bib_id = h.mms_id)
+, m AS (SELECT h.mms_id, inv.production_type, b.* FROM holdings h JOIN inv ON h.call_number = inv.inventory_no
+        LEFT JOIN bib_flat b ON b.bib_id = h.mms_id)
+, j AS (SELECT * FROM m WHERE bib_id IS NOT NULL)
 , c AS (SELECT mms_id, production_type,
           CASE WHEN coalesce(production_type, '') <> '' THEN NOT ({_NONMONO_TYPES})
                ELSE NOT (p245 IS NOT NULL OR n245 IS NOT NULL OR a250 IS NOT NULL OR a505 IS NOT NULL
@@ -248,8 +251,9 @@ MONOGRAPH_SQL = cte("holdings", "inventory", "bib_flat") + f"""
           list_sort(list_distinct(list_filter(inv_forms, lambda x: NOT list_contains(bib_forms, x)))) AS uf
         FROM c WHERE mono)
 SELECT mms_id, array_to_string(common, '|') AS common, array_to_string(ua, '|') AS unique_bib,
-       array_to_string(uf, '|') AS unique_inventory
+       array_to_string(uf, '|') AS unique_inventory, false AS bib_missing
 FROM r WHERE len(ua) > 0 OR len(uf) > 0
+UNION ALL SELECT mms_id, NULL, NULL, NULL, true FROM m WHERE bib_id IS NULL
 """
 
 
@@ -257,16 +261,22 @@ FROM r WHERE len(ua) > 0 OR len(uf) > 0
 def monograph_report(spark, sf_dir):
     h = load(spark, sf_dir, "holdings").select("mms_id", "call_number")
     i = load(spark, sf_dir, "inventory").select("inventory_no", "production_type", "row_ordinal")
-    matched = M.match_by_call_number(h, i)
-    withbib = attach_bib(matched.drop("row_ordinal"), _bibs(spark, sf_dir).drop("mentions", "row_ordinal"),
-                         "mms_id").filter(~F.col("bib_missing"))
-    mono = withbib.filter(MC.is_monograph(F.col("production_type")))
+    f = _monograph_flags(M.match_by_call_number(h, i).drop("row_ordinal"), _bibs(spark, sf_dir))
+    text = lambda c: F.when(~F.col("bib_missing"), F.array_join(f"c.{c}", "|")).alias(c)
+    # P11, and rows without a bib, which are reported too.
+    return f.filter("form_mismatch or bib_missing").select(
+        "mms_id", text("common"), text("unique_bib"), text("unique_inventory"), "bib_missing")
+
+
+def _monograph_flags(matched, bibs):
+    """Matched rows with their stage flags; a bib id that repeats keeps its
+    last record (J7)."""
+    b = attach_bib(matched, bibs.drop("mentions"), "mms_id", ordinal="row_ordinal")
     cmp = MC.compare_forms(MC.bib_forms(), MC.inventory_forms(F.col("production_type")))
-    out = mono.select("mms_id", cmp.alias("c"))
-    out = out.filter((F.size("c.unique_bib") > 0) | (F.size("c.unique_inventory") > 0))  # P11
-    return out.select("mms_id", F.array_join("c.common", "|").alias("common"),
-                      F.array_join("c.unique_bib", "|").alias("unique_bib"),
-                      F.array_join("c.unique_inventory", "|").alias("unique_inventory"))
+    b = b.withColumn("monograph", ~F.col("bib_missing") & F.coalesce(
+        MC.is_monograph(F.col("production_type")), F.lit(False))).withColumn("c", cmp)
+    differ = (F.size("c.unique_bib") > 0) | (F.size("c.unique_inventory") > 0)
+    return b.withColumn("form_mismatch", F.col("monograph") & F.coalesce(differ, F.lit(False)))
 
 
 # --------------------------------------------------------------- S9 / H43 / A9
@@ -332,19 +342,15 @@ MONO_FUNNEL_SQL = MONOGRAPH_SQL[:MONOGRAPH_SQL.rindex("SELECT mms_id, array_to_s
 
 @register("monograph_funnel", MONO_FUNNEL_SQL)
 def monograph_funnel(spark, sf_dir):
-    """A11 for the monograph job: rows kept at each stage (one pass per stage
-    over already-planned DataFrames; each count is a distributed aggregate)."""
+    """A11 for the monograph job: rows kept at each stage, from one pass over
+    the holdings with their stage flags."""
     h = load(spark, sf_dir, "holdings").select("mms_id", "call_number")
     i = load(spark, sf_dir, "inventory").select("inventory_no", "production_type", "row_ordinal")
-    matched = M.match_by_call_number(h, i).drop("row_ordinal")
-    withbib = attach_bib(matched, _bibs(spark, sf_dir).drop("mentions", "row_ordinal"), "mms_id") \
-        .filter(~F.col("bib_missing"))
-    mono = withbib.filter(MC.is_monograph(F.col("production_type")))
-    cmp = MC.compare_forms(MC.bib_forms(), MC.inventory_forms(F.col("production_type")))
-    mism = mono.select(cmp.alias("c")).filter((F.size("c.unique_bib") > 0) | (F.size("c.unique_inventory") > 0))
-
-    def stage(name, df):
-        return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-    return (stage("holdings_read", h).unionByName(stage("matched", matched))
-            .unionByName(stage("with_bib", withbib)).unionByName(stage("monographs", mono))
-            .unionByName(stage("form_mismatches", mism)))
+    inv = keep_last(i, "inventory_no", "row_ordinal").drop("row_ordinal").withColumn("matched", F.lit(True))
+    rows = h.join(inv, F.col("call_number") == F.col("inventory_no"), "left")
+    f = _monograph_flags(rows, _bibs(spark, sf_dir))
+    kept = lambda c: F.count_if(F.coalesce(F.col("matched"), F.lit(False)) & c)
+    stages = {"holdings_read": F.count(F.lit(1)), "matched": kept(F.lit(True)), "with_bib": kept(~F.col("bib_missing")),
+              "monographs": kept(F.col("monograph")), "form_mismatches": kept(F.col("form_mismatch"))}
+    one = f.agg(*[c.alias(n) for n, c in stages.items()])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("rows")) for n in stages])))

@@ -222,27 +222,57 @@ def resource_matches(spark, sf_dir):
     return key_resources.select(F.col("Inventory_no").alias("inventory_no"), "pk", "file_name", "inventory_rows")
 
 
-# ----------------------------------------------------------------- J8 nested (K6 input)
-NESTED_SQL = cte("inventory", "digital") + """
-SELECT i.inventory_id, i.inventory_no, count(*) AS resources,
-       string_agg(CAST(d.pk AS VARCHAR), '|' ORDER BY d.row_ordinal) AS resource_pks
-FROM inventory i JOIN digital d ON d.inventory_number = i.inventory_no
+ROW_MATCHES_SQL = cte("inventory", "digital") + """
+SELECT i.inventory_id, i.inventory_no, r.n AS resources
+FROM inventory i JOIN (SELECT inventory_number AS k, count(*) AS n FROM digital GROUP BY 1) r ON r.k = i.inventory_no
 WHERE coalesce(trim(CAST(i.inventory_id AS VARCHAR)), '') <> '' AND coalesce(trim(i.inventory_no), '') <> ''
-GROUP BY i.inventory_id, i.inventory_no
+"""
+
+
+@register("row_matches", ROW_MATCHES_SQL)
+def row_matches(spark, sf_dir):
+    rows = load(spark, sf_dir, "inventory").select("inventory_id", "inventory_no")
+    res = load(spark, sf_dir, "digital").select(F.col("inventory_number").alias("Inventory_no"), "pk")
+    return LK.match_resources(rows, res)[0]
+
+
+HOT_RESOURCES_SQL = cte("hot_inventory", "hot_resources") + """
+SELECT r.inventory_number AS inventory_no, r.pk, r.line, k.n AS inventory_rows
+FROM hot_resources r JOIN (SELECT inventory_no, count(*) AS n FROM hot_inventory GROUP BY 1) k
+  ON k.inventory_no = r.inventory_number
+"""
+
+
+@register("hot_resource_matches", HOT_RESOURCES_SQL)
+def hot_resource_matches(spark, sf_dir):
+    rows = load(spark, sf_dir, "hot_inventory")
+    res = load(spark, sf_dir, "hot_resources").withColumnRenamed("inventory_number", "Inventory_no")
+    return LK.match_resources(rows, res)[1].withColumnRenamed("Inventory_no", "inventory_no")
+
+
+# ----------------------------------------------------------------- J8 nested (K6 input)
+NESTED_SQL = cte("hot_inventory", "hot_resources") + """
+, i AS (SELECT inventory_no AS k, count(*) AS row_count, sum(inventory_id) AS row_sum FROM hot_inventory GROUP BY 1)
+, r AS (SELECT inventory_number AS k, count(*) AS resources, sum(pk * 10 + line) AS resource_sum FROM hot_resources GROUP BY 1)
+SELECT k AS inventory_no, row_count, CAST(row_sum AS BIGINT) AS row_sum, resources,
+       CAST(resource_sum AS BIGINT) AS resource_sum, resources > 1000 OR row_count > 1000 AS several_parts
+FROM i JOIN r USING (k)
 """
 
 
 @register("nested_resources", NESTED_SQL)
 def nested_resources(spark, sf_dir):
-    rows = load(spark, sf_dir, "inventory").select("inventory_id", "inventory_no")
-    res = load(spark, sf_dir, "digital").select(F.col("inventory_number").alias("Inventory_no"), "pk",
-                                                 "file_name", "row_ordinal")
-    nested = LK.nest_matches(rows, res, ["pk", "file_name"])
-    # Numbers above the nesting bound keep their count; their resource ids
-    # are in the long form (``resource_matches``).
-    return nested.select("inventory_id", "inventory_no", "resources",
-                         F.array_join(F.transform("matched_resources", lambda x: x["pk"].cast("string")), "|")
-                         .alias("resource_pks"))
+    """Totals of the document parts of each number: every row and resource is
+    in one part, also of numbers above the part size."""
+    rows = load(spark, sf_dir, "hot_inventory")
+    res = load(spark, sf_dir, "hot_resources").withColumnRenamed("inventory_number", "Inventory_no")
+    parts = LK.nested_parts(rows, res, ["pk", "line"])
+    add = lambda xs, f: F.aggregate(xs, F.lit(0).cast("long"), lambda s, x: s + f(x))
+    return parts.groupBy("inventory_no").agg(
+        F.sum(F.size("rows")).alias("row_count"), F.sum(add("rows", lambda x: x)).alias("row_sum"),
+        F.sum(F.size("matched_resources")).alias("resources"),
+        F.sum(add("matched_resources", lambda x: x["pk"] * 10 + x["line"])).alias("resource_sum"),
+        (F.count(F.lit(1)) > 1).alias("several_parts"))
 
 
 # ----------------------------------------------------------------- H6

@@ -305,10 +305,9 @@ def match_funnel(spark, sf_dir):
     return M.match_funnel(h, d, i)
 
 
-# ------------------------------------------------------------------ A4 rendering
+# ------------------------------------------------------------------ A4 long form
 ID_LISTS_SQL = cte("holdings") + f"""
-SELECT {_HKEY} AS key, count(*) AS n, string_agg(holding_id, ', ' ORDER BY holding_id) AS ids
-FROM holdings GROUP BY 1
+SELECT {_HKEY} AS key, count(*) OVER (PARTITION BY {_HKEY}) AS n, holding_id AS id FROM holdings
 """
 
 
@@ -316,4 +315,27 @@ FROM holdings GROUP BY 1
 def holdings_id_lists(spark, sf_dir):
     from kardex.functions.text import holdings_key
     h = load(spark, sf_dir, "holdings")
-    return K.render_id_list(K.ids_by_key(h, holdings_key("call_number"), "holding_id"))
+    return K.ids_by_key(h, holdings_key("call_number"), "holding_id")
+
+
+# A third of the rows share the blank key.
+HOT_IDS_SQL = cte("hot_holdings") + """
+SELECT call_number AS key, count(*) OVER (PARTITION BY call_number) AS n, holding_id AS id FROM hot_holdings
+"""
+
+
+@register("hot_key_ids", HOT_IDS_SQL)
+def hot_key_ids(spark, sf_dir):
+    return K.ids_by_key(load(spark, sf_dir, "hot_holdings"), "call_number", "holding_id")
+
+
+HOT_DUPLICATES_SQL = cte("hot_holdings") + """
+SELECT holding_id, call_number, row_ordinal + 2 AS original_row_number
+FROM (SELECT *, count(*) OVER (PARTITION BY call_number) AS c FROM hot_holdings) WHERE c > 1
+"""
+
+
+@register("hot_key_duplicates", HOT_DUPLICATES_SQL)
+def hot_key_duplicates(spark, sf_dir):
+    h = load(spark, sf_dir, "hot_holdings")
+    return K.duplicate_rows(h, "call_number", "row_ordinal", hashed=False).drop("row_ordinal")

@@ -105,13 +105,15 @@ def validation_report(spark, sf_dir):
 
 TOTALS_SQL = f"""
 WITH v AS ({VALIDATION_SQL})
-SELECT layout, field, violation, count(*) AS violations FROM v GROUP BY ALL
+SELECT layout, field, CASE WHEN violation = 'Field is null or empty.' THEN 'required'
+                           WHEN violation LIKE 'Field value %' THEN 'date' ELSE 'cross field' END AS rule,
+       count(*) AS violations FROM v GROUP BY ALL
 """
 
 
 @register("violation_totals", TOTALS_SQL)
 def violation_totals(spark, sf_dir):
-    return V.violation_totals(_all_violations(spark, sf_dir))
+    return V.violation_totals(_all_violations(spark, sf_dir), by=("layout", "field"))
 
 
 SUMMARY_SQL = cte("layout_records", "storage_records") + f"""

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kardex.formats import CSV_WRITE
+
 
 def _stringify(df: DataFrame) -> DataFrame:
     """Arrays/structs rendered as text for flat formats."""
@@ -30,7 +32,7 @@ def write_report_csv(df: DataFrame, path: str, columns: list[str] | None = None,
     out = df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
     if out.isEmpty():
         return False
-    w = _stringify(out).write.mode(mode).option("header", True)
+    w = _stringify(out).write.mode(mode).options(**CSV_WRITE).option("header", True)
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
@@ -39,31 +41,27 @@ def write_report_csv(df: DataFrame, path: str, columns: list[str] | None = None,
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K2: tab-separated with header; arrays joined, structs as JSON."""
-    _stringify(df).write.mode(mode).option("header", True).option("sep", "\t").csv(path)
+    _stringify(df).write.mode(mode).options(**CSV_WRITE).option("header", True).option("sep", "\t").csv(path)
 
 
-def write_asset_docs(assets: DataFrame, path: str, single_document: bool = False,
-                     mode: str = "overwrite", max_document_rows: int = 100_000) -> None:
-    """K3: assets as JSON lines (distributed).  ``single_document`` writes one
-    ``{"media": {"assets": [...]}}`` file, which is one batch in one task: the
-    rows are counted first and a batch above ``max_document_rows`` is refused
-    (write JSON lines instead) rather than funnelled through one task."""
-    if not single_document:
+def write_asset_docs(assets: DataFrame, path: str, per_document: int | None = None, mode: str = "overwrite") -> None:
+    """K3: assets as JSON lines, or, with ``per_document``, as documents
+    ``{"media": {"assets": [...]}}`` (one per line) of about that many assets:
+    as many documents as it takes, every asset in one of them."""
+    if per_document is None:
         assets.write.mode(mode).json(path)
         return
-    n = assets.count()
-    if n > max_document_rows:
-        raise ValueError(f"{n} assets exceed the single-document bound ({max_document_rows}); "
-                         "write JSON lines (single_document=False) instead.")
-    doc = assets.agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in assets.columns])).alias("assets")) \
-        .select(F.struct("assets").alias("media"))
-    doc.coalesce(1).write.mode(mode).json(path)
+    columns = [F.col(f"`{c}`") for c in assets.columns]
+    documents = max(1, -(-assets.count() // per_document))
+    (assets.select(F.pmod(F.xxhash64(*columns), F.lit(documents)).alias("__d"), F.struct(*columns).alias("__a"))
+           .groupBy("__d").agg(F.collect_list("__a").alias("assets"))
+           .select(F.struct("assets").alias("media")).write.mode(mode).json(path))
 
 
 def write_sectioned_report(df: DataFrame, path: str, section: str = "section") -> None:
-    """K4: one report in named sections (sheets); rerunning replaces only the
-    sections present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """K4: one report in named sections (sheets).  A rerun replaces the whole
+    report: a section it no longer has is gone."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**CSV_WRITE)
        .partitionBy(section).option("header", True).csv(path))
 
 
@@ -76,12 +74,12 @@ def write_xml_rows(df: DataFrame, path: str, root_tag: str = "Root", row_tag: st
         .option("nullValue", "").save(path))
 
 
-def write_nested_xml(nested: DataFrame, path: str, row_tag: str = "ROW", partition_by: str | None = None,
+def write_nested_xml(parts: DataFrame, path: str, row_tag: str = "ROW", partition_by: str | None = None,
                      mode: str = "overwrite") -> None:
-    """K6: one XML element per inventory row with its nested resource list
-    (J8 nested form); ``partition_by`` groups the output instead of one file
-    per row."""
-    w = nested.write.mode(mode).format("xml").option("rootTag", "ROWS").option("rowTag", row_tag)
+    """K6: one XML element per document part of a number (J8 document form)
+    with its rows and nested resources; ``partition_by`` groups the output
+    instead of one file per row."""
+    w = parts.write.mode(mode).format("xml").option("rootTag", "ROWS").option("rowTag", row_tag)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.save(path)
@@ -90,23 +88,21 @@ def write_nested_xml(nested: DataFrame, path: str, row_tag: str = "ROW", partiti
 def xml_to_json(spark, in_path: str, out_path: str, row_tag: str, schema: T.StructType | None = None,
                 mode: str = "overwrite") -> DataFrame:
     """K7: XML documents to JSON lines; text is trimmed by the reader,
-    repeated elements become arrays; malformed rows go to the returned error
-    table (PERMISSIVE mode with a corrupt-record column)."""
+    repeated elements become arrays.  Everything is read and written once:
+    records below ``<out>/malformed=false``, malformed rows (PERMISSIVE mode
+    with a corrupt-record column) below ``<out>/malformed=true``.  Returns the
+    written table of malformed rows."""
+    corrupt = "_corrupt_record"
     r = (spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", "_corrupt_record").option("ignoreSurroundingSpaces", True))
+         .option("columnNameOfCorruptRecord", corrupt).option("ignoreSurroundingSpaces", True))
     if schema is not None:
-        schema = schema.add("_corrupt_record", T.StringType())
-        r = r.schema(schema)
+        r = r.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]))
     df = r.load(in_path).withColumn("source_file", F.col("_metadata.file_name"))
-    if "_corrupt_record" in df.columns:
-        df = df.cache()  # required by Spark before filtering on the corrupt column
-        errors = df.filter(F.col("_corrupt_record").isNotNull()).select("source_file", "_corrupt_record")
-        good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    else:
-        errors = df.limit(0).select("source_file")
-        good = df
-    good.write.mode(mode).json(out_path)
-    return errors
+    bad = F.col(corrupt).isNotNull() if corrupt in df.columns else F.lit(False)
+    df.withColumn("malformed", bad).write.mode(mode).partitionBy("malformed").json(out_path)
+    errors = T.StructType([T.StructField("source_file", T.StringType()), T.StructField(corrupt, T.StringType()),
+                           T.StructField("malformed", T.BooleanType())])
+    return spark.read.schema(errors).json(out_path).where("malformed").drop("malformed")
 
 
 def write_if_valid(assets: DataFrame, problems: DataFrame, path: str, **kw) -> DataFrame | None:
@@ -116,16 +112,3 @@ def write_if_valid(assets: DataFrame, problems: DataFrame, path: str, **kw) -> D
         return problems
     write_asset_docs(assets, path, **kw)
     return None
-
-
-def write_keyed_table(df: DataFrame, key: str, table: str, buckets: int, path: str | None = None,
-                      mode: str = "overwrite") -> None:
-    """Store a source keyed for repeated reconciliation runs: bucketed and
-    sorted by the normalised key, so later joins and aggregations on that key
-    read co-partitioned buckets and skip the shuffle.  Both sides of a join
-    need the same bucket count.  ``path`` places the table data in shared
-    storage."""
-    w = df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(table)

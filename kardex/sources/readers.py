@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kardex.formats import CSV_READ
 from kardex.functions.text import strip
+from kardex.operators.keys import with_file_order
 
 MARC_SCHEMA = T.StructType([
     T.StructField("leader", T.StringType()),
@@ -32,34 +34,53 @@ LANGUAGE_SCHEMA = T.StructType([
 ])
 
 
-def read_holdings(spark: SparkSession, path, names: list[str] | None = None) -> DataFrame:
+def _read_csv(spark: SparkSession, path, header: bool, multi_line: bool = False,
+              schema: T.StructType | None = None) -> DataFrame:
+    """All cells as text.  ``multi_line`` reads cells that hold a line feed, at
+    the price of one task per file."""
+    options = dict(CSV_READ, header=str(header).lower())
+    if multi_line:
+        options.pop("lineSep")
+        options["multiLine"] = "true"
+    r = spark.read.options(**options)
+    df = (r.schema(schema) if schema is not None else r).csv(path)
+    last = df.columns[-1] if df.columns else ""
+    if schema is not None or last.endswith("\r"):
+        # Lines that end in CR LF leave the CR on the last cell.
+        cell = F.regexp_replace(F.col(f"`{last}`"), "\r$", "")
+        df = df.withColumn(last, cell).withColumnRenamed(last, last.rstrip("\r"))
+    return df
+
+
+def read_holdings(spark: SparkSession, path, names: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """Headered CSV, every column a string (a leading BOM is dropped by
     the CSV reader).  ``names`` renames the columns positionally."""
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("encoding", "UTF-8").option("multiLine", False).csv(path))
+    df = _read_csv(spark, path, True, multi_line)
     # A BOM that survived (non-UTF-8 declared files) is removed from the name.
-    df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    df = df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
     return df.toDF(*names) if names else df
 
 
 def read_records_json(spark: SparkSession, path, schema: T.StructType | None = None,
-                      multi_line: bool = True) -> DataFrame:
-    """A JSON array of flat records (``multi_line``) or JSON lines."""
+                      multi_line: bool = False) -> DataFrame:
+    """JSON lines, which split across tasks, or (``multi_line``) a JSON
+    array of flat records, which is one task per file."""
     r = spark.read.option("multiLine", multi_line)
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
 
 
-def read_fixture_json(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
+def read_fixture_json(spark: SparkSession, path, schema: T.StructType | None = None,
+                      multi_line: bool = False) -> DataFrame:
     """S3: ``{model, pk, fields{...}}`` records unwrapped to ``fields.* + pk``."""
-    return read_records_json(spark, path, schema).select("fields.*", "pk")
+    return read_records_json(spark, path, schema, multi_line).select("fields.*", "pk")
 
 
-def read_assets(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
+def read_assets(spark: SparkSession, paths, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """Asset documents ``{"media": {"assets": [...]}}`` flattened to one
     row per asset, with the source file name."""
-    df = read_records_json(spark, paths, schema)
+    df = read_records_json(spark, paths, schema, multi_line)
     return (df.select(F.explode("media.assets").alias("a"), F.col("_metadata.file_name").alias("source_file"))
               .select("a.*", "source_file"))
 
@@ -73,7 +94,7 @@ def read_headerless_csv(spark: SparkSession, path, names: list[str]) -> DataFram
     """CSV without header; the names are imposed (a header line would be
     read as data, as in the reference)."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.option("header", False).schema(schema).csv(path)
+    return _read_csv(spark, path, False, schema=schema)
 
 
 def read_xml_rows(spark: SparkSession, path, row_tag: str, schema: T.StructType | None = None) -> DataFrame:
@@ -94,8 +115,7 @@ def read_language_codes(spark: SparkSession, path) -> DataFrame:
     """Code-list XML -> ``(code, name)``; a value may be plain text or an
     element with attributes (both read by one schema); later duplicate codes
     win; sorted by code."""
-    df = read_xml_rows(spark, path, "language", LANGUAGE_SCHEMA).withColumn(
-        "__ord", F.monotonically_increasing_id())
+    df = with_file_order(read_xml_rows(spark, path, "language", LANGUAGE_SCHEMA), "__ord")
     flat = df.select(F.coalesce(F.col("code._VALUE"), F.lit("")).alias("code"),
                      F.coalesce(F.col("name._VALUE"), F.lit("")).alias("name"), "__ord")
     return (flat.groupBy("code").agg(F.max_by("name", "__ord").alias("name")).orderBy("code"))
@@ -111,23 +131,23 @@ def read_sheet(spark: SparkSession, path, fmt: str = "csv") -> DataFrame:
 _STAMP = r"_([0-9]{8}_[0-9]{6})\.[^.]+$"
 
 
-def export_stamps(df: DataFrame) -> DataFrame:
-    """File names of a file-based DataFrame and their ``YYYYMMDD_HHMMSS``
-    stamps (null when the name has none)."""
-    name = F.col("_metadata.file_name")
+def export_stamps(spark: SparkSession, path) -> DataFrame:
+    """The file names below ``path`` and their ``YYYYMMDD_HHMMSS`` stamps (null
+    when the name has none); the files are listed, not read."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    name = F.element_at(F.split("path", "/"), -1)
     stamp = F.regexp_extract(name, _STAMP, 1)
-    return (df.select(name.alias("file_name"), stamp.alias("stamp")).distinct()
-              .withColumn("stamped_at", F.when(F.col("stamp") != "",
-                                               F.try_to_timestamp(F.col("stamp"), F.lit("yyyyMMdd_HHmmss")))))
+    return files.select(name.alias("file_name"), stamp.alias("stamp")).withColumn(
+        "stamped_at", F.when(F.col("stamp") != "", F.try_to_timestamp(F.col("stamp"), F.lit("yyyyMMdd_HHmmss"))))
 
 
-def export_is_recent(frames: list[DataFrame], as_of) -> bool:
-    """Every input file carries a stamp no older than ``as_of`` minus
+def export_is_recent(spark: SparkSession, paths: list[str], as_of) -> bool:
+    """Every export file carries a stamp no older than ``as_of`` minus
     one day.  ``as_of`` is a parameter (never the clock).  Driver-side gate:
     one aggregate row is collected."""
     stamps = None
-    for df in frames:
-        s = export_stamps(df)
+    for path in paths:
+        s = export_stamps(spark, path)
         stamps = s if stamps is None else stamps.unionByName(s)
     limit = F.to_timestamp(F.lit(str(as_of))) - F.expr("INTERVAL 1 DAY")
     row = stamps.agg(F.bool_and(F.coalesce(F.col("stamped_at") >= limit, F.lit(False))).alias("ok")).first()

@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from kardex.formats import CSV_READ
 from kardex.functions import marc as MC
 from kardex.sinks import writers as W
 from kardex.sources import readers as R
@@ -52,7 +53,7 @@ def test_fixture_and_assets_json(spark, tmp_path):
     fx = str(tmp_path / "fx.json")
     _write(fx, json.dumps([{"model": "m", "pk": 1, "fields": {"inventory_number": "M1", "file_name": "a.mov"}},
                            {"model": "m", "pk": 2, "fields": {"inventory_number": "M2", "file_name": ""}}]))
-    df = R.read_fixture_json(spark, fx)
+    df = R.read_fixture_json(spark, fx, multi_line=True)
     assert sorted(df.columns) == ["file_name", "inventory_number", "pk"]
     docs = str(tmp_path / "docs")
     _write(docs + "/a.json", json.dumps({"media": {"assets": [{"uuid": "u1", "file_name": "x.mov"},
@@ -107,9 +108,8 @@ def test_export_stamps(spark, tmp_path):
     d = str(tmp_path / "exp")
     _write(d + "/digital_20250101_120000.json", json.dumps([{"a": 1}]))
     _write(d + "/inventory_20250102_080000.json", json.dumps([{"a": 2}]))
-    df = R.read_records_json(spark, d)
-    assert R.export_is_recent([df], "2025-01-02 12:00:00") is True
-    assert R.export_is_recent([df], "2025-01-03 12:00:01") is False
+    assert R.export_is_recent(spark, [d], "2025-01-02 12:00:00") is True
+    assert R.export_is_recent(spark, [d], "2025-01-03 12:00:01") is False
 
 
 def test_report_csv_empty_and_sections(spark, tmp_path):
@@ -124,7 +124,7 @@ def test_report_csv_empty_and_sections(spark, tmp_path):
     W.write_sectioned_report(df, out)
     W.write_sectioned_report(spark.createDataFrame([("S1", "M9", "z")], df.schema), out)
     got = spark.read.option("header", True).csv(out)
-    assert sorted((r.section, r.k) for r in got.collect()) == [("S1", "M9"), ("S2", "M2")]
+    assert [(r.section, r.k) for r in got.collect()] == [("S1", "M9")]  # S2 is gone with its rows
 
 
 def test_xml_rows_round_trip_and_xml_to_json(spark, tmp_path):
@@ -139,9 +139,11 @@ def test_xml_rows_round_trip_and_xml_to_json(spark, tmp_path):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.ArrayType(T.StringType()))])
     errors = W.xml_to_json(spark, src, str(tmp_path / "json"), "row", schema)
-    good = spark.read.json(str(tmp_path / "json"))
+    good = spark.read.json(str(tmp_path / "json" / "malformed=false"))
     assert [r.a for r in good.filter(F.col("a").isNotNull()).collect()] == ["x"]
-    assert errors.count() >= 1
+    assert errors.count() >= 1 and set(errors.columns) == {"source_file", "_corrupt_record"}
+    assert [f.name for f in schema.fields] == ["a", "b"]  # the caller's schema is left alone
+    W.xml_to_json(spark, src, str(tmp_path / "json"), "row", schema)
 
 
 def test_write_if_valid(spark, tmp_path):
@@ -156,25 +158,45 @@ def test_write_if_valid(spark, tmp_path):
 def test_tsv_single_document_and_nested_xml(spark, tmp_path):
     df = spark.createDataFrame([("1", ["a", "b"], {"x": 1})], "id string, names array<string>, m map<string,int>")
     W.write_tsv(df, str(tmp_path / "tsv"))
-    back = spark.read.option("header", True).option("sep", "\t").csv(str(tmp_path / "tsv")).first()
+    back = spark.read.options(**CSV_READ).option("header", True).option("sep", "\t").csv(str(tmp_path / "tsv")).first()
     assert (back.id, back.names, back.m) == ("1", "a, b", '{"x":1}')
     assets = spark.createDataFrame([("u1", "asset"), ("u2", "track")], "uuid string, record_type string")
-    W.write_asset_docs(assets, str(tmp_path / "doc"), single_document=True)
+    W.write_asset_docs(assets, str(tmp_path / "doc"), per_document=1000)
     doc = spark.read.json(str(tmp_path / "doc")).first()
     assert sorted(a.uuid for a in doc.media.assets) == ["u1", "u2"]
-    from kardex.operators.lookups import match_resources, nest_matches
+    many = spark.range(500).selectExpr("CAST(id AS STRING) AS uuid")
+    W.write_asset_docs(many, str(tmp_path / "docs"), per_document=20)
+    docs = spark.read.json(str(tmp_path / "docs"))
+    assert docs.count() > 10 and R.read_assets(spark, str(tmp_path / "docs")).count() == 500
+    from kardex.operators.lookups import match_resources, nested_parts
     rows = spark.createDataFrame([(1, "M1"), (2, "M2"), (3, ""), (4, "M1")], "inventory_id int, inventory_no string")
     res = spark.createDataFrame([("M1", "r1", 2), ("M1", "r2", 1), ("M2", "r3", 3), ("M9", "r4", 4)],
                                 "Inventory_no string, title string, row_ordinal int")
     row_matches, key_res = match_resources(rows, res)
-    assert sorted(r.inventory_id for r in row_matches.collect()) == [1, 2, 4]
+    assert sorted((r.inventory_id, r.resources) for r in row_matches.collect()) == [(1, 2), (2, 1), (4, 2)]
     assert sorted((r.title, r.inventory_rows) for r in key_res.collect()) == [("r1", 2), ("r2", 2), ("r3", 1)]
-    capped = {r.inventory_id: (r.resources, r.matched_resources) for r in
-              nest_matches(rows, res, ["title"], max_items=1).collect()}
-    assert capped[1] == (2, None) and capped[2][0] == 1  # over the bound: count kept, list in long form
-    nested_all = nest_matches(rows, res, ["title"])
-    got = {r.inventory_id: [g.title for g in r.matched_resources] for r in nested_all.collect()}
-    assert got == {1: ["r2", "r1"], 2: ["r3"], 4: ["r2", "r1"]}
-    W.write_nested_xml(nested_all, str(tmp_path / "nx"))
+    parts = nested_parts(rows, res, ["title"])
+    got = {r.inventory_no: (r.rows, [(m.inventory_id, m.title) for m in r.matched_resources]) for r in parts.collect()}
+    assert got == {"M1": ([1, 4], [(None, "r1"), (None, "r2")]), "M2": ([2], [(2, "r3")])}
+    hot = spark.range(2500).selectExpr("'M2' AS Inventory_no", "CAST(id AS STRING) AS title", "1 AS row_ordinal")
+    many = nested_parts(rows, hot, ["title"]).collect()
+    assert sum(len(r.matched_resources) for r in many) == 2500 and max(len(r.matched_resources) for r in many) < 1200
+    W.write_nested_xml(parts, str(tmp_path / "nx"))
     back = R.read_xml_rows(spark, str(tmp_path / "nx"), "ROW")
-    assert back.count() == 3
+    assert back.count() == 2
+
+
+def test_csv_cells_survive(spark, tmp_path):
+    rows = [("SHORT\rNEWS", "  lead trail  ", 'say "hi", ok'), ("back\\slash", "", None), (None, "b\\", "é\t"),
+            ("", '"q"', 'ends\\"'), ("\r", "a,b", "tail\r ")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    assert W.write_report_csv(df, str(tmp_path / "r"))
+    assert sorted(map(str, R.read_holdings(spark, str(tmp_path / "r")).collect())) == sorted(map(str, df.collect()))
+    crlf = tmp_path / "crlf.csv"
+    crlf.write_bytes("\ufeffId,Kind,No\r\n1,\"a\rb\",\"FE1 T\"\r\n2,,M2\r\n".encode())
+    back = R.read_holdings(spark, str(crlf))
+    assert back.columns == ["Id", "Kind", "No"]
+    assert sorted(map(tuple, back.collect()), key=str) == [("1", "a\rb", "FE1 T"), ("2", None, "M2")]
+    lines = tmp_path / "lines.csv"
+    lines.write_text('a,b\n"x\ny",1\n')
+    assert R.read_holdings(spark, str(lines), multi_line=True).collect()[0].a == "x\ny"

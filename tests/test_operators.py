@@ -193,9 +193,27 @@ def test_match_classes_reference_cases(spark):
     assert got == [("M1", "INV_NO_11"), ("M1", "INV_NO_12"), ("M2", "INV_NO_13")]
 
 
-def test_with_row_index(spark):
-    df = spark.range(0, 1000, numPartitions=7).withColumn("v", F.col("id") * 2)
-    out = K.with_row_index(df)
-    rows = out.orderBy("row_index").collect()
-    assert [r.row_index for r in rows] == list(range(1000))
-    assert all(r.v == 2 * r.row_index for r in rows)
+def test_file_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("v\n0\n1\n")
+    (tmp_path / "b.csv").write_text("v\n" + "\n".join(map(str, range(2, 3000))) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        df = spark.read.option("header", True).csv(str(tmp_path))
+        rows = K.with_file_order(df).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+    assert sorted((r.row_index, int(r.v)) for r in rows) == [(i, i) for i in range(3000)]
+
+
+def test_duplicates_removed(spark):
+    df = spark.createDataFrame([(0, "a", 1), (1, "b", 2), (2, "a", 3), (3, None, 4), (4, None, 5)], "n int, k string, v int")
+    left = K.without_duplicates(df, "k", "n").collect()
+    assert sorted(r.v for r in left) == [1, 2, 4]
+
+
+def test_repeated_bib_keeps_the_last(spark):
+    from kardex.operators.lookups import attach_bib
+    bibs = spark.createDataFrame([("1", "old", 1), ("1", "new", 2)], "bib_id string, t string, o int")
+    rows = spark.createDataFrame([("1",), ("2",)], "mms string")
+    got = sorted((r.mms, r.t, r.bib_missing) for r in attach_bib(rows, bibs, "mms", ordinal="o").collect())
+    assert got == [("1", "new", False), ("2", None, True)]

@@ -78,3 +78,67 @@ def test_skewed_perfect_matches_and_summary(spark, con):
     s = K.key_summary(h, holdings_key("call_number")).first()
     assert s.empty == con.execute("SELECT count(*) FROM holdings WHERE call_number = ''").fetchone()[0]
     assert s.total == con.execute("SELECT count(*) FROM holdings").fetchone()[0]
+
+
+# --- the hot key's partition is split -------------------------------------------------
+
+SPLIT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture()
+def splitting(spark):
+    before = {k: spark.conf.get(k, None) for k in SPLIT_CONF}
+    for k, v in SPLIT_CONF.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def _is_split(df):
+    df.collect()
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def _hot(spark, n=60_000):
+    return spark.range(0, n, 1, 4).selectExpr(
+        "CAST(id AS STRING) AS id", "CASE WHEN id % 3 = 0 THEN '' ELSE 'M' || CAST(id % 20011 AS STRING) END AS key",
+        "md5(CAST(id AS STRING)) AS pad", "id AS ordinal")
+
+
+def _operators(hot):
+    from kardex.operators import lookups as LK
+    reduced = hot.select("key", "id", "ordinal")
+    ids = hot.select("key", F.lit("holdings").alias("source"), "id")
+    classes = M.classify_single_values(hot.select(F.col("key").alias("value")).distinct(), M.source_counts(ids))
+    rows = hot.select(F.col("id").alias("inventory_id"), F.col("key").alias("inventory_no"), "pad").withColumn(
+        "inventory_no", F.when(F.col("inventory_no") == "", "M1").otherwise(F.col("inventory_no")))
+    res = rows.select(F.col("inventory_no").alias("Inventory_no"), "pad")
+    bib = hot.select("id", F.col("key").alias("inventory_number"), "pad")
+    inv = reduced.select(F.col("key").alias("inv_key"), F.col("ordinal").alias("row_ordinal"))
+    return {
+        "control": lambda: hot.join(reduced.select(F.col("key").alias("k")).distinct().hint("merge"), F.col("key") == F.col("k")),
+        "A4 ids_by_key": lambda: K.ids_by_key(hot, "key", "pad"),
+        "J2/J3 attach_ids": lambda: M.attach_ids(classes, ids.withColumn("id", F.md5("id"))),
+        "J8 match_resources": lambda: LK.match_resources(rows, res)[1],
+        "J10 lookup_exactly_one": lambda: LK.lookup_exactly_one(hot, reduced, "key", "key", "t_", ["id"]),
+        "J11 assemble_sources": lambda: LK.assemble_sources(bib, inv)[0],
+        "J14 unmatched": lambda: M.unmatched(hot, reduced, "key", "key", "none"),
+        "W1 duplicate_rows": lambda: K.duplicate_rows(hot, "key", "ordinal", hashed=False),
+    }
+
+
+@pytest.mark.parametrize("name", ["A4 ids_by_key", "J2/J3 attach_ids", "J8 match_resources", "J10 lookup_exactly_one",
+                                  "J11 assemble_sources", "J14 unmatched", "W1 duplicate_rows"])
+def test_hot_key_is_split(splitting, name):
+    assert _is_split(_operators(_hot(splitting))[name]())
+
+
+def test_control_aggregate_on_the_join_key_blocks_the_split(splitting):
+    assert not _is_split(_operators(_hot(splitting))["control"]())
