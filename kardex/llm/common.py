@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +88,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def hashed_sample(df: DataFrame, group: str, most: int, *order: str) -> DataFrame:
+    """At most about ``most`` rows of each group, the first in each of some
+    bins by ``order`` (hashes).  Few enough rows per bin are ranked that the
+    engine's group limit drops the others before the shuffle."""
+    bins = -(-most // 500)
+    ranked = df.withColumn("__bin", F.pmod(F.xxhash64(*order), F.lit(bins)))
+    place = F.row_number().over(Window.partitionBy(group, "__bin").orderBy(*order))
+    return ranked.withColumn("__place", place).where(F.col("__place") <= -(-most // bins)).drop("__bin", "__place")
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns that an operator is about to add (case-insensitive)."""
     low = {n.lower() for n in names}

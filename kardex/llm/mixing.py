@@ -103,7 +103,7 @@ def schedule(streams: DataFrame, per_source: DataFrame, block: int, bins: int) -
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0, block: int = 4096,
-        seed: int = 7, rows_per_bin: int = 20_000) -> tuple[DataFrame, DataFrame]:
+        seed: int = 7, rows_per_bin: int = 4096) -> tuple[DataFrame, DataFrame]:
     """The mixed documents and the schedule.
 
     First frame, one row per document: ``id, source, size, source_size,

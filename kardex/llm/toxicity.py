@@ -15,11 +15,11 @@ from dataclasses import dataclass, field as member
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.llm.common import field, map_slices
+from kardex.llm.common import field, hashed_sample, map_slices
 
 _STRIP = string.punctuation + "“”„«»‹›‘’…–—¿¡"
 _OPEN, _CLOSE = set("\"“„«‹"), set("\"”“»›")
@@ -194,8 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     twice counts as toxic if any label says so."""
     marked = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
-    order = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit(5), "id"), "id"))
-    sample = marked.withColumn("n", order).where(F.col("n") <= rows_per_class).drop("n")
+    sample = hashed_sample(marked.withColumn("h", F.xxhash64(F.lit(5), "id")), "toxic", rows_per_class, "h", "id").drop("h")
     # The sample's size is a parameter: two classes of rows_per_class ids.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
         F.broadcast(sample), "id")
