@@ -279,26 +279,20 @@ def match_funnel(holdings: DataFrame, digital: DataFrame, inventory: DataFrame,
                  digital_key="inventory_number") -> DataFrame:
     """Rows read, rows with a non-blank key and singleton keys per source,
     plus the number of perfect matches; one row per (stage, source)."""
-    srcs = {
-        "holdings": holdings.select(holdings_key(as_col(call_number)).alias("k")),
-        "digital": digital.select(as_col(digital_key).alias("k")),
-        "inventory": inventory.select(inventory_key(as_col(inventory_no)).alias("k")),
-    }
-    rows = None
-    single_keys = {}
-    for name, df in srcs.items():
-        counts = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-        single_keys[name] = counts.filter("n = 1").select("k")
-        stage = counts.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("read"),
-            F.coalesce(F.sum(F.when(strip(F.col("k")) != "", F.col("n"))), F.lit(0)).cast("long").alias("keyed"),
-            F.count_if(F.col("n") == 1).cast("long").alias("singletons"),
-        ).select(F.lit(name).alias("source"),
-                 F.inline(F.array(F.struct(F.lit("read").alias("stage"), F.col("read").alias("rows")),
-                                  F.struct(F.lit("keyed").alias("stage"), F.col("keyed").alias("rows")),
-                                  F.struct(F.lit("singletons").alias("stage"), F.col("singletons").alias("rows")))))
-        rows = stage if rows is None else rows.unionByName(stage)
-    matched = (single_keys["digital"].join(single_keys["holdings"], "k").join(single_keys["inventory"], "k")
-               .agg(F.count(F.lit(1)).cast("long").alias("rows"))
-               .select(F.lit("all").alias("source"), F.lit("matched").alias("stage"), "rows"))
-    return rows.unionByName(matched)
+    tagged = (holdings.select(holdings_key(as_col(call_number)).alias("k"), F.lit("holdings").alias("s"))
+              .unionByName(digital.select(as_col(digital_key).alias("k"), F.lit("digital").alias("s")))
+              .unionByName(inventory.select(inventory_key(as_col(inventory_no)).alias("k"), F.lit("inventory").alias("s"))))
+    names = ("holdings", "digital", "inventory")
+    # One aggregation per key over all sources, then one row of totals.
+    counts = tagged.groupBy("k").agg(*[F.count_if(F.col("s") == n).alias(n) for n in names])
+    keyed = strip(F.col("k")) != ""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    one = counts.agg(
+        *[total(F.col(n)).alias(f"{n}_read") for n in names],
+        *[total(F.when(keyed, F.col(n))).alias(f"{n}_keyed") for n in names],
+        *[F.count_if(F.col(n) == 1).alias(f"{n}_singletons") for n in names],
+        F.count_if(F.col("k").isNotNull() & (F.col("holdings") == 1) & (F.col("digital") == 1)
+                   & (F.col("inventory") == 1)).alias("all_matched"))
+    stages = [(n, s) for n in names for s in ("read", "keyed", "singletons")] + [("all", "matched")]
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("source"), F.lit(s).alias("stage"), F.col(f"{n}_{s}").alias("rows")) for n, s in stages])))

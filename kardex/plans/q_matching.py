@@ -129,14 +129,15 @@ def compound_value_report(spark, sf_dir):
 def match_class_counts(spark, sf_dir):
     _, counts, vals = _classes(spark, sf_dir)
     single = M.classify_single_values(vals, counts)
-    before = M.classify_compound_values(vals, counts, dedupe=False)
-    after = M.classify_compound_values(vals, counts, dedupe=True)
-    s = M.class_counts(single).select("section", F.col("rows").alias("b"), F.col("rows").alias("a"))
-    b = M.class_counts(before).select("section", F.col("rows").alias("b"), F.lit(0).cast("long").alias("a"))
-    a = M.class_counts(after).select("section", F.lit(0).cast("long").alias("b"), F.col("rows").alias("a"))
-    return (s.unionByName(b).unionByName(a).groupBy("section")
-             .agg(F.sum("b").cast("long").alias("rows_before_dedupe"),
-                  F.sum("a").cast("long").alias("rows_after_dedupe")))
+    # The rows after de-duplication are the distinct numbers of each section.
+    compound = M.classify_compound_values(vals, counts, dedupe=False)
+    after = F.count_distinct("inventory_number")
+    return (M.class_counts(single).select("section", F.col("rows").alias("rows_before_dedupe"),
+                                          F.col("rows").alias("rows_after_dedupe"))
+            .unionByName(compound.groupBy("section").agg(F.count(F.lit(1)).alias("rows_before_dedupe"),
+                                                         after.alias("rows_after_dedupe")))
+            .groupBy("section").agg(F.sum("rows_before_dedupe").alias("rows_before_dedupe"),
+                                    F.sum("rows_after_dedupe").alias("rows_after_dedupe")))
 
 
 # ------------------------------------------------------------------ A1 / A2
