@@ -65,6 +65,20 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
+OP6_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, _ = mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -77,11 +91,45 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+OP8_SQL = r"""
+WITH low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+             FROM documents),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM low),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(13, len(ws)) AS n, array_to_string(ws[i:i + least(13, len(ws)) - 1], ' ') AS s
+       FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 12, least(len(ws), 1)) + 1)) AS i FROM b)),
+dw AS (SELECT rid, i, n, array_to_string(ws[i:i + n - 1], ' ') AS s
+       FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM iw))),
+h AS (SELECT rid, i, dw.n, item_id FROM dw JOIN iw ON iw.s = dw.s AND iw.n = dw.n),
+c AS (SELECT rid, count(DISTINCT p) AS hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM h) GROUP BY rid),
+f AS (SELECT rid, count(*) AS items, string_agg(k, ',' ORDER BY k) AS ids
+      FROM (SELECT DISTINCT rid, coalesce(CAST(item_id AS VARCHAR), 'null') AS k FROM h) GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, coalesce(hit, 0) AS n_hit, coalesce(items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit, 0) > 0 AND 20 * coalesce(hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN f USING (rid)
+"""
+
+
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substring.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
     return left.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+           FROM documents),
+win AS (SELECT rid, i, md5(array_to_string(ws[i:i + 34], ' ')) AS s
+        FROM (SELECT rid, ws, unnest(range(1, len(ws) - 33)) AS i FROM d)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY s) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS p FROM rep),
+words AS (SELECT rid, p, ws[p] AS x FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS p FROM d)),
+kept AS (SELECT rid, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
@@ -106,4 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_warc": OP1_SQL,
+    "op6_embeddings": OP6_SQL,
+    "op8_decontamination": OP8_SQL,
+    "op9_substring": OP9_SQL,
 }
