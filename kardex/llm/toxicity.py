@@ -1,8 +1,9 @@
 """Toxicity by Levenshtein automata over a lexicon trie.
 
-Terms are learned from labelled rows.  Each distinct word of a text is the
-pattern of a Levenshtein automaton, run against the trie of terms: misspelled
-terms match within one or two edits.  A context window around each match tells
+Terms and stems (beginnings of words that take many endings) are learned from
+labelled rows.  Each distinct word of a text is the pattern of a Levenshtein
+automaton, run against their trie: misspelled terms match within one or two
+edits, stems match the word's beginning exactly.  A context window around each match tells
 quotation (quote marks, reporting words) from abuse, and a logistic model over
 the sums of these window scores gives the probability.
 """
@@ -43,25 +44,30 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Trie:
+    """Of terms; one that ends in ``*`` is a stem."""
+
     def __init__(self, terms: list[str]):
         self.children: list[dict[str, int]] = [{}]
         self.term: list[int] = [-1]
         self.most: list[int] = [0]
+        self.stem: list[int] = [-1]
         for place, word in enumerate(terms):
-            node = 0
-            for c in word:
-                self.most[node] = max(self.most[node], reach(word))
+            node, body = 0, word.removesuffix("*")
+            edits = reach(word) if body == word else 0
+            for c in body:
+                self.most[node] = max(self.most[node], edits)
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
                     self.term.append(-1)
+                    self.stem.append(-1)
                     self.most.append(0)
                 node = self.children[node][c]
-            self.term[node] = place
-            self.most[node] = max(self.most[node], reach(word))
+            (self.term if body == word else self.stem)[node] = place
+            self.most[node] = max(self.most[node], edits)
         self.terms = terms
-        self.shortest = min((len(t) - reach(t) for t in terms), default=0)
-        self.longest = max((len(t) + reach(t) for t in terms), default=-1)
+        self.shortest = min((len(t.removesuffix("*")) - (0 if t[-1] == "*" else reach(t)) for t in terms), default=0)
+        self.longest = max((61 if t[-1] == "*" else len(t) + reach(t) for t in terms), default=-1)
 
     def match(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """For each word the closest term's index (-1: none) and its distance.
@@ -84,9 +90,13 @@ class Trie:
         end = np.uint64(1) << np.fromiter(map(len, some), np.uint64, len(some))
         one = np.uint64(1)
         start = [np.full(len(some), (1 << d + 1) - 1, np.uint64) for d in range(self.most[0] + 1)]
-        stack = [(0, np.arange(len(some)), start)]
+        stack = [(0, 0, np.arange(len(some)), start)]
         while stack:
-            node, rows, states = stack.pop()
+            node, depth, rows, states = stack.pop()
+            if (stem := self.stem[node]) >= 0:
+                hit = at[rows[(states[0] & (one << np.uint64(depth))) != 0]]
+                hit = hit[distance[hit] > 0]
+                best[hit], distance[hit] = stem, 0
             if (term := self.term[node]) >= 0:
                 for d in range(reach(self.terms[term]) + 1):
                     hit = at[rows[(states[d] & end[rows]) != 0]]
@@ -101,7 +111,7 @@ class Trie:
                     after.append(step)
                 alive = np.flatnonzero(after[-1])
                 if len(alive):
-                    stack.append((child, rows[alive], [s[alive] for s in after]))
+                    stack.append((child, depth + 1, rows[alive], [s[alive] for s in after]))
         return best, distance
 
 
@@ -170,11 +180,15 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + features @ np.array(self.weights[1:]), -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 50) -> list[float]:
+#: The strongest match explains a text first, sums and density add to it.
+RIDGE = (0.05, 4.0, 4.0, 4.0)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: tuple[float, ...] = RIDGE, rounds: int = 50) -> list[float]:
     """Ridge-regularised logistic regression by Newton steps."""
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
-    penalty = np.diag([1e-6] + [ridge] * (x.shape[1] - 1))
+    penalty = np.diag([1e-6, *ridge])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
@@ -188,9 +202,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         rows_per_class: int = 3000, least_share: float = 0.02, max_terms: int = 500) -> Model:
     """Learns terms and weights from at most ``rows_per_class`` labelled rows
     of each class (smallest hashed ids), the only sample.  Near copies in it
-    count once.  Terms: words in at least ``least_share`` of the toxic texts,
-    rare elsewhere; the ``max_terms`` strongest (the lexicon's documented
-    size).  Rows without a label or id are not learned from; an id labelled
+    count once.  Terms: words, and beginnings of words (4 to 8 letters), in at
+    least ``least_share`` of the toxic texts and rare elsewhere; the
+    ``max_terms`` strongest (the lexicon's documented size).  A beginning counts
+    only if it occurs in half as many texts again as its commonest word; it
+    then stands for its words.  Rows without a label or id are not learned from; an id labelled
     twice counts as toxic if any label says so."""
     marked = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
@@ -203,9 +219,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         near, lists = [], []
         for text in batch.column(1).to_pylist():
             words = [w.strip(_STRIP) for w in words_of(text)]
-            grams = [" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))]
+            grams = [" ".join(words[i:i + 2]) for i in range(max(1, len(words) - 1))]
             near.append(min(xxhash.xxh64_intdigest(g) for g in grams) >> 1)
-            lists.append(sorted({w for w in words if w}))
+            found = {w for w in words if w}
+            lists.append(sorted(found | {w[:n] + "*" for w in found for n in range(4, 9) if n < len(w)}))
         return {"toxic": batch.column(0), "near": near, "words": lists}
 
     bags = map_slices(rows.select("toxic", "text"), shrink, T.StructType([
@@ -218,12 +235,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.sum(F.when(F.col("toxic") == 1, 0).otherwise(1)).alias("good"))
     bad, good = max(1, totals[1]), max(1, totals[0])
     ratio = (F.col("bad") / bad) / ((F.col("good") + 0.5) / good)
-    terms = [r["word"] for r in counts.where(
-        (F.col("bad") >= F.lit(max(3.0, least_share * bad))) & (ratio >= 8) & (F.length("word") >= 3))
-        .orderBy((F.col("bad") * F.log(ratio)).desc(), "word").limit(max_terms).collect()]
+    strong = counts.where((F.col("bad") >= F.lit(max(3.0, least_share * bad))) & (ratio >= 8) & (F.length("word") >= 3))
+    strong = strong.orderBy((F.col("bad") * F.log(ratio)).desc(), "word").limit(20 * max_terms).collect()
+    words = {r["word"]: r["bad"] for r in strong if r["word"][-1] != "*"}
+    stems: list[str] = []
+    for r in strong:
+        body = r["word"].removesuffix("*")
+        # A stem must reach well beyond its commonest word.
+        if body != r["word"] and not body.startswith(tuple(stems)) and r["bad"] >= 1.5 * max(
+                [0, *(n for w, n in words.items() if w.startswith(body))]):
+            stems.append(body)
+    terms = [r["word"] for r in strong if (r["word"] in words and not r["word"].startswith(tuple(stems)))
+             or r["word"][:-1] in stems and r["word"][-1] == "*"][:max_terms]
     # Words of clean texts are no misspellings.
-    usual = frozenset(r["word"] for r in counts.where(F.col("good") >= F.lit(max(3.0, 0.0005 * good)))
-                      .select("word").collect()) - set(terms)
+    usual = frozenset(r["word"] for r in counts.where((F.col("good") >= F.lit(max(3.0, 0.0005 * good)))
+                                                      & ~F.endswith("word", F.lit("*"))).select("word").collect()) - set(terms)
     trie = Trie(terms)
     close = trie.match(sorted(usual))[0]
     common = frozenset(w for w, b in zip(sorted(usual), close.tolist()) if b >= 0)
