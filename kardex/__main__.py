@@ -105,6 +105,15 @@ def cmd_match_problems(a, spark):
         call_number="`Permanent Call Number`", holding_id="`Holding Id`", bib=a.bib_column)
 
 
+def cmd_monographs(a, spark):
+    from kardex.operators.keys import with_file_order
+    from kardex.plans.jobs import run_monographs
+    from kardex.sources import readers as R
+    inventory = with_file_order(R.read_headerless_csv(spark, a.inventory, ["inventory_no", "production_type"]), "row_ordinal")
+    run_monographs(R.read_holdings(spark, a.holdings), inventory, with_file_order(R.read_marc(spark, a.bibs), "row_ordinal"),
+                   a.out, call_number="`Permanent Call Number`", bib=a.bib_column)
+
+
 def cmd_extract_codes(a, spark):
     from kardex.operators.lookups import extract_codes
     from kardex.sinks.writers import write_report_csv
@@ -187,6 +196,14 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.set_defaults(fn=cmd_match_problems)
 
+    s = sub.add_parser("monographs", help="matched holdings whose forms differ between bib and inventory")
+    s.add_argument("--holdings", required=True)
+    s.add_argument("--inventory", required=True, help="CSV without header: number, production type")
+    s.add_argument("--bibs", required=True, help="MARCXML")
+    s.add_argument("--bib-column", default="MMS Id")
+    s.add_argument("--out", required=True)
+    s.set_defaults(fn=cmd_monographs)
+
     s = sub.add_parser("extract-codes", help="inventory numbers found in a text column")
     s.add_argument("--sheet", required=True)
     s.add_argument("--column", default="Legacy Path")

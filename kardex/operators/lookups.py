@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kardex.functions import marc as MC
 from kardex.functions._util import as_col, lit_array
 from kardex.functions.text import blank_to_null, inventory_key, strip
 from kardex.operators.keys import keep_last, one_per_key
@@ -248,6 +249,18 @@ def nested_parts(rows: DataFrame, resources: DataFrame, resource_cols, *, row_id
                 F.array_sort(F.collect_list("item")).alias("matched_resources")))
 
 
+def monograph_flags(matched: DataFrame, bibs: DataFrame, key: str = "mms_id", ordinal: str = "row_ordinal") -> DataFrame:
+    """Matched rows with their bib (a bib id that repeats keeps its
+    last record, J7) and the flags ``bib_missing``, ``monograph`` and
+    ``form_mismatch``; ``c`` holds the compared forms (G4)."""
+    b = attach_bib(matched, bibs, key, ordinal=ordinal)
+    b = b.withColumn("monograph", ~F.col("bib_missing") & F.coalesce(
+        MC.is_monograph(F.col("production_type")), F.lit(False))).withColumn(
+        "c", MC.compare_forms(MC.bib_forms(), MC.inventory_forms(F.col("production_type"))))
+    differ = (F.size("c.unique_bib") > 0) | (F.size("c.unique_inventory") > 0)
+    return b.withColumn("form_mismatch", F.col("monograph") & F.coalesce(differ, F.lit(False)))
+
+
 # ---------------------------------------------------------------------------
 # Code membership
 # ---------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from kardex.functions.text import title_join, title_score
 from kardex.operators import changes as C
 from kardex.operators import matching as M
 from kardex.operators import validation as V
-from kardex.operators.lookups import valid_code_check
+from kardex.operators.lookups import monograph_flags, valid_code_check
 from kardex.session import cut_lineage
 from kardex.sinks import writers as W
 
@@ -92,6 +92,19 @@ def run_match_problems(holdings: DataFrame, digital: DataFrame, inventory: DataF
     return W.write_report_csv(report, out_path)
 
 
+def run_monographs(holdings: DataFrame, inventory: DataFrame, bibs: DataFrame, out_path: str, *,
+                   call_number="call_number", bib="mms_id") -> bool:
+    """Monograph job (H37-H42): matched holdings whose forms differ between
+    bib and inventory, and those without a bib.  ``inventory`` and ``bibs``
+    carry ``row_ordinal``; of repeated numbers and ids the last wins."""
+    matched = M.match_by_call_number(holdings, inventory, call_number=call_number).drop("row_ordinal")
+    matched = matched.select(F.col(f"`{bib}`").alias("mms_id"), "production_type")
+    f = monograph_flags(matched, bibs.withColumn("bib_id", MC.bib_id()))
+    text = lambda c: F.when(~F.col("bib_missing"), F.array_join(f"c.{c}", "|")).alias(c)
+    return W.write_report_csv(f.filter("form_mismatch or bib_missing").select(
+        "mms_id", text("common"), text("unique_bib"), text("unique_inventory"), "bib_missing"), out_path)
+
+
 def run_standardisation(records: DataFrame, fields, out_path: str, id_col: str = "inventory_id",
                         as_of_year: int = 2026) -> DataFrame:
     """Flow (b): change rows (H22) written as Parquet; returns the stats."""

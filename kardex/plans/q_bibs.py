@@ -10,7 +10,7 @@ from kardex.functions import marc as MC
 from kardex.functions.text import title_score
 from kardex.operators import matching as M
 from kardex.operators.keys import keep_last
-from kardex.operators.lookups import attach_bib, valid_code_check
+from kardex.operators.lookups import monograph_flags, valid_code_check
 from kardex.plans.bindings import cte, load
 from kardex.plans.catalog import register
 from kardex.plans.marc_fixture import to_marc
@@ -261,22 +261,64 @@ UNION ALL SELECT mms_id, NULL, NULL, NULL, true FROM m WHERE bib_id IS NULL
 def monograph_report(spark, sf_dir):
     h = load(spark, sf_dir, "holdings").select("mms_id", "call_number")
     i = load(spark, sf_dir, "inventory").select("inventory_no", "production_type", "row_ordinal")
-    f = _monograph_flags(M.match_by_call_number(h, i).drop("row_ordinal"), _bibs(spark, sf_dir))
+    f = monograph_flags(M.match_by_call_number(h, i).drop("row_ordinal"), _bibs(spark, sf_dir).drop("mentions"))
     text = lambda c: F.when(~F.col("bib_missing"), F.array_join(f"c.{c}", "|")).alias(c)
     # P11, and rows without a bib, which are reported too.
     return f.filter("form_mismatch or bib_missing").select(
         "mms_id", text("common"), text("unique_bib"), text("unique_inventory"), "bib_missing")
 
 
-def _monograph_flags(matched, bibs):
-    """Matched rows with their stage flags; a bib id that repeats keeps its
-    last record (J7)."""
-    b = attach_bib(matched, bibs.drop("mentions"), "mms_id", ordinal="row_ordinal")
-    cmp = MC.compare_forms(MC.bib_forms(), MC.inventory_forms(F.col("production_type")))
-    b = b.withColumn("monograph", ~F.col("bib_missing") & F.coalesce(
-        MC.is_monograph(F.col("production_type")), F.lit(False))).withColumn("c", cmp)
-    differ = (F.size("c.unique_bib") > 0) | (F.size("c.unique_inventory") > 0)
-    return b.withColumn("form_mismatch", F.col("monograph") & F.coalesce(differ, F.lit(False)))
+# --------------------------------------------------------------- P6 / H7 / H36
+PICKED_SQL = cte("bib_flat") + """
+SELECT bib_id, 1 AS control_fields, array_to_string(list_filter(['245', CASE WHEN form1 IS NOT NULL THEN '655' END,
+  CASE WHEN form2 IS NOT NULL THEN '655' END], lambda x: x IS NOT NULL), '|') AS tags
+FROM bib_flat
+"""
+
+
+@register("picked_fields", PICKED_SQL)
+def picked_fields(spark, sf_dir):
+    p = MC.pick_fields(["001", "245", "655"])
+    return _bibs(spark, sf_dir).select("bib_id", p.alias("p")).select(
+        "bib_id", F.size("p.controlfield").alias("control_fields"),
+        F.array_join(F.transform("p.datafield", lambda f: f["_tag"]), "|").alias("tags"))
+
+
+REPLACED_SQL = cte("holdings") + """
+SELECT holding_id, CASE WHEN row_ordinal % 11 = 0 OR row_ordinal % 7 = 0 THEN NULL WHEN row_ordinal % 5 = 0 THEN 'b=lib'
+  ELSE 'b=lib|h=' || CASE WHEN length(call_number) >= 2 AND substr(call_number, length(call_number) - 1, 1) = ' '
+        AND right(call_number, 1) IN ('T', 'M', 'R') AND strpos(call_number, '-') = 0
+        AND strpos(lower(call_number), 'and') = 0
+       THEN left(call_number, length(call_number) - 2) || right(call_number, 1) ELSE call_number END END AS subfields
+FROM holdings
+"""
+
+
+@register("replaced_call_numbers", REPLACED_SQL)
+def replaced_call_numbers(spark, sf_dir):
+    """H7: the 852 field of each holding record with its call number compacted."""
+    from kardex.operators.changes import compact_call_number, marc_first_subfield, marc_replace_subfield
+    from kardex.plans.marc_fixture import holdings_records
+    r = holdings_records(load(spark, sf_dir, "holdings"))
+    f = r.select("holding_id", F.get(F.filter("record.datafield", lambda x: x["_tag"] == "852"), 0).alias("f"))
+    new = marc_replace_subfield(F.col("f"), "h", compact_call_number(marc_first_subfield(F.col("f"), "h")))
+    return f.select("holding_id", F.array_join(F.transform(
+        new["subfield"], lambda s: F.concat(s["_code"], F.lit("="), s["_VALUE"])), "|").alias("subfields"))
+
+
+SUFFIX_NAMES_SQL = """
+SELECT p_partkey AS part_id, CASE p_size % 3 WHEN 0 THEN p_name || ', Jr.' WHEN 1 THEN p_name || ';' || p_brand
+  ELSE p_name || ';Jr.;' || p_brand END AS names FROM part
+"""
+
+
+@register("name_suffixes", SUFFIX_NAMES_SQL)
+def name_suffixes(spark, sf_dir):
+    from kardex.plans.bindings import read_table
+    p, jr = read_table(spark, sf_dir, "part"), F.lit("Jr.")
+    names = (F.when(F.col("p_size") % 3 == 0, F.array("p_name", jr)).when(F.col("p_size") % 3 == 1, F.array("p_name", "p_brand"))
+             .otherwise(F.array(F.col("p_name"), jr, F.col("p_brand"))))
+    return p.select(F.col("p_partkey").alias("part_id"), F.array_join(MC.fix_name_suffix(names), ";").alias("names"))
 
 
 # --------------------------------------------------------------- S9 / H43 / A9
@@ -348,7 +390,7 @@ def monograph_funnel(spark, sf_dir):
     i = load(spark, sf_dir, "inventory").select("inventory_no", "production_type", "row_ordinal")
     inv = keep_last(i, "inventory_no", "row_ordinal").drop("row_ordinal").withColumn("matched", F.lit(True))
     rows = h.join(inv, F.col("call_number") == F.col("inventory_no"), "left")
-    f = _monograph_flags(rows, _bibs(spark, sf_dir))
+    f = monograph_flags(rows, _bibs(spark, sf_dir).drop("mentions"))
     kept = lambda c: F.count_if(F.coalesce(F.col("matched"), F.lit(False)) & c)
     stages = {"holdings_read": F.count(F.lit(1)), "matched": kept(F.lit(True)), "with_bib": kept(~F.col("bib_missing")),
               "monographs": kept(F.col("monograph")), "form_mismatches": kept(F.col("form_mismatch"))}

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from kardex.__main__ import main
 
 
@@ -74,3 +76,28 @@ def test_cli_validate_standardise_files_xml(spark, tmp_path):
     _write(d + "/xml/a.xml", "<doc><row><a>x</a></row><row><a>y</a></row></doc>")
     assert main(["xml-to-json", "--input", d + "/xml", "--row-tag", "row", "--out", d + "/js"], spark) == 0
     assert sorted(r.a for r in spark.read.json(d + "/js/malformed=false").collect()) == ["x", "y"]
+
+
+def test_monographs_and_match_problems(spark, tmp_path):
+    from test_io import MARCXML
+    d = str(tmp_path)
+    _write(d + "/bibs.xml", MARCXML)
+    _write(d + "/h.csv", "MMS Id,Holding Id,Permanent Call Number\n9911,1,M1\n9912,2,M2\n404,3,M3\n")
+    _write(d + "/inv.csv", "M1,SHORT\nM1,FEATURES\nM2,SHORT\nM3,SHORT\n")
+    assert main(["monographs", "--holdings", d + "/h.csv", "--inventory", d + "/inv.csv", "--bibs", d + "/bibs.xml",
+                 "--out", d + "/mono"], spark) == 0
+    rows = spark.read.option("header", True).csv(d + "/mono").collect()
+    assert ("404", "true") in [(r.mms_id, r.bib_missing) for r in rows]
+    _write(d + "/dl_20250101_120000.json", json.dumps([{"model": "m", "pk": 5, "fields": {
+        "inventory_number": "M1", "row_ordinal": 1}}]))
+    _write(d + "/inventory_20250101_120000.json", json.dumps([
+        {"inventory_id": 7, "inventory_no": "M1", "title": "Lost reel", "episode_title": "Two"}]))
+    _write(d + "/lang.xml", "<c><language><name>English</name><code>eng</code></language></c>")
+    args = ["match-problems", "--holdings", d + "/h.csv", "--digital", d + "/dl_20250101_120000.json", "--inventory",
+            d + "/inventory_20250101_120000.json", "--bibs", d + "/bibs.xml", "--language-codes", d + "/lang.xml",
+            "--out", d + "/problems", "--as-of"]
+    assert main([*args, "2025-01-02 00:00:00"], spark) == 0
+    row = spark.read.option("header", True).csv(d + "/problems").first()
+    assert (row.bib_id, row.inventory_title, row.bib_title) == ("9911", "Lost reel. Two", "lost reel, The")
+    with pytest.raises(SystemExit):
+        main([*args, "2025-03-01 00:00:00"], spark)

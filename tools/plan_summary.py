@@ -19,14 +19,14 @@ sys.path.insert(0, ".")
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     from kardex.session import get_session
-    import __spark_entry__ as E
+    from kardex.plans import catalog
     spark = get_session(extra={"spark.sql.adaptive.enabled": "false",
                                "spark.sql.autoBroadcastJoinThreshold": "-1"})
     print("# Static physical plans of the registered reports\n")
     print("AQE and automatic broadcast off (the plan a large run starts from). Columns count plan nodes.\n")
     print("| report | shuffles | reused | hash agg | sort agg | object agg | windows | explode | joins | scanned columns |")
     print("|---|---|---|---|---|---|---|---|---|---|")
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(catalog.queries().items()):
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         n = lambda pat: len(re.findall(pat, plan))
         scans = sorted(set(re.findall(r"FileScan parquet \[([^\]\n]*)\]", plan)))
