@@ -1,11 +1,12 @@
 """N-gram scores from an Elias-Fano trie.
 
-Batches of documents ask hash shards (see ``exchange``) twice.  First about
-their distinct words: a shard sums the training counts and keeps its part of
-the vocabulary as an Elias-Fano sequence of word hashes, whose ranks are the
-word ids.  Then about their distinct pairs of context and word: a shard sums
-the pairs' training counts, discounts them, builds the trie of its contexts,
-writes it to the shared folder, maps that file into memory and answers from it.
+The training words are counted first; each hash shard keeps its part of the
+vocabulary as an Elias-Fano sequence of word hashes, whose ranks are the word
+ids.  Then batches of documents ask the shards (see ``exchange``) twice: about
+their distinct words, and about their distinct pairs of context and word.  For
+these a shard sums the training counts, discounts them, builds the trie of its
+contexts, writes it to the shared folder, maps that file into memory and
+answers from it.
 
 The model interpolates bigrams with unigrams by absolute discounting:
 ``p(w | c) = (n(cw) - d) / n(c) + d * followers(c) / n(c) * p(w)``.  Unigrams
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.llm.common import cut, field, mix64, shared_dir
+from kardex.llm.common import field, mix64, shared_dir
 from kardex.llm.elias_fano import EliasFano, Trie, pack, unpack
 from kardex.llm.exchange import Batch, answers, batched, shard_of, slices
 
@@ -101,36 +102,76 @@ class Tokens(Batch):
         return np.bincount(self.rank[self.tokens], weights=self.trained, minlength=len(self.keys)).astype(np.int64)
 
 
-_WORD_ASK = "shard long, batch long, keys binary, counts binary"
-_WORD_TELL = ("batch long, shard long, counts binary, ids binary, v long, n long, once long, twice long, path string")
+_WORDS = "shard long, keys binary, counts binary"
+_LEVEL = "shard long, v long, n long, once long, twice long, path string"
+_ASK = "shard long, batch long, keys binary"
+_TELL = "batch long, shard long, counts binary, ids binary"
+#: Stands for the start of a text among the word keys, which end in two zeros.
+START = np.uint64(1)
+
+
+def _slices_of(batches: Iterator[pa.RecordBatch], batch_bytes: int) -> Iterator[Tokens]:
+    """The tokens of a task's ``(text, train)`` rows, some bytes at a time."""
+    for batch in batches:
+        sizes = batch.column(0).cast(pa.large_binary())
+        bounds = np.frombuffer(sizes.buffers()[1], np.int64)[sizes.offset:sizes.offset + len(sizes) + 1]
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + batch_bytes, side="right")) - 1)
+            part = pa.Table.from_batches([batch.slice(at, to - at)], pa.schema(batch.schema))
+            yield Tokens(part.append_column("k", pa.array(np.arange(to - at))))
+            at = to
+
+
+def _count_words(shards: int, batch_bytes: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words in _slices_of(batches, batch_bytes):
+            counts = words.word_counts()
+            keys, counts = words.keys[counts > 0], counts[counts > 0]
+            parts = slices(keys, shards)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[0] for p in parts], pa.int64()), pa.array([planes(keys[s:e]) for _, s, e in parts], pa.binary()),
+                 pa.array([small(counts[s:e]) for _, s, e in parts], pa.binary())], names=["shard", "keys", "counts"])
+
+    return count
 
 
 def _sum_words(folder: str):
-    def answer(table: pa.Table) -> pa.Table:
+    def add(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        parts = [unplanes(k) for k in table.column("keys").to_pylist()]
         counts = np.concatenate([unsmall(c) for c in table.column("counts").to_pylist()])
-        keys, index = np.unique(np.concatenate(parts), return_inverse=True)
+        keys, index = np.unique(np.concatenate([unplanes(k) for k in table.column("keys").to_pylist()]), return_inverse=True)
         total = np.bincount(index, weights=counts, minlength=len(keys)).astype(np.int64)
-        seen = total > 0
-        ids = np.where(seen, np.cumsum(seen) - 1, -1)
         # The vocabulary level of the trie: hashes in order, their rank the id.
-        level = EliasFano.build((keys[seen] >> np.uint64(2)).astype(np.int64), 1 << 62)
-        path = save(folder, f"words-{shard:06d}", pack([*level.parts(), total[seen].astype(np.uint64)]))
-        level_parts = unpack(mapped(path))
-        level, kept = EliasFano.of(level_parts[:4]), level_parts[4].view(np.uint64).astype(np.int64)
-        none = np.zeros(len(keys), np.int64)
-        place, found = level.successor(none, none + level.n, (keys >> np.uint64(2)).astype(np.int64))
-        ids, total = np.where(found, place, -1), np.zeros(len(keys), np.int64)
-        total[found] = kept[place[found]]
-        cuts = np.cumsum([len(p) for p in parts])[:-1]
-        out = [(b, shard, np.ascontiguousarray(total[i].view(np.uint8).reshape(-1, 8).T).tobytes(), small(ids[i] + 1),
-                None, None, None, None, None)
-               for b, i in zip(table.column("batch").to_pylist(), np.split(index, cuts))]
-        out.append((-1, shard, None, None, level.n, int(kept.sum()), int((kept == 1).sum()), int((kept == 2).sum()), path))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (
-            pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4, pa.string()))],
-            names=[c.split()[0] for c in _WORD_TELL.split(", ")])
+        level = EliasFano.build((keys >> np.uint64(2)).astype(np.int64), 1 << 62)
+        path = save(folder, f"words-{shard:06d}", pack([*level.parts(), total.astype(np.uint64)]))
+        row = (shard, len(keys), int(total.sum()), int((total == 1).sum()), int((total == 2).sum()), path)
+        return pa.table([pa.array([c]) for c in row], names=[c.split()[0] for c in _LEVEL.split(", ")])
+
+    return add
+
+
+def _level(path: str) -> tuple[EliasFano, np.ndarray]:
+    parts = unpack(mapped(path))
+    return EliasFano.of(parts[:4]), parts[4].view(np.uint64).astype(np.int64)
+
+
+def _answer_words(paths: dict[int, str]):
+    def answer(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        counts, ids = [], []
+        level = _level(paths[shard]) if shard in paths else None
+        for data in table.column("keys").to_pylist():
+            keys = unplanes(data)
+            total, place = np.zeros(len(keys), np.int64), np.full(len(keys), -1)
+            if level is not None:
+                none = np.zeros(len(keys), np.int64)
+                at, found = level[0].successor(none, none + level[0].n, (keys >> np.uint64(2)).astype(np.int64))
+                total[found], place[found] = level[1][at[found]], at[found]
+            counts.append(np.ascontiguousarray(total.view(np.uint8).reshape(-1, 8).T).tobytes())
+            ids.append(small(place + 1))
+        return pa.table({"batch": table.column("batch"), "shard": table.column("shard"),
+                         "counts": pa.array(counts, pa.binary()), "ids": pa.array(ids, pa.binary())})
 
     return answer
 
@@ -138,15 +179,18 @@ def _sum_words(folder: str):
 class Vocabulary:
     """What the driver knows of the vocabulary: one row per shard."""
 
-    def __init__(self, stats: list):
-        self.base = {}
+    def __init__(self, stats: list, starts: int):
+        self.base, self.paths = {}, {}
         self.size = self.tokens = once = twice = 0
         for r in sorted(stats, key=lambda r: r["shard"]):
-            self.base[r["shard"]] = self.size
+            self.base[r["shard"]], self.paths[r["shard"]] = self.size, r["path"]
             self.size += r["v"]
             self.tokens += r["n"]
             once, twice = once + r["once"], twice + r["twice"]
+        self.starts = starts
         self.discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+        #: Rest weight of each context that has more than a shard's share.
+        self.hot: dict[int, float] = {}
 
     def resolve(self, words: Tokens, replies: pa.Table, shards: int) -> None:
         """Gives ``words`` the count and id (-1: unknown) of each of its words."""
@@ -154,19 +198,58 @@ class Vocabulary:
         counts = [np.ascontiguousarray(a.reshape(8, -1).T).view(np.int64).ravel()
                   for a in answers(replies, parts, "counts", "u1")]
         ids = [unsmall(a.tobytes()) for a in answers(replies, parts, "ids", "u1")]
-        ids = [np.where(i > 0, i - 1 + self.base[p[0]], -1) for i, p in zip(ids, parts)]
+        ids = [np.where(i > 0, i - 1 + self.base.get(p[0], 0), -1) for i, p in zip(ids, parts)]
         zero = np.zeros(0, np.int64)
         words.count = np.concatenate([zero, *counts])[words.rank]
         words.id = np.concatenate([zero, *ids])[words.rank]
 
 
+def _hot_contexts(rows: DataFrame, vocabulary: Vocabulary, shards: int, discount: float, batch_bytes: int) -> dict[int, float]:
+    """Rest weights of the contexts with more than a shard's share of all
+    tokens (so at most one per shard): their pairs are spread over shards, and
+    their followers are counted here, exactly, in a pass of their own."""
+    share, spark = max(1, vocabulary.tokens // shards), rows.sparkSession
+    if not vocabulary.tokens:
+        return {}
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, path in zip(*(c.to_pylist() for c in batch.columns)):
+                level, counts = _level(path)
+                at = np.flatnonzero(counts > share)
+                keys = level.get(at).astype(np.uint64) << np.uint64(2)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(at + vocabulary.base[shard]),
+                                                  pa.array(counts[at])], names=["key", "id", "n"])
+
+    paths = spark.createDataFrame(sorted(vocabulary.paths.items()), "shard long, path string")
+    hot = {r["key"]: (r["id"], r["n"]) for r in paths.mapInArrow(find, "key long, id long, n long").collect()}
+    if vocabulary.starts > share:
+        hot[int(START)] = (vocabulary.size, vocabulary.starts)
+    if not hot:
+        return {}
+    wanted = np.array(sorted(hot), np.int64).view(np.uint64)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words in _slices_of(batches, batch_bytes):
+            key = words.keys[words.rank][words.tokens]
+            before = np.where(words.first, START, np.concatenate([[START], key[:-1]]))
+            at = np.isin(before, wanted) & words.trained
+            both = np.unique(np.column_stack([before[at], key[at]]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].view(np.int64)), pa.array(both[:, 1].view(np.int64))],
+                                             names=["context", "word"])
+
+    followers = rows.select("text", "train").mapInArrow(pairs, "context long, word long").distinct().groupBy("context").agg(
+        F.count("*").alias("n")).collect()
+    return {hot[r["context"]][0]: discount * r["n"] / hot[r["context"]][1] for r in followers}
+
+
 class Pairs:
     """Distinct (context, word) pairs of a batch among known words, sorted by
     shard, context and word.  A context with more than its share of all tokens
     is dealt over several shards by the word; such a shard holds one context."""
 
-    def __init__(self, words: Tokens, vocabulary: Vocabulary, starts: int, shards: int):
-        token_id = words.id[words.tokens]
+    def __init__(self, words: Tokens, vocabulary: Vocabulary, shards: int):
+        starts, token_id = vocabulary.starts, words.id[words.tokens]
         start = vocabulary.size
         before = np.where(words.first, start, np.concatenate([[0], token_id[:-1]])) if len(token_id) else token_id
         self.known = np.flatnonzero((before >= 0) & (token_id >= 0))
@@ -174,12 +257,10 @@ class Pairs:
         keys, index = np.unique(before[self.known] * radix + token_id[self.known], return_inverse=True)
         counts = np.bincount(index, weights=words.trained[self.known], minlength=len(keys)).astype(np.int64)
         context, word = keys // radix, keys % radix
-        by_id = np.zeros(len(keys), np.int64)
-        size = np.concatenate([words.count, [starts]])
-        local = {int(i): c for i, c in zip(words.id.tolist(), words.count.tolist()) if i >= 0} | {start: starts}
         named, of = np.unique(context, return_inverse=True)
-        by_id = np.array([local[int(c)] for c in named.tolist()], np.int64)[of] if len(named) else by_id
-        del size
+        order = np.argsort(words.id)
+        at = np.minimum(np.searchsorted(words.id[order], named), len(order) - 1)
+        by_id = np.where(named == start, starts, words.count[order[at]])[of]
         share = max(1, vocabulary.tokens // shards)
         pieces = -(-by_id // share)
         shard = shard_of(mix64(context.astype(np.uint64)), shards).astype(np.int64)
@@ -197,8 +278,7 @@ class Pairs:
 
 
 _PAIR_ASK = "shard long, batch long, keys binary, counts binary, size long"
-_PAIR_TELL = ("batch long, shard long, pair binary, rest binary, pair_bins binary, rest_bins binary, followers long, "
-              "size long, path string")
+_PAIR_TELL = "batch long, shard long, pair binary, rest binary, pair_bins binary, rest_bins binary"
 
 
 def _sum_pairs(folder: str, vocabulary: Vocabulary, shards: int, discount: float):
@@ -223,13 +303,10 @@ def _sum_pairs(folder: str, vocabulary: Vocabulary, shards: int, discount: float
         pair, rest = trie.look_up(asked_context, asked_word)
         cuts = np.cumsum([len(p) for p in parts])[:-1]
         bins = trie.bins.tobytes(), trie.rest_bins.tobytes()
-        out = [(b, shard, pair[i].tobytes(), None if hot else rest[i].tobytes(), *bins, None, None, None)
+        out = [(b, shard, pair[i].tobytes(), None if hot else rest[i].tobytes(), *bins)
                for b, i in zip(table.column("batch").to_pylist(), np.split(index, cuts))]
-        out.append((-1, shard, None, None, None, None, int(seen.sum()) if hot else None,
-                    int(size[0]) if hot and len(size) else None, path))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (
-            pa.int64(), pa.int64(), *[pa.binary()] * 4, pa.int64(), pa.int64(), pa.string()))],
-            names=[c.split()[0] for c in _PAIR_TELL.split(", ")])
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), *[pa.binary()] * 4))],
+                        names=[c.split()[0] for c in _PAIR_TELL.split(", ")])
 
     return answer
 
@@ -249,29 +326,25 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     rows, shards = batched(docs, id_col, text_col, batch_bytes, shard_bytes)
     rows = rows.withColumn("train", F.coalesce(train, F.lit(False)))
     by_batch = rows.groupBy("batch")
+    stats = (rows.select("text", "train").mapInArrow(_count_words(shards, batch_bytes), _WORDS)
+             .groupBy("shard").applyInArrow(_sum_words(folder), _LEVEL).collect())
+    vocabulary = Vocabulary(stats, rows.where("train").count())
+    vocabulary.hot = _hot_contexts(rows, vocabulary, shards, discount, batch_bytes)
 
     def ask_words(table: pa.Table) -> pa.Table:
         words, batch = Tokens(table), table.column("batch")[0].as_py()
-        counts = words.word_counts()
         parts = slices(words.keys, shards)
         return pa.table({"shard": pa.array([p[0] for p in parts], pa.int64()),
                          "batch": pa.array([batch] * len(parts), pa.int64()),
-                         "keys": pa.array([planes(words.keys[s:e]) for _, s, e in parts], pa.binary()),
-                         "counts": pa.array([small(counts[s:e]) for _, s, e in parts], pa.binary())})
+                         "keys": pa.array([planes(words.keys[s:e]) for _, s, e in parts], pa.binary())})
 
-    told = cut(by_batch.applyInArrow(ask_words, _WORD_ASK).groupBy("shard").applyInArrow(_sum_words(folder), _WORD_TELL))
-    vocabulary = Vocabulary(told.where("batch = -1").select("shard", "v", "n", "once", "twice").collect())
-    starts = rows.where("train").count()
-    words_told = told.where("batch >= 0").select("batch", "shard", "counts", "ids")
+    words_told = by_batch.applyInArrow(ask_words, _ASK).groupBy("shard").applyInArrow(
+        _answer_words(vocabulary.paths), _TELL)
 
     def ask_pairs(table: pa.Table, replies: pa.Table) -> pa.Table:
-        empty = pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64())],
-                         names=["shard", "batch", "keys", "counts", "size"])
-        if not table.num_rows:
-            return empty
         words, batch = Tokens(table), table.column("batch")[0].as_py()
         vocabulary.resolve(words, replies, shards)
-        pairs = Pairs(words, vocabulary, starts, shards)
+        pairs = Pairs(words, vocabulary, shards)
         parts = pairs.parts
         return pa.table({"shard": pa.array([p[0] for p in parts], pa.int64()),
                          "batch": pa.array([batch] * len(parts), pa.int64()),
@@ -279,19 +352,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                          "counts": pa.array([small(pairs.counts[s:e]) for _, s, e in parts], pa.binary()),
                          "size": pa.array([int(pairs.size[s]) for _, s, _ in parts], pa.int64())})
 
-    pairs_told = cut(by_batch.cogroup(words_told.groupBy("batch")).applyInArrow(ask_pairs, _PAIR_ASK)
-                     .groupBy("shard").applyInArrow(_sum_pairs(folder, vocabulary, shards, discount), _PAIR_TELL))
-    # Of the contexts dealt over several shards (at most one per shard, as each
-    # has more than a shard's share of the tokens): their followers, summed.
-    hot_rest: dict[int, float] = {}
-    sizes: dict[int, list[int]] = {}
-    for r in pairs_told.where("batch = -1 and followers is not null").select("shard", "followers", "size").collect():
-        context = (r["shard"] - shards) // (shards + 1)
-        known = sizes.setdefault(context, [0, 0])
-        known[0] += r["followers"]
-        known[1] = max(known[1], r["size"] or 0)
-    for context, (followers, size) in sizes.items():
-        hot_rest[context] = discount * followers / size if size else 0.0
+    pairs_told = (by_batch.cogroup(words_told.groupBy("batch")).applyInArrow(ask_pairs, _PAIR_ASK)
+                  .groupBy("shard").applyInArrow(_sum_pairs(folder, vocabulary, shards, discount), _PAIR_TELL))
 
     schema = T.StructType([field(rows, "id"), *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")],
                            T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
@@ -302,7 +364,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         words = Tokens(table)
         asked = np.array(replies.column("step").to_pylist())
         vocabulary.resolve(words, replies.filter(pa.array(asked == 1, pa.bool_())), shards)
-        pairs = Pairs(words, vocabulary, starts, shards)
+        pairs = Pairs(words, vocabulary, shards)
         second = replies.filter(pa.array(asked == 2, pa.bool_()))
         got = {r["shard"]: r for r in second.select(["shard", "pair", "rest", "pair_bins", "rest_bins"]).to_pylist()}
         direct, rest = np.zeros(len(pairs.keys)), np.zeros(len(pairs.keys))
@@ -311,7 +373,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
             code = np.frombuffer(row["pair"], np.uint8)
             direct[s:e] = np.where(code > 0, 10 ** np.frombuffer(row["pair_bins"])[code], 0)
             if shard >= shards:
-                rest[s:e] = hot_rest.get((shard - shards) // (shards + 1), 0.0)
+                rest[s:e] = vocabulary.hot.get((shard - shards) // (shards + 1), 0.0)
             else:
                 code = np.frombuffer(row["rest"], np.uint8)
                 rest[s:e] = np.where(code > 0, 10 ** np.frombuffer(row["rest_bins"])[code], 0)
@@ -319,7 +381,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         single = np.where(count > 0, (count - d) / max(1, total), d * kinds / max(1, total)) if total else np.ones(len(count))
         p = single[words.tokens]
         before = np.concatenate([[0], words.id[words.tokens[:-1]]]) if len(p) else np.zeros(0, np.int64)
-        context_known = np.where(words.first, starts > 0, before >= 0)
+        context_known = np.where(words.first, vocabulary.starts > 0, before >= 0)
         # A known word never seen after this context has the context's rest; an
         # unknown word too, but it was not asked for: it takes the unigram.
         known = pairs.known
@@ -335,7 +397,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     none, nothing = F.lit(None).cast("binary"), {"counts": "binary", "ids": "binary"}
     replies = words_told.select(F.lit(1).alias("step"), "batch", "shard", "counts", "ids", none.alias("pair"), none.alias("rest"),
                                 none.alias("pair_bins"), none.alias("rest_bins")).unionAll(
-        pairs_told.where("batch >= 0").select(
+        pairs_told.select(
             F.lit(2).alias("step"), "batch", "shard", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()],
             "pair", "rest", "pair_bins", "rest_bins"))
     return by_batch.cogroup(replies.groupBy("batch")).applyInArrow(finish, schema)
