@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.llm.common import cut, field, map_slices, without
+from kardex.llm.common import cut, field, hashed_sample, map_slices, without
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -28,7 +28,7 @@ _START = "▁"
 #: forward sums inside double precision.
 PART = 24
 #: Words a task remembers; beyond, it forgets all and goes on.
-MEMORY = 300_000
+MEMORY = 200_000
 
 
 def load_pieces(path: str = VOCABULARY) -> dict[str, int]:
@@ -49,22 +49,81 @@ def words_of(text: str | None) -> list[str]:
     return words
 
 
+_WIDTH = 4096
+
+
+class Pieces:
+    """A trie of the pieces in one array (row displacement): the child of state
+    s by letter c is at ``base[s] + c`` if that cell's owner is s."""
+
+    def __init__(self, pieces: dict[str, int]):
+        letters = sorted({c for p in pieces for c in p})
+        self.letter = np.zeros(max(map(ord, letters)) + 2, np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        code = dict(zip(letters, range(1, len(letters) + 1)))
+        children: list[dict[int, int]] = [{}]
+        self.piece = [-1]
+        for piece, place in pieces.items():
+            state = 0
+            for c in piece:
+                state = children[state].setdefault(code[c], len(children))
+                if state == len(children):
+                    children.append({})
+                    self.piece.append(-1)
+            self.piece[state] = place
+        room = 4 * len(children) + 2 * len(letters) + 2 * _WIDTH
+        owner, child = np.full(room, -1, np.int32), np.zeros(room, np.int32)
+        base, free, start = np.zeros(len(children), np.int32), np.ones(room, bool), 0
+        for state in sorted(range(len(children)), key=lambda s: -len(children[s])):
+            codes = np.fromiter(children[state], np.int64, len(children[state]))
+            if not len(codes):
+                continue
+            while not free[start]:
+                start += 1
+            at = max(0, start - int(codes.min()))
+            while True:
+                # The first of many places at once where all children fit.
+                fits = np.logical_and.reduce([free[at + c:at + c + _WIDTH] for c in codes.tolist()])
+                if fits.any():
+                    break
+                at += _WIDTH
+            at += int(fits.argmax())
+            base[state] = at
+            owner[at + codes], child[at + codes] = state, list(children[state].values())
+            free[at + codes] = False
+        self.base, self.owner, self.child = base, owner, child
+        self.piece = np.array(self.piece, np.int32)
+
+    def spans(self, words: list[str]):
+        """For equally long words: ``(start, end, rows, pieces)`` of every piece
+        in them; a letter that is no piece counts as piece 0."""
+        length = len(words[0])
+        cells = np.array(words, dtype=f"<U{length}").view(np.uint32).reshape(len(words), length)
+        codes = self.letter[np.minimum(cells, len(self.letter) - 1)]
+        for start in range(length):
+            rows, state = np.arange(len(words)), np.zeros(len(words), np.int32)
+            for end in range(start, length):
+                cell = self.base[state] + codes[rows, end]
+                alive = self.owner[cell] == state
+                if end == start:
+                    piece = np.where(alive, self.piece[self.child[cell]], -1)
+                    yield start, end + 1, rows, np.maximum(piece, 0)
+                rows, state = rows[alive], self.child[cell[alive]]
+                if not len(rows):
+                    break
+                if end > start:
+                    piece = self.piece[state]
+                    at = np.flatnonzero(piece >= 0)
+                    if len(at):
+                        yield start, end + 1, rows[at], piece[at]
+
+
 class Lattice:
-    """Piece ids of all substrings of equally long words."""
-
-    def __init__(self, words: list[str], pieces: dict[str, int], longest: int):
-        marked, get = [_START + w for w in words], pieces.get
-        self.length = len(marked[0])
-        self.spans = [(i, j) for j in range(1, self.length + 1) for i in range(max(0, j - longest), j)]
-        ids = [[get(w[i:j], -1) for w in marked] for i, j in self.spans]
-        self.ids = {}
-        for (i, j), column in zip(self.spans, ids):
-            column = np.array(column, np.int64)
-            if j == i + 1:
-                column[column < 0] = 0
-            at = np.flatnonzero(column >= 0)
-            if len(at):
-                self.ids[i, j] = (at, column[at])
+    """The pieces in equally long words, each word marked at its start."""
+
+    def __init__(self, words: list[str], pieces: Pieces):
+        self.length = len(words[0]) + 1
+        self.ids = {(i, j): (at, ids) for i, j, at, ids in pieces.spans([_START + w for w in words])}
 
     def forward(self, table: np.ndarray, n: int) -> np.ndarray:
         """(places, words, languages): probability of each prefix."""
@@ -90,23 +149,22 @@ def _by_length(words: list[str]) -> Iterator[np.ndarray]:
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     for n in np.unique(lengths):
         at = np.flatnonzero(lengths == n)
-        for k in range(0, len(at), 20_000):
-            yield at[k:k + 20_000]
+        for k in range(0, len(at), 10_000):
+            yield at[k:k + 10_000]
 
 
 @dataclass
 class Model:
     langs: list[str]
-    pieces: dict[str, int]
+    pieces: Pieces
     table: np.ndarray
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Natural log probability of each word in each language."""
-        longest = max(map(len, self.pieces))
         out = np.empty((len(words), len(self.langs)))
         for at in _by_length(words):
             some = [words[i] for i in at]
-            alpha = Lattice(some, self.pieces, longest).forward(self.table, len(some))
+            alpha = Lattice(some, self.pieces).forward(self.table, len(some))
             out[at] = np.log(np.maximum(alpha[-1], 1e-300))
         return out
 
@@ -117,19 +175,17 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     (those whose hashed id is smallest).  That bound is the only sample: it
     fits the classifier and nothing else.  What reaches the driver is one row
     per language, then one per language and piece."""
-    pieces = load_pieces(vocabulary)
+    known = load_pieces(vocabulary)
+    pieces = Pieces(known)
     labelled = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"),
                            F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
     labelled = labelled.withColumn("h", F.xxhash64(F.lit(11), "id"))
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    bounds = {r["lang"]: r["most"] for r in labelled.select("lang", "h", "id").withColumn("n", order)
-              .where(F.col("n") <= docs_per_lang).groupBy("lang").agg(F.max("h").alias("most")).collect()}
-    langs = sorted(bounds)
+    few = cut(hashed_sample(labelled.select("lang", "h", "id").distinct(), "lang", docs_per_lang, "h", "id"))
+    langs = sorted(r["lang"] for r in few.select("lang").distinct().collect())
     if not langs:
-        return Model([], pieces, np.zeros((len(pieces) + 1, 0)))
-    chosen = F.lit(False)
-    for lang, most in bounds.items():
-        chosen = chosen | ((F.col("lang") == lang) & (F.col("h") <= most))
+        return Model([], pieces, np.zeros((len(known) + 1, 0)))
+    # The sample's size is a parameter: docs_per_lang ids of each language.
+    chosen = labelled.join(F.broadcast(few), ["lang", "h", "id"])
     place = {lang: i for i, lang in enumerate(langs)}
 
     def count(batch):
@@ -140,11 +196,10 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                 seen[key] = seen.get(key, 0) + 1
         return {"lang": [k[0] for k in seen], "word": [k[1] for k in seen], "n": list(seen.values())}
 
-    words = cut(map_slices(labelled.where(chosen).select("lang", "text"), count, T.StructType([
+    words = cut(map_slices(chosen.select("lang", "text"), count, T.StructType([
         T.StructField("lang", T.IntegerType()), T.StructField("word", T.StringType()),
         T.StructField("n", T.LongType())])).groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    table = np.full((len(pieces) + 1, len(langs)), 1.0 / (len(pieces) + 1))
-    longest = max(map(len, pieces))
+    table = np.full((len(known) + 1, len(langs)), 1.0 / (len(known) + 1))
     for _ in range(rounds):
         def expect(batches: Iterator[pa.RecordBatch], table=table) -> Iterator[pa.RecordBatch]:
             total = np.zeros_like(table)
@@ -154,7 +209,7 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                 weight = np.zeros((len(some), table.shape[1]))
                 weight[np.arange(len(some)), lang] = batch.column(2).to_numpy()
                 for at in _by_length(some):
-                    Lattice([some[i] for i in at], pieces, longest).expected(table, weight[at], total)
+                    Lattice([some[i] for i in at], pieces).expected(table, weight[at], total)
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(lang), pa.array(total[piece, lang])],
                                              names=["piece", "lang", "n"])

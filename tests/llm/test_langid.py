@@ -31,7 +31,7 @@ def brute(word, pieces, column):
 def test_forward_sums_all_segmentations():
     pieces = {"▁": 1, "▁a": 2, "a": 3, "b": 4, "ab": 5, "▁ab": 6, "bab": 7}
     table = np.random.default_rng(0).dirichlet(np.ones(8), size=2).T
-    model = langid.Model(["x", "y"], pieces, table)
+    model = langid.Model(["x", "y"], langid.Pieces(pieces), table)
     words = ["a", "ab", "abab", "bé", "babab"]
     for word, got in zip(words, model.word_scores(words)):
         assert got == pytest.approx([brute(word, pieces, table[:, k]) for k in (0, 1)])
@@ -41,7 +41,7 @@ def test_expected_counts_sum_to_the_pieces_used():
     pieces = {"▁": 1, "a": 2, "aa": 3}
     table = np.full((4, 1), 0.25)
     out = np.zeros((4, 1))
-    langid.Lattice(["aa"], pieces, 2).expected(table, np.array([[2.0]]), out)
+    langid.Lattice(["aa"], langid.Pieces(pieces)).expected(table, np.array([[2.0]]), out)
     # Cuts of "▁aa": ▁|a|a with weight 1/64 and ▁|aa with weight 1/16.
     short, long = 1 / 64, 1 / 16
     assert out[:, 0] == pytest.approx([0, 2, 2 * 2 * short / (short + long), 2 * long / (short + long)])
