@@ -158,7 +158,7 @@ def _join(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int,
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-         item_text_col: str = "text", window: int = 13, shard_words: int = 1 << 20, sample: int = 32,
+         item_text_col: str = "text", window: int = 13, shard_words: int = 1 << 19, sample: int = 32,
          block_bytes: int = 64 << 20, keep_text: bool = True) -> DataFrame:
     """The rows of ``docs`` with ``n_words, spans, items`` (columns of these
     names are replaced).
