@@ -189,9 +189,13 @@ class Vocabulary:
             once, twice = once + r["once"], twice + r["twice"]
         self.starts = starts
         self.discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-        #: Rest weight of each context that has more than a shard's share.
+        #: Rest weight of each context that is dealt over several shards.
         self.hot: dict[int, float] = {}
 
+    def most(self, shards: int) -> int:
+        """Tokens that one context may bring to one shard: four shares."""
+        return max(1, 4 * self.tokens // shards)
+
     def resolve(self, words: Tokens, replies: pa.Table, shards: int) -> None:
         """Gives ``words`` the count and id (-1: unknown) of each of its words."""
         parts = slices(words.keys, shards)
@@ -205,10 +209,10 @@ class Vocabulary:
 
 
 def _hot_contexts(rows: DataFrame, vocabulary: Vocabulary, shards: int, discount: float, batch_bytes: int) -> dict[int, float]:
-    """Rest weights of the contexts with more than a shard's share of all
-    tokens (so at most one per shard): their pairs are spread over shards, and
+    """Rest weights of the contexts with more tokens than one shard takes (so
+    fewer than there are shards): their pairs are spread over shards, and
     their followers are counted here, exactly, in a pass of their own."""
-    share, spark = max(1, vocabulary.tokens // shards), rows.sparkSession
+    share, spark = vocabulary.most(shards), rows.sparkSession
     if not vocabulary.tokens:
         return {}
 
@@ -245,8 +249,8 @@ def _hot_contexts(rows: DataFrame, vocabulary: Vocabulary, shards: int, discount
 
 class Pairs:
     """Distinct (context, word) pairs of a batch among known words, sorted by
-    shard, context and word.  A context with more than its share of all tokens
-    is dealt over several shards by the word; such a shard holds one context."""
+    shard, context and word.  A context with more tokens than one shard takes is
+    dealt over several shards by the word; such a shard holds one context."""
 
     def __init__(self, words: Tokens, vocabulary: Vocabulary, shards: int):
         starts, token_id = vocabulary.starts, words.id[words.tokens]
@@ -261,7 +265,7 @@ class Pairs:
         order = np.argsort(words.id)
         at = np.minimum(np.searchsorted(words.id[order], named), len(order) - 1)
         by_id = np.where(named == start, starts, words.count[order[at]])[of]
-        share = max(1, vocabulary.tokens // shards)
+        share = vocabulary.most(shards)
         pieces = -(-by_id // share)
         shard = shard_of(mix64(context.astype(np.uint64)), shards).astype(np.int64)
         hot = pieces > 1
@@ -312,7 +316,7 @@ def _sum_pairs(folder: str, vocabulary: Vocabulary, shards: int, discount: float
 
 
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", discount: float = 0.75,
-          batch_bytes: int = 6 << 20, shard_bytes: int = 16 << 20, folder: str | None = None) -> DataFrame:
+          batch_bytes: int = 4 << 20, shard_bytes: int = 8 << 20, folder: str | None = None) -> DataFrame:
     """One row per document: ``id, n_tokens, n_known, train_tokens, base_score,
     score``.  The model learns from the rows where ``train`` (a condition on
     the column ``id``) holds; its trie files stay in ``folder`` (default: a new
