@@ -10,7 +10,8 @@ answers from it.
 
 The model interpolates bigrams with unigrams by absolute discounting:
 ``p(w | c) = (n(cw) - d) / n(c) + d * followers(c) / n(c) * p(w)``.  Unigrams
-give the discounted mass to one class of unknown words.
+give the discounted mass to one class of unknown words, which is backed off to
+as any other word, so that after each context the probabilities sum to 1.
 """
 
 from __future__ import annotations
@@ -248,16 +249,19 @@ def _hot_contexts(rows: DataFrame, vocabulary: Vocabulary, shards: int, discount
 
 
 class Pairs:
-    """Distinct (context, word) pairs of a batch among known words, sorted by
-    shard, context and word.  A context with more tokens than one shard takes is
+    """Distinct (context, word) pairs of a batch after known contexts, sorted by
+    shard, context and word; all unknown words are one word, whose id is past
+    the known ones.  A context with more tokens than one shard takes is
     dealt over several shards by the word; such a shard holds one context."""
 
     def __init__(self, words: Tokens, vocabulary: Vocabulary, shards: int):
         starts, token_id = vocabulary.starts, words.id[words.tokens]
         start = vocabulary.size
         before = np.where(words.first, start, np.concatenate([[0], token_id[:-1]])) if len(token_id) else token_id
-        self.known = np.flatnonzero((before >= 0) & (token_id >= 0))
+        # Without training rows there is no context, not even the start.
+        self.known = np.flatnonzero((before >= 0) & (starts > 0))
         radix = start + 1
+        token_id = np.where(token_id >= 0, token_id, start)
         keys, index = np.unique(before[self.known] * radix + token_id[self.known], return_inverse=True)
         counts = np.bincount(index, weights=words.trained[self.known], minlength=len(keys)).astype(np.int64)
         context, word = keys // radix, keys % radix
@@ -384,13 +388,10 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         d, count = vocabulary.discount, words.count
         single = np.where(count > 0, (count - d) / max(1, total), d * kinds / max(1, total)) if total else np.ones(len(count))
         p = single[words.tokens]
-        before = np.concatenate([[0], words.id[words.tokens[:-1]]]) if len(p) else np.zeros(0, np.int64)
-        context_known = np.where(words.first, vocabulary.starts > 0, before >= 0)
-        # A known word never seen after this context has the context's rest; an
-        # unknown word too, but it was not asked for: it takes the unigram.
+        # A word never seen after this context, known or not, has the context's
+        # rest; after an unknown word all take the unigram.
         known = pairs.known
-        p_known = direct[pairs.index] + np.where(rest[pairs.index] > 0, rest[pairs.index], 1.0) * p[known]
-        p[known] = np.where(context_known[known], p_known, p[known])
+        p[known] = direct[pairs.index] + np.where(rest[pairs.index] > 0, rest[pairs.index], 1.0) * p[known]
         logs = np.log10(p)
         base = (np.log10(count + 1) - base_log)[words.tokens]
         at = words.token_ends - words.lengths - 1

@@ -67,6 +67,31 @@ def test_awkward_rows_hot_contexts_and_shards(spark):
         assert x[:3] == y[:3] and x[3] == pytest.approx(y[3]) and x[4] == pytest.approx(y[4], rel=0.01)
 
 
+@pytest.mark.parametrize("shard_bytes", [8 << 20, 4])
+def test_after_each_context_probabilities_sum_to_one(spark, shard_bytes):
+    learned = ["a b a c", "a b b d", "c a b", "d d a", "b"]
+    uni = Counter(w for t in learned for w in [*t.split(), ""])
+    n, v, once, twice = sum(uni.values()), len(uni), *(sum(c == k for c in uni.values()) for k in (1, 2))
+    cut = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+    single = {w: math.log10((c - cut) / n) for w, c in uni.items()}
+    single["u"] = math.log10(cut * v / n)
+    known = sorted(set(uni) - {""})
+    texts = ["", "u", *known, *(f"u {w}" for w in known), *(f"u {w} u" for w in known), *(f"u {c} {w}" for c in known for w in known)]
+    rows = [(-1 - i, t) for i, t in enumerate(learned)] + list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {texts[r.id]: r.score for r in ngram_lm.score(df, F.col("id") < 0, batch_bytes=60, shard_bytes=shard_bytes).collect()
+           if r.id >= 0}
+    # Differences of scores give each probability: an unknown word forgets what was before.
+    start = {"": got[""], "u": got["u"] - single[""]}
+    end = {w: got[f"u {w}"] - start["u"] - single[w] for w in known}
+    start |= {w: got[w] - end[w] for w in known}
+    assert sum(10 ** x for x in start.values()) == pytest.approx(1, rel=0.05)
+    for c in known:
+        after = [end[c], got[f"u {c} u"] - start["u"] - single[c] - single[""]]
+        after += [got[f"u {c} {w}"] - start["u"] - single[c] - end[w] for w in known]
+        assert sum(10 ** x for x in after) == pytest.approx(1, rel=0.05)
+
+
 def test_nothing_to_learn_and_empty(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     r = ngram_lm.score(df, F.lit(False)).first()
