@@ -5,6 +5,13 @@ below the size of its format, permuted by a keyed Feistel network and written
 back in the same format.  The permutation depends on the key, the kind and the
 normalised value only: equal values get equal pseudonyms in every document, and
 ``reverse`` undoes them.  A candidate that fails its validation stays.
+
+Cards, IBANs and phones beside other numbers or words have several readings,
+which start and end where groups do; the best valid ones that do not overlap
+are taken.  A pseudonym by which the text would be read otherwise is walked
+past, so that ``reverse`` finds the same places; only there does a pseudonym
+depend on its neighbours, too.  A short number behind a ``+`` phone of another
+country than +1 may be read as its end, as nothing tells them apart.
 """
 
 from __future__ import annotations
@@ -12,6 +19,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -79,6 +87,27 @@ def nanp(digits: str) -> bool:
     return digits[0] > "1" and digits[3] > "1"
 
 
+def card_digits(text: str) -> str | None:
+    value = re.sub(r"[ -]", "", text)
+    valid = 13 <= len(value) <= 19 and luhn_digit(value[:-1]) == value[-1] and len(set(value)) > 1
+    return value if valid else None
+
+
+def iban_value(text: str) -> str | None:
+    value = text.replace(" ", "")
+    return value if 15 <= len(value) <= 34 and iban_rest(value) == 1 else None
+
+
+def phone_parts(text: str) -> tuple[str, str] | None:
+    """Country digits that stay, and the rest."""
+    value = re.sub(r"\D", "", text)
+    if text.startswith("+1") and len(value) == 11:
+        return "1", value[1:]
+    if text.startswith("+"):
+        return (value[:2], value[2:]) if 8 <= len(value) <= 15 else None
+    return ("", value) if len(value) == 10 and nanp(value) else None
+
+
 def refill(shape: str, digits: str) -> str:
     """``shape`` with its digits replaced, in order."""
     it = iter(digits)
@@ -98,31 +127,27 @@ class Pseudonyms:
         net = self.network(f"{label}/{n}", 10 ** n)
         return str(net.walk(int(value), lambda x: keep(str(x).zfill(n)), self.back)).zfill(n)
 
-    def card(self, text: str) -> str | None:
-        value = re.sub(r"[ -]", "", text)
-        if not 13 <= len(value) <= 19 or luhn_digit(value[:-1]) != value[-1] or len(set(value)) == 1:
+    def card(self, text: str, keep: Callable[[str], bool] = lambda _: True) -> str | None:
+        value = card_digits(text)
+        if value is None:
             return None
-        # First digit (the network) stays; the last is the check digit.
-        body = value[0] + self.digits(f"card{value[0]}", value[1:-1])
-        return refill(text, body + luhn_digit(body))
-
-    def phone(self, text: str) -> str | None:
-        value = re.sub(r"\D", "", text)
-        if text.startswith("+1") and len(value) == 11:
-            country, rest = "1", value[1:]
-        elif text.startswith("+"):
-            if not 8 <= len(value) <= 15:
-                return None
-            country, rest = value[:2], value[2:]
-        elif len(value) == 10 and nanp(value):
-            country, rest = "", value
-        else:
+
+        def whole(inner: str) -> str:
+            # First digit (the network) stays; the last is the check digit.
+            return refill(text, value[0] + inner + luhn_digit(value[0] + inner))
+
+        return whole(self.digits(f"card{value[0]}", value[1:-1], lambda x: keep(whole(x))))
+
+    def phone(self, text: str, keep: Callable[[str], bool] = lambda _: True) -> str | None:
+        parts = phone_parts(text)
+        if parts is None:
             return None
+        country, rest = parts
         label = country if country != "" else "1"
         if len(rest) == 10 and label == "1":
-            rest = self.digits("phone1", rest, lambda x, ok=nanp(rest): nanp(x) == ok)
+            rest = self.digits("phone1", rest, lambda x, ok=nanp(rest): nanp(x) == ok and keep(refill(text, country + x)))
         else:
-            rest = self.digits(f"phone{label}", rest)
+            rest = self.digits(f"phone{label}", rest, lambda x: keep(refill(text, country + x)))
         return refill(text, country + rest)
 
     def ssn(self, text: str) -> str | None:
@@ -139,14 +164,18 @@ class Pseudonyms:
         value = self.network("ipv4", 1 << 32).apply(int.from_bytes(bytes(octets), "big"), self.back)
         return ".".join(map(str, value.to_bytes(4, "big")))
 
-    def iban(self, text: str) -> str | None:
-        value = text.replace(" ", "")
-        if not 15 <= len(value) <= 34 or iban_rest(value) != 1:
+    def iban(self, text: str, keep: Callable[[str], bool] = lambda _: True) -> str | None:
+        value = iban_value(text)
+        if value is None:
             return None
-        body = refill(value[4:], self.digits(f"iban{value[:2]}", "".join(c for c in value[4:] if c.isdigit())))
-        check = 98 - iban_rest(value[:2] + "00" + body)
-        it = iter(f"{value[:2]}{check:02d}{body}")
-        return "".join(c if c == " " else next(it) for c in text)
+
+        def whole(digits: str) -> str:
+            body = refill(value[4:], digits)
+            check = 98 - iban_rest(value[:2] + "00" + body)
+            it = iter(f"{value[:2]}{check:02d}{body}")
+            return "".join(c if c == " " else next(it) for c in text)
+
+        return whole(self.digits(f"iban{value[:2]}", "".join(c for c in value[4:] if c.isdigit()), lambda x: keep(whole(x))))
 
     def date(self, text: str) -> str | None:
         a, b, c = re.split(r"[-/.]", text)
@@ -210,21 +239,116 @@ def _cell(c: str) -> tuple[int, int]:
 _KINDS = {
     "email": r"(?<![\w.+%-])[\w.+%-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "hex": r"(?<![0-9A-Za-z])(?=[0-9]*[A-Fa-f])(?:[0-9a-f]{64}|[0-9A-F]{64}|[0-9a-f]{40}|[0-9A-F]{40}|[0-9a-f]{32}|[0-9A-F]{32})(?![0-9A-Za-z])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "address": r"(?<![0-9A-Za-z.])(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}(?![0-9A-Za-z]|\.[0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
-             r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
+             r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}",
+    "card": r"[0-9](?:[ -]?[0-9]){12,18}",
 }
 KINDS = tuple(_KINDS)
 
 
+#: Group sizes in which cards are printed; these readings go first.
+_LAYOUTS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 5), (4, 4, 4, 4, 3)}
+_DIGITS = re.compile(r"[0-9]+")
+_CARD_RUN = re.compile(r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]+(?:[ -][0-9]+)*(?![0-9A-Za-z])")
+_IBAN_RUN = re.compile(r"(?<![0-9A-Za-z])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){8,31}))")
+_PHONE_RUN = re.compile(r"(?<![0-9A-Za-z+])(?=(\+[0-9]+(?:[ .()-]{1,3}[0-9]+){0,8}|\(?[0-9]{3}(?:\) ?|[ .-])[0-9]{3}[ .-][0-9]{4}))")
+#: Characters of an IBAN by country; readings of that length go first.
+_IBAN_SIZE = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC"}.items() for c in cs.split()}
+#: (rank, start, end): the lower rank is taken.
+Reading = tuple[tuple, int, int]
+
+
+def _card_readings(text: str) -> Iterator[Reading]:
+    for run in _CARD_RUN.finditer(text):
+        groups = [m.span() for m in _DIGITS.finditer(text, *run.span())]
+        for i, (start, _) in enumerate(groups):
+            sizes: list[int] = []
+            for s, e in groups[i:i + 19]:
+                sizes.append(e - s)
+                if sum(sizes) > 19:
+                    break
+                if sum(sizes) >= 13:
+                    yield (len(sizes) > 1 and tuple(sizes) not in _LAYOUTS, -sum(sizes), start), start, e
+
+
+def _prefixes(run: re.Pattern, whole: re.Pattern) -> Callable[[str], Iterator[Reading]]:
+    """Readings from each start of ``run``, to the end of any of its groups."""
+    def readings(text: str) -> Iterator[Reading]:
+        for m in run.finditer(text):
+            for end in range(m.end(1), m.start() + 7, -1):
+                if not text[end:end + 1].isalnum() and text[end - 1].isalnum() and whole.fullmatch(text, m.start(), end):
+                    # The country's own length goes first, then the longest.
+                    size = 11 if m[1].startswith("+1") else _IBAN_SIZE.get(m[1][:2])
+                    own = sum(map(str.isalnum, text[m.start():end])) == size
+                    yield (m.start(), not own, -end), m.start(), end
+
+    return readings
+
+
+#: Kinds whose values may have other numbers or words beside them.
+_READINGS = {
+    "iban": (_prefixes(_IBAN_RUN, re.compile(_KINDS["iban"])), iban_value),
+    "phone": (_prefixes(_PHONE_RUN, re.compile(_KINDS["phone"])), phone_parts),
+    "card": (_card_readings, card_digits),
+}
+
+
+class _Places:
+    """Spans ``(..., start, end)`` by place."""
+
+    def __init__(self, spans: list[tuple]):
+        self.spans = sorted(spans, key=lambda x: x[1:3])
+        self.starts = [x[1] for x in self.spans]
+        self.longest = max((x[2] - x[1] for x in spans), default=0)
+
+    def meeting(self, start: int, end: int) -> list[tuple]:
+        near = self.spans[bisect_left(self.starts, start - self.longest):bisect_left(self.starts, end)]
+        return [x for x in near if start < x[2]]
+
+
+def _read(text: str, readings: list[Reading], valid: Callable[[str], object], method, back: bool,
+          failed: list[tuple]) -> list[tuple[int, int, str]]:
+    """Replacements of the valid readings that no better one overlaps.
+    ``failed`` has ``(valid, start, end)`` of what was read before and was not
+    valid; what fails here is added."""
+    if not readings:
+        return []
+    taken, used = [], bytearray(len(text))
+    for r in sorted(r for r in readings if valid(text[r[1]:r[2]]) is not None):
+        if not any(used[r[1]:r[2]]):
+            used[r[1]:r[2]] = b"\1" * (r[2] - r[1])
+            taken.append(r)
+    places = _Places(taken)
+    # Had one of these been valid, it would have taken a place.
+    open_ = [r for r in readings if not any(x[0] <= r[0] for x in places.meeting(r[1], r[2]))]
+    better, before = _Places(open_), _Places([x for x in failed if "z" not in text[x[1]:x[2]]])
+    out, now = [], list(text) if taken else []
+    for t in places.spans[::-1 if back else 1]:
+        rivals = [(valid, *r[1:]) for r in better.meeting(t[1], t[2]) if r[0] < t[0]] + before.meeting(t[1], t[2])
+
+        def keep(new: str, t=t, rivals=rivals) -> bool:
+            now[t[1]:t[2]] = new
+            return all(ok("".join(now[s:e])) is None for ok, s, e in rivals)
+
+        new = method(text[t[1]:t[2]], keep)
+        now[t[1]:t[2]] = new
+        out.append((t[1], t[2], new))
+    failed += [(valid, *r[1:]) for r in open_ if not any(used[r[1]:r[2]])]
+    return out
+
+
 def replacer(key: bytes, kinds: tuple[str, ...] = KINDS, back: bool = False):
     """text -> (text with pseudonyms, number of values replaced)."""
     names = Pseudonyms(key, back)
-    rules = [(re.compile(_KINDS[k]), getattr(names, k)) for k in kinds]
+    rules = [(k, re.compile(_KINDS[k]), getattr(names, k)) for k in kinds]
     hint, mails = re.compile(r"[0-9]"), "email" in kinds
 
     def replace(text: str) -> tuple[str, int]:
@@ -232,13 +356,22 @@ def replacer(key: bytes, kinds: tuple[str, ...] = KINDS, back: bool = False):
             return text, 0
         # Kinds in order; text that one has replaced is not looked at again.
         done: list[tuple[int, int, str]] = []
-        for pattern, method in rules:
-            for m in pattern.finditer(text):
-                if any(m.start() < e and s < m.end() for s, e, _ in done):
-                    continue
-                new = method(m[0])
-                if new is not None:
-                    done.append((m.start(), m.end(), new))
+        left, failed = text, []
+        for kind, pattern, method in rules:
+            if kind in _READINGS:
+                readings, valid = _READINGS[kind]
+                found = _read(left, list(readings(left)), valid, method, back, failed)
+            else:
+                got = [(m.start(), m.end(), method(m[0])) for m in pattern.finditer(left)]
+                found = [x for x in got if x[2] is not None]
+                failed += [(method, *x[:2]) for x in got if x[2] is None]
+            if found:
+                done += found
+                parts, at = [], 0
+                for start, end, _ in sorted(found):
+                    parts += [left[at:start], re.sub(r"[0-9A-Za-z]", "z", left[start:end])]
+                    at = end
+                left = "".join(parts) + left[at:]
         out, at = [], 0
         for start, end, new in sorted(done):
             out += [text[at:start], new]
