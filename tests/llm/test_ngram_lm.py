@@ -34,7 +34,7 @@ def model(rows, trained, d=0.75):
         score = 0.0
         for a, b in zip([None, *t], t):
             p = ((uni[b] - cut) / n if uni[b] else cut * v / n) if n else 1.0
-            if size[a] and uni[b]:
+            if size[a]:
                 p = max(0, pairs[a, b] - d) / size[a] + d * followers[a] / size[a] * p
             score += math.log10(p)
         yield len(t), sum(uni[w] > 0 for w in t), n, base, score
