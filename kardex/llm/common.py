@@ -36,6 +36,12 @@ def shared_dir(spark: SparkSession) -> str:
     return re.sub(r"^file:/+", "file:///", context.getCheckpointDir())
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this run wrote."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: computed once, survives lost executors."""
     shared_dir(df.sparkSession)

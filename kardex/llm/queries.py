@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kardex.llm import crosspolytope, decontaminate, langid, mixing, ngram_lm, pii, simhash, substring, toxicity, warc
+from kardex.llm import crosspolytope, decontaminate, langid, mixing, ngram_lm, pii, simhash, substring, toxicity, vector_codes, warc
 from kardex.llm.common import crc_mod, read
 
 
@@ -139,6 +139,39 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.encode(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+def _op11_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain rounds: the distance to every entry, then the means."""
+    steps = [f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+  list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS xs FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+comp AS MATERIALIZED (SELECT rid, (i - 1) // w AS p, (i - 1) % w AS d, xs[i] AS v
+  FROM (SELECT rid, xs, len(xs) // {parts} AS w, unnest(range(1, len(xs) + 1)) AS i FROM kept)),
+book0 AS MATERIALIZED (SELECT p, rid - 1 AS e, d, v AS c FROM comp WHERE rid <= {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (SELECT rid, p, min(s * {entries} + e) % {entries} AS e, min(s * {entries} + e) // {entries} AS s
+  FROM (SELECT rid, p, e, CAST(sum((v - c) * (v - c)) AS BIGINT) AS s FROM comp JOIN book{r} USING (p, d) GROUP BY rid, p, e)
+  GROUP BY rid, p)""")
+        if r < rounds:
+            steps.append(f"""
+book{r + 1} AS MATERIALIZED (SELECT p, e, d, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c
+  FROM book{r} LEFT JOIN (SELECT p, e, d, CAST(sum(v) AS BIGINT) AS s, count(*) AS n
+                          FROM near{r} JOIN comp USING (rid, p) GROUP BY p, e, d) USING (p, e, d))""")
+    steps.append(f"""
+coded AS (SELECT rid, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(s) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, d)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (rid)""")
+    return ",".join(steps)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_langid": op2_langid,
@@ -150,6 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_substring": op9_substring,
     "op10_toxicity": op10_toxicity,
+    "op11_vector_codes": op11_vector_codes,
 }
 
 ORACLE: dict[str, str] = {
@@ -157,4 +191,5 @@ ORACLE: dict[str, str] = {
     "op6_embeddings": OP6_SQL,
     "op8_decontamination": OP8_SQL,
     "op9_substring": OP9_SQL,
+    "op11_vector_codes": _op11_sql(),
 }
