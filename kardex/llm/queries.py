@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kardex.llm import crosspolytope, decontaminate, langid, mixing, ngram_lm, pii, simhash, substring, toxicity, vector_codes, warc
+from kardex.llm import (crosspolytope, decontaminate, importance, langid, mixing, ngram_lm, pii,
+                        simhash, substring, toxicity, vector_codes, warc)
 from kardex.llm.common import crc_mod, read
 
 
@@ -172,6 +173,38 @@ FROM kept JOIN coded USING (rid)""")
     return ",".join(steps)
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+       lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) AS t),
+words AS (SELECT 's' AS side, row_number() OVER () AS rid, doc_id, text FROM documents
+          UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark),
+w AS MATERIALIZED (SELECT side, rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM words),
+f AS MATERIALIZED (SELECT side, rid, array_to_string(ws[i:i + n - 1], ' ') AS f FROM
+  (SELECT side, rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS n))),
+hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM f)),
+b AS MATERIALIZED (SELECT f, xor(list_reduce([4294967295] || list_transform(range(1, len(h), 2),
+       lambda i: (instr('0123456789ABCDEF', h[i]) - 1) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 1),
+       lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM hexed, crc),
+n AS (SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t FROM f JOIN b USING (f) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln((CAST(t + 1 AS DOUBLE) * CAST((SELECT sum(s) FROM n) + 10000 AS DOUBLE))
+  / (CAST(s + 1 AS DOUBLE) * CAST((SELECT sum(t) FROM n) + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM n),
+d AS (SELECT rid, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+      FROM f JOIN b USING (f) JOIN g USING (bucket) WHERE side = 's' GROUP BY rid),
+z AS (SELECT doc_id, len(ws) AS n, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8)
+  AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM w LEFT JOIN d USING (rid) WHERE side = 's'),
+r AS (SELECT *, CASE WHEN n >= 20 THEN row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id NULLS LAST) END AS place FROM z)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN place <= (SELECT count(*) * 5 // 100 FROM z WHERE n >= 20) THEN place END AS rank FROM r
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_langid": op2_langid,
@@ -184,6 +217,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring": op9_substring,
     "op10_toxicity": op10_toxicity,
     "op11_vector_codes": op11_vector_codes,
+    "op13_importance": op13_importance,
 }
 
 ORACLE: dict[str, str] = {
@@ -192,4 +226,5 @@ ORACLE: dict[str, str] = {
     "op8_decontamination": OP8_SQL,
     "op9_substring": OP9_SQL,
     "op11_vector_codes": _op11_sql(),
+    "op13_importance": OP13_SQL,
 }
