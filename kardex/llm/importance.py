@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import itemgetter
 
 import ahocorasick
 import numpy as np
@@ -31,9 +32,10 @@ from pyspark.sql import types as T
 from kardex.llm.common import cut, field, texts
 
 #: Bytes of text that one automaton scans (a longer word is scanned whole).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 256 << 10
 #: Words above this length stand in the dictionary by a number.
 LONGEST = 512
+_VALUE = itemgetter(1)
 
 #: Lower-cases A-Z; all other ASCII but letters and digits becomes a space.
 _PLAIN = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -73,7 +75,7 @@ class Append:
     def tables(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One flat array for the distinct lengths, and each length's start in it."""
         distinct, place = np.unique(lengths, return_inverse=True)
-        return np.concatenate([self.table(int(n)).ravel() for n in distinct]), place * 1024
+        return np.concatenate([self.table(int(n)).ravel() for n in distinct]).astype(np.int64), place * 1024
 
 
 @dataclass
@@ -83,6 +85,7 @@ class Piece:
     row: int
     lead: int
     words: list[bytes]
+    size: int
 
 
 def pieces(rows: list[bytes | None], most: int) -> Iterator[Piece]:
@@ -94,7 +97,7 @@ def pieces(rows: list[bytes | None], most: int) -> Iterator[Piece]:
             end = len(plain) if end < 0 else end
             words = plain[start:end].split()
             if words:
-                yield Piece(row, len(tail), tail + words)
+                yield Piece(row, len(tail), tail + words, end - start)
                 tail = (tail + words)[-2:]
             start = end + 1
 
@@ -105,47 +108,50 @@ class Scanner:
     def __init__(self, buckets: int, slice_bytes: int = SLICE_BYTES):
         self.buckets, self.slice_bytes, self.append = buckets, slice_bytes, Append()
 
-    def scan(self, some: list[Piece]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """The row of each word not yet counted, and for runs of one, two and
-        three words the rows and buckets."""
+    def scan(self, some: list[Piece]) -> tuple[np.ndarray, np.ndarray]:
+        """The row of each word, and ``(3, words)`` buckets of the runs of one,
+        two and three words that end there; ``buckets`` where none does or the
+        piece before has it."""
         distinct = list({w for p in some for w in p.words})
-        keys = {w: f"\x01{i}" if len(w) > LONGEST else w.decode("latin-1") for i, w in enumerate(distinct)}
+        keys = [f" \x01{i} " if len(w) > LONGEST else f" {w.decode('latin-1')} " for i, w in enumerate(distinct)]
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for i, word in enumerate(distinct):
-            automaton.add_word(f" {keys[word]} ", i)
+        for i, key in enumerate(keys):
+            automaton.add_word(key, i)
         automaton.make_automaton()
-        crc = np.fromiter(map(zlib.crc32, distinct), np.uint32, len(distinct))
-        behind = np.fromiter((zlib.crc32(b" " + w) for w in distinct), np.uint32, len(distinct))
-        flat, start = self.append.tables(np.fromiter(map(len, distinct), np.int64, len(distinct)) + 1)
-
-        long = any(len(w) > LONGEST for w in distinct)
-        text = " ".join([keys[w] for p in some for w in p.words]) if long else b" ".join(
-            [w for p in some for w in p.words]).decode("latin-1")
+        lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        crc = np.fromiter(map(zlib.crc32, distinct), np.int64, len(distinct))
+        behind = np.fromiter((zlib.crc32(b" " + w) for w in distinct), np.int64, len(distinct))
+        flat, start = self.append.tables(lengths + 1)
+
+        if lengths.max() > LONGEST:
+            named = dict(zip(distinct, keys))
+            text = " " + "".join([named[w][1:] for p in some for w in p.words])
+        else:
+            text = f" {b' '.join([w for p in some for w in p.words]).decode('latin-1')} "
         sizes = np.array([len(p.words) for p in some])
         n = int(sizes.sum())
-        word = np.fromiter((i for _, i in automaton.iter(f" {text} ")), np.int64, n)
-        piece = np.repeat(np.arange(len(some)), sizes)
-        row = np.repeat(np.array([p.row for p in some]), sizes)
-        place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        new = place >= np.repeat(np.array([p.lead for p in some]), sizes)
-
-        found = [(row[new], crc[word[new]] % np.uint32(self.buckets))]
+        word = np.fromiter(map(_VALUE, automaton.iter(text)), np.int64, n)
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(n) - np.repeat(first, sizes)
+        lead = np.repeat(np.array([p.lead for p in some]), sizes)
+        found = np.full((3, n), self.buckets)
         run = crc[word]
+        found[0] = np.where(place >= lead, run % self.buckets, self.buckets)
+        at, added = start[word], behind[word]
         for length in (2, 3):
             # The run that ends one word earlier, with this word appended.
-            last = word[length - 1:]
-            run, at = run[:-1], start[last]
-            run = (flat[at + (run & 255)] ^ flat[at + 256 + ((run >> np.uint32(8)) & 255)]
-                   ^ flat[at + 512 + ((run >> np.uint32(16)) & 255)] ^ flat[at + 768 + (run >> np.uint32(24))]) ^ behind[last]
-            whole = new[length - 1:] & (piece[length - 1:] == piece[:n - length + 1])
-            found.append((row[length - 1:][whole], run[whole] % np.uint32(self.buckets)))
-        return row[new], found
-
-    def slices(self, rows: list[bytes | None]) -> Iterator[tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]:
+            run, here = run[:-1], at[length - 1:]
+            run = (flat[here + (run & 255)] ^ flat[here + (256 + (run >> 8 & 255))] ^ flat[here + (512 + (run >> 16 & 255))]
+                   ^ flat[here + (768 + (run >> 24))] ^ added[length - 1:])
+            whole = place[length - 1:] >= np.maximum(lead[length - 1:], length - 1)
+            found[length - 1, length - 1:] = np.where(whole, run % self.buckets, self.buckets)
+        return np.repeat(np.array([p.row for p in some]), sizes), found
+
+    def slices(self, rows: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         some, size = [], 0
         for piece in pieces(rows, self.slice_bytes):
             some.append(piece)
-            size += sum(map(len, piece.words)) + len(piece.words)
+            size += piece.size
             if size >= self.slice_bytes:
                 yield self.scan(some)
                 some, size = [], 0
@@ -170,13 +176,12 @@ def bucket_counts(docs: DataFrame, text_col: str = "text", buckets: int = 10_000
                   slice_bytes: int = SLICE_BYTES) -> np.ndarray:
     """Number of features of all texts by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, counts = Scanner(buckets, slice_bytes), np.zeros(buckets, np.int64)
+        scanner, counts = Scanner(buckets, slice_bytes), np.zeros(buckets + 1, np.int64)
         for batch in batches:
             for _, rows in _rows(batch, 0, slice_bytes):
                 for _, found in scanner.slices(rows):
-                    for _, bucket in found:
-                        counts += np.bincount(bucket, minlength=buckets)
-        some = np.flatnonzero(counts)
+                    counts += np.bincount(found.ravel(), minlength=buckets + 1)
+        some = np.flatnonzero(counts[:buckets])
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["bucket", "n"])
 
     found = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "bucket int, n long")
@@ -202,15 +207,15 @@ def weigh(docs: DataFrame, gain: np.ndarray, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(len(gain), slice_bytes)
-        value = gain.astype(np.float64)
+        # The bucket past the last is no feature.
+        value, one = np.append(gain.astype(np.float64), 0), np.append(np.ones(len(gain)), 0)
         for batch in batches:
             for part, rows in _rows(batch, 1, slice_bytes):
                 words, features, weight = (np.zeros(len(rows)) for _ in range(3))
                 for row, found in scanner.slices(rows):
-                    words += np.bincount(row, minlength=len(rows))
-                    for at, bucket in found:
-                        features += np.bincount(at, minlength=len(rows))
-                        weight += np.bincount(at, value[bucket], minlength=len(rows))
+                    words += np.bincount(row, one[found[0]], minlength=len(rows))
+                    features += np.bincount(row, one[found].sum(0), minlength=len(rows))
+                    weight += np.bincount(row, value[found].sum(0), minlength=len(rows))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *[pa.array(c.astype(np.int64)) for c in (words, features, weight)]],
                     names=["id", "n_words", "n_features", "weight"])

@@ -79,10 +79,11 @@ def test_appending_maps(a, b):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(max_size=80)), max_size=6), st.integers(1, 40))
 def test_scanner_finds_every_run(rows, slice_bytes):
-    got = np.zeros((len(rows), 10_000), np.int64)
-    for _, found in Scanner(10_000, slice_bytes).slices([None if x is None else x.encode() for x in rows]):
-        for row, bucket in found:
+    got = np.zeros((len(rows), 10_001), np.int64)
+    for row, found in Scanner(10_000, slice_bytes).slices([None if x is None else x.encode() for x in rows]):
+        for bucket in found:
             np.add.at(got, (row, bucket), 1)
+    got = got[:, :10_000]
     want = np.zeros_like(got)
     for i, x in enumerate(rows):
         for f in runs(x)[1]:
