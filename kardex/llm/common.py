@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +65,18 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def parts_by_bytes(batch: pa.RecordBatch, column: int, most: int, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch: at most ``rows`` rows each, and about ``most`` bytes
+    of that string column (a longer value is a part of its own)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        base = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, min(start + rows, int(np.searchsorted(ends, base + most, side="right"))))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: T.StructType,
                rows: int = SLICE_ROWS) -> DataFrame:
     """``fn`` on slices of at most ``rows`` rows; it returns column arrays."""

@@ -24,12 +24,11 @@ from operator import itemgetter
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.llm.common import cut, field, texts
+from kardex.llm.common import cut, field, parts_by_bytes, texts
 
 #: Bytes of text that one automaton scans (a longer word is scanned whole).
 SLICE_BYTES = 256 << 10
@@ -159,27 +158,14 @@ class Scanner:
             yield self.scan(some)
 
 
-def _rows(batch: pa.RecordBatch, column: int, slice_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-    """Parts of a batch of about a slice of text each."""
-    values = batch.column(column)
-    ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < batch.num_rows:
-        base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + slice_bytes, side="right")))
-        part = batch.slice(start, stop - start)
-        yield part, texts(part.column(column))
-        start = stop
-
-
 def bucket_counts(docs: DataFrame, text_col: str = "text", buckets: int = 10_000,
                   slice_bytes: int = SLICE_BYTES) -> np.ndarray:
     """Number of features of all texts by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner, counts = Scanner(buckets, slice_bytes), np.zeros(buckets + 1, np.int64)
         for batch in batches:
-            for _, rows in _rows(batch, 0, slice_bytes):
-                for _, found in scanner.slices(rows):
+            for part in parts_by_bytes(batch, 0, slice_bytes):
+                for _, found in scanner.slices(texts(part.column(0))):
                     counts += np.bincount(found.ravel(), minlength=buckets + 1)
         some = np.flatnonzero(counts[:buckets])
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["bucket", "n"])
@@ -210,7 +196,8 @@ def weigh(docs: DataFrame, gain: np.ndarray, id_col: str = "doc_id", text_col: s
         # The bucket past the last is no feature.
         value, one = np.append(gain.astype(np.float64), 0), np.append(np.ones(len(gain)), 0)
         for batch in batches:
-            for part, rows in _rows(batch, 1, slice_bytes):
+            for part in parts_by_bytes(batch, 1, slice_bytes):
+                rows = texts(part.column(1))
                 words, features, weight = (np.zeros(len(rows)) for _ in range(3))
                 for row, found in scanner.slices(rows):
                     words += np.bincount(row, one[found[0]], minlength=len(rows))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kardex.llm import (crosspolytope, decontaminate, importance, langid, mixing, ngram_lm, pii,
+from kardex.llm import (crosspolytope, decontaminate, importance, langid, mixing, ngram_lm, passages, pii,
                         simhash, substring, toxicity, vector_codes, warc)
 from kardex.llm.common import crc_mod, read
 
@@ -173,6 +173,15 @@ FROM kept JOIN coded USING (rid)""")
     return ",".join(steps)
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    model = passages.fit(docs, read(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out))
+    return passages.score(docs, model).select(
+        F.col("id").alias("doc_id"), (crc_mod(F.col("id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = importance.resample(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "text"))
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
@@ -217,6 +226,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring": op9_substring,
     "op10_toxicity": op10_toxicity,
     "op11_vector_codes": op11_vector_codes,
+    "op12_quality": op12_quality,
     "op13_importance": op13_importance,
 }
 
