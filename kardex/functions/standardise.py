@@ -177,8 +177,10 @@ def rules_for(field: str, as_of_year: int = 2026):
     return RULES[field]
 
 
-def _quote(delim: str) -> str:
-    return "".join("\\" + ch if ch in r"\.^$|?*+()[]{}" else ch for ch in delim).replace("\r", "\\r")
+def _split(v: Column, delim: str) -> Column:
+    """Split by plain text.  A delimiter of one plain character needs no pattern
+    compiled for each value."""
+    return F.split(F.replace(v, F.lit(delim), F.lit("\x01")), "\x01", -1)
 
 
 def _unary(step):
@@ -207,7 +209,7 @@ def split_multi(field: str, c: Column) -> tuple[Column, Column, Column]:
         v = F.when(whole, v).otherwise(F.regexp_replace(w, "(?iU)" + DELIMITER_PATTERN, delim))
     else:
         v = F.replace(v, F.lit(";"), F.lit(delim))
-    parts = F.transform(F.filter(F.split(v, _quote(delim)), lambda x: x != ""), lambda x: strip(x))
+    parts = F.transform(F.filter(_split(v, delim), lambda x: x != ""), lambda x: strip(x))
     values = (F.when(v == "", F.array(F.lit("")))
                .when(whole, F.array(v))
                .otherwise(parts))
@@ -230,14 +232,13 @@ def standardise(df: DataFrame, field: str, col: str | None = None, out: str | No
     out = out or col
     delim = DELIMITERS[field]
     values, skip, kept = split_multi(field, F.col(f"`{col}`"))
-    tmp = df.withColumn("__vals", values).withColumn("__skip", skip).withColumn("__kept", kept)
+    tmp = df.withColumns({"__vals": values, "__skip": skip, "__kept": kept})
     arr = F.col("__vals")
     for step in rules_for(field, as_of_year):
         arr = F.transform(arr, _unary(step))
-    tmp = tmp.withColumn("__vals", arr)
-    return (tmp.withColumn(out, F.when(F.col("__skip"), F.col("__kept"))
-                           .otherwise(join_multi(F.col("__vals"), delim)))
-               .drop("__vals", "__skip", "__kept"))
+    done = F.when(F.col("__skip"), F.col("__kept")).otherwise(join_multi(arr, delim)).alias(out)
+    names = [c for c in tmp.columns if c not in ("__vals", "__skip", "__kept")]
+    return tmp.select(*[done if c == out else F.col(f"`{c}`") for c in names], *([] if out in names else [done]))
 
 
 def standardise_value(c, field: str, as_of_year: int = 2026) -> Column:

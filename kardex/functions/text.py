@@ -25,9 +25,7 @@ def strip(c) -> Column:
 
 def strip_chars(c, chars: str) -> Column:
     """Python ``str.strip(chars)``: remove any of ``chars`` at both ends."""
-    cls = "".join("\\" + ch if ch in "\\^]-[" else ch for ch in chars)
-    cls = cls.replace("\r", "\\r").replace("\n", "\\n")
-    return F.regexp_replace(as_col(c), f"^[{cls}]+|[{cls}]+$", "")
+    return F.btrim(as_col(c), F.lit(chars))
 
 
 def is_blank(c) -> Column:

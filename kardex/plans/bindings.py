@@ -275,6 +275,32 @@ BINDINGS["dated_records"] = ("orders", [
     f"WHEN 2 THEN {_Y} ELSE '[' || {_Y} || ']' END) AS release_broadcast_year",
 ])
 
+_C2 = f"substr({_Y}, 1, 2)"
+_C3 = f"substr({_Y}, 1, 3)"
+_NEXT = "CAST(year(o_orderdate) + 1 AS STRING)"
+
+BINDINGS["partial_records"] = ("orders", [
+    "o_orderkey AS inventory_id",
+    "o_orderdate AS clean_date",
+    "(CASE o_orderkey % 16 "
+    f"WHEN 0 THEN {_C3} || 'u' "
+    f"WHEN 1 THEN {_C2} || 'UU' "
+    f"WHEN 2 THEN {_C2} || 'uu-' || {_Y} "
+    f"WHEN 3 THEN {_C3} || 'U-UUUU' "
+    f"WHEN 4 THEN {_Y} || '-UUUU' "
+    f"WHEN 5 THEN {_C2} || 'XX' "
+    f"WHEN 6 THEN 'C. ' || {_C3} || '0s' "
+    f"WHEN 7 THEN 'CIRCA ' || {_Y} || '-' || {_NEXT} "
+    f"WHEN 8 THEN 'shown ca. ' || {_Y} "
+    f"WHEN 9 THEN {_M} || '/00/' || {_Y} "
+    f"WHEN 10 THEN {_M} || '-' || {_D} || '-' || substr({_Y}, 3, 2) "
+    f"WHEN 11 THEN {_D} || 'th ' || {_MN} || ' ' || {_Y} "
+    f"WHEN 12 THEN {_Y} || '/' || {_NEXT} "
+    f"WHEN 13 THEN {_MN} || ' 3 & 4, ' || {_Y} "
+    f"WHEN 14 THEN {_C3} || '0''s?' "
+    f"ELSE {_Y} || ' circa' END) AS record_date",
+])
+
 BINDINGS["typed_parts"] = ("part", [
     "p_partkey AS part_id",
     "p_type AS clean_type",

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kardex.functions.dates import needs_review
 from kardex.functions.standardise import standardise
 from kardex.operators import changes as C
 from kardex.plans.bindings import cte, load
@@ -46,6 +47,27 @@ def standardise_dates(spark, sf_dir):
                      "release_broadcast_year", "release_broadcast_year_std")
 
 
+_P2, _P3 = f"substr({_Y}, 1, 2)", f"substr({_Y}, 1, 3)"
+_PN = "CAST(year(clean_date) + 1 AS VARCHAR)"
+PARTIAL_SQL = cte("partial_records") + f"""
+SELECT inventory_id, record_date, CASE inventory_id % 16
+  WHEN 0 THEN {_P3} || '-' WHEN 1 THEN {_P2} || '--?' WHEN 2 THEN {_P2} || '--?-' || {_Y} WHEN 3 THEN {_P3} || '-?'
+  WHEN 4 THEN {_Y} WHEN 5 THEN {_P2} || '--?' WHEN 6 THEN {_P3} || '-?' WHEN 7 THEN {_Y} || ' or ' || {_PN}
+  WHEN 8 THEN 'shown ' || {_Y} || '?' WHEN 9 THEN {_Y} || '-' || lpad(CAST(month(clean_date) AS VARCHAR), 2, '0')
+  WHEN 10 THEN CASE WHEN year(clean_date) % 100 > {AS_OF_YEAR % 100} THEN {_ISO} ELSE record_date END WHEN 11 THEN {_ISO} WHEN 12 THEN record_date WHEN 13 THEN record_date
+  WHEN 14 THEN {_P3} || '-?' ELSE {_Y} || '?' END AS record_date_std,
+  inventory_id % 16 IN (8, 13) OR (inventory_id % 16 = 10 AND year(clean_date) % 100 <= {AS_OF_YEAR % 100}) AS needs_review
+FROM partial_records
+"""
+
+
+@register("standardise_partial_dates", PARTIAL_SQL)
+def standardise_partial_dates(spark, sf_dir):
+    """Unknown digits, decades, marks, day 0 and lists of days, with the flag for a reader's eye."""
+    df = standardise(load(spark, sf_dir, "partial_records"), "record_date", out="record_date_std", as_of_year=AS_OF_YEAR)
+    return df.select("inventory_id", "record_date", "record_date_std", needs_review(F.col("record_date_std")).alias("needs_review"))
+
+
 TYPES_SQL = cte("typed_parts") + """
 SELECT part_id, production_type,
   CASE part_id % 6 WHEN 3 THEN 'B&W' || chr(13) || clean_type || ' AND SHORT'

@@ -168,3 +168,13 @@ def test_needs_review_flags_free_text(spark):
     df = spark.createDataFrame(vals, "v string, e boolean")
     got = [(r.v, r.g) for r in df.select("v", needs_review(F.col("v")).alias("g")).collect()]
     assert got == [(v, e) for v, e in vals]
+
+
+def test_year_expressions_among_other_tokens(spark):
+    _run(spark, "record_date", [
+        ("copyright1999", "c1999"), ("abc1950-51", "abc1950-51"), ("1950-51, 1960-61", "1950-1951, 1960-1961"),
+        ("1950 - fall", "1950 - fall"), ("1950-19uu", "1950-19--?"), ("5c 1950", "5c 1950"), ("1959 -1963", "1959-1963"),
+        ("19uu – 1971", "19--? – 1971"), ("195u-1960", "195--1960"), ("1975s", "1975s"), ("1970s?", "1970s?"),
+        ("1/1/1980 (shown 5/1980)", "1980-01"), ("00/00/1951", "00/00/1951"), ("2/29/1900", "2/29/1900"),
+        ("12/00/59", "1959-12"), ("1950, c 1978", "1950, c1978"), ("C. 1970s?", "197-?"),
+    ])
