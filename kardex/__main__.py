@@ -20,14 +20,14 @@ def _session():
 
 
 def _read_table(spark, path: str):
-    """CSV (header), JSON array (.json, one task per file), JSON lines (.jsonl)
+    """CSV (header), JSON array (.json), JSON lines (.jsonl)
     or Parquet, by extension."""
     from kardex.sources import readers as R
     low = path.lower().rstrip("/")
     if low.endswith(".csv"):
         return R.read_holdings(spark, path)
     if low.endswith(".json"):
-        return R.read_records_json(spark, path, multi_line=True)
+        return R.read_records_json(spark, path, between=R.BETWEEN)
     if low.endswith(".jsonl"):
         return R.read_records_json(spark, path)
     return spark.read.parquet(path)
@@ -44,7 +44,7 @@ def cmd_perfect_matches(a, spark):
     from kardex.sinks.writers import write_report_csv
     from kardex.sources import readers as R
     h = R.read_holdings(spark, a.holdings)
-    d = R.read_fixture_json(spark, a.digital, multi_line=not a.digital.endswith(".jsonl"))
+    d = R.read_fixture_json(spark, a.digital, between=None if a.digital.endswith(".jsonl") else R.BETWEEN)
     i = _read_table(spark, a.inventory)
     out = perfect_matches(h, d, i, call_number="`Permanent Call Number`", holding_id="`Holding Id`")
     write_report_csv(out, a.out)
@@ -100,7 +100,7 @@ def cmd_match_problems(a, spark):
     if a.as_of and not R.export_is_recent(spark, [a.digital, a.inventory], a.as_of):
         raise SystemExit(f"The exports are older than one day before {a.as_of}.")
     run_match_problems(
-        R.read_holdings(spark, a.holdings), R.read_fixture_json(spark, a.digital, multi_line=not a.digital.endswith(".jsonl")),
+        R.read_holdings(spark, a.holdings), R.read_fixture_json(spark, a.digital, between=None if a.digital.endswith(".jsonl") else R.BETWEEN),
         _read_table(spark, a.inventory), R.read_marc(spark, a.bibs), R.read_language_codes(spark, a.language_codes), a.out,
         call_number="`Permanent Call Number`", holding_id="`Holding Id`", bib=a.bib_column)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from kardex.functions import marc as MC
 from kardex.functions._util import as_col, lit_array
 from kardex.functions.text import blank_to_null, inventory_key, strip
+from kardex.operators.numbering import number_within
 from kardex.operators.keys import keep_last, one_per_key
 
 
@@ -221,32 +222,25 @@ def nested_parts(rows: DataFrame, resources: DataFrame, resource_cols, *, row_id
     matched number as one or more documents
     ``inventory_no, part, rows array<id>, matched_resources array<struct>``.
 
-    A number with more than ``part_size`` rows or resources is spread over
-    several parts by a hash, so that no list grows with a hot number; every
-    row and resource is in exactly one part.  A resource carries the
+    A number with more than ``part_size`` rows or resources has several parts.
+    Rows and resources are numbered within their number, so that no list is
+    longer than ``part_size``, however many of them are equal; every row and
+    resource is in exactly one part.  A resource carries the
     ``inventory_id`` of its number's row where there is exactly one.
     """
     row_matches, key_resources = match_resources(rows, resources, row_id=row_id, row_no=row_no, res_no=res_no)
-
-    def part(hashed: Column, n: str) -> Column:
-        return F.pmod(F.xxhash64(hashed), F.ceil(F.col(n) / F.lit(part_size)).cast("long"))
-
+    part = F.floor(F.col("__place") / part_size).alias("part")
     only = one_per_key(_matchable_rows(rows, row_id, row_no), row_no, "__k", F.count(F.lit(1)).alias("__n"),
                        F.min(F.col(row_id)).alias("__id")).filter("__n = 1")
     item = F.struct(F.col("__id").alias(row_id), *[F.col(c) for c in resource_cols])
     held = (key_resources.join(only, F.col(res_no) == F.col("__k"), "left")
             .select(F.col(res_no).alias("inventory_no"), item.alias("item")))
-    counts = one_per_key(held, "inventory_no", "__c", F.count(F.lit(1)).alias("__size"))
-    held = (held.join(counts, F.col("inventory_no") == F.col("__c"))
-            .select("inventory_no", part(F.col("item"), "__size").alias("part"), "item", F.lit(None).alias("id")))
-    sizes = one_per_key(row_matches, row_no, "__c", F.count(F.lit(1)).alias("__size"))
-    owners = (row_matches.join(sizes, F.col(row_no) == F.col("__c"))
-              .select(F.col(row_no).alias("inventory_no"), part(F.col(row_id), "__size").alias("part"),
-                      F.lit(None).cast(held.schema["item"].dataType).alias("item"), F.col(row_id).alias("id")))
-    return (held.withColumn("id", F.col("id").cast(owners.schema["id"].dataType)).unionByName(owners)
-            .groupBy("inventory_no", "part").agg(
-                F.array_sort(F.collect_list("id")).alias("rows"),
-                F.array_sort(F.collect_list("item")).alias("matched_resources")))
+    held = number_within(held, "inventory_no", "__place").select("inventory_no", part, "item")
+    owners = row_matches.select(F.col(row_no).alias("inventory_no"), F.col(row_id).alias("id"))
+    owners = number_within(owners, "inventory_no", "__place").select("inventory_no", part, "id")
+    return (held.unionByName(owners, allowMissingColumns=True).groupBy("inventory_no", "part").agg(
+        F.array_sort(F.collect_list("id")).alias("rows"),
+        F.array_sort(F.collect_list("item")).alias("matched_resources")))
 
 
 def monograph_flags(matched: DataFrame, bibs: DataFrame, key: str = "mms_id", ordinal: str = "row_ordinal") -> DataFrame:

@@ -10,6 +10,8 @@ names and nowhere else.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,16 +102,29 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which driver and all
-    executors must share; unset it is an error, because no folder of one
-    machine can stand in for it."""
+    executors must share.  Unset it is an error, because no folder of one
+    machine can stand in for it; only a local session, whose driver and
+    executor are one process, makes a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = getattr(spark, "sparkContext", None)
+    if not folder and context is not None and context.master.startswith("local") and "cluster" not in context.master:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="kardex-"))
+        return context.getCheckpointDir()
     if not folder:
         raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
+def staging_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, for files that a job writes and reads
+    again."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4()}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kardex.formats import CSV_WRITE
+from kardex.operators.numbering import number_rows
 
 
 def _stringify(df: DataFrame) -> DataFrame:
@@ -46,16 +47,17 @@ def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_asset_docs(assets: DataFrame, path: str, per_document: int | None = None, mode: str = "overwrite") -> None:
     """K3: assets as JSON lines, or, with ``per_document``, as documents
-    ``{"media": {"assets": [...]}}`` (one per line) of about that many assets:
-    as many documents as it takes, every asset in one of them."""
+    ``{"media": {"assets": [...]}}`` (one per line) of at most that many assets:
+    as many documents as it takes, every asset in one of them, equal assets
+    included; only the last one may be short."""
     if per_document is None:
         assets.write.mode(mode).json(path)
         return
     columns = [F.col(f"`{c}`") for c in assets.columns]
-    documents = max(1, -(-assets.count() // per_document))
-    (assets.select(F.pmod(F.xxhash64(*columns), F.lit(documents)).alias("__d"), F.struct(*columns).alias("__a"))
-           .groupBy("__d").agg(F.collect_list("__a").alias("assets"))
-           .select(F.struct("assets").alias("media")).write.mode(mode).json(path))
+    numbered = number_rows(assets.select(F.struct(*columns).alias("__a")), "__i")
+    (numbered.groupBy(F.floor(F.col("__i") / per_document).alias("__d"))
+          .agg(F.collect_list("__a").alias("assets"))
+          .select(F.struct("assets").alias("media")).write.mode(mode).json(path))
 
 
 def write_sectioned_report(df: DataFrame, path: str, section: str = "section") -> None:

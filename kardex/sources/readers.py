@@ -1,7 +1,6 @@
 """Sources (S1-S11).  Every reader returns a lazy DataFrame; Spark splits
-the files across tasks (multi-line JSON and XML documents are split per
-file).  Prefer Parquet or JSON-lines for the big exports at scale: a single
-multi-line JSON array is one task.
+the files across tasks.  Large JSON arrays are cut between records
+(``json_arrays``); with ``multi_line`` a JSON document is one task.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 from kardex.formats import CSV_READ
 from kardex.functions.text import strip
 from kardex.operators.keys import with_file_order
+from kardex.sources.json_arrays import BETWEEN, read_json_array
 
 MARC_SCHEMA = T.StructType([
     T.StructField("leader", T.StringType()),
@@ -62,9 +62,12 @@ def read_holdings(spark: SparkSession, path, names: list[str] | None = None, mul
 
 
 def read_records_json(spark: SparkSession, path, schema: T.StructType | None = None,
-                      multi_line: bool = False) -> DataFrame:
-    """JSON lines, which split across tasks, or (``multi_line``) a JSON
-    array of flat records, which is one task per file."""
+                      multi_line: bool = False, between: str | None = None) -> DataFrame:
+    """JSON lines, or JSON arrays of records: with ``between``, what the
+    writer puts between two records, they are read by many tasks, with
+    ``multi_line`` by one task a file (any layout, one value in a file too)."""
+    if between is not None:
+        return read_json_array(spark, path, schema, between)
     r = spark.read.option("multiLine", multi_line)
     if schema is not None:
         r = r.schema(schema)
@@ -72,9 +75,9 @@ def read_records_json(spark: SparkSession, path, schema: T.StructType | None = N
 
 
 def read_fixture_json(spark: SparkSession, path, schema: T.StructType | None = None,
-                      multi_line: bool = False) -> DataFrame:
+                      multi_line: bool = False, between: str | None = None) -> DataFrame:
     """S3: ``{model, pk, fields{...}}`` records unwrapped to ``fields.* + pk``."""
-    return read_records_json(spark, path, schema, multi_line).select("fields.*", "pk")
+    return read_records_json(spark, path, schema, multi_line, between).select("fields.*", "pk")
 
 
 def read_assets(spark: SparkSession, paths, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
@@ -85,6 +88,12 @@ def read_assets(spark: SparkSession, paths, schema: T.StructType | None = None,
               .select("a.*", "source_file"))
 
 
+def read_asset_array(spark: SparkSession, paths, schema: T.StructType | None = None, between: str = BETWEEN) -> DataFrame:
+    """S4 for large documents: the assets of ``{"media": {"assets": [...]}}``
+    files, read by many tasks (``schema``: of an asset)."""
+    return read_json_array(spark, paths, schema, between, envelope=("media", "assets"))
+
+
 def read_path_lists(spark: SparkSession, paths) -> DataFrame:
     """Text files, one stripped path per line."""
     return spark.read.text(paths).select(strip(F.col("value")).alias("path"))

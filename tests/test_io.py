@@ -168,6 +168,10 @@ def test_tsv_single_document_and_nested_xml(spark, tmp_path):
     W.write_asset_docs(many, str(tmp_path / "docs"), per_document=20)
     docs = spark.read.json(str(tmp_path / "docs"))
     assert docs.count() > 10 and R.read_assets(spark, str(tmp_path / "docs")).count() == 500
+    equal = spark.range(0, 5000, numPartitions=3).selectExpr("'u' AS uuid")
+    W.write_asset_docs(equal, str(tmp_path / "equal"), per_document=40)
+    sizes = [len(r.media.assets) for r in spark.read.json(str(tmp_path / "equal")).collect()]
+    assert sorted(sizes) == [40] * 125
     from kardex.operators.lookups import match_resources, nested_parts
     rows = spark.createDataFrame([(1, "M1"), (2, "M2"), (3, ""), (4, "M1")], "inventory_id int, inventory_no string")
     res = spark.createDataFrame([("M1", "r1", 2), ("M1", "r2", 1), ("M2", "r3", 3), ("M9", "r4", 4)],
@@ -180,7 +184,9 @@ def test_tsv_single_document_and_nested_xml(spark, tmp_path):
     assert got == {"M1": ([1, 4], [(None, "r1"), (None, "r2")]), "M2": ([2], [(2, "r3")])}
     hot = spark.range(2500).selectExpr("'M2' AS Inventory_no", "CAST(id AS STRING) AS title", "1 AS row_ordinal")
     many = nested_parts(rows, hot, ["title"]).collect()
-    assert sum(len(r.matched_resources) for r in many) == 2500 and max(len(r.matched_resources) for r in many) < 1200
+    assert sorted(len(r.matched_resources) for r in many) == [500, 1000, 1000]
+    equal = spark.range(5000).selectExpr("'M2' AS Inventory_no", "'same' AS title", "1 AS row_ordinal")
+    assert [len(r.matched_resources) for r in nested_parts(rows, equal, ["title"]).collect()] == [1000] * 5
     W.write_nested_xml(parts, str(tmp_path / "nx"))
     back = R.read_xml_rows(spark, str(tmp_path / "nx"), "ROW")
     assert back.count() == 2
