@@ -26,7 +26,7 @@ def register(name: str, oracle: str | None = None):
 def _load_all() -> None:
     # Importing the modules fills the registry.
     from kardex.plans import (  # noqa: F401
-        q_matching, q_validation, q_standardise, q_files, q_bibs, q_sources)
+        q_matching, q_validation, q_standardise, q_files, q_bibs, q_sources, q_staged)
 
 
 def queries() -> dict[str, QueryFn]:

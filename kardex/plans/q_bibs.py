@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kardex.functions import marc as MC
 from kardex.functions.text import title_score
+from kardex.operators import bibs as B
 from kardex.operators import matching as M
 from kardex.operators.keys import keep_last
 from kardex.operators.lookups import monograph_flags, valid_code_check
@@ -16,7 +17,8 @@ from kardex.plans.catalog import register
 from kardex.plans.marc_fixture import to_marc
 
 
-def _bibs(spark, sf_dir):
+def bibs_of(spark, sf_dir):
+    """The bibs of the test tables as MARC records with their mentions."""
     return to_marc(load(spark, sf_dir, "bib_flat"))
 
 
@@ -71,7 +73,7 @@ BIB_CHECKS_SQL = cte("bib_flat", "language_codes") + f"SELECT bib_id, {CHECKS_CO
 
 @register("bib_checks", BIB_CHECKS_SQL)
 def bib_checks(spark, sf_dir):
-    return _checks(_bibs(spark, sf_dir), _codes(spark, sf_dir))
+    return _checks(bibs_of(spark, sf_dir), _codes(spark, sf_dir))
 
 
 # --------------------------------------------------------------- H33
@@ -111,7 +113,7 @@ def match_problems(spark, sf_dir):
     m = M.unique_variant_match(d, i, h, holdings_carry=["mms_id"], inventory_carry=["title"]).select(
         F.col("inventory_number").alias("raw_number"), "holding_id", "mms_id", "inventory_id", "title")
     # The few matched bibs first, then the checks on them alone.
-    found = m.join(_bibs(spark, sf_dir), F.col("mms_id") == F.col("bib_id"), "left")
+    found = m.join(bibs_of(spark, sf_dir), F.col("mms_id") == F.col("bib_id"), "left")
     j = _checks(found, _codes(spark, sf_dir), keep=["raw_number", "inventory_id", "title"])
     e = lambda c: F.when(F.col("bib_id").isNull() & F.lit(c not in ("title",)), F.lit("")).otherwise(
         F.coalesce(F.col(c), F.lit("")))
@@ -154,14 +156,12 @@ FROM f
 """
 
 
-def _features(spark, sf_dir):
-    b = _bibs(spark, sf_dir)
-    return b.select("*", F.struct(*MC.bib_features("mentions")).alias("features"))
+def _features(bibs):
+    return bibs.select("*", F.struct(*MC.bib_features("mentions")).alias("features"))
 
 
-@register("bib_features", FEATURES_SQL)
-def bib_features(spark, sf_dir):
-    f = _features(spark, sf_dir)
+def feature_report(bibs):
+    f = _features(bibs)
     return f.select(F.col("features.bib_id").alias("bib_id"), F.col("features.language").alias("language"),
                     MC.first_criterion("features").alias("criterion"),
                     F.array_join(MC.all_criteria("features"), ", ").alias("all_criteria"),
@@ -169,6 +169,11 @@ def bib_features(spark, sf_dir):
                     F.array_join(F.col("features.directors.f245p"), "; ").alias("directors_245p"))
 
 
+@register("bib_features", FEATURES_SQL)
+def bib_features(spark, sf_dir):
+    return feature_report(bibs_of(spark, sf_dir))
+
+
 COMBOS_SQL = f"""
 WITH x AS ({FEATURES_SQL})
 SELECT all_criteria, count(*) AS records FROM x GROUP BY all_criteria
@@ -177,9 +182,7 @@ SELECT all_criteria, count(*) AS records FROM x GROUP BY all_criteria
 
 @register("criteria_combinations", COMBOS_SQL)
 def criteria_combinations(spark, sf_dir):
-    f = _features(spark, sf_dir)
-    return (f.select(F.array_join(MC.all_criteria("features"), ", ").alias("all_criteria"))
-             .groupBy("all_criteria").agg(F.count(F.lit(1)).alias("records")).orderBy("all_criteria"))
+    return B.criteria_combinations(_features(bibs_of(spark, sf_dir))).orderBy("all_criteria")
 
 
 def _jarr(*vals: str) -> str:
@@ -207,7 +210,7 @@ FROM x
 @register("mams_documents", MAMS_SQL)
 def mams_documents(spark, sf_dir):
     """P12 + P9: one JSON document per bib, empty members dropped."""
-    f = _features(spark, sf_dir)
+    f = _features(bibs_of(spark, sf_dir))
     return f.select("bib_id", F.to_json(MC.mams_projection("features")).alias("document"))
 
 
@@ -261,7 +264,7 @@ UNION ALL SELECT mms_id, NULL, NULL, NULL, true FROM m WHERE bib_id IS NULL
 def monograph_report(spark, sf_dir):
     h = load(spark, sf_dir, "holdings").select("mms_id", "call_number")
     i = load(spark, sf_dir, "inventory").select("inventory_no", "production_type", "row_ordinal")
-    f = monograph_flags(M.match_by_call_number(h, i).drop("row_ordinal"), _bibs(spark, sf_dir).drop("mentions"))
+    f = monograph_flags(M.match_by_call_number(h, i).drop("row_ordinal"), bibs_of(spark, sf_dir).drop("mentions"))
     text = lambda c: F.when(~F.col("bib_missing"), F.array_join(f"c.{c}", "|")).alias(c)
     # P11, and rows without a bib, which are reported too.
     return f.filter("form_mismatch or bib_missing").select(
@@ -279,7 +282,7 @@ FROM bib_flat
 @register("picked_fields", PICKED_SQL)
 def picked_fields(spark, sf_dir):
     p = MC.pick_fields(["001", "245", "655"])
-    return _bibs(spark, sf_dir).select("bib_id", p.alias("p")).select(
+    return bibs_of(spark, sf_dir).select("bib_id", p.alias("p")).select(
         "bib_id", F.size("p.controlfield").alias("control_fields"),
         F.array_join(F.transform("p.datafield", lambda f: f["_tag"]), "|").alias("tags"))
 
@@ -343,7 +346,7 @@ FROM bib_flat WHERE person2 IS NOT NULL
 
 @register("name_spans", SPANS_SQL)
 def name_spans(spark, sf_dir):
-    b = _bibs(spark, sf_dir)
+    b = bibs_of(spark, sf_dir)
     text = F.get(MC.subfields("245", "c"), 0)
     names = MC.person_names(F.col("mentions"))
     spans = MC.span_annotations(text, names)
@@ -364,11 +367,7 @@ FROM bib_flat
 @register("entity_totals", TOTALS_SQL)
 def entity_totals(spark, sf_dir):
     """Texts with a 245$c, PERSON mentions and other mentions."""
-    b = _bibs(spark, sf_dir)
-    m = F.col("mentions")
-    return b.agg(F.count(F.get(MC.subfields("245", "c"), 0)).alias("texts"),
-                 F.sum(F.size(F.filter(m, lambda x: x["label"] == "PERSON"))).cast("long").alias("names"),
-                 F.sum(F.size(F.filter(m, lambda x: x["label"] != "PERSON"))).cast("long").alias("other_entities"))
+    return B.entity_totals(bibs_of(spark, sf_dir))
 
 
 # --------------------------------------------------------------- A11 (monograph job stages)
@@ -390,7 +389,7 @@ def monograph_funnel(spark, sf_dir):
     i = load(spark, sf_dir, "inventory").select("inventory_no", "production_type", "row_ordinal")
     inv = keep_last(i, "inventory_no", "row_ordinal").drop("row_ordinal").withColumn("matched", F.lit(True))
     rows = h.join(inv, F.col("call_number") == F.col("inventory_no"), "left")
-    f = monograph_flags(rows, _bibs(spark, sf_dir).drop("mentions"))
+    f = monograph_flags(rows, bibs_of(spark, sf_dir).drop("mentions"))
     kept = lambda c: F.count_if(F.coalesce(F.col("matched"), F.lit(False)) & c)
     stages = {"holdings_read": F.count(F.lit(1)), "matched": kept(F.lit(True)), "with_bib": kept(~F.col("bib_missing")),
               "monographs": kept(F.col("monograph")), "form_mismatches": kept(F.col("form_mismatch"))}

@@ -266,7 +266,11 @@ def nested_resources(spark, sf_dir):
     in one part, also of numbers above the part size."""
     rows = load(spark, sf_dir, "hot_inventory")
     res = load(spark, sf_dir, "hot_resources").withColumnRenamed("inventory_number", "Inventory_no")
-    parts = LK.nested_parts(rows, res, ["pk", "line"])
+    return nested_totals(LK.nested_parts(rows, res, ["pk", "line"]))
+
+
+def nested_totals(parts):
+    """Per number: rows and resources of all its parts, and their sums."""
     add = lambda xs, f: F.aggregate(xs, F.lit(0).cast("long"), lambda s, x: s + f(x))
     return parts.groupBy("inventory_no").agg(
         F.sum(F.size("rows")).alias("row_count"), F.sum(add("rows", lambda x: x)).alias("row_sum"),

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from kardex.formats import CSV_WRITE
 from kardex.operators.numbering import number_rows
+from kardex.sources.readers import read_xml_records
 
 
 def _stringify(df: DataFrame) -> DataFrame:
@@ -91,20 +92,21 @@ def xml_to_json(spark, in_path: str, out_path: str, row_tag: str, schema: T.Stru
                 mode: str = "overwrite") -> DataFrame:
     """K7: XML documents to JSON lines; text is trimmed by the reader,
     repeated elements become arrays.  Everything is read and written once:
-    records below ``<out>/malformed=false``, malformed rows (PERMISSIVE mode
-    with a corrupt-record column) below ``<out>/malformed=true``.  Returns the
-    written table of malformed rows."""
+    records below ``<out>/malformed=false``, malformed ones, each with its own
+    text, below ``<out>/malformed=true``.  Without a schema one is inferred,
+    which reads the documents once more.  Returns the written table of
+    malformed records."""
     corrupt = "_corrupt_record"
-    r = (spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", corrupt).option("ignoreSurroundingSpaces", True))
-    if schema is not None:
-        r = r.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]))
-    df = r.load(in_path).withColumn("source_file", F.col("_metadata.file_name"))
-    bad = F.col(corrupt).isNotNull() if corrupt in df.columns else F.lit(False)
-    df.withColumn("malformed", bad).write.mode(mode).partitionBy("malformed").json(out_path)
+    if schema is None:
+        found = spark.read.format("xml").option("rowTag", row_tag).option("ignoreSurroundingSpaces", True).load(in_path).schema
+        schema = T.StructType([f for f in found.fields if f.name != corrupt])
+    df = read_xml_records(spark, in_path, row_tag, schema, corrupt=corrupt)
+    df.withColumn("malformed", F.col(corrupt).isNotNull()).write.mode(mode).partitionBy("malformed").json(out_path)
     errors = T.StructType([T.StructField("source_file", T.StringType()), T.StructField(corrupt, T.StringType()),
                            T.StructField("malformed", T.BooleanType())])
-    return spark.read.schema(errors).json(out_path).where("malformed").drop("malformed")
+    # The column is data here, not the reader's own mark of bad lines.
+    written = spark.read.schema(errors).option("columnNameOfCorruptRecord", "__unreadable").json(out_path)
+    return written.where("malformed").drop("malformed")
 
 
 def write_if_valid(assets: DataFrame, problems: DataFrame, path: str, **kw) -> DataFrame | None:

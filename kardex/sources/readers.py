@@ -5,6 +5,8 @@ the files across tasks.  Large JSON arrays are cut between records
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,10 +116,59 @@ def read_xml_rows(spark: SparkSession, path, row_tag: str, schema: T.StructType
     return r.load(path)
 
 
+def xml_records(spark: SparkSession, path, row_tag: str) -> DataFrame:
+    """``(text, source_file)``: each element of that tag as text of its own,
+    from a scan that cuts files at the end tags, so that many tasks read one file.
+    An element that does not end is one, too, up to where the next begins."""
+    end = f"</{row_tag}>"
+    scan = spark.read.option("lineSep", end).text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
+    parts = F.split("value", rf"(?=<{re.escape(row_tag)}[\s/>])")
+    # The cut took the end tag of the last element of a piece.
+    whole = F.transform(parts, lambda part, i: F.when((i == F.size(parts) - 1) & ~part.rlike(r"^<[^>]*/>"), F.concat(
+        part, F.lit(end))).otherwise(part))
+    return scan.select(F.explode(F.filter(whole, lambda part: part.rlike(rf"^<{re.escape(row_tag)}[\s/>]"))).alias("text"),
+                       "source_file")
+
+
+#: Before texts of blanks alone (a character of the private use area).
+_MARK = "\ue000"
+
+
+def _unmarked(c, kind: T.DataType):
+    """The value without marks, texts in lists and records included."""
+    if isinstance(kind, T.StringType):
+        return F.replace(c, F.lit(_MARK), F.lit(""))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _unmarked(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_unmarked(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    return c
+
+
+def read_xml_records(spark: SparkSession, path, row_tag: str, schema: T.StructType, keep_blanks: bool = False,
+                     corrupt: str = "_corrupt_record") -> DataFrame:
+    """S7 for large or damaged files: the columns of ``schema``, ``corrupt`` and
+    ``source_file``.  Every record is parsed on its own, so that one that is
+    malformed (its text is in ``corrupt``) leaves the others of its file alone."""
+    fields = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    options = {"rowTag": row_tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt,
+               "ignoreSurroundingSpaces": str(not keep_blanks).lower()}
+    # Blanks and tags of the surrounding document that follow an empty element.
+    text = F.regexp_replace("text", r"(?s)^(<[^>]*/>).*$", "$1")
+    if keep_blanks:
+        # The parser takes a text of blanks alone for none: a mark keeps it.
+        text = F.regexp_replace(text, r">( +)</", f">{_MARK}$1</")
+    records = xml_records(spark, path, row_tag).select(text.alias("text"), "source_file")
+    parsed = records.select(F.from_xml("text", fields, options).alias("r"), "source_file").select("r.*", "source_file")
+    if not keep_blanks:
+        return parsed
+    return parsed.select(*[_unmarked(F.col(f.name), f.dataType).alias(f.name) for f in fields.fields], "source_file")
+
+
 def read_marc(spark: SparkSession, path, row_tag: str = "record") -> DataFrame:
     """MARCXML records with the fixed MARC struct schema (binary ISO
-    2709 is not read)."""
-    return read_xml_rows(spark, path, row_tag, MARC_SCHEMA)
+    2709 is not read).  Blanks in fields are data: places count in 008."""
+    return read_xml_records(spark, path, row_tag, MARC_SCHEMA, keep_blanks=True).select(*MARC_SCHEMA.names)
 
 
 def read_language_codes(spark: SparkSession, path) -> DataFrame:

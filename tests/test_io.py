@@ -146,6 +146,22 @@ def test_xml_rows_round_trip_and_xml_to_json(spark, tmp_path):
     W.xml_to_json(spark, src, str(tmp_path / "json"), "row", schema)
 
 
+def test_one_malformed_record_leaves_the_others(spark, tmp_path):
+    src = str(tmp_path / "in")
+    rows = [f"  <row k='{i}'><a> t{i} </a>" + ("</row>" if i != 3 else "") for i in range(8)]
+    rows[5] = "<row k='5'/>"
+    rows[6] = "<row k='none'><a>x</a></row>"
+    _write(src + "/a.xml", "<?xml version='1.0'?>\n<doc>\n" + "\n".join(rows) + "<rows>not one</rows>\n</doc>\n")
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("_k", T.IntegerType()), T.StructField("a", T.StringType())])
+    got = R.read_xml_records(spark, src, "row", schema).collect()
+    assert sorted((r._k, r.a) for r in got if r._corrupt_record is None) == [
+        (0, "t0"), (1, "t1"), (2, "t2"), (4, "t4"), (5, None), (7, "t7")]
+    assert sorted(r._corrupt_record.strip()[:14] for r in got if r._corrupt_record) == ["<row k='3'><a>", "<row k='none'>"]
+    errors = W.xml_to_json(spark, src, str(tmp_path / "json"), "row", schema)
+    assert errors.count() == 2 and spark.read.json(str(tmp_path / "json" / "malformed=false")).count() == 6
+
+
 def test_write_if_valid(spark, tmp_path):
     assets = spark.createDataFrame([("u1", "asset")], "uuid string, record_type string")
     problems = spark.createDataFrame([("u1", "bad")], "uuid string, problem string")
