@@ -241,8 +241,11 @@ def written_if_valid(spark, sf_dir):
 # ----------------------------------------------------------------- H4, P7 over real texts
 @register("text_codes")
 def text_codes(spark, sf_dir):
-    """H4 over whole documents and addresses."""
-    d = read_table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
+    """H4 over whole documents, with a code put before and behind the text, and
+    over addresses."""
+    key = F.col("doc_id").cast("string")
+    d = read_table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), key).alias("id"), F.concat(
+        F.lit("Reel_M10"), key, F.lit("_"), "text", F.lit(" XFF20"), key, F.lit("T, T01")).alias("text"))
     p = read_table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id")).alias("id"), F.col("url").alias("text"))
     return d.unionByName(p).select("id", LK.extract_codes("text").alias("inventory_numbers"))
 

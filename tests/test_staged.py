@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_text_codes(spark):
-    texts = {f"d{r['doc_id']}": r["text"] for r in pq.read_table(f"{SF}/documents.parquet").to_pylist()}
+    texts = {f"d{r['doc_id']}": None if r["text"] is None else f"Reel_M10{r['doc_id']}_{r['text']} XFF20{r['doc_id']}T, T01" for r in pq.read_table(f"{SF}/documents.parquet").to_pylist()}
     texts |= {f"p{r['page_id']}": r["url"] for r in pq.read_table(f"{SF}/pages.parquet").to_pylist()}
     pattern = re.compile(CODE_PATTERN.replace(r"\d", "[0-9]"))
     want = {k: None if v is None else "|".join(c for c in dict.fromkeys(pattern.findall(v)) if c not in FALSE_POSITIVES)
