@@ -6,9 +6,11 @@ Word rule of most contracts: ``[^\\x20\\x09-\\x0D]+`` on UTF-8 text, which is
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
-import tempfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kardex.session import ensure_checkpoint_dir
+
 #: Documents that one Python step holds at a time.
 SLICE_ROWS = 512
+#: Bytes of text in these, but for a longer row.
+SLICE_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -28,13 +34,9 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as a URI: this run's part of
-    ``spark.checkpoint.dir``.  Only where that is unset (tests) a local folder
-    is made."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="kardex-llm-"))
-    return re.sub(r"^file:/+", "file:///", context.getCheckpointDir())
+    ``spark.checkpoint.dir``."""
+    ensure_checkpoint_dir(spark)
+    return re.sub(r"^file:/+", "file:///", spark.sparkContext.getCheckpointDir())
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -54,6 +56,25 @@ def crc_mod(column: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A narrow name of a row: its id and a 128-bit digest of its text, nulls
+    told from empty ones.  Rows of one key are equal in both."""
+    digest = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))))
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("key"),
+                    F.struct(F.col(text_col).isNull().alias("null"), digest.alias("digest")).alias("text"))
+
+
+#: Rows of keys that are broadcast at most (some tens of bytes each).
+BROADCAST_ROWS = 200_000
+
+
+def hash_side(keys: DataFrame) -> DataFrame:
+    """The side of a join that is built as a hash table: sent to all tasks if
+    it is short (counted), else shuffled.  The other side needs no sort."""
+    short = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(keys) if short else keys.hint("shuffle_hash")
+
+
 def field(df: DataFrame, name: str, alias: str | None = None) -> T.StructField:
     return T.StructField(alias or name, df.schema[name].dataType, True)
 
@@ -65,10 +86,20 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-def parts_by_bytes(batch: pa.RecordBatch, column: int, most: int, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def _row_bytes(batch: pa.RecordBatch, columns: list[int]) -> np.ndarray:
+    size = np.zeros(batch.num_rows, np.int64)
+    for i in columns:
+        size += pc.fill_null(pc.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False)
+    return size
+
+
+def parts_by_bytes(batch: pa.RecordBatch, column: int | None = None, most: int = SLICE_BYTES,
+                   rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Parts of a batch: at most ``rows`` rows each, and about ``most`` bytes
-    of that string column (a longer value is a part of its own)."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    of that string column, or of all of them (a longer row is a part of its own)."""
+    texts = [i for i, f in enumerate(batch.schema) if pa.types.is_string(f.type) or pa.types.is_binary(f.type)
+             or pa.types.is_large_string(f.type) or pa.types.is_large_binary(f.type)]
+    ends = np.cumsum(_row_bytes(batch, texts if column is None else [column]))
     start = 0
     while start < batch.num_rows:
         base = int(ends[start - 1]) if start else 0
@@ -77,21 +108,35 @@ def parts_by_bytes(batch: pa.RecordBatch, column: int, most: int, rows: int = SL
         start = stop
 
 
+@contextmanager
+def memory_given_back() -> Iterator[None]:
+    """Python workers live on between tasks: what a task has freed goes back to
+    the system when it ends, so that idle workers hold no heap of past stages."""
+    try:
+        yield
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: T.StructType,
                rows: int = SLICE_ROWS) -> DataFrame:
-    """``fn`` on slices of at most ``rows`` rows; it returns column arrays."""
+    """``fn`` on slices of at most ``rows`` rows and some megabytes of text; it
+    returns column arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(schema)
-        for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
-                got = fn(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(got[f.name], type=f.type) if not isinstance(got[f.name], (pa.Array, pa.ChunkedArray))
-                     else (got[f.name].combine_chunks() if isinstance(got[f.name], pa.ChunkedArray) else got[f.name]).cast(f.type)
-                     for f in out], schema=out)
+        with memory_given_back():
+            for batch in batches:
+                for part in parts_by_bytes(batch, rows=rows):
+                    got = fn(part)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(got[f.name], type=f.type) if not isinstance(got[f.name], (pa.Array, pa.ChunkedArray))
+                         else (got[f.name].combine_chunks() if isinstance(got[f.name], pa.ChunkedArray) else got[f.name]).cast(f.type)
+                         for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
 

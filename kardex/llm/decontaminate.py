@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.llm.common import SLICE_ROWS, field, texts, without
+from kardex.llm.common import field, map_slices, memory_given_back, parts_by_bytes, texts, without
 from kardex.llm.fm_index import FMIndex
 
 #: Word bytes: lower-cased letters, digits and everything beyond ASCII.
@@ -92,12 +92,14 @@ def _scan(phrases: Phrases, docs: list[bytes | None], sample: int):
 
 
 def _with_block(docs: DataFrame, items: list[tuple[str, bytes | None]], text_col: str, keep_text: bool, window: int,
-                shard_words: int, sample: int) -> DataFrame:
+                shard_words: int, sample: int, cut_col: str | None = None) -> DataFrame:
     """The columns of ``docs`` (``text_col`` only if kept) with ``n_words,
-    spans, items`` of this block, joined to those of earlier blocks."""
+    spans, items`` of this block, joined to those of earlier blocks, and in
+    ``cut_col`` the text without its spans."""
     kept = [c for c in docs.columns if c not in _MARKS and (keep_text or c != text_col)]
     earlier = "spans" in docs.columns
-    schema = T.StructType([*[field(docs, c) for c in kept], *_MARK_FIELDS])
+    schema = T.StructType([*[field(docs, c) for c in kept], *_MARK_FIELDS,
+                           *([T.StructField(cut_col, T.StringType())] if cut_col else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -116,22 +118,24 @@ def _with_block(docs: DataFrame, items: list[tuple[str, bytes | None]], text_col
                 found = [a.union(b) for a, b in zip(found, table.column("items").to_pylist())]
             rows = [[{"start": s, "end": e} for s, e in doc] for doc in spans]
             columns = [table.column(i).combine_chunks().cast(out.field(i).type) for i in range(len(kept))]
+            left = [pa.array([None if t is None else without_spans(t, s) if s else t.decode() for t, s in zip(shard, spans)],
+                             pa.string())] if cut_col else []
             return pa.RecordBatch.from_arrays(
                 [*columns, pa.array(counts, pa.int64()), pa.array(rows, out.field("spans").type),
-                 pa.array([sorted(f) for f in found], out.field("items").type)], schema=out)
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                values = texts(part.column(part.num_columns - 1))
-                parts.append(part.select(range(part.num_columns - 1)))
-                shard += values
-                size += sum(len(v) // 6 for v in values if v)
-                if size >= shard_words:
-                    yield flush()
-                    parts, shard, size = [], [], 0
-        if shard:
-            yield flush()
+                 pa.array([sorted(f) for f in found], out.field("items").type), *left], schema=out)
+
+        with memory_given_back():
+            for batch in batches:
+                for part in parts_by_bytes(batch, batch.num_columns - 1):
+                    values = texts(part.column(part.num_columns - 1))
+                    parts.append(part.select(range(part.num_columns - 1)))
+                    shard += values
+                    size += sum(len(v) // 6 for v in values if v)
+                    if size >= shard_words:
+                        yield flush()
+                        parts, shard, size = [], [], 0
+            if shard:
+                yield flush()
 
     marks = ["spans", "items"] if earlier else []
     columns = [F.col(f"`{c}`") for c in [*kept, *marks]]
@@ -159,9 +163,10 @@ def _join(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int,
 
 def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
          item_text_col: str = "text", window: int = 13, shard_words: int = 1 << 19, sample: int = 32,
-         block_bytes: int = 64 << 20, keep_text: bool = True) -> DataFrame:
+         block_bytes: int = 64 << 20, keep_text: bool = True, cut_col: str | None = None) -> DataFrame:
     """The rows of ``docs`` with ``n_words, spans, items`` (columns of these
-    names are replaced).
+    names are replaced), and, if named, ``cut_col``: the text without the words
+    of the spans and what lies between them (null for null).
 
     ``spans`` are the merged word ranges ``[start, end)`` inside occurrences of
     a ``window``-word phrase (an item with fewer words, but not none, is one
@@ -183,7 +188,8 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         some = wanted.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else wanted
         items = sorted((r["item"], r["text"].encode()) for r in some.toLocalIterator())
         last = block == blocks - 1
-        marked = _with_block(marked, items, text_col, keep_text or not last, window, shard_words, sample)
+        marked = _with_block(marked, items, text_col, keep_text or not last, window, shard_words, sample,
+                             cut_col if last else None)
     return marked
 
 
@@ -194,32 +200,40 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 keep_text=False, **more)
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **more) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns, their texts
+    without the words of test phrases.
+
+    Defined cases are those of ``mark``, but that columns of any name stay; a null text stays null.
+    """
+    names = [f"__c{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index(text_col)]
+    left = mark(docs.toDF(*names), benchmark, text, keep_text=False, cut_col="__cut", **more)
+    left = with_digest(left).where(~F.col("contaminated")).withColumnRenamed("__cut", text)
+    return left.select(*names).toDF(*docs.columns)
+
+
 def cut_spans(marked: DataFrame, text_col: str = "text") -> DataFrame:
-    """Removes the marked words from the text, and what lies between them."""
+    """Removes the words that an earlier ``mark`` found from the text, and what
+    lies between them; a null text stays null, columns of the marks go."""
     schema = T.StructType([f for f in marked.schema.fields if f.name not in _MARKS])
     names = [f.name for f in schema.fields]
     at_text = names.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        out = to_arrow_schema(schema)
-        for batch in batches:
-            columns = [c.cast(f.type) for c, f in zip(batch.columns, out)]
-            new = [without_spans(t, s) if s else None if t is None else t.decode()
-                   for t, s in zip(texts(batch.column(at_text)), batch.column(len(names)).to_pylist())]
-            columns[at_text] = pa.array(new, out.field(at_text).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=out)
+    def run(batch):
+        spans = [[(x["start"], x["end"]) for x in row] for row in batch.column(len(names)).to_pylist()]
+        cut = [None if t is None else without_spans(t, s) if s else t.decode() for t, s in zip(texts(batch.column(at_text)), spans)]
+        return dict(zip(names, batch.columns)) | {text_col: cut}
 
-    return marked.select(*[F.col(f"`{c}`") for c in names], "spans").mapInArrow(run, schema)
+    return map_slices(marked.select(*[F.col(f"`{c}`") for c in names], "spans"), run, schema)
 
 
-def without_spans(text: bytes, spans: list[dict]) -> str:
+def without_spans(text: bytes, spans: list[tuple[int, int]]) -> str:
     words = [m.span() for m in _WORD.finditer(text.translate(_TO_WORDS))]
     out, at = [], 0
-    for span in spans:
-        out.append(text[at:words[span["start"]][0]])
-        at = words[span["end"] - 1][1]
+    for start, end in spans:
+        out.append(text[at:words[start][0]])
+        at = words[end - 1][1]
     return b"".join([*out, text[at:]]).decode()
 
 

@@ -15,7 +15,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kardex.llm.common import cut
+from kardex.llm.common import cut, hash_side, row_key
+
 
 def running_sum(df: DataFrame, group: str, order: list[str], value: str, bins: int, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over the group's earlier rows.  Rows
@@ -132,3 +133,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                    F.col("source").eqNullSafe(F.col("__ps")))
              .select("id", "source", "size", "source_size", "target", F.coalesce("__taken", F.lit(0)).alias("taken")))
     return mixed, pieces
+
+
+def mixed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """What ``mix`` decides on, with the texts: ``id, text, source, size,
+    source_size, target, taken``.  The schedule sees narrow rows; the texts
+    meet their rows once, without a sort.  Defined cases are those of ``mix``."""
+    keyed = docs.withColumn("__key", row_key(id_col, text_col))
+    mixed = cut(mix(keyed, "__key", text_col, **more)[0].withColumnRenamed("id", "__of"))
+    own = keyed.select("__key", F.col(text_col).alias("text"))
+    many = mixed.groupBy("__of").agg(F.count("*").alias("n")).where("n > 1").select(F.col("__of").alias("__key"))
+    if not many.isEmpty():
+        # Rows equal in id and text: their text once, merged before it is shuffled.
+        some = hash_side(many)
+        once = own.join(some, "__key", "left_semi").groupBy("__key").agg(F.first("text").alias("text"))
+        own = own.join(some, "__key", "left_anti").unionByName(once)
+    return own.join(hash_side(mixed), F.col("__key") == F.col("__of")).select(
+        F.col("__key.key").alias("id"), "text", "source", "size", "source_size", "target", "taken")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.llm.common import SLICE_ROWS, field, without
+from kardex.llm.common import field, memory_given_back, parts_by_bytes, without
 
 ROUNDS = 10
 
@@ -400,9 +400,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
         from pyspark.sql.pandas.types import to_arrow_schema
 
         replace, out = replacer(secret, kinds, back), to_arrow_schema(schema)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+        with memory_given_back():
+            for part in (p for batch in batches for p in parts_by_bytes(batch)):
                 got = [(t, 0) if t is None else replace(t) for t in part.column(at_text).to_pylist()]
                 columns = [c.cast(f.type) for c, f in zip(part.columns, out)]
                 columns[at_text] = pa.array([g[0] for g in got], out.field(at_text).type)

@@ -20,11 +20,11 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.llm.common import cut, field, map_slices, texts
+from kardex.llm.common import cut, field, hash_side, map_slices, row_key, texts
 from kardex.llm.components import connected_components
 
 _OFFSET = np.arange(8, dtype=np.int32) * 256
@@ -135,16 +135,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """The rows of ``docs`` with the smallest id of each group; of rows equal
-    in the id one stays (null ids come last)."""
+    in the id one stays (null ids come last, rows equal in the id are ordered
+    by their columns' hash).
+
+    Decided on narrow rows: the id and a 128-bit digest of the text.  The
+    texts then meet the keys of those to go, once, without a sort.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    row = F.xxhash64(*columns)
-    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("key"), row.alias("row"))
+    key = row_key(id_col, text_col)
     found = near_duplicates(docs.select(key.alias("id"), F.col(text_col).alias("text")), "id", "text", **more)
-    kept = found.where(F.col("id") == F.col("component")).select(F.col("id.row").alias("__row")).distinct()
-    marked = docs.withColumn("__row", row)
-    # Rows equal in all columns share their hash; one of them stays.
-    first = F.row_number().over(Window.partitionBy("__row").orderBy(F.lit(1)))
-    return marked.join(kept, "__row").withColumn("__first", first).where("__first = 1").select(*columns)
+    # A key stands for its rows: which of these stays does not matter yet.
+    keys = cut(found.groupBy("id", "component").agg(F.count("*").alias("n")).select(
+        F.col("id").alias("__key"), (F.col("id") == F.col("component")).alias("__stays"), (F.col("n") > 1).alias("__many")))
+    out = keys.where(~F.col("__stays")).select("__key")
+    marked = docs.withColumn("__key", key)
+    left = marked.join(hash_side(out), "__key", "left_anti")
+    many = keys.where("__stays AND __many").select("__key")
+    if many.isEmpty():
+        return left.select(*columns)
+    # Rows equal in id and text: one of each, merged before they are shuffled.
+    some = hash_side(many)
+    merged = left.join(some, "__key", "left_semi").groupBy("__key").agg(
+        F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("__row")).select("__row.*")
+    return left.join(some, "__key", "left_anti").select(*columns).unionAll(merged)
 
 
 def as_hex(column: Column) -> Column:
