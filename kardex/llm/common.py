@@ -64,15 +64,10 @@ def row_key(id_col: str, text_col: str) -> Column:
                     F.struct(F.col(text_col).isNull().alias("null"), digest.alias("digest")).alias("text"))
 
 
-#: Rows of keys that are broadcast at most (some tens of bytes each).
-BROADCAST_ROWS = 200_000
-
-
 def hash_side(keys: DataFrame) -> DataFrame:
-    """The side of a join that is built as a hash table: sent to all tasks if
-    it is short (counted), else shuffled.  The other side needs no sort."""
-    short = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(keys) if short else keys.hint("shuffle_hash")
+    """The side of a join that is built as a hash table in each task: the other
+    side is shuffled, at every size, but not sorted."""
+    return keys.hint("shuffle_hash")
 
 
 def field(df: DataFrame, name: str, alias: str | None = None) -> T.StructField:
