@@ -98,14 +98,32 @@ def iban_value(text: str) -> str | None:
     return value if 15 <= len(value) <= 34 and iban_rest(value) == 1 else None
 
 
-def phone_parts(text: str) -> tuple[str, str] | None:
-    """Country digits that stay, and the rest."""
+#: National forms: pattern, digits that stay, country of the plan they share
+#: with the international form (0: not known).
+_NATIONAL = {
+    "fr": (r"0[1-9](?:([ .-])[0-9]{2})(?:\1[0-9]{2}){3}|0[1-9][0-9]{8}", 1, "33"),
+    "es": (r"[6-9][0-9]{2}([ .-])[0-9]{2}\1[0-9]{2}\1[0-9]{2}", 0, "34"),
+    "trunk": (r"\(?0[1-9][0-9]{1,4}(?:\) ?| |/)[0-9]{3,8}(?: [0-9]{3,4})?", 1, "0"),
+}
+_NATIONAL_RULES = [(re.compile(pattern), *rest) for pattern, *rest in _NATIONAL.values()]
+
+
+def phone_parts(text: str) -> tuple[str, str, str] | None:
+    """Digits that stay, the rest, and the numbering plan."""
     value = re.sub(r"\D", "", text)
     if text.startswith("+1") and len(value) == 11:
-        return "1", value[1:]
+        return "1", value[1:], "1"
     if text.startswith("+"):
-        return (value[:2], value[2:]) if 8 <= len(value) <= 15 else None
-    return ("", value) if len(value) == 10 and nanp(value) else None
+        return (value[:2], value[2:], value[:2]) if 8 <= len(value) <= 15 else None
+    for pattern, stay, plan in _NATIONAL_RULES:
+        if pattern.fullmatch(text) and 9 <= len(value) <= 12:
+            return value[:stay], value[stay:], plan
+    return ("", value, "1") if len(value) == 10 and nanp(value) else None
+
+
+def _first_digit(plan: str, rest: str) -> bool:
+    """What a number's first digit says about its form; pseudonyms say the same."""
+    return rest[0] > "5" if plan == "34" else rest[0] != "0"
 
 
 def refill(shape: str, digits: str) -> str:
@@ -142,13 +160,10 @@ class Pseudonyms:
         parts = phone_parts(text)
         if parts is None:
             return None
-        country, rest = parts
-        label = country if country != "" else "1"
-        if len(rest) == 10 and label == "1":
-            rest = self.digits("phone1", rest, lambda x, ok=nanp(rest): nanp(x) == ok and keep(refill(text, country + x)))
-        else:
-            rest = self.digits(f"phone{label}", rest, lambda x: keep(refill(text, country + x)))
-        return refill(text, country + rest)
+        stay, rest, plan = parts
+        form = nanp if len(rest) == 10 and plan == "1" else lambda x: _first_digit(plan, x)
+        rest = self.digits(f"phone{plan}", rest, lambda x, of=form(rest): form(x) == of and keep(refill(text, stay + x)))
+        return refill(text, stay + rest)
 
     def ssn(self, text: str) -> str | None:
         def valid(v: str) -> bool:
@@ -243,8 +258,10 @@ _KINDS = {
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "address": r"(?<![0-9A-Za-z.])(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}(?![0-9A-Za-z]|\.[0-9])",
-    "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
-             r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}",
+    "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,5}"
+             r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|"
+             + "|".join(f"(?:{pattern})".replace("\\1", f"(?P={name})").replace("([ .-])", f"(?P<{name}>[ .-])", 1)
+                        for name, (pattern, *_) in _NATIONAL.items()),
     "card": r"[0-9](?:[ -]?[0-9]){12,18}",
 }
 KINDS = tuple(_KINDS)
@@ -255,7 +272,13 @@ _LAYOUTS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 5), (4, 4, 4, 4, 3)}
 _DIGITS = re.compile(r"[0-9]+")
 _CARD_RUN = re.compile(r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]+(?:[ -][0-9]+)*(?![0-9A-Za-z])")
 _IBAN_RUN = re.compile(r"(?<![0-9A-Za-z])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){8,31}))")
-_PHONE_RUN = re.compile(r"(?<![0-9A-Za-z+])(?=(\+[0-9]+(?:[ .()-]{1,3}[0-9]+){0,8}|\(?[0-9]{3}(?:\) ?|[ .-])[0-9]{3}[ .-][0-9]{4}))")
+_PHONE_RUN = re.compile(
+    r"(?<![0-9A-Za-z+])(?=(\+[0-9]+(?:[ .()-]{1,3}[0-9]+){0,8}|\(?[0-9]{3}(?:\) ?|[ .-])[0-9]{3}[ .-][0-9]{4}"
+    # Without a country code, groups are a number only where their row does not go on.
+    r"|(?<![0-9][ ./-])(?:(?:0[1-9]|[6-9][0-9]{2})(?:[ .-][0-9]{2}){3,4}|0[1-9][0-9]{8}"
+    r"|\(?0[1-9][0-9]{1,4}(?:\) ?| |/)[0-9]{3,8}(?: [0-9]{3,4})?)(?![ ./-]?[0-9])))")
+#: Digits of a whole number by the plan's country code.
+_PHONE_SIZE = {"+1": 11, "+33": 11, "+34": 11, "+44": 12}
 #: Characters of an IBAN by country; readings of that length go first.
 _IBAN_SIZE = {c: n for n, cs in {
     15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
@@ -286,7 +309,7 @@ def _prefixes(run: re.Pattern, whole: re.Pattern) -> Callable[[str], Iterator[Re
             for end in range(m.end(1), m.start() + 7, -1):
                 if not text[end:end + 1].isalnum() and text[end - 1].isalnum() and whole.fullmatch(text, m.start(), end):
                     # The country's own length goes first, then the longest.
-                    size = 11 if m[1].startswith("+1") else _IBAN_SIZE.get(m[1][:2])
+                    size = _PHONE_SIZE.get(m[1][:2]) or _PHONE_SIZE.get(m[1][:3]) or _IBAN_SIZE.get(m[1][:2])
                     own = sum(map(str.isalnum, text[m.start():end])) == size
                     yield (m.start(), not own, -end), m.start(), end
 

@@ -66,6 +66,62 @@ def test_values_beside_numbers_and_words(before, value, after):
         assert pii.replacer(key, back=True)(alone) == (value, 1) or before.startswith("1234") or after == " 123"
 
 
+@pytest.mark.parametrize("value", [
+    "+33 6 12 34 56 78", "+33 1 42 68 53 00", "06 12 34 56 78", "06.12.34.56.78", "01-42-68-53-00", "0612345678", "+33612345678",
+    "+33 (0)6 12 34 56 78", "+34 612 34 56 78", "612 34 56 78", "+49 30 1234567", "030 1234567", "0171/1234567", "(030) 1234567",
+    "020 7946 0958", "+44 (0)20 7946 0958"])
+def test_phones_of_the_four_languages(value):
+    for i in range(20):
+        key = bytes([i]) * 32
+        for text in (f"Tel. {value}.", f"({value}) et", f"{value}\n12 rue", f"a {value}, 4111 1111 1111 1111"):
+            new, n = pii.replacer(key)(text)
+            assert value not in new and shape(new) == shape(text), new
+            assert pii.replacer(key, back=True)(new) == (text, n)
+
+
+def test_one_number_in_national_and_international_form():
+    replace = pii.replacer(KEY)
+    a, b, c = (re.sub(r"\D", "", replace(x)[0]) for x in ("06 12 34 56 78", "+33 6 12 34 56 78", "0612345678"))
+    assert a == c and a[1:] == b[2:]
+
+
+@pytest.mark.parametrize("text", ["10 06 12 34 56 78 90", "01 02 03", "612 34 56", "0123", "2021 0301 11", "05 1234", "1/2/1990"])
+def test_rows_of_numbers_are_no_phones(text):
+    assert pii.replacer(KEY)(text) == (text, 0)
+
+
+def planted(draw):
+    """A value of a kind, made without the finder's patterns."""
+    digits = lambda n: "".join(draw.choices("0123456789", k=n))
+    kind = draw.randrange(7)
+    if kind == 0:
+        body = "4" + digits(14)
+        card = body + pii.luhn_digit(body)
+        return draw.choice([card, " ".join(card[i:i + 4] for i in range(0, 16, 4)), "-".join(card[i:i + 4] for i in range(0, 16, 4))])
+    if kind == 1:
+        pairs = ["0" + draw.choice("1234567")] + [digits(2) for _ in range(4)]
+        return draw.choice([" ", ".", "-"]).join(pairs)
+    if kind == 2:
+        return f"+33 {draw.choice('1234567')} " + " ".join(digits(2) for _ in range(4))
+    if kind == 3:
+        return f"({draw.randrange(200, 990)}) {draw.randrange(200, 990)}-{digits(4)}"
+    if kind == 4:
+        return f"{draw.randrange(1950, 2030)}-{draw.randrange(1, 13):02d}-{draw.randrange(1, 29):02d}"
+    if kind == 5:
+        return ".".join(str(draw.randrange(256)) for _ in range(4))
+    return f"{draw.choice(['anna', 'j.doe', 'x_9'])}{draw.randrange(100)}@mail.example.org"
+
+
+def test_every_planted_value_is_found():
+    draw, words = random.Random(11), "the le der von el cat ist et, chat. maison (note) 12 and 2023 in x-ray".split()
+    for _ in range(300):
+        values = [planted(draw) for _ in range(draw.randrange(1, 6))]
+        text = "; ".join(" ".join(draw.choices(words, k=6)) + " : " + v for v in values)
+        new, n = pii.replacer(KEY)(text)
+        assert n == len(values), (n, values, text)
+        assert not any(v in new for v in values) and pii.replacer(KEY, back=True)(new) == (text, n)
+
+
 def test_numbers_in_a_row_are_reversed():
     draw = random.Random(5)
     for i in range(200):
