@@ -11,6 +11,7 @@ the sums of these window scores gives the probability.
 from __future__ import annotations
 
 import math
+import re
 import string
 from dataclasses import dataclass, field as member
 
@@ -39,8 +40,29 @@ def reach(term: str) -> int:
     return 0 if len(term) < 4 else 1 if len(term) < 8 else 2
 
 
+#: Signs between letters or digits, quotes and apostrophes aside: they part words.
+_INNER = re.compile(r"(?<=[^\W_])(?:[^\w\s'’\"“”„«»‹›]|_)+(?=[^\W_])")
+#: Longest word whose automaton fits its 64-bit states.
+_STATES = 61
+
+
 def words_of(text: str | None) -> list[str]:
-    return text.lower().split() if text else []
+    """Lower-case words; signs stay at their edges, where they tell quotations."""
+    return _INNER.sub(" ", text.lower()).split() if text else []
+
+
+def within(word: str, term: str, most: int) -> int:
+    """Edit distance, or above ``most``."""
+    if abs(len(word) - len(term)) > most:
+        return most + 1
+    row = list(range(len(term) + 1))
+    for i, x in enumerate(word, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(term, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        if min(row) > most:
+            return most + 1
+    return row[-1]
 
 
 class Trie:
@@ -67,7 +89,17 @@ class Trie:
             self.most[node] = max(self.most[node], edits)
         self.terms = terms
         self.shortest = min((len(t.removesuffix("*")) - (0 if t[-1] == "*" else reach(t)) for t in terms), default=0)
-        self.longest = max((61 if t[-1] == "*" else len(t) + reach(t) for t in terms), default=-1)
+        self.longest = max((_STATES if t[-1] == "*" else len(t) + reach(t) for t in terms), default=-1)
+        self.stems = [(t[:-1], place) for place, t in enumerate(terms) if t[-1] == "*"]
+        self.long = [(t, place) for place, t in enumerate(terms) if t[-1] != "*" and len(t) + reach(t) > _STATES]
+
+    def _long(self, word: str) -> tuple[int, int]:
+        """The match of a word beyond the states: a stem it begins with, else
+        the closest of the terms that long, one by one."""
+        found = [(0, place) for stem, place in self.stems if word.startswith(stem)]
+        found = found or [(within(word, t, reach(t)), place) for t, place in self.long]
+        best = min((f for f in found if f[0] <= reach(self.terms[f[1]])), default=None)
+        return (best[1], best[0]) if best else (-1, 99)
 
     def match(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """For each word the closest term's index (-1: none) and its distance.
@@ -78,8 +110,13 @@ class Trie:
         """
         best = np.full(len(words), -1, np.int64)
         distance = np.full(len(words), 99, np.int64)
-        at = np.array([i for i, w in enumerate(words) if self.shortest <= len(w) <= self.longest and len(w) < 62], np.int64)
-        if not len(at) or not self.terms:
+        if not self.terms:
+            return best, distance
+        for i, w in enumerate(words):
+            if len(w) > _STATES:
+                best[i], distance[i] = self._long(w)
+        at = np.array([i for i, w in enumerate(words) if self.shortest <= len(w) <= min(self.longest, _STATES)], np.int64)
+        if not len(at):
             return best, distance
         some = [words[i] for i in at]
         width = max(map(len, some))

@@ -35,6 +35,46 @@ def test_stems_match_beginnings_exactly():
     assert best.tolist() == [0, 0, -1, -1, 1, 2] and distance.tolist() == [0, 0, 99, 99, 1, 0]
 
 
+def test_words_of_any_length():
+    long = "abcdefghij" * 9
+    trie = toxicity.Trie(["abcd*", long, "zz"])
+    words = ["abcd" + "x" * 500, "y" * 500, "b" + long, "b" + long[:-1], "b" + long[:-3] + "b", "zz" + "y" * 70, "x" * 62]
+    best, distance = toxicity.Trie([long, "zz"]).match([long, "b" + long, long[:-2], "b" + long + "cc", "x" * 88])
+    assert best.tolist() == [0, 0, 0, -1, -1] and distance.tolist()[:3] == [0, 1, 2]
+    best, distance = trie.match(words)
+    assert best.tolist() == [0, -1, 1, 1, -1, -1, -1] and distance.tolist()[:4] == [0, 99, 1, 2]
+
+
+def test_terms_beside_signs_are_words():
+    assert toxicity.words_of("Scum,loser you-idiot end.Next \"quoted\" don't a_b (x)") == [
+        "scum", "loser", "you", "idiot", "end", "next", '"quoted"', "don't", "a", "b", "(x)"]
+    model = toxicity.Model(["moron"], frozenset(), [-3.0, 6.0, 0.5, 0.0, 0.5])
+    got = model.probability(model.scorer()(["well,moron,you", "you-moron", "so.moron!you", "x" * 80 + "/moron you"])).tolist()
+    assert min(got) > 0.7
+
+
+def test_query_equals_plain_scores(spark):
+    """The query against terms looked up one by one by edit distance."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    held_out = "crc32(cast(cast(doc_id as string) as binary)) % 3 = 1"
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet").where(f"NOT ({held_out})"))
+    want = {}
+    for r in docs.collect():
+        words, hits = toxicity.words_of(r.text), []
+        for at, w in enumerate(words):
+            plain = w.strip(toxicity._STRIP)
+            near = [(0 if plain.startswith(t[:-1]) else 99) if t[-1] == "*" else edits(plain, t) if abs(len(plain) - len(t)) < 3
+                    and edits(plain, t) <= toxicity.reach(t) else 99 for t in model.terms]
+            d = min(near, default=99)
+            if d == 0 or d < 99 and plain not in model.common:
+                hits.append((at, {0: 1.0, 1: 0.9, 2: 0.8}[d]))
+        features = toxicity.window_scores(words, hits) if hits else [0.0] * 4
+        want[r.doc_id] = model.probability(__import__("numpy").array([features]))[0]
+    got = {r.doc_id: r.score for r in queries.op10_toxicity(spark, sf).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_quotation_counts_less_than_abuse():
     model = toxicity.Model(["moron"], frozenset(), [-3.0, 6.0, 0.5, 0.0, 0.5])
     texts = ["you are a moron", "what a m0ron he is", 'she wrote "moron" on it', "they said the word moron",
