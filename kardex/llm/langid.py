@@ -24,9 +24,10 @@ from kardex.llm.common import cut, field, hashed_sample, map_slices, without
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START = "▁"
-#: Longer words are scored in parts of this many letters, which keeps the
-#: forward sums inside double precision.
-PART = 24
+#: Longest word that is learned from; words of any length are scored.
+LEARNED = 64
+#: Letters between two turns of scaling, which keeps forward sums in range.
+_TURN = 16
 #: Words a task remembers; beyond, it forgets all and goes on.
 MEMORY = 200_000
 
@@ -43,10 +44,7 @@ def load_pieces(path: str = VOCABULARY) -> dict[str, int]:
 
 
 def words_of(text: str | None) -> list[str]:
-    words = _LETTERS.findall(text.lower()) if text else []
-    if any(len(w) > PART for w in words):
-        words = [w[i:i + PART] for w in words for i in range(0, len(w), PART)]
-    return words
+    return _LETTERS.findall(text.lower()) if text else []
 
 
 _WIDTH = 4096
@@ -92,6 +90,7 @@ class Pieces:
             owner[at + codes], child[at + codes] = state, list(children[state].values())
             free[at + codes] = False
         self.base, self.owner, self.child = base, owner, child
+        self.longest = max(map(len, pieces))
         self.piece = np.array(self.piece, np.int32)
 
     def spans(self, words: list[str]):
@@ -148,9 +147,9 @@ class Lattice:
 def _by_length(words: list[str]) -> Iterator[np.ndarray]:
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     for n in np.unique(lengths):
-        at = np.flatnonzero(lengths == n)
-        for k in range(0, len(at), 10_000):
-            yield at[k:k + 10_000]
+        at, most = np.flatnonzero(lengths == n), max(1, min(10_000, 500_000 // int(n)))
+        for k in range(0, len(at), most):
+            yield at[k:k + most]
 
 
 @dataclass
@@ -163,17 +162,36 @@ class Model:
         """Natural log probability of each word in each language."""
         out = np.empty((len(words), len(self.langs)))
         for at in _by_length(words):
-            some = [words[i] for i in at]
-            alpha = Lattice(some, self.pieces).forward(self.table, len(some))
-            out[at] = np.log(np.maximum(alpha[-1], 1e-300))
+            out[at] = self._forward([words[i] for i in at])
         return out
 
+    def _forward(self, words: list[str]) -> np.ndarray:
+        """The forward sums of equally long words, of any length.  Only the places
+        that a piece can reach are held; they are scaled every few letters, and
+        the logarithms of the scales add up."""
+        held = self.pieces.longest + 2
+        alpha = np.zeros((held, len(words), len(self.langs)))
+        alpha[0] = 1
+        scale, at = np.zeros(alpha.shape[1:]), 0
+        for i, j, rows, ids in self.pieces.spans([_START + w for w in words]):
+            if i != at:
+                alpha[at % held] = 0
+                at = i
+                if at % _TURN == 0:
+                    factor = np.maximum(alpha[at % held], 1e-300)
+                    alpha /= factor
+                    scale += np.log(factor)
+            alpha[j % held, rows] += alpha[i % held, rows] * self.table[ids]
+        return scale + np.log(np.maximum(alpha[(len(words[0]) + 1) % held], 1e-300))
+
 
 def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         docs_per_lang: int = 1500, rounds: int = 2, smoothing: float = 0.1, vocabulary: str = VOCABULARY) -> Model:
     """Learns from at most about ``docs_per_lang`` whole texts of each language
-    (those whose hashed id is smallest).  That bound is the only sample: it
-    fits the classifier and nothing else.  What reaches the driver is one row
+    (those whose hashed id is smallest), from their words of up to ``LEARNED``
+    letters.  These bounds are the only sample: they
+    fit the classifier and nothing else.  Rows without a text, language or id
+    are not learned from.  What reaches the driver is one row
     per language, then one per language and piece."""
     known = load_pieces(vocabulary)
     pieces = Pieces(known)
@@ -192,6 +210,8 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         seen: dict[tuple[int, str], int] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for word in words_of(text):
+                if len(word) > LEARNED:
+                    continue
                 key = (place[lang], word)
                 seen[key] = seen.get(key, 0) + 1
         return {"lang": [k[0] for k in seen], "word": [k[1] for k in seen], "n": list(seen.values())}

@@ -37,6 +37,48 @@ def test_forward_sums_all_segmentations():
         assert got == pytest.approx([brute(word, pieces, table[:, k]) for k in (0, 1)])
 
 
+def plain(word, pieces, table):
+    """Natural logs of the sums over segmentations, place by place."""
+    marked = "▁" + word
+    longest = max(map(len, pieces))
+    logs = np.full((len(marked) + 1, table.shape[1]), -np.inf)
+    logs[0] = 0
+    for j in range(1, len(marked) + 1):
+        for i in range(max(0, j - longest), j):
+            part = marked[i:j]
+            if len(part) == 1 or part in pieces:
+                logs[j] = np.logaddexp(logs[j], logs[i] + np.log(table[pieces.get(part, 0)]))
+    return logs[-1]
+
+
+@pytest.mark.parametrize("length", [1, 15, 16, 17, 31, 500, 3000])
+def test_long_words(length):
+    pieces = {"▁": 1, "▁a": 2, "a": 3, "b": 4, "ab": 5, "▁ab": 6, "bab": 7, "abbaabba": 8}
+    table = np.random.default_rng(1).dirichlet(np.ones(9), size=3).T * 1e-6
+    model = langid.Model(["x", "y", "z"], langid.Pieces(pieces), table)
+    rng = np.random.default_rng(length)
+    words = ["".join(rng.choice(list("aabbé"), length)) for _ in range(3)]
+    for word, got in zip(words, model.word_scores(words)):
+        assert got == pytest.approx(plain(word, pieces, table), rel=1e-9)
+
+
+def test_query_equals_plain_sums(spark):
+    """Predictions and scores of whole texts, words summed one by one."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.fit(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"))
+    pieces, known = langid.load_pieces(), {}
+    got = {r.doc_id: r for r in queries.op2_langid(spark, sf).collect()}
+    for r in docs.orderBy("doc_id").limit(60).collect():
+        words = langid.words_of(r.text)
+        for w in set(words) - known.keys():
+            known[w] = plain(w, pieces, model.table)
+        total = sum((known[w] for w in words), np.zeros(len(model.langs)))
+        best = int(total.argmax())
+        assert got[r.doc_id].lang_pred == (model.langs[best] if words else "und")
+        assert got[r.doc_id].score == pytest.approx(1 / np.exp(total - total[best]).sum() if words else 0)
+
+
 def test_expected_counts_sum_to_the_pieces_used():
     pieces = {"▁": 1, "a": 2, "aa": 3}
     table = np.full((4, 1), 0.25)
