@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from kardex.llm.common import cut, hash_side, row_key
 
 
-def running_sum(df: DataFrame, group: str, order: list[str], value: str, bins: int, name: str) -> DataFrame:
+def running_sum(df: DataFrame, group: str, order: list[str], value: str, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over the group's earlier rows.  Rows
     must carry ``bin``, the leading part of the order; a group is summed bin
     by bin, so that a large group is not one task's work."""
@@ -65,7 +65,7 @@ def golden_step(n: int) -> int:
     return step
 
 
-def schedule(streams: DataFrame, per_source: DataFrame, block: int, bins: int) -> DataFrame:
+def schedule(streams: DataFrame, per_source: DataFrame, block: int) -> DataFrame:
     """``(slot, source, block, row, start, end)``: which words of which stream
     row each slot takes; ``start, end`` are positions in the source's stream,
     which runs on into its second round."""
@@ -87,7 +87,7 @@ def schedule(streams: DataFrame, per_source: DataFrame, block: int, bins: int) -
     slots = (points.join(edges, "tile").where("point >= first and point < first + blocks")
              .select("slot", "source", "rank", "words", F.lit(1).cast("long").alias("one"))
              .withColumn("bin", F.floor(F.col("slot") / 4096)))
-    slots = running_sum(slots, "rank", ["slot"], "one", bins, "block")
+    slots = running_sum(slots, "rank", ["slot"], "one", "block")
     sized = plan.select(F.col("rank"), F.col("source").alias("__s"), F.col("source_size").alias("length"), "words")
     # A stream row lies in round 0 and again, one stream length later, in round 1.
     laid = (streams.where("size > 0").select("source", "begin", "size")
@@ -104,7 +104,7 @@ def schedule(streams: DataFrame, per_source: DataFrame, block: int, bins: int) -
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0, block: int = 4096,
-        seed: int = 7, rows_per_bin: int = 4096) -> tuple[DataFrame, DataFrame]:
+        seed: int = 7, rows_per_bin: int = 1024) -> tuple[DataFrame, DataFrame]:
     """The mixed documents and the schedule.
 
     First frame, one row per document: ``id, source, size, source_size,
@@ -119,12 +119,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
     rows = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), words.alias("size"),
                            F.xxhash64(F.lit(seed), id_col, text_col).alias("h")))
-    count = rows.count()
-    bins = max(1, -(-count // rows_per_bin))
-    per_source = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most))
-    streams = cut(running_sum(rows.withColumn("bin", F.pmod(F.xxhash64("h"), F.lit(bins))), "source",
-                              ["h", "id", "size"], "size", bins, "begin").drop("bin", "h"))
-    pieces = schedule(streams, per_source, block, bins)
+    counted = cut(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")))
+    per_source = cut(targets(counted.drop("n"), weights, share, most))
+    # Each source has bins by its own number of rows: all bins are about as large.
+    bins = counted.select(F.col("source").alias("__bs"), F.ceil(F.col("n") / rows_per_bin).cast("long").alias("__bins"))
+    binned = rows.join(bins, F.col("source").eqNullSafe(F.col("__bs"))).withColumn("bin", F.pmod(F.xxhash64("h"), F.col("__bins")))
+    streams = cut(running_sum(binned.drop("__bs", "__bins"), "source", ["h", "id", "size"], "size", "begin").drop("bin", "h"))
+    pieces = schedule(streams, per_source, block)
     taken = pieces.groupBy(F.col("source").alias("__ts"), F.col("begin").alias("__tb")).agg(
         F.sum(F.col("end") - F.col("start")).alias("__taken"))
     mixed = (streams.join(taken, F.col("source").eqNullSafe(F.col("__ts")) & (F.col("begin") == F.col("__tb"))
