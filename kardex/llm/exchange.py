@@ -1,7 +1,7 @@
 """Asking hash shards about the distinct keys of document batches.
 
-Documents are dealt into batches of bounded size by a hash of the whole row.  A
-batch sends its distinct 64-bit keys, sorted, one slice per shard; a shard sees
+Documents are dealt into batches of bounded size by a hash of the whole row and
+its place, so that rows that repeat are spread, too.  A batch sends its distinct 64-bit keys, sorted, one slice per shard; a shard sees
 each key at most once per batch, so that no key is hot, and answers each slice
 in order.  The batch makes the same keys again when the answers arrive.
 """
@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 def batched(docs: DataFrame, id_col: str, text_col: str, batch_bytes: int, shard_bytes: int) -> tuple[DataFrame, int]:
     """``(batch, k, id, text)`` and the number of shards, both counts from the
     bytes of all texts.  Equal rows have equal ``k``; others may be ordered by
-    it."""
+    it.  ``docs`` is a table that reads the same each time."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     k = F.xxhash64(F.lit(3), "id", "text")
-    return (rows.select(F.pmod(k, F.lit(max(1, -(-total // batch_bytes)))).alias("batch"), k.alias("k"), "id", "text"),
+    dealt = F.pmod(F.xxhash64(k, F.monotonically_increasing_id()), F.lit(max(1, -(-total // batch_bytes))))
+    return (rows.select(dealt.alias("batch"), k.alias("k"), "id", "text"),
             max(1, -(-total // shard_bytes)))
 
 
@@ -52,9 +53,9 @@ class Batch:
         self.ends = np.cumsum(self.lengths)
         self.starts = self.ends - self.lengths
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, seed: int = 9) -> np.ndarray:
         """64-bit hash of each distinct word."""
-        return np.fromiter((xxhash.xxh64_intdigest(w, 9) for w in self.words), np.uint64, len(self.words))
+        return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(self.words))
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:

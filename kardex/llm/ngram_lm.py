@@ -261,6 +261,8 @@ class Pairs:
         # Without training rows there is no context, not even the start.
         self.known = np.flatnonzero((before >= 0) & (starts > 0))
         radix = start + 1
+        if radix >= 3_000_000_000:
+            raise ValueError("a pair of words does not fit 64 bits beyond three thousand million distinct words")
         token_id = np.where(token_id >= 0, token_id, start)
         keys, index = np.unique(before[self.known] * radix + token_id[self.known], return_inverse=True)
         counts = np.bincount(index, weights=words.trained[self.known], minlength=len(keys)).astype(np.int64)

@@ -4,7 +4,8 @@ In each document only the word positions in a difference cover modulo a period
 are hashed, with an anchor of ``window - period + 1`` words.  For any two equal
 windows some shift below the period brings both starts onto cover positions, so
 equal windows share an aligned anchor.  Anchors that occur twice are extended:
-the windows around them are hashed in full, and those that occur twice go.
+the windows around them are hashed in full, with two independent hashes of 64
+bits, and those that occur twice go.  (Anchors only propose: one hash will do.)
 
 Both questions ("which of my keys occur anywhere else?") are put by batches of
 documents to hash shards, see ``exchange``.
@@ -66,14 +67,24 @@ class Windows(Batch):
         at = np.flatnonzero(cover[self.place[:n] % self.period] & (np.arange(n) + width <= self.end_of[:n]) & long)
         return at, *_distinct(rolling(self.hashed, width)[at] if len(at) else np.zeros(0, np.uint64))
 
-    def candidates(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The windows around repeated anchors, as ``anchors`` returns them."""
+    def candidates(self, repeated: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The windows around repeated anchors, as ``anchors`` returns them, and
+        the second hash of each distinct one."""
         n = max(0, len(self.codes) - self.window + 1)
         near = np.zeros(len(self.codes) + 1, np.int64)
         np.add.at(near, np.maximum(repeated - self.period + 1, 0), 1)
         np.add.at(near, repeated + 1, -1)
         at = np.flatnonzero((np.cumsum(near[:-1])[:n] > 0) & (np.arange(n) + self.window <= self.end_of[:n]))
-        return at, *_distinct(rolling(self.hashed, self.window)[at] if len(at) else np.zeros(0, np.uint64))
+        if not len(at):
+            none = np.zeros(0, np.uint64)
+            return at, none, np.zeros(0, np.int64), np.zeros(0, bool), none
+        key = rolling(self.hashed, self.window)[at]
+        check = rolling(self.hashes(10)[self.codes], self.window)[at]
+        order = np.lexsort((check, key))
+        new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (check[order][1:] != check[order][:-1])])
+        index = np.empty(len(at), np.int64)
+        index[order] = np.cumsum(new) - 1
+        return at, key[order][new], index, np.bincount(index) > 1, check[order][new]
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,15 +92,17 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values, index, times > 1
 
 
-def _ask(batch: int, keys: np.ndarray, twice: np.ndarray, shards: int) -> pa.Table:
+def _ask(batch: int, keys: np.ndarray, twice: np.ndarray, shards: int, checks: np.ndarray | None = None) -> pa.Table:
     parts = slices(keys, shards)
+    second = [None if checks is None else checks[s:e].tobytes() for _, s, e in parts]
     return pa.table({
         "shard": pa.array([p[0] for p in parts], pa.int64()), "batch": pa.array([batch] * len(parts), pa.int64()),
         "keys": pa.array([keys[s:e].tobytes() for _, s, e in parts], pa.binary()),
-        "twice": pa.array([np.packbits(twice[s:e]).tobytes() for _, s, e in parts], pa.binary())})
+        "twice": pa.array([np.packbits(twice[s:e]).tobytes() for _, s, e in parts], pa.binary()),
+        "checks": pa.array(second, pa.binary())})
 
 
-_ASKED = "shard long, batch long, keys binary, twice binary"
+_ASKED = "shard long, batch long, keys binary, twice binary, checks binary"
 _ANSWERED = "batch long, shard long, found binary"
 
 
@@ -100,9 +113,12 @@ def _answer(table: pa.Table) -> pa.Table:
     keys = np.concatenate(parts)
     twice = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=n)
                             for t, n in zip(table.column("twice").to_pylist(), sizes)]).astype(bool)
-    order = np.argsort(keys)
-    ordered = keys[order]
-    same = ordered[1:] == ordered[:-1]
+    # Keys that were sent with a second hash are equal if both are.
+    checks = np.concatenate([np.zeros(n, np.uint64) if c is None else np.frombuffer(c, np.uint64)
+                             for c, n in zip(table.column("checks").to_pylist(), sizes)])
+    order = np.lexsort((checks, keys)) if checks.any() else np.argsort(keys)
+    ordered, second = keys[order], checks[order]
+    same = (ordered[1:] == ordered[:-1]) & (second[1:] == second[:-1])
     found = twice.copy()
     again = np.concatenate([same, [False]]) | np.concatenate([[False], same])
     found[order[again]] = True
@@ -125,7 +141,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A word goes if some window of ``window`` words that covers it also starts
     anywhere else in the input.  Defined cases: a null text has no words and
     an empty kept text; a text shorter than the window stays; equal rows repeat
-    each other and lose all windows; an empty table gives no rows.
+    each other, lose all windows and are spread over the batches; an empty
+    table gives no rows.
     """
     rows, shards = batched(docs, id_col, text_col, batch_bytes, shard_bytes)
 
@@ -138,8 +155,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             return _ask(0, np.zeros(0, np.uint64), np.zeros(0, bool), shards)
         words = Windows(table, window, period)
         at, keys, index, _ = words.anchors()
-        _, keys, _, twice = words.candidates(at[_marks(replies, keys, shards)[index]])
-        return _ask(table.column("batch")[0].as_py(), keys, twice, shards)
+        _, keys, _, twice, checks = words.candidates(at[_marks(replies, keys, shards)[index]])
+        return _ask(table.column("batch")[0].as_py(), keys, twice, shards, checks)
 
     schema = T.StructType([field(rows, "id"), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("text", T.StringType())])
@@ -149,7 +166,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         first = replies.filter(pa.array(np.array(replies.column("phase").to_pylist()) == 1, pa.bool_()))
         second = replies.filter(pa.array(np.array(replies.column("phase").to_pylist()) == 2, pa.bool_()))
         at, keys, index, _ = words.anchors()
-        at, keys, index, _ = words.candidates(at[_marks(first, keys, shards)[index]])
+        at, keys, index, *_ = words.candidates(at[_marks(first, keys, shards)[index]])
         gone = at[_marks(second, keys, shards)[index]]
         cover = np.zeros(len(words.codes) + 1, np.int64)
         np.add.at(cover, gone, 1)

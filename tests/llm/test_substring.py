@@ -5,10 +5,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from kardex.llm import queries, substring
+from kardex.llm import exchange, queries, substring
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,6 +55,33 @@ def test_long_text_and_empty_table(spark):
     assert run(spark, []) == []
 
 
+def test_many_equal_rows_are_spread(spark):
+    rows = [(1, "the same text again and again " * 10)] * 40_000 + [(2, "other words " * 9), (None, "null id " * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    df.write.mode("overwrite").parquet(path := spark.sparkContext.getCheckpointDir() + "/equal-rows")
+    table = spark.read.parquet(path)
+    batches, _ = exchange.batched(table, "doc_id", "text", 1 << 18, 1 << 20)
+    sizes = [r["count"] for r in batches.groupBy("batch").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 4 * sum(sizes) / len(sizes)
+    got = substring.remove_repeats(table, batch_bytes=1 << 18, shard_bytes=1 << 20)
+    assert sorted(map(str, got.groupBy("id", "n_words", "n_removed").count().collect())) == sorted(map(str, [
+        spark.createDataFrame([(1, 60, 60, 40_000)], "id long, n_words long, n_removed long, count long").first(),
+        spark.createDataFrame([(2, 18, 0, 1)], "id long, n_words long, n_removed long, count long").first(),
+        spark.createDataFrame([(None, 40, 40, 1)], "id long, n_words long, n_removed long, count long").first()]))
+
+
+def test_windows_equal_in_one_hash_stay(spark, monkeypatch):
+    """With a first hash of a single bit only the second tells windows apart."""
+    rng = random.Random(2)
+    words = substring.Windows(pa.table({"k": pa.array([1, 2]), "id": pa.array([1, 2]), "batch": pa.array([0, 0]), "text": [
+        " ".join(rng.choice("abc") for _ in range(40)), " ".join(rng.choice("abc") for _ in range(40))]}), 9, 7)
+    words.hashed = np.zeros(len(words.hashed), np.uint64)
+    at, _, index, twice, _ = words.candidates(np.arange(0, 60))
+    w = [words.words[c] for c in words.codes]
+    seen = Counter(tuple(w[i:i + 9]) for i in at)
+    assert [bool(t) for t in twice[index]] == [seen[tuple(w[i:i + 9])] > 1 for i in at]
+
+
 def test_covers():
     for period, cover in substring.COVERS.items():
         assert {(a - b) % period for a in cover for b in cover} == set(range(period))
