@@ -39,6 +39,16 @@ def shared_dir(spark: SparkSession) -> str:
     return re.sub(r"^file:/+", "file:///", spark.sparkContext.getCheckpointDir())
 
 
+def read_shared(folder: str) -> pa.Table:
+    """In a task: the Parquet files that Spark wrote to a shared folder."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(folder)
+    files = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
+    return pa.concat_tables([pq.read_table(f, filesystem=store) for f in files])
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Removes a folder that this run wrote."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,6 +11,7 @@ There is no shuffle, and no document is cut.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.llm.common import field, map_slices, memory_given_back, parts_by_bytes, texts, without
+from kardex.llm.common import field, map_slices, memory_given_back, parts_by_bytes, read_shared, shared_dir, texts, without
 from kardex.llm.fm_index import FMIndex
 
 #: Word bytes: lower-cased letters, digits and everything beyond ASCII.
@@ -91,31 +92,51 @@ def _scan(phrases: Phrases, docs: list[bytes | None], sample: int):
     return counts, spans, found
 
 
-def _with_block(docs: DataFrame, items: list[tuple[str, bytes | None]], text_col: str, keep_text: bool, window: int,
-                shard_words: int, sample: int, cut_col: str | None = None) -> DataFrame:
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[str]:
+    """The items as Parquet in the shared folder, written by tasks, in folders of about
+    ``block_bytes`` of text; returns the folders.  No text passes the driver."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
+                             F.col(text_col).cast("string").alias("text")).where("text is not null")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+    folder = f"{shared_dir(spark)}/items-{uuid.uuid4()}"
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
+    for k in range(blocks):
+        (items.where(block == k) if blocks > 1 else items).write.parquet(f"{folder}/{k}")
+    return [f"{folder}/{k}" for k in range(blocks)]
+
+
+def _load(folder: str, window: int) -> Phrases:
+    table = read_shared(folder)
+    return Phrases(sorted(zip(table.column("item").to_pylist(), texts(table.column("text")))), window)
+
+
+def _searched(docs: DataFrame, blocks: list[str], text_col: str, keep_text: bool, window: int, shard_words: int,
+              sample: int, cut_col: str | None) -> DataFrame:
     """The columns of ``docs`` (``text_col`` only if kept) with ``n_words,
-    spans, items`` of this block, joined to those of earlier blocks, and in
-    ``cut_col`` the text without its spans."""
-    kept = [c for c in docs.columns if c not in _MARKS and (keep_text or c != text_col)]
-    earlier = "spans" in docs.columns
+    spans, items``, and in ``cut_col`` the text without its spans.  A task holds
+    a shard and the phrases of one block at a time."""
+    kept = [c for c in docs.columns if keep_text or c != text_col]
     schema = T.StructType([*[field(docs, c) for c in kept], *_MARK_FIELDS,
                            *([T.StructField(cut_col, T.StringType())] if cut_col else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        phrases, out = Phrases(items, window), to_arrow_schema(schema)
+        out = to_arrow_schema(schema)
+        only = _load(blocks[0], window) if len(blocks) == 1 else None
         parts: list[pa.RecordBatch] = []
         shard: list[bytes | None] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            counts, spans, found = _scan(phrases, shard, sample)
+            counts, spans, found = _scan(only or _load(blocks[0], window), shard, sample)
+            for folder in blocks[1:]:
+                _, more, others = _scan(_load(folder, window), shard, sample)
+                spans = [_join(a, b) for a, b in zip(spans, more)]
+                found = [a | b for a, b in zip(found, others)]
             table = pa.Table.from_batches(parts)
-            if earlier:
-                spans = [_join(a, [(x["start"], x["end"]) for x in b])
-                         for a, b in zip(spans, table.column("spans").to_pylist())]
-                found = [a.union(b) for a, b in zip(found, table.column("items").to_pylist())]
             rows = [[{"start": s, "end": e} for s, e in doc] for doc in spans]
             columns = [table.column(i).combine_chunks().cast(out.field(i).type) for i in range(len(kept))]
             left = [pa.array([None if t is None else without_spans(t, s) if s else t.decode() for t, s in zip(shard, spans)],
@@ -137,8 +158,7 @@ def _with_block(docs: DataFrame, items: list[tuple[str, bytes | None]], text_col
             if shard:
                 yield flush()
 
-    marks = ["spans", "items"] if earlier else []
-    columns = [F.col(f"`{c}`") for c in [*kept, *marks]]
+    columns = [F.col(f"`{c}`") for c in kept]
     return docs.select(*columns, F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, schema)
 
 
@@ -163,7 +183,7 @@ def _join(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int,
 
 def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
          item_text_col: str = "text", window: int = 13, shard_words: int = 1 << 19, sample: int = 32,
-         block_bytes: int = 64 << 20, keep_text: bool = True, cut_col: str | None = None) -> DataFrame:
+         block_bytes: int = 8 << 20, keep_text: bool = True, cut_col: str | None = None) -> DataFrame:
     """The rows of ``docs`` with ``n_words, spans, items`` (columns of these
     names are replaced), and, if named, ``cut_col``: the text without the words
     of the spans and what lies between them (null for null).
@@ -172,25 +192,14 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     a ``window``-word phrase (an item with fewer words, but not none, is one
     phrase); ``items`` the ids, as sorted strings, of the items found.
 
-    The test set goes to the tasks whole only up to ``block_bytes`` of text;
-    beyond, it is cut into blocks by a hash of the id, searched one after the
-    other, and the spans are joined.  Defined cases: null and empty texts have
-    no words and match nothing; a null item id counts as the text ``null``;
-    rows that repeat stay; an empty table on either side gives no rows, or
-    rows without spans.
+    The test set lies in the shared folder in blocks of ``block_bytes`` of text;
+    each shard of documents is searched for one block after the other, and the
+    spans are joined.  Defined cases: null and empty texts have no words and
+    match nothing; a null item id counts as the text ``null``; rows that repeat
+    stay; an empty table on either side gives no rows, or rows without spans.
     """
-    wanted = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
-                              F.col(item_text_col).cast("string").alias("text")).where("text is not null")
-    total = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    marked = without(docs, *_MARKS)
-    for block in range(blocks):
-        some = wanted.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else wanted
-        items = sorted((r["item"], r["text"].encode()) for r in some.toLocalIterator())
-        last = block == blocks - 1
-        marked = _with_block(marked, items, text_col, keep_text or not last, window, shard_words, sample,
-                             cut_col if last else None)
-    return marked
+    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
+    return _searched(without(docs, *_MARKS), blocks, text_col, keep_text, window, shard_words, sample, cut_col)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

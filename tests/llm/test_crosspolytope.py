@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from kardex.llm import crosspolytope
 from kardex.llm.crosspolytope import hadamard
@@ -82,3 +83,19 @@ def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(np.linalg.norm(hadamard(x), axis=1), np.linalg.norm(x, axis=1))
     assert np.allclose(hadamard(hadamard(x)), x)
+
+
+@pytest.mark.parametrize("hashes", [1, 2, 3, 4])
+@pytest.mark.parametrize("dim", [64, 256, 768])
+def test_recall_does_not_fall_with_more_hashes(dim, hashes):
+    """Pairs at cosine 0.9 that share a bucket, with the tables of each number of hashes."""
+    rng = np.random.default_rng([dim, hashes])
+    a = rng.normal(size=(200, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=a.shape)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(1 - 0.81) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    hasher = crosspolytope.CrossPolytope(dim, crosspolytope.tables_for(hashes), hashes, 4, 17)
+    found = [bool(set(x) & set(y)) for x, y in zip(hasher.buckets(a).tolist(), hasher.buckets(b).tolist())]
+    print(dim, hashes, np.mean(found))
+    assert np.mean(found) >= 0.9
