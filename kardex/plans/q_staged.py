@@ -119,9 +119,9 @@ def asset_documents_file(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("uuid"), F.col("text").alias("title"), "source")
     W.write_asset_docs(d, path, per_document=40)
-    documents = spark.read.text(path).agg(F.count(F.lit(1)).cast("double").alias("documents"))
+    documents = F.lit(float(spark.read.text(path).count())).alias("documents")
     schema = T.StructType([T.StructField("media", T.StructType([T.StructField("assets", T.ArrayType(d.schema))]))])
-    return R.read_assets(spark, path, schema).drop("source_file").crossJoin(documents)
+    return R.read_assets(spark, path, schema).select("uuid", "title", "source", documents)
 
 
 @register("url_list_file", """
