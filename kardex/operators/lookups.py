@@ -196,6 +196,18 @@ def _matchable_rows(rows: DataFrame, row_id: str, row_no: str) -> DataFrame:
                        & (F.coalesce(strip(F.col(row_no)), F.lit("")) != ""))
 
 
+def _matches(rows: DataFrame, resources: DataFrame, row_id: str, row_no: str, res_no: str) -> tuple[DataFrame, DataFrame]:
+    """``match_resources``, its resources with ``__id`` too: the id of their
+    number's row where there is exactly one."""
+    r = _matchable_rows(rows, row_id, row_no)
+    n = F.count(F.lit(1))
+    keys = one_per_key(r, row_no, "__k", n.alias("inventory_rows"), F.when(n == 1, F.min(F.col(row_id))).alias("__id"))
+    key_resources = (resources.join(keys, F.col(res_no) == F.col("__k")).drop("__k"))
+    res_keys = one_per_key(resources, res_no, "__k", F.count(F.lit(1)).alias("resources"))
+    row_matches = r.join(res_keys, F.col(row_no) == F.col("__k")).drop("__k")
+    return row_matches, key_resources
+
+
 def match_resources(rows: DataFrame, resources: DataFrame, *, row_id="inventory_id",
                     row_no="inventory_no", res_no="Inventory_no") -> tuple[DataFrame, DataFrame]:
     """J8 (long form, key level): ``(row_matches, key_resources)``.
@@ -208,12 +220,8 @@ def match_resources(rows: DataFrame, resources: DataFrame, *, row_id="inventory_
     document without materialising row x resource pairs: the row side is
     reduced to one row per number (partial aggregation) before the join.
     """
-    r = _matchable_rows(rows, row_id, row_no)
-    keys = one_per_key(r, row_no, "__k", F.count(F.lit(1)).alias("inventory_rows"))
-    key_resources = (resources.join(keys, F.col(res_no) == F.col("__k")).drop("__k"))
-    res_keys = one_per_key(resources, res_no, "__k", F.count(F.lit(1)).alias("resources"))
-    row_matches = r.join(res_keys, F.col(row_no) == F.col("__k")).drop("__k")
-    return row_matches, key_resources
+    row_matches, key_resources = _matches(rows, resources, row_id, row_no, res_no)
+    return row_matches, key_resources.drop("__id")
 
 
 def nested_parts(rows: DataFrame, resources: DataFrame, resource_cols, *, row_id="inventory_id",
@@ -228,13 +236,11 @@ def nested_parts(rows: DataFrame, resources: DataFrame, resource_cols, *, row_id
     resource is in exactly one part.  A resource carries the
     ``inventory_id`` of its number's row where there is exactly one.
     """
-    row_matches, key_resources = match_resources(rows, resources, row_id=row_id, row_no=row_no, res_no=res_no)
+    # One join only: a second one on the number would keep AQE from splitting a hot number's rows.
+    row_matches, key_resources = _matches(rows, resources, row_id, row_no, res_no)
     part = F.floor(F.col("__place") / part_size).alias("part")
-    only = one_per_key(_matchable_rows(rows, row_id, row_no), row_no, "__k", F.count(F.lit(1)).alias("__n"),
-                       F.min(F.col(row_id)).alias("__id")).filter("__n = 1")
     item = F.struct(F.col("__id").alias(row_id), *[F.col(c) for c in resource_cols])
-    held = (key_resources.join(only, F.col(res_no) == F.col("__k"), "left")
-            .select(F.col(res_no).alias("inventory_no"), item.alias("item")))
+    held = key_resources.select(F.col(res_no).alias("inventory_no"), item.alias("item"))
     held = number_within(held, "inventory_no", "__place").select("inventory_no", part, "item")
     owners = row_matches.select(F.col(row_no).alias("inventory_no"), F.col(row_id).alias("id"))
     owners = number_within(owners, "inventory_no", "__place").select("inventory_no", part, "id")

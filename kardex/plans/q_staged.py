@@ -148,7 +148,7 @@ def xml_rows_file(spark, sf_dir):
         F.when(F.col("p_partkey") % 3 != 0, F.concat("p_brand", F.lit(" & <Co>"))).alias("brand"))
     W.write_xml_rows(p, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in p.columns])
-    back = R.read_xml_rows(spark, path, "MediaResource", schema)
+    back = R.read_xml_rows(spark, path, "MediaResource", schema, cut=True)
     return back.select("inventory_id", "title", F.coalesce("brand", F.lit("")).alias("brand"))
 
 
@@ -185,7 +185,7 @@ def nested_xml_file(spark, sf_dir):
     res = load(spark, sf_dir, "hot_resources").withColumnRenamed("inventory_number", "Inventory_no")
     parts = LK.nested_parts(rows, res, ["pk", "line"])
     W.write_nested_xml(parts, path)
-    return nested_totals(R.read_xml_rows(spark, path, "ROW", parts.schema))
+    return nested_totals(R.read_xml_rows(spark, path, "ROW", parts.schema, cut=True))
 
 
 @register("xml_to_json_files", """

@@ -108,8 +108,16 @@ def read_headerless_csv(spark: SparkSession, path, names: list[str]) -> DataFram
     return _read_csv(spark, path, False, schema=schema)
 
 
-def read_xml_rows(spark: SparkSession, path, row_tag: str, schema: T.StructType | None = None) -> DataFrame:
-    """XML row elements as records (built-in XML source)."""
+def read_xml_rows(spark: SparkSession, path, row_tag: str, schema: T.StructType | None = None,
+                  cut: bool = False) -> DataFrame:
+    """XML row elements as records (built-in XML source, a file is one
+    task).  With ``cut``, which needs the schema, many tasks read one file: it is
+    cut at the end tags of the rows, which must stand nowhere else (in comments,
+    say); so K5 and K6 write them.  Columns in folder names are not read then."""
+    if cut:
+        if schema is None:
+            raise ValueError("Files are cut into rows of a given schema only.")
+        return read_xml_records(spark, path, row_tag, schema).select(*[F.col(f"`{c}`") for c in schema.names])
     r = spark.read.format("xml").option("rowTag", row_tag)
     if schema is not None:
         r = r.schema(schema)

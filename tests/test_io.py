@@ -146,6 +146,23 @@ def test_xml_rows_round_trip_and_xml_to_json(spark, tmp_path):
     W.xml_to_json(spark, src, str(tmp_path / "json"), "row", schema)
 
 
+def test_xml_rows_of_one_file_are_read_by_many_tasks(spark, tmp_path):
+    texts = [f"é {i} <&> </Row>" if i % 3 else None for i in range(3000)]
+    df = spark.createDataFrame([(i, texts[i], [f"a{i}", "b"][:i % 3]) for i in range(3000)], "id long, title string, tags array<string>")
+    out = str(tmp_path / "xml")
+    df.coalesce(1).write.format("xml").option("rootTag", "Rows").option("rowTag", "Row").save(out)
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("10007", "20k", most):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            cut = R.read_xml_rows(spark, out, "Row", df.schema, cut=True)
+            assert cut.columns == df.columns and (size == most or cut.rdd.getNumPartitions() >= 10)
+            assert sorted(map(str, cut.collect())) == sorted(map(str, R.read_xml_rows(spark, out, "Row", df.schema).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+    assert {r.id: r.title for r in cut.collect()} == dict(enumerate(texts))
+
+
 def test_one_malformed_record_leaves_the_others(spark, tmp_path):
     src = str(tmp_path / "in")
     rows = [f"  <row k='{i}'><a> t{i} </a>" + ("</row>" if i != 3 else "") for i in range(8)]

@@ -142,3 +142,15 @@ def test_hot_key_is_split(splitting, name):
 
 def test_control_aggregate_on_the_join_key_blocks_the_split(splitting):
     assert not _is_split(_operators(_hot(splitting))["control"]())
+
+
+def test_hot_key_of_nested_documents_is_split(splitting, monkeypatch):
+    from kardex.operators import lookups as LK
+    numbered, number = [], LK.number_within
+    monkeypatch.setattr(LK, "number_within", lambda df, *a: numbered.append(df) or number(df, *a))
+    hot = _hot(splitting)
+    rows = hot.select(F.col("id").alias("inventory_id"), F.when(F.col("key") == "", "M1").otherwise(F.col("key")).alias("inventory_no"))
+    res = rows.select(F.col("inventory_no").alias("Inventory_no"), F.md5("inventory_id").alias("pad"))
+    parts = LK.nested_parts(rows, res, ["pad"])
+    assert [_is_split(df) for df in numbered] == [True, True]
+    assert parts.agg(F.sum(F.size("rows")), F.sum(F.size("matched_resources"))).first()[:] == (60_000, 60_000)
